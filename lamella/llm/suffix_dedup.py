@@ -66,7 +66,7 @@ def _suffixes(length: int):
         for batch in batches:
             for texts in slices(batch.column("text")):
                 s = sampled(texts, length)
-                rows = batch.slice(texts.first, len(texts)).take(pa.array(s["row"]))
+                rows = batch.select(["doc_id", "u"]).slice(texts.first, len(texts)).take(pa.array(s["row"]))
                 place = pa.array((s["lo"] << 16) | s["n"])
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("u"), pa.array(s["kmer"]), pa.array(s["ext"]), place], names=["doc_id", "u", "kmer", "ext", "place"])
 
@@ -120,7 +120,7 @@ def _window_hashes(length: int):
                 at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
                 row = np.repeat(row, n)
                 h = Hasher(texts.data).of(texts.offsets[row] + at, texts.offsets[row] + at + length)
-                own = rows.take(pa.array(row))
+                own = rows.select(["doc_id", "u"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), pa.array(at), pa.array(h.view(np.int64))], names=["doc_id", "u", "s", "h"])
 
     return run
