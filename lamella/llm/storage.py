@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -43,3 +44,9 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
         have.add(w.lower())
         out.append(w)
     return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished steps: it does so once their plans are garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -5,8 +5,10 @@ k-mer of least hash in it, so equal windows have equal sampled suffixes at equal
 batch's suffix array holds its sampled suffixes in the order of their leading k-mer's fingerprint,
 equal ones as one run with its length.  A new batch is merge-scanned against the levels of the
 family, and levels of equal size merge geometrically.  Suffixes whose k-mer repeats go on to
-the comparison of long matches: first the whole stretch of windows around the sampled suffix,
-then, where only some of them can repeat, window by window.  Fingerprints have 64 bits.
+the comparison of long matches: first the whole stretch of windows around the sampled suffix;
+where only some of them can repeat, groups of eight windows at equal distance from it; and
+where a group's common core repeats but not the whole of it, window by window.  Each step looks
+at one of each set of equal candidates, so copies cost nothing.  Fingerprints have 64 bits.
 """
 
 from __future__ import annotations
@@ -17,18 +19,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import stored
+from .storage import release, stored
 from .wordhash import Hasher, Texts, mix, slices
 
 LENGTH = 200
 KMER = 32
 BATCHES = 2
+#: Windows of a group.
+GROUP = 8
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def sampled(texts: Texts, length: int = LENGTH, kmer: int = KMER) -> dict[str, np.ndarray]:
-    """The sampled suffixes of each row: row, kmer, ext (its whole stretch), lo (first window), n (windows)."""
-    none = {k: np.zeros(0, np.int64) for k in ("row", "kmer", "ext", "lo", "n")}
+    """The sampled suffixes of each row: row, kmer, ext (its whole stretch), lo (first window), p (from there to the suffix), n (windows)."""
+    none = {k: np.zeros(0, np.int64) for k in ("row", "kmer", "ext", "lo", "p", "n")}
     data, size = texts.data, len(texts.data)
     if not (np.diff(texts.offsets) >= length).any():
         return none
@@ -58,7 +62,7 @@ def sampled(texts: Texts, length: int = LENGTH, kmer: int = KMER) -> dict[str, n
     row = np.searchsorted(texts.offsets, start, "right") - 1
     key = hasher.of(p, p + kmer)
     ext = mix(hasher.of(start, stop - 1 + length) + (p - start).astype(np.uint64) * _SALT)
-    return {"row": row, "kmer": key.view(np.int64), "ext": ext.view(np.int64), "lo": start - texts.offsets[row], "n": stop - start}
+    return {"row": row, "kmer": key.view(np.int64), "ext": ext.view(np.int64), "lo": start - texts.offsets[row], "p": p - start, "n": stop - start}
 
 
 def _suffixes(length: int):
@@ -67,7 +71,7 @@ def _suffixes(length: int):
             for texts in slices(batch.column("text")):
                 s = sampled(texts, length)
                 rows = batch.select(["doc_id", "u"]).slice(texts.first, len(texts)).take(pa.array(s["row"]))
-                place = pa.array((s["lo"] << 16) | s["n"])
+                place = pa.array((s["lo"] << 32) | (s["p"] << 16) | s["n"])
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("u"), pa.array(s["kmer"]), pa.array(s["ext"]), place], names=["doc_id", "u", "kmer", "ext", "place"])
 
     return run
@@ -108,20 +112,81 @@ class SuffixLevels:
         return union.groupBy("kmer").agg(F.sum("n").alias("n")).where("n > 1").select("kmer")
 
 
+def _contexts(length: int):
+    """The bytes of each asked stretch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, places = batch.column("text").to_pylist(), batch.column("places")
+            row = np.repeat(np.arange(len(text)), places.value_lengths().to_numpy())
+            flat = places.flatten()
+            own = batch.select(["doc_id", "u"]).take(pa.array(row))
+            encoded = [t.encode() for t in text]
+            bodies = [encoded[r][p >> 32 : (p >> 32) + (p & 0xFFFF) - 1 + length] for r, p in zip(row.tolist(), flat.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), flat, pa.array(bodies, pa.binary())], names=["doc_id", "u", "place", "body"])
+
+    return run
+
+
+def _stretches(batch: pa.RecordBatch) -> tuple[Hasher, np.ndarray, np.ndarray, np.ndarray]:
+    """Hasher of the batch's bodies, where each begins, its suffix's distance from there and its windows."""
+    body = batch.column("body").cast(pa.large_binary())
+    _, offsets, data = body.buffers()
+    at = np.frombuffer(offsets, np.int64)[body.offset : body.offset + len(body) + 1]
+    place = batch.column("place").to_numpy()
+    return Hasher(np.frombuffer(data, np.uint8)[at[0] : at[-1]]), at[:-1] - at[0], (place >> 16) & 0xFFFF, place & 0xFFFF
+
+
+def _groups(length: int):
+    """Of each group of windows, the core that all have in common and the whole that they cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                hasher, at, p, n = _stretches(batch)
+                low, high = (p - n + 1) // GROUP, p // GROUP  # groups by distance to the suffix
+                count = high - low + 1
+                row = np.repeat(np.arange(len(at)), count)
+                j = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+                first = np.maximum(p[row] - GROUP * j - GROUP + 1, 0)
+                last = np.minimum(p[row] - GROUP * j, n[row] - 1)
+                core_from = at[row] + last
+                core_to = at[row] + first + length
+                # The core is that of the full group, so that cut groups of other stretches agree with it.
+                full = (p[row] - GROUP * j == last) & (p[row] - GROUP * j - GROUP + 1 == first)
+                inner_from = at[row] + p[row]
+                near = hasher.of(inner_from, np.minimum(inner_from + KMER, at[row] + n[row] - 1 + length))
+                core = np.where(full, hasher.of(core_from, core_to), 0)
+                cut = ~full
+                if cut.any():
+                    a = np.maximum(p[row] - GROUP * j, 0)[cut]
+                    b = (p[row] - GROUP * j - GROUP + 1)[cut] + length
+                    a, b = np.minimum(a, (n[row] - 1)[cut] + length), np.maximum(b, 0)
+                    inside = (p[row] - GROUP * j)[cut] <= (n[row] - 1 + length)[cut]
+                    core[cut] = np.where(inside, hasher.of(at[row][cut] + a, at[row][cut] + np.maximum(a, b)), 0)
+                core = mix(core ^ mix(near + j.astype(np.uint64)))
+                ext = mix(hasher.of(at[row] + first, at[row] + last + length) + mix(core + (p[row] - first).astype(np.uint64) * _SALT))
+                own = batch.select(["doc_id", "u", "place"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array((first << 16) | (last - first + 1)), pa.array(core.view(np.int64)), pa.array(ext.view(np.int64))], names=["doc_id", "u", "place", "part", "core", "ext"])
+
+    return run
+
+
 def _window_hashes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in slices(batch.column("text")):
-                rows = batch.slice(texts.first, len(texts))
-                col = rows.column("places")
-                place = col.flatten().to_numpy()
-                row = np.repeat(np.arange(len(texts)), col.value_lengths().to_numpy())
-                lo, n = place >> 16, place & 0xFFFF
-                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                row = np.repeat(row, n)
-                h = Hasher(texts.data).of(texts.offsets[row] + at, texts.offsets[row] + at + length)
-                own = rows.select(["doc_id", "u"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), pa.array(at), pa.array(h.view(np.int64))], names=["doc_id", "u", "s", "h"])
+            hasher, at, p, _ = _stretches(batch)
+            parts = batch.column("parts")
+            part = parts.flatten().to_numpy()
+            row = np.repeat(np.arange(len(at)), parts.value_lengths().to_numpy())
+            first, n = part >> 16, part & 0xFFFF
+            s = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            row = np.repeat(row, n)
+            h = mix(hasher.of(at[row] + s, at[row] + s + length) + (p[row] - s).astype(np.uint64) * _SALT)
+            own = batch.select(["doc_id", "u"]).take(pa.array(row))
+            s += batch.column("place").to_numpy()[row] >> 32
+            yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), pa.array(s), pa.array(h.view(np.int64))], names=["doc_id", "u", "s", "h"])
 
     return run
 
@@ -142,8 +207,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edge = np.zeros(len(body) + 1, np.int64)
                 f = np.array(full or [], np.int64)
                 p = np.array(part or [], np.int64)
-                a = np.concatenate([f >> 16, p])
-                b = np.concatenate([(f >> 16) + (f & 0xFFFF) - 1 + length, p + length])
+                a = np.concatenate([f >> 32, p])
+                b = np.concatenate([(f >> 32) + (f & 0xFFFF) - 1 + length, p + length])
                 np.add.at(edge, a, 1)
                 np.add.at(edge, b, -1)
                 gone = np.cumsum(edge[:-1]) > 0
@@ -159,25 +224,52 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_windows(docs: DataFrame, length: int, batches: int) -> DataFrame:
     """(doc_id, u, full, part): each document's windows that occur elsewhere too, as stretches and as single starts."""
-    index = SuffixLevels()
+    spark, index = docs.sparkSession, SuffixLevels()
     for b in range(batches):
         batch = docs.where(F.pmod("u", F.lit(batches)) == b) if batches > 1 else docs
         index.insert(batch.select("text").mapInArrow(_keys(length), "kmer long"))
+        release(spark)
     suffixes = docs.mapInArrow(_suffixes(length), "doc_id long, u long, kmer long, ext long, place long")
     again = stored(suffixes.join(index.repeated(), "kmer", "left_semi"), "repeated")
-    runs = again.groupBy("kmer", "ext").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "u", "place")).alias("one"))
-    mixed = runs.groupBy("kmer").agg((F.count("*") > 1).alias("mixed"))
-    runs = stored(runs.join(mixed, "kmer"), "runs")
-    full = again.join(runs.where("n > 1").select("kmer", "ext"), ["kmer", "ext"], "left_semi").select("doc_id", "u", "place")
-    # A stretch that occurs once may share windows with other stretches of its k-mer.
-    part = runs.where("mixed").select("one.doc_id", "one.u", "one.place")
+    release(spark)
+    full, part = _equal(again, "kmer", ["doc_id", "u", "place"])
     places = part.groupBy("doc_id", "u").agg(F.collect_list("place").alias("places"))
-    asked = docs.join(places.withColumnsRenamed({"doc_id": "i", "u": "v"}), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("u") == F.col("v"))).select("doc_id", "u", "places", "text").dropDuplicates(["doc_id", "u"])
-    found = stored(asked.mapInArrow(_window_hashes(length), "doc_id long, u long, s long, h long"), "windows")
-    twice = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    single = found.join(twice, "h", "left_semi").select("doc_id", "u", "s")
-    marks = full.select("doc_id", "u", F.col("place").alias("full"), F.lit(None).cast("long").alias("part")).unionAll(single.select("doc_id", "u", F.lit(None).cast("long").alias("full"), F.col("s").alias("part")))
-    return marks.groupBy("doc_id", "u").agg(F.collect_set("full").alias("full"), F.collect_set("part").alias("part"))
+    asked = docs.join(places.withColumnsRenamed({"doc_id": "i", "u": "v"}), _same("i", "v")).select("doc_id", "u", "places", "text").dropDuplicates(["doc_id", "u"])
+    bodies = stored(asked.mapInArrow(_contexts(length), "doc_id long, u long, place long, body binary"), "contexts")
+    release(spark)
+    groups = bodies.mapInArrow(_groups(length), "doc_id long, u long, place long, part long, core long, ext long")
+    shared = groups.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
+    groups = stored(groups.join(shared, "core", "left_semi"), "groups")
+    release(spark)
+    wide, narrow = _equal(groups, "core", ["doc_id", "u", "place", "part"])
+    stretch = F.shiftleft(F.shiftright("place", 32) + F.shiftright("part", 16), 32).bitwiseOR(F.col("part").bitwiseAND(0xFFFF))
+    parts = narrow.groupBy("doc_id", "u", "place").agg(F.collect_list("part").alias("parts")).withColumnsRenamed({"doc_id": "i", "u": "v", "place": "w"})
+    windows = bodies.join(parts, _same("i", "v") & (F.col("place") == F.col("w"))).select("doc_id", "u", "place", "parts", "body").mapInArrow(_window_hashes(length), "doc_id long, u long, s long, h long")
+    windows = stored(windows, "windows")
+    release(spark)
+    single = windows.join(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "h", "left_semi")
+    none = F.lit(None).cast("long")
+    marks = (
+        full.select("doc_id", "u", F.col("place").alias("full"), none.alias("part"))
+        .unionAll(wide.select("doc_id", "u", stretch.alias("full"), none.alias("part")))
+        .unionAll(single.select("doc_id", "u", none.alias("full"), F.col("s").alias("part")))
+    )
+    marks = stored(marks.groupBy("doc_id", "u").agg(F.collect_set("full").alias("full"), F.collect_set("part").alias("part")), "marks")
+    release(spark)
+    return marks
+
+
+def _same(i: str, v: str):
+    return F.col("doc_id").eqNullSafe(F.col(i)) & (F.col("u") == F.col(v))
+
+
+def _equal(rows: DataFrame, key: str, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Places whose ``ext`` occurs twice, and one place of each ext of those keys that have several of them."""
+    runs = rows.groupBy(key, "ext").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("one"))
+    kinds = runs.groupBy(key).agg((F.count("*") > 1).alias("mixed"))
+    runs = stored(runs.join(kinds, key), "runs")
+    release(rows.sparkSession)
+    return rows.join(runs.where("n > 1").select(key, "ext"), [key, "ext"], "left_semi").select(*place), runs.where("mixed").select("one.*")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
