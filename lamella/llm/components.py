@@ -1,25 +1,26 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Every step is a min-aggregate (combined map-side) and a join back, so a node with very many
-neighbours is pre-aggregated and its join side can be split by adaptive execution.  The tables
-are checkpointed between rounds; only a row count and a checksum reach the driver.
+neighbours is pre-aggregated.  The minima are written as a table, so that both sides of the join
+are exchanged for it and adaptive execution can split such a node.  The edges are checkpointed
+between rounds; only a row count and a checksum reach the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import checkpointed
+from .storage import checkpointed, stored
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
     return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("u").agg(F.min("v").alias("m"))
+    low = stored(e.groupBy("u").agg(F.min("v").alias("m")), "low")
     moved = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(low.select("u", F.col("m").alias("v")))
 

@@ -230,7 +230,9 @@ def repeated_windows(docs: DataFrame, length: int, batches: int) -> DataFrame:
         index.insert(batch.select("text").mapInArrow(_keys(length), "kmer long"))
         release(spark)
     suffixes = docs.mapInArrow(_suffixes(length), "doc_id long, u long, kmer long, ext long, place long")
-    again = stored(suffixes.join(index.repeated(), "kmer", "left_semi"), "repeated")
+    # A table of its own: a join on the aggregate's partitioning couldn't split a k-mer that fills a third of all rows.
+    repeated = stored(index.repeated(), "repeated-kmers")
+    again = stored(suffixes.join(repeated, "kmer", "left_semi"), "repeated")
     release(spark)
     full, part = _equal(again, "kmer", ["doc_id", "u", "place"])
     places = part.groupBy("doc_id", "u").agg(F.collect_list("place").alias("places"))
