@@ -110,6 +110,7 @@ def format_conversations(conversations: DataFrame, tokenizer: str, loss_role: st
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY))
     texts = owned.where("rank = owner").select("owner", "depth", "node", head.alias("head"), escape(F.col("text")).alias("body"), F.lit(END).alias("tail"), (F.col("role") == loss_role).alias("is_loss"))
     tokens = texts.mapInArrow(_encode(tokenizer), "owner long, depth int, node string, ids array<int>, n_tokens long, loss_start int, loss_end int")
+    tokens = stored(tokens, "tokens")  # the range sort below reads its input twice
     placed = stored(_ranked(tokens, ["owner", "depth"], "start", F.col("n_tokens")), "stream")
     # Ancestors of one owner are next to each other in the stream: an interval for each owner on the path.
     steps = owned.select("rank", "depth", "node", "owner").join(placed.select("node", "start", "n_tokens"), "node")
