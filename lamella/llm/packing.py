@@ -25,7 +25,7 @@ DIMENSIONS = 4
 BITS = 15
 FEATURES = 1024
 #: Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 _BLANK, _LETTER, _DIGIT, _OTHER = range(4)
 _KIND = np.full(256, _OTHER, np.uint8)

@@ -23,7 +23,7 @@ _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 #: Bytes of text worked on at once; one longer document makes a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
