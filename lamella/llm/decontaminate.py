@@ -257,18 +257,20 @@ def remove_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> D
     """``docs`` with the byte ranges in ``spans`` cut out of the texts; rows without spans are left as they are."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            new = batch.column(at).to_pylist()
-            for i, own in enumerate(batch.column(spans).to_pylist()):
-                if own:
-                    body, last, kept = new[i].encode(), 0, []
-                    for s in own:
-                        kept.append(body[last : s["start"]])
-                        last = s["end"]
-                    new[i] = b"".join([*kept, body[last:]]).decode()
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        for whole in batches:
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                at = batch.schema.get_field_index(text)
+                new = batch.column(at).to_pylist()
+                for i, own in enumerate(batch.column(spans).to_pylist()):
+                    if own:
+                        body, last, kept = new[i].encode(), 0, []
+                        for s in own:
+                            kept.append(body[last : s["start"]])
+                            last = s["end"]
+                        new[i] = b"".join([*kept, body[last:]]).decode()
+                columns = list(batch.columns)
+                columns[at] = pa.array(new, batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(cut, docs.schema)

@@ -134,7 +134,7 @@ def _verify(threshold: float):
         both = np.zeros((len(left), len(right)), np.float32)
         order = np.argsort(place, kind="stable")
         row, place = row[order], place[order]
-        width = 4096
+        width = 2048
         for start in range(0, int(number[-1]) + 1 if len(number) else 0, width):
             a, b = np.searchsorted(place, [start, start + width])
             m = np.zeros((n, width), np.float32)

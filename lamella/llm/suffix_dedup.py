@@ -116,14 +116,16 @@ def _contexts(length: int):
     """The bytes of each asked stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, places = batch.column("text").to_pylist(), batch.column("places")
-            row = np.repeat(np.arange(len(text)), places.value_lengths().to_numpy())
-            flat = places.flatten()
-            own = batch.select(["doc_id", "u"]).take(pa.array(row))
-            encoded = [t.encode() for t in text]
-            bodies = [encoded[r][p >> 32 : (p >> 32) + (p & 0xFFFF) - 1 + length] for r, p in zip(row.tolist(), flat.to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), flat, pa.array(bodies, pa.binary())], names=["doc_id", "u", "place", "body"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                text, places = batch.column("text"), batch.column("places")
+                row = np.repeat(np.arange(len(text)), places.value_lengths().to_numpy())
+                flat = places.flatten()
+                own = batch.select(["doc_id", "u"]).take(pa.array(row))
+                encoded = text.cast(pa.binary()).to_pylist()
+                bodies = [encoded[r][p >> 32 : (p >> 32) + (p & 0xFFFF) - 1 + length] for r, p in zip(row.tolist(), flat.to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), flat, pa.array(bodies, pa.binary())], names=["doc_id", "u", "place", "body"])
 
     return run
 
