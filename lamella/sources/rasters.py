@@ -44,7 +44,7 @@ def channel_names(spark: SparkSession, path: str) -> DataFrame:
     """(channel, name): a stripped line for each channel, blank lines kept."""
     text = spark.read.text(path, wholetext=True)
     lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
-    return text.select(F.posexplode(F.transform(lines, F.trim)).alias("channel", "name"))
+    return text.select(F.posexplode(F.transform(lines, lambda line: F.trim(line))).alias("channel", "name"))
 
 
 def physical_sizes(spark: SparkSession, sizes: DataFrame) -> DataFrame:
