@@ -255,22 +255,9 @@ def items_digest(items: list[str]) -> str:
 
 def remove_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` with the byte ranges in ``spans`` cut out of the texts; rows without spans are left as they are."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
-                at = batch.schema.get_field_index(text)
-                new = batch.column(at).to_pylist()
-                for i, own in enumerate(batch.column(spans).to_pylist()):
-                    if own:
-                        body, last, kept = new[i].encode(), 0, []
-                        for s in own:
-                            kept.append(body[last : s["start"]])
-                            last = s["end"]
-                        new[i] = b"".join([*kept, body[last:]]).decode()
-                columns = list(batch.columns)
-                columns[at] = pa.array(new, batch.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(cut, docs.schema)
+    body = F.col(text).cast("binary")
+    ends = F.concat(F.array(F.lit(0)), F.col(f"{spans}.end"))
+    starts = F.concat(F.col(f"{spans}.start"), F.array(F.octet_length(text)))
+    between = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda x: F.substring(body, x.a + 1, x.b - x.a))
+    kept = F.aggregate(between, F.lit(b""), lambda out, x: F.concat(out, x)).cast("string")
+    return docs.withColumn(text, F.when(F.size(spans) > 0, kept).otherwise(F.col(text)))

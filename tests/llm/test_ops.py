@@ -127,6 +127,12 @@ def test_decontamination(spark, messy, empty):
     same(digest, brute.decontaminated(rows, items), "doc_id", "n_words", "n_hit", "k", "h", "bad")
     assert dec.find_benchmark(empty, bench).count() == 0
     assert dec.find_benchmark(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
+    for r in dec.remove_spans(out).join(out.select("doc_id", F.col("text").alias("was"), "spans").where("doc_id <> 5").withColumnRenamed("spans", "cut"), "doc_id").collect():
+        body, at = (r.was or "").encode(), 0
+        kept = b""
+        for x in r.cut:
+            kept, at = kept + body[at : x.start], x.end
+        assert (r.text or "").encode() == kept + body[at:]
     clean = dec.find_benchmark(dec.remove_spans(out).select("doc_id", "text"), bench)
     assert clean.where("n_hit > 0").count() <= out.where("n_hit > 0").count()
 
