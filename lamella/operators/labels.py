@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -53,10 +53,15 @@ def component_stats(labels: DataFrame) -> DataFrame:
     )
 
 
-def fill_holes(pixels: DataFrame, area: int) -> DataFrame:
-    """Dense binary planes with background components (4-connected) of fewer pixels than ``area`` filled."""
+def fill_holes(pixels: DataFrame, area: int | Column) -> DataFrame:
+    """Dense binary planes with background components (4-connected) of fewer pixels than ``area`` filled.
+
+    ``area`` is a number or an expression of a plane's height ``h`` and width ``w``.
+    """
     holes = connected_components(pixels.where("v = 0"), diagonal=False)
-    small = holes.join(holes.groupBy("z", "label").count().where(F.col("count") < area), ["z", "label"], "left_semi").select("z", "y", "x", F.lit(1).alias("f"))
+    size = pixels.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    few = holes.groupBy("z", "label").count().join(size, "z").where(F.col("count") < area)
+    small = holes.join(few, ["z", "label"], "left_semi").select("z", "y", "x", F.lit(1).alias("f"))
     return pixels.join(small, ["z", "y", "x"], "left").select("z", "y", "x", F.greatest("v", F.coalesce("f", F.lit(0))).cast("long").alias("v"))
 
 

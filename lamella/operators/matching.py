@@ -89,3 +89,33 @@ def dice_pairs(mask: DataFrame, reference: int = 0) -> DataFrame:
     ref = mask.where(F.col("z") == reference).select("y", "x", F.col("v").alias("w"))
     sums = mask.where(F.col("z") != reference).join(ref, ["y", "x"]).groupBy("z").agg(F.sum(F.col("v") * F.col("w")).alias("both"), F.sum("v").alias("a"), F.sum("w").alias("b"))
     return sums.select("z", F.round(F.try_divide(2.0 * F.col("both"), F.col("a") + F.col("b")), 6).alias("dice"))
+
+
+def profile_mask(stack: DataFrame) -> DataFrame:
+    """(z, y, x, v), y = 0: column profiles of planes (z, c, y, x, v) as 0/1.
+
+    A channel's column sum wraps at 65536; the channels' sums are scaled to 0 ... 255 in each slice and count if above 0.
+    """
+    columns = stack.groupBy("z", "c", "x").agg(F.pmod(F.sum("v"), F.lit(65536)).alias("s")).groupBy("z", "x").agg(F.sum("s").alias("s"))
+    whole = Window.partitionBy("z")
+    low, high = F.min("s").over(whole), F.max("s").over(whole)
+    scaled = F.when(high > low, F.bround((F.col("s") - low) * 255.0 / (high - low))).otherwise(0)
+    return columns.select("z", F.lit(0).cast("long").alias("y"), "x", (scaled > 0).cast("long").alias("v"))
+
+
+def greedy_matches(counts: DataFrame) -> DataFrame:
+    """(z, src, dst, n): labels in their order each take the partner of largest overlap that no earlier one took, or null.
+
+    Takes (z, src, dst, n) of :func:`overlaps`; a group holds the label pairs of one slice, not its pixels.
+    """
+
+    def take(pdf):
+        taken, rows = set(), []
+        for src, own in pdf.sort_values(["src", "n", "dst"], ascending=[True, False, True]).groupby("src"):
+            best = next(((int(d), int(n)) for d, n in zip(own["dst"], own["n"], strict=True) if d not in taken), (None, 0))
+            taken.add(best[0])
+            rows.append((pdf["z"].iloc[0], int(src), *best))
+        out = pdf.iloc[:0]
+        return out.__class__(rows, columns=["z", "src", "dst", "n"]).astype({"dst": "Int64"})
+
+    return counts.groupBy("z").applyInPandas(take, "z long, src long, dst long, n long")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..operators import labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, register as reg
+from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
 from ..sources.rasters import embedding_raster, lineitem_raster, order_files, physical_sizes, table
+from ..sources.sinks import label_colours, png_tiles
 
 CUT = 136  # foreground threshold of the derived raster
 
@@ -276,3 +277,52 @@ query("file_order", "f AS (SELECT s_name AS name FROM supplier) SELECT name, CAS
 query("validation_uniqueness", "d AS (SELECT r_name AS dimension, CAST(r_regionkey AS DOUBLE) AS value_um FROM region) SELECT dimension, min(value_um) AS value_um FROM d GROUP BY dimension")(
     lambda spark, folder: physical_sizes(spark, table(spark, folder, "region").select(F.col("r_name").alias("dimension"), F.col("r_regionkey").cast("double").alias("value_um")))
 )
+
+_FILLED = f"""{STATS}, g AS (SELECT z, label, y, x FROM (SELECT z, label, x_min, w, unnest(range(y_min - 1, y_min + h + 1)) AS y FROM s), LATERAL (SELECT unnest(range(x_min - 1, x_min + w + 1)) AS x)),
+fr AS (SELECT * FROM g ANTI JOIN k USING (z, label, y, x)),
+o(z, label, y, x) AS (SELECT z, label, y_min - 1, x_min - 1 FROM s UNION SELECT p.z, p.label, p.y, p.x FROM o JOIN fr p ON p.z = o.z AND p.label = o.label AND abs(p.y - o.y) + abs(p.x - o.x) = 1),
+fi AS (SELECT * FROM g ANTI JOIN o USING (z, label, y, x)),
+qs AS (SELECT z, label, y - a AS qy, x - b AS qx, count(*) AS n, sum(y) AS sy, sum(x) AS sx, CASE count(*) WHEN 4 THEN 1.0::DOUBLE WHEN 3 THEN 0.5 ELSE 0 END AS ar FROM fi, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b) GROUP BY z, label, y - a, x - b)"""
+query("contour_centroid", f"{_FILLED}, t AS (SELECT z, label, sum(ar) AS area, sum(ar * sx / n) AS mx, sum(ar * sy / n) AS my FROM qs GROUP BY z, label) SELECT z, label, area, CAST(CASE WHEN area > 0 THEN floor(round(mx / area, 9)) ELSE 0 END AS BIGINT) AS cx, CAST(CASE WHEN area > 0 THEN floor(round(my / area, 9)) ELSE 0 END AS BIGINT) AS cy FROM t")(
+    lambda spark, folder: shapes.contour_centroids(lab.checkpointed(_labels(spark, folder)))
+)
+query("shape_features")(lambda spark, folder: shapes.shape_features(lab.checkpointed(_labels(spark, folder))))
+
+_PROFILE = f"{EMB}, cs AS (SELECT z, y % 2 AS c, x, sum(v) % 65536 AS s FROM r GROUP BY ALL), ps AS (SELECT z, x, sum(s) AS s FROM cs GROUP BY ALL), pm AS (SELECT z, x, CAST(round_even((s - min(s) OVER w) * 255.0::DOUBLE / (max(s) OVER w - min(s) OVER w), 0) > 0 AS BIGINT) AS v FROM ps WINDOW w AS (PARTITION BY z))"
+
+
+def _profile(spark, folder):
+    return mat.profile_mask(embedding_raster(spark, folder).withColumn("c", F.col("y") % 2))
+
+
+query("profile_dice", f"{_PROFILE} SELECT a.z, round(2.0::DOUBLE * sum(a.v * b.v) / nullif(sum(a.v) + sum(b.v), 0), 6) AS dice FROM pm a JOIN pm b ON b.z = a.z + 1 AND a.x = b.x GROUP BY a.z")(lambda spark, folder: mat.dice_adjacent(_profile(spark, folder)))
+query("profile_area_consistency", f"{_PROFILE}, u AS (SELECT x, max(v) AS u FROM pm GROUP BY x) SELECT z, round(CAST(sum(CAST(v = u AS BIGINT)) AS DOUBLE) / (SELECT sum(u) FROM u), 6) AS agreement FROM pm JOIN u USING (x) WHERE z >= 1 GROUP BY z")(lambda spark, folder: mat.area_consistency(_profile(spark, folder)))
+query("greedy_overlap")(lambda spark, folder: mat.greedy_matches(mat.overlaps(lab.checkpointed(_labels(spark, folder)))))
+
+
+@query("refine_mask")
+def refine_mask(spark, folder):
+    planes = embedding_raster(spark, folder)
+    return refine.refine_mask(planes, planes.where("y between 16 and 47 and x between 16 and 47").select("z", "y", "x"), 290, 10, 2)[0]
+
+
+@query("align_stack")
+def align_stack(spark, folder):
+    """Each plane, smoothed, is a tissue's reference slice; a moved copy is brought back onto it."""
+    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").where("y < 64").withColumn("z", F.lit(0).cast("long"))
+    moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
+    stack = lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
+    return align.align_stack(stack, stack.where("z = 0").select("idx", "z").distinct(), 64, 64)[0]
+
+
+query("label_colours", f"{COMP} SELECT m.z, m.y, m.x, {', '.join(f'CAST(CASE WHEN label IS NULL THEN 0 ELSE ((label + 1) * {k} + {t}) % 255 + 1 END AS BIGINT) AS {c}' for c, k, t in (('r', 73, 11), ('g', 151, 83), ('b', 199, 157)))} FROM m LEFT JOIN k USING (z, y, x)")(
+    lambda spark, folder: label_colours(_all_labels(spark, folder))
+)
+
+
+def _all_labels(spark, folder):
+    """Labels of all pixels from 1 on, so that a component at pixel (0, 0) differs from the background, 0."""
+    return _mask(spark, folder).join(_labels(spark, folder), ["z", "y", "x"], "left").select("z", "y", "x", F.coalesce(F.col("label") + 1, F.lit(0)).cast("long").alias("label"))
+
+
+query("label_png")(lambda spark, folder: png_tiles(label_colours(_all_labels(spark, folder))))

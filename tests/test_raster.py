@@ -145,3 +145,8 @@ def test_homography_is_recovered(spark):
 
 def test_registries_agree():
     assert registry.SQL.keys() <= registry.QUERIES.keys()
+
+
+@pytest.mark.parametrize("name", ["refine_mask", "align_stack", "shape_features", "greedy_overlap", "label_png"])
+def test_queries_without_sql_give_rows(spark, name):
+    assert registry.QUERIES[name](spark, SMALL).count() > 0
