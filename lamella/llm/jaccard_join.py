@@ -26,6 +26,8 @@ DEPTH = 6
 TARGET_RECALL = 0.999
 #: Classes compared at once; a node with more is dealt out as pairs of parts of about this size.
 BLOCK = 1024
+#: Shingles compared at once: nodes of long texts have more parts, so a task's memory doesn't grow with the texts.
+BLOCK_SHINGLES = 1 << 22
 
 _rng = np.random.default_rng(8)
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,7 +96,7 @@ def _sketches(depth: int):
                 c = pa.compute.if_else(known, c, pa.scalar(None, pa.binary()))
                 flat = pa.array(keys[full].view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.diff(at) > 0)]).astype(np.int32) * TREES), flat)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("th"), c, lists], names=["doc_id", "th", "c", "keys"])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("th"), c, pa.array(np.diff(at)), lists], names=["doc_id", "th", "c", "size", "keys"])
 
     return run
 
@@ -179,28 +181,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target: float
     """
     depth = prefix_depth(threshold, target)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
-    rows = stored(source.mapInArrow(_sketches(depth), "doc_id long, th long, c binary, keys array<long>"), "signatures")
+    rows = stored(source.mapInArrow(_sketches(depth), "doc_id long, th long, c binary, size long, keys array<long>"), "signatures")
     classes = rows.where("c is not null").groupBy("c").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.min(F.struct("doc_id", "th")).alias("rep"), F.first("keys").alias("keys")
+        F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.min(F.struct("doc_id", "th")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")
     )
-    nodes = classes.where("size(keys) > 0").select("c", "copies", "rep", F.posexplode("keys").alias("tree", "key"))
+    nodes = classes.where("size(keys) > 0").select("c", "copies", "rep", "size", F.posexplode("keys").alias("tree", "key"))
     shared = (
         nodes.groupBy("tree", "key")
-        .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("c")).alias("members"))
+        .agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(F.xxhash64("c")).alias("members"))
         .where("n > 1")
-        .select("tree", "key", "n", F.xxhash64("members", "n").alias("node"))
+        .select("tree", "key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("long").alias("parts"), F.xxhash64("members", "n").alias("node"))
     )
     # Nodes of different trees with the same members have the same number and are verified once.
     wanted = (
         nodes.join(shared, ["tree", "key"])
         .groupBy("c")
-        .agg(F.first("copies").alias("copies"), F.first("rep").alias("rep"), F.collect_list(F.struct("tree", "node", "n")).alias("nodes"))
+        .agg(F.first("copies").alias("copies"), F.first("rep").alias("rep"), F.collect_list(F.struct("tree", "node", "parts")).alias("nodes"))
         .select("c", "copies", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "nodes")
     )
     texts = source.join(wanted, source.doc_id.eqNullSafe(F.col("rep_id")) & (source.th == F.col("rep_th"))).select("c", "copies", "nodes", "text")
-    sets = texts.dropDuplicates(["c"]).mapInArrow(_shingles, "c binary, copies long, nodes array<struct<tree:int,node:long,n:long>>, s array<long>")
-    node = F.explode(F.array_distinct(F.transform("nodes", lambda x: F.struct(x.node.alias("node"), x.n.alias("n")))))
-    parts = F.ceil(F.col("at.n") / F.lit(BLOCK)).cast("int")
+    sets = texts.dropDuplicates(["c"]).mapInArrow(_shingles, "c binary, copies long, nodes array<struct<tree:int,node:long,parts:long>>, s array<long>")
+    node = F.explode(F.array_distinct(F.transform("nodes", lambda x: F.struct(x.node.alias("node"), x.parts.alias("parts")))))
+    parts = F.col("at.parts").cast("int")
     placed = sets.withColumn("at", node).select("*", F.col("at.node").alias("node"), parts.alias("parts"), F.pmod(F.xxhash64("c", F.col("at.node")), parts).cast("int").alias("part"))
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j"))))
     blocks = placed.withColumn("ij", meets).select("node", F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "part", "c", "copies", "nodes", "s")

@@ -106,8 +106,9 @@ def test_near_duplicates_small_table(spark):
     same(entry.op8_jaccard_join(spark, SMALL), brute.linked(rows), "doc_id", "class_id", "n_links")
 
 
-def test_large_nodes_are_verified_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(jac, "BLOCK", 8)
+@pytest.mark.parametrize(("limit", "value"), [("BLOCK", 8), ("BLOCK_SHINGLES", 700)])
+def test_large_nodes_are_verified_in_parts(spark, monkeypatch, limit, value):
+    monkeypatch.setattr(jac, limit, value)
     base = [f"w{i}" for i in range(120)]
     rows = [(k, " ".join(base[:k] + [f"new{k}"] + base[k + 1 :])) for k in range(40)]
     same(jac.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), brute.linked(rows), "doc_id", "class_id", "n_links")
