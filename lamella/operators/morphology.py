@@ -62,18 +62,23 @@ def ellipse(k: int) -> list[tuple[int, int, int]]:
 
 
 def ellipse_open(df: DataFrame, k: int) -> DataFrame:
-    """Erosion and dilation with an ellipse: offsets as a literal array, one shuffle each on the pixel."""
-    offsets = [(dy, dx) for dy, a, b in ellipse(k) for dx in range(a, b + 1)]
-    if len(offsets) > 4096:
-        raise ValueError("kernels of more than 4096 pixels aren't supported")
-    shifts = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in offsets)))
-    pixels = df.select("z", "y", "x")
-
-    def gathered(df: DataFrame, how) -> DataFrame:
-        moved = df.withColumn("d", shifts).select("z", (F.col("y") - F.col("d.dy")).alias("y"), (F.col("x") - F.col("d.dx")).alias("x"), "v")
-        return moved.groupBy("z", "y", "x").agg(how("v").alias("v")).join(pixels, ["z", "y", "x"], "left_semi")
-
-    return gathered(gathered(df, F.min), F.max)
+    """Erosion and dilation with an ellipse: counts in sliding ranges of each line, added up over the lines.
+
+    Two shuffles each, whatever the kernel's size, and no row is repeated.
+    """
+    rows = ellipse(k)
+    across, down = Window.partitionBy("z", "y").orderBy("x"), Window.partitionBy("z", "x").orderBy("y")
+
+    def any_under(df: DataFrame) -> DataFrame:
+        """v = 1 where a pixel under the kernel is set."""
+        ranges = sorted({(a, b) for _, a, b in rows})
+        upto = lambda at: F.coalesce(F.sum("v").over(across.rangeBetween(Window.unboundedPreceding, at)), F.lit(0))
+        lines = df.select("z", "y", "x", *((upto(b) - upto(a - 1)).alias(f"n{i}") for i, (a, b) in enumerate(ranges)))
+        near = (F.coalesce(F.sum(f"n{ranges.index((a, b))}").over(down.rangeBetween(dy, dy)), F.lit(0)) for dy, a, b in rows)
+        return lines.select("z", "y", "x", (sum(near, F.lit(0)) > 0).cast("long").alias("v"))
+
+    unset = df.select("z", "y", "x", (1 - F.col("v")).alias("v"))
+    return any_under(any_under(unset).select("z", "y", "x", (1 - F.col("v")).alias("v")))
 
 
 def cubic_upsample(df: DataFrame, sy: int, sx: int) -> DataFrame:
