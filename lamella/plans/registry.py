@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
+from ..sources.metadata import TARGET_UM, scale_factors
 from ..sources.rasters import embedding_raster, lineitem_raster, order_files, physical_sizes, table
 from ..sources.sinks import label_colours, png_tiles
 
@@ -278,6 +279,10 @@ query("validation_uniqueness", "d AS (SELECT r_name AS dimension, CAST(r_regionk
     lambda spark, folder: physical_sizes(spark, table(spark, folder, "region").select(F.col("r_name").alias("dimension"), F.col("r_regionkey").cast("double").alias("value_um")))
 )
 
+query("scale_factors", f"d AS (SELECT c_custkey AS slice_id, 0.1::DOUBLE + c_custkey % 7 / 10.0::DOUBLE AS value_um FROM customer) SELECT 'X' AS dimension, CAST(floor({TARGET_UM}::DOUBLE / value_um) AS INT) AS factor FROM d")(
+    lambda spark, folder: scale_factors(table(spark, folder, "customer").select(F.lit("X").alias("dimension"), (F.lit(0.1) + F.col("c_custkey") % 7 / F.lit(10.0)).alias("value_um")))
+)
+
 _FILLED = f"""{STATS}, g AS (SELECT z, label, y, x FROM (SELECT z, label, x_min, w, unnest(range(y_min - 1, y_min + h + 1)) AS y FROM s), LATERAL (SELECT unnest(range(x_min - 1, x_min + w + 1)) AS x)),
 fr AS (SELECT * FROM g ANTI JOIN k USING (z, label, y, x)),
 o(z, label, y, x) AS (SELECT z, label, y_min - 1, x_min - 1 FROM s UNION SELECT p.z, p.label, p.y, p.x FROM o JOIN fr p ON p.z = o.z AND p.label = o.label AND abs(p.y - o.y) + abs(p.x - o.x) = 1),

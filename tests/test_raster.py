@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import SMALL
 
@@ -62,6 +63,21 @@ def test_dilation_of_one_pixel(spark):
     assert rows(mor.morphology(df, 3, "erode")) == rows(df)
 
 
+@pytest.mark.parametrize("k", [1, 8])
+def test_elliptic_opening_against_arrays(spark, k):
+    m = (np.random.default_rng(1).random((19, 23)) < 0.93).astype(int)
+    want = m
+    for how in (min, max):
+        out = np.zeros_like(want)
+        for y, x in np.ndindex(want.shape):
+            out[y, x] = how(want[y + dy, c] for dy, a, b in mor.ellipse(k) if 0 <= y + dy < 19 for c in range(max(0, x + a), min(23, x + b + 1)))
+        want = out
+    got = np.zeros_like(m)
+    for r in mor.ellipse_open(pixels(spark, [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(m)]), k).collect():
+        got[r.y, r.x] = r.v
+    assert (got == want).all() and want.any()
+
+
 def test_order_in_a_u(spark):
     df = spark.createDataFrame([(0, 1, 1.0, 1.0), (0, 2, 1.0, 5.0), (0, 3, 5.0, 1.0), (0, 4, 5.0, 5.0)], "z long, label long, cx double, cy double")
     assert {r.label: r.idx for r in lab.u_order(df).collect()} == {2: 1, 1: 2, 3: 3, 4: 4}
