@@ -19,11 +19,11 @@ def _box_sum(df: DataFrame, v: str, k: int, to: str) -> DataFrame:
 
 
 def keypoints(planes: DataFrame, most: int = 500, contrast: int = 0, reach: int = 4) -> DataFrame:
-    """(idx, z, kp, y, x, descriptor) of dense integer planes (idx, z, y, x, v).
+    """(idx, z, kp, y, x, gain, descriptor) of dense integer planes (idx, z, y, x, v).
 
     A keypoint is a pixel whose 3 x 3 mean exceeds its 7 x 7 mean by more than ``contrast`` and by more
     than at its eight neighbours do; the ``most`` strongest of each plane stay (0: all), ties to the first in
-    reading order.  Its descriptor holds the 3 x 3 sums of the (2 reach + 1) squared pixels around, less their
+    reading order.  kp counts them from the strongest, and gain is 441 times the excess.  The descriptor holds the 3 x 3 sums of the (2 reach + 1) squared pixels around, less their
     mean, at unit length; keypoints too near to the edge for it are left out.
     """
     d = _box_sum(_box_sum(planes, "v", 3, "near"), "v", 7, "wide").withColumn("gain", F.col("near") * 49 - F.col("wide") * 9)
@@ -34,23 +34,26 @@ def keypoints(planes: DataFrame, most: int = 500, contrast: int = 0, reach: int
     top = top.withColumn("n", F.sum((F.col("gain") == F.col("peak")).cast("int")).over(across))
     found = top.where(F.col("gain").isNotNull() & (F.col("gain") == F.col("peak")) & (F.col("gain") > contrast * 441) & (F.col("n") == 1))
     rank = F.row_number().over(Window.partitionBy("idx", "z").orderBy(F.desc("gain"), "y", "x"))
-    found = found.select("idx", "z", "y", "x", rank.cast("long").alias("kp"))
+    found = found.select("idx", "z", "y", "x", "gain", rank.cast("long").alias("kp"))
     found = found.where(F.col("kp") <= most) if most else found
     steps = F.sequence(F.lit(-reach), F.lit(reach))
     asked = found.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
-    asked = asked.select("idx", "z", "kp", F.col("y").alias("ky"), F.col("x").alias("kx"), (F.col("y") + F.col("i")).alias("y"), (F.col("x") + F.col("j")).alias("x"))
+    asked = asked.select("idx", "z", "kp", "gain", F.col("y").alias("ky"), F.col("x").alias("kx"), (F.col("y") + F.col("i")).alias("y"), (F.col("x") + F.col("j")).alias("x"))
     cells = asked.join(d.where("near is not null").select("idx", "z", "y", "x", "near"), ["idx", "z", "y", "x"])
-    patch = cells.groupBy("idx", "z", "kp", "ky", "kx").agg(F.array_sort(F.collect_list(F.struct("y", "x", "near"))).alias("p"))
+    patch = cells.groupBy("idx", "z", "kp", "ky", "kx", "gain").agg(F.array_sort(F.collect_list(F.struct("y", "x", "near"))).alias("p"))
     size = (2 * reach + 1) ** 2
     total: Column = F.aggregate("p", F.lit(0.0), lambda s, c: s + c.near)
     centred = F.transform("p", lambda c: c.near - total / size)
     norm = F.sqrt(F.aggregate("c", F.lit(0.0), lambda s, c: s + c * c))
     patch = patch.where(F.size("p") == size).withColumn("c", centred).withColumn("s", norm).where("s > 0")
-    return patch.select("idx", "z", "kp", F.col("ky").alias("y"), F.col("kx").alias("x"), F.transform("c", lambda c: c / F.col("s")).alias("descriptor"))
+    return patch.select("idx", "z", "kp", F.col("ky").alias("y"), F.col("kx").alias("x"), "gain", F.transform("c", lambda c: c / F.col("s")).alias("descriptor"))
 
 
-def match_to_reference(points: DataFrame, reference: DataFrame, ratio: float = 0.75) -> DataFrame:
-    """(idx, z, sx, sy, dx, dy): keypoints of the reference slice (idx, z) and their clearly nearest ones in each other slice."""
+def match_to_reference(points: DataFrame, reference: DataFrame, ratio: float | Column = 0.75) -> DataFrame:
+    """(idx, z, sx, sy, dx, dy): keypoints of the reference slice (idx, z) and their clearly nearest ones in each other slice.
+
+    A column as ``ratio`` may read g.idx and g.z.
+    """
     ref = points.join(reference.select("idx", "z"), ["idx", "z"], "left_semi").select("idx", F.col("kp").alias("id"), F.col("descriptor").alias("a"), F.col("x").alias("dx"), F.col("y").alias("dy"))
     rest = points.join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
     rest = rest.select("idx", F.struct("idx", "z").alias("g"), F.col("kp").alias("near"), F.col("descriptor").alias("b"), F.col("x").alias("sx"), F.col("y").alias("sy"))
@@ -91,3 +94,41 @@ def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int,
     moved = warp_each(stack, status.join(lost, "idx", "left_anti"), height, width)
     same = stack.join(reference.select("idx", "z"), ["idx", "z"], "left_semi").join(lost, "idx", "left_anti")
     return moved.unionByName(same.select("idx", "z", "y", "x", F.col("v").cast("double").alias("v"))), status
+
+
+def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, height: int, width: int, cut: float) -> DataFrame:
+    """(number, idx, value, unaligned) of each trial and tissue: the mean Dice of its other slices with the reference slice, pixels above ``cut``.
+
+    Each trial aligns with its own n_features (most keypoints of a slice, 0: all), contrast_threshold (of 255 grey values)
+    and ratio_threshold; the detector has no counterpart of the other parameters.  ``value`` scores the aligned slices,
+    ``unaligned`` the slices as they were.  A trial with a slice that can't be aligned has 0 in both.
+    """
+    # A trial's keypoints are the first ones of all, so all trials share one detection.
+    points = checkpointed(keypoints(stack, 0))
+    trials = checkpointed(trials.select("number", "n_features", "contrast_threshold", "ratio_threshold"))
+    key = F.struct("number", "ratio_threshold", "idx").alias("idx")
+    strong = (F.col("gain") > F.col("contrast_threshold") * 255 * 441) & ((F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features")))
+    own = points.crossJoin(F.broadcast(trials)).where(strong).select(key, "z", "kp", "y", "x", "descriptor")
+    matches = match_to_reference(own, reference.crossJoin(F.broadcast(trials)).select(key, "z"), F.col("g.idx.ratio_threshold"))
+    found = find_homographies(matches.select("idx.number", "idx.idx", "z", "sx", "sy", "dx", "dy"), ["number", "idx", "z"])
+    others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
+    maps = checkpointed(others.crossJoin(F.broadcast(trials.select("number"))).join(found.select("number", "idx", "z", "h"), ["number", "idx", "z"], "left"))
+
+    keyed = maps.where("h is not null").select(F.struct("number", "idx").alias("idx"), "z", "h")
+    planes = stack.join(maps.where("h is not null").select("number", "idx", "z"), ["idx", "z"]).select(F.struct("number", "idx").alias("idx"), "z", "y", "x", "v")
+    moved = warp_each(planes, keyed, height, width).where(F.col("v") > cut).select("idx.number", "idx.idx", "z", "y", "x")
+    above = stack.where(F.col("v") > cut).select("idx", "z", "y", "x")
+    still = above.join(reference.select("idx", "z"), ["idx", "z"], "left_semi").select("idx", "y", "x", F.lit(1).alias("r"))
+    area = still.groupBy("idx").agg(F.count("*").alias("a"))
+
+    def dice(pixels: DataFrame, keys: list[str], of: DataFrame, name: str) -> DataFrame:
+        sums = pixels.join(still, ["idx", "y", "x"], "left").groupBy(*keys).agg(F.count("*").alias("b"), F.count("r").alias("both"))
+        sums = of.join(sums, keys, "left").join(area, "idx", "left").na.fill(0, ["a", "b", "both"])
+        return sums.select(*keys, F.try_divide(2.0 * F.col("both"), F.col("a") + F.col("b")).alias(name))
+
+    aligned = dice(moved, ["number", "idx", "z"], maps.where("h is not null").select("number", "idx", "z"), "value")
+    before = dice(above.join(others, ["idx", "z"], "left_semi"), ["idx", "z"], others, "unaligned")
+    each = maps.join(aligned, ["number", "idx", "z"], "left").join(before, ["idx", "z"])
+    whole = F.count("h") == F.count("*")
+    means = (F.round(F.when(whole, F.avg(c)).otherwise(0.0), 6).alias(c) for c in ("value", "unaligned"))
+    return each.groupBy("number", "idx").agg(*means)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def next_slice(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -60,7 +60,7 @@ def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
     return pairs.withColumn("r", best).where("r = 1").drop("r")
 
 
-def knn_ratio(queries: DataFrame, train: DataFrame, ratio: float, key: str = "g") -> DataFrame:
+def knn_ratio(queries: DataFrame, train: DataFrame, ratio: float | Column, key: str = "g") -> DataFrame:
     """(id, near, d1, d2): the two nearest descriptors inside a group; kept if the first is nearer than ratio * the second."""
     d = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x))
     pairs = queries.join(train, key).select(key, "id", "near", F.round(d, 6).alias("d"))

@@ -79,7 +79,12 @@ def trial_parameters(spark: SparkSession, trials: int = 25, seed: int = 0) -> Da
 
 
 def search(trials: DataFrame, scores: DataFrame) -> DataFrame:
-    """Trials with the value of (number, value), best first; failures are 0."""
-    out = trials.join(scores, "number", "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
-    params = F.struct(*(c for c in trials.columns if c != "number"))
-    return out.select("number", "value", params.alias("params")).orderBy(F.desc("value"), "number")
+    """Trials with the value of (number, value), best first; failures are 0.
+
+    Further columns of ``scores`` stay; with a tissue ``idx`` among them, each tissue's trials are ordered.
+    """
+    params = [c for c in trials.columns if c != "number"]
+    out = trials.withColumn("params", F.struct(*params)).select("number", "params").join(scores, "number", "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    more = [c for c in scores.columns if c not in ("number", "value", "idx")]
+    tissue = [c for c in scores.columns if c == "idx"]
+    return out.select(*tissue, "number", "value", *more, "params").orderBy(*tissue, F.desc("value"), "number")

@@ -269,9 +269,10 @@ def homography(spark, folder):
 
 @query("param_search")
 def param_search(spark, folder):
-    trials = reg.trial_parameters(spark)
-    dice = mat.dice_pairs(_mask(spark, folder)).agg(F.avg("dice").alias("value"))
-    return reg.search(trials, trials.select("number").join(F.broadcast(dice)))
+    """25 trials for each tissue of ``align_stack``'s: aligned with the trial's parameters, scored by Dice."""
+    stack = _moved_stack(spark, folder)
+    trials = lab.checkpointed(reg.trial_parameters(spark))
+    return reg.search(trials, align.trial_scores(stack, stack.where("z = 0").select("idx", "z").distinct(), trials, 64, 64, CUT))
 
 
 query("file_order", "f AS (SELECT s_name AS name FROM supplier) SELECT name, CAST(row_number() OVER (ORDER BY lower(substr(name, 1, 3)), name) - 1 AS BIGINT) AS slice_id FROM f")(lambda spark, folder: order_files(table(spark, folder, "supplier").select(F.col("s_name").alias("name"))))
@@ -311,12 +312,17 @@ def refine_mask(spark, folder):
     return refine.refine_mask(planes, planes.where("y between 16 and 47 and x between 16 and 47").select("z", "y", "x"), 290, 10, 2)[0]
 
 
+def _moved_stack(spark, folder):
+    """Each plane is a tissue's reference slice, 0; slice 1 is a moved copy."""
+    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").where("y < 64").withColumn("z", F.lit(0).cast("long"))
+    moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
+    return lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
+
+
 @query("align_stack")
 def align_stack(spark, folder):
     """Each plane, smoothed, is a tissue's reference slice; a moved copy is brought back onto it."""
-    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").where("y < 64").withColumn("z", F.lit(0).cast("long"))
-    moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
-    stack = lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
+    stack = _moved_stack(spark, folder)
     return align.align_stack(stack, stack.where("z = 0").select("idx", "z").distinct(), 64, 64)[0]
 
 

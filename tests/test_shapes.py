@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lamella.operators import align, labels as lab, matching as mat, refine, shapes
+from lamella.operators import align, labels as lab, matching as mat, refine, register as reg, shapes
 from lamella.sources import sinks
 
 
@@ -130,3 +130,27 @@ def test_images_and_trials(spark, tmp_path):
     trials = spark.createDataFrame([(0, 0.5, (1,)), (1, 0.7, (2,))], "number long, value double, params struct<a:int>")
     sinks.write_trials(trials, str(tmp_path / "trials"))
     assert [r.number for r in spark.read.json(str(tmp_path / "trials")).collect()] == [1, 0]
+
+
+def test_trials_align_with_their_own_parameters(spark):
+    rng = np.random.default_rng(2)
+    base = np.kron(rng.integers(0, 200, (16, 16)), np.ones((4, 4), int))
+    cells = [(1, 0, y, x, int(base[y, x])) for y, x in np.ndindex(64, 64)]
+    cells += [(1, 2, y, x, int(base[y - 3, x + 5]) if y >= 3 and x + 5 < 64 else 0) for y, x in np.ndindex(64, 64)]
+    cells += [(9, z, y, x, 7) for z in (0, 1) for y, x in np.ndindex(20, 20)]  # nothing to align by
+    stack = spark.createDataFrame(cells, "idx long, z long, y long, x long, v long")
+    reference = spark.createDataFrame([(1, 0), (9, 0)], "idx long, z long")
+    trials = spark.createDataFrame([(0, 3, 0.01, 0.75), (1, 0, 0.01, 0.75), (2, 0, 0.9, 0.75), (3, 0, 0.01, 0.0)], "number long, n_features long, contrast_threshold double, ratio_threshold double")
+    out = reg.search(trials, align.trial_scores(stack, reference, trials, 64, 64, 100)).collect()
+    assert [(r.idx, r.number) for r in out] == [(1, 1), (1, 0), (1, 2), (1, 3), (9, 0), (9, 1), (9, 2), (9, 3)]
+    assert out[0].value > 0.9 and 0 < out[0].unaligned < 0.7
+    assert [(r.value, r.unaligned) for r in out[1:]] == [(0, 0)] * 7
+
+
+def test_search_of_the_small_table(spark):
+    from lamella.plans import registry
+
+    out = registry.QUERIES["param_search"](spark, "/root/testdata/sf0.001").collect()
+    assert len(out) % 25 == 0 and len({r.value for r in out}) > 2
+    for idx in {r.idx for r in out}:
+        assert [r.value for r in out if r.idx == idx] == sorted((r.value for r in out if r.idx == idx), reverse=True)
