@@ -18,7 +18,7 @@ def _box_sum(df: DataFrame, v: str, k: int, to: str) -> DataFrame:
     return df.withColumn(to, F.when(F.count(to).over(down) == k, F.sum(to).over(down)))
 
 
-def keypoints(planes: DataFrame, most: int = 500, contrast: int = 0, reach: int = 4) -> DataFrame:
+def keypoints(planes: DataFrame, most: int = 0, contrast: int = 0, reach: int = 4) -> DataFrame:
     """(idx, z, kp, y, x, gain, descriptor) of dense integer planes (idx, z, y, x, v).
 
     A keypoint is a pixel whose 3 x 3 mean exceeds its 7 x 7 mean by more than ``contrast`` and by more
@@ -80,13 +80,13 @@ def warp_each(pixels: DataFrame, homographies: DataFrame, height: int, width: in
     return seen.select("idx", "z", F.col("ty").cast("long").alias("y"), F.col("tx").cast("long").alias("x"), "v")
 
 
-def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int, ratio: float = 0.75, most: int = 500, contrast: int = 0) -> tuple[DataFrame, DataFrame]:
+def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int, ratio: float = 0.75, most: int = 0, contrast: int = 0) -> tuple[DataFrame, DataFrame]:
     """(aligned pixels, status) of dense planes (idx, z, y, x, v); ``reference`` holds each tissue's reference slice (idx, z).
 
     The status (idx, z, h, inliers, status) has a row for each other slice.  A slice that can't be aligned fails its
     whole tissue: it has status rows, but no pixels.  The reference slice is copied as it is.
     """
-    matches = match_to_reference(keypoints(stack, most, contrast), reference, ratio)
+    matches = match_to_reference(checkpointed(keypoints(stack, most, contrast)), reference, ratio)
     found = find_homographies(matches, ["idx", "z"])
     others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
     status = checkpointed(others.join(found, ["idx", "z"], "left").withColumns({"inliers": F.coalesce("inliers", F.lit(0)), "status": F.coalesce("status", F.lit("failed"))}))

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+#: Rows of a block of queries or of descriptors.
+BLOCK = 1024
 
 
 def next_slice(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -60,10 +65,57 @@ def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
     return pairs.withColumn("r", best).where("r = 1").drop("r")
 
 
+def _best_two(key: str):
+    """The two nearest rows of one block for each query of another, ties to the lower ``near``."""
+
+    def run(queries: pa.Table, train: pa.Table) -> pa.Table:
+        names = [key, "id", "near", "d"]
+        if not len(queries) or not len(train):
+            return pa.table({key: queries.column(key).slice(0, 0), "id": pa.array([], pa.int64()), "near": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
+        train = train.take(pa.compute.sort_indices(train, [("near", "ascending")]))
+        a, b = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t, c in ((queries, "a"), (train, "b")))
+        d = np.zeros((len(a), len(b)))
+        for k in range(a.shape[1]):
+            step = a[:, k, None] - b[None, :, k]
+            d += step * step
+        d = np.floor(np.sqrt(d) * 1e6 + 0.5) / 1e6
+        d[np.isnan(d)] = np.inf
+        rows, out = np.arange(len(a)), []
+        for _ in range(min(2, len(b))):
+            at = d.argmin(axis=1)
+            out.append((at, d[rows, at]))
+            d[rows, at] = np.inf
+        at, d = (np.concatenate(c) for c in zip(*out, strict=True))
+        who = pa.array(np.tile(rows, len(out)))
+        return pa.table([queries.column(key).take(who), queries.column("id").take(who), train.column("near").take(pa.array(at)), pa.array(d)], names=names)
+
+    return run
+
+
 def knn_ratio(queries: DataFrame, train: DataFrame, ratio: float | Column, key: str = "g") -> DataFrame:
-    """(id, near, d1, d2): the two nearest descriptors inside a group; kept if the first is nearer than ratio * the second."""
-    d = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x))
-    pairs = queries.join(train, key).select(key, "id", "near", F.round(d, 6).alias("d"))
+    """(id, near, d1, d2): the two nearest descriptors inside a group; kept if the first is nearer than ratio * the second.
+
+    Queries (key, id, a) and descriptors (key, near, b) are dealt into blocks of about ``BLOCK`` rows; a task compares two
+    blocks and gives two rows for each query, so no pair of vectors leaves it.  Vectors of different lengths don't
+    meet; rows with a null in key, id or vector take no part.
+    """
+
+    def clean(df: DataFrame, who: str, v: str) -> DataFrame:
+        df = df.select(key, F.col(who).cast("long").alias(who), F.col(v).cast("array<double>").alias(v), F.size(v).alias("dim"))
+        return df.where(F.col(key).isNotNull() & F.col(who).isNotNull() & (F.col("dim") > 0) & ~F.exists(v, lambda x: x.isNull()))
+
+    q, t = clean(queries, "id", "a"), clean(train, "near", "b")
+    parts = lambda df, name: F.broadcast(df.groupBy(key, "dim").agg(F.ceil(F.count("*") / BLOCK).alias(name)))
+    blocks = parts(q, "nq").join(parts(t, "nt"), [key, "dim"])
+    deal = lambda who, n: F.pmod(F.xxhash64(who), F.col(n))
+    meet = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    q = q.join(F.broadcast(blocks), [key, "dim"]).select(key, "dim", deal("id", "nq").alias("i"), meet("nt").alias("j"), "id", "a")
+    t = t.join(F.broadcast(blocks), [key, "dim"]).select(key, "dim", meet("nq").alias("i"), deal("near", "nt").alias("j"), "near", "b")
+    by = [key, "dim", "i", "j"]
+    other = ["o_" + c for c in by]
+    t = t.select(*(F.col(c).alias(o) for c, o in zip(by, other, strict=True)), "near", "b")  # both sides may come from one table
+    schema = T.StructType([T.StructField(key, q.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("id", "near")), T.StructField("d", T.DoubleType())])
+    pairs = q.groupBy(*by).cogroup(t.groupBy(*other)).applyInArrow(_best_two(key), schema)
     two = pairs.withColumn("r", F.row_number().over(Window.partitionBy(key, "id").orderBy("d", "near"))).where("r <= 2")
     out = two.groupBy(key, "id").agg(F.min(F.when(F.col("r") == 1, F.col("near"))).alias("near"), F.min("d").alias("d1"), F.max(F.when(F.col("r") == 2, F.col("d"))).alias("d2"))
     return out.where(F.col("d1") < ratio * F.col("d2"))

@@ -19,33 +19,62 @@ def _fit(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
     rows = []
     for (x, y, _), (u, v, _) in zip(p, q, strict=True):
         rows += [[-x, -y, -1, 0, 0, 0, u * x, u * y, u], [0, 0, 0, -x, -y, -1, v * x, v * y, v]]
-    h = np.linalg.inv(b) @ np.linalg.svd(np.array(rows))[2][-1].reshape(3, 3) @ a
+    # The small triangle has the same right singular vectors as the tall matrix.
+    h = np.linalg.inv(b) @ np.linalg.svd(np.linalg.qr(np.array(rows), mode="r"))[2][-1].reshape(3, 3) @ a
     return h / h[2, 2]
 
 
-def _project(h: np.ndarray, p: np.ndarray) -> np.ndarray:
-    q = np.column_stack([p, np.ones(len(p))]) @ h.T
-    return q[:, :2] / q[:, 2:]
+def _basis(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maps from the projective frame to quadruples of points (draws, 4, 2), and which of them have no three points on a line."""
+    q = np.concatenate([p, np.ones((*p.shape[:2], 1))], axis=2)
+    area = lambda i, j, k: np.einsum("ni,ni->n", q[:, i], np.cross(q[:, j], q[:, k]))
+    c = np.stack([area(3, 1, 2), area(0, 3, 2), area(0, 1, 3)], axis=1)
+    return q[:, :3].transpose(0, 2, 1) * c[:, None, :], (np.abs(np.column_stack([c, area(0, 1, 2)])) > 1e-9).all(axis=1)
 
 
-def find_homographies(matches: DataFrame, keys: list[str], limit: float = 5.0, rounds: int = 200) -> DataFrame:
+def _consensus(src: np.ndarray, dst: np.ndarray, limit: float, rounds: int, confidence: float, seed: int = 0) -> np.ndarray:
+    """Inliers of the best homography through four matches.
+
+    Draws go on until, at the share of inliers found so far, all-inlier draws have come with the confidence, or ``rounds`` are over.
+    """
+    n, best, done = len(src), np.zeros(len(src), bool), 0
+    middle, rng = src.mean(axis=0), np.random.default_rng(seed)
+    p, q = np.column_stack([src - middle, np.ones(n)]), dst - dst.mean(axis=0)
+    step = max(1, min(256, (1 << 21) // n))
+    tries, needed = 0, float(rounds)
+    while done < needed and tries < 20 * rounds:
+        pick = rng.integers(0, n, (step, 4))
+        tries += step
+        pick = pick[(np.diff(np.sort(pick, axis=1), axis=1) > 0).all(axis=1)]
+        done += len(pick)
+        (a, whole), (b, sound) = _basis(p[pick, :2]), _basis(q[pick])
+        a, b = a[whole & sound], b[whole & sound]
+        if not len(a):
+            continue
+        adjugate = np.stack([np.cross(a[:, :, 1], a[:, :, 2]), np.cross(a[:, :, 2], a[:, :, 0]), np.cross(a[:, :, 0], a[:, :, 1])], axis=1)
+        with np.errstate(all="ignore"):
+            at = p @ (b @ adjugate).transpose(0, 2, 1)
+            off = at[:, :, :2] / at[:, :, 2:] - q
+            own = (off**2).sum(axis=2) <= limit**2
+        top = own[np.argmax(own.sum(axis=1))]
+        if top.sum() > best.sum():
+            best = top
+            share = min((best.sum() / n) ** 4, 1 - 1e-12)
+            needed = min(float(rounds), np.log(1 - confidence) / np.log1p(-share))
+    return best
+
+
+def find_homographies(matches: DataFrame, keys: list[str], limit: float = 5.0, rounds: int = 100_000, confidence: float = 0.995) -> DataFrame:
     """(keys, h, inliers, status) from matches (keys, sx, sy, dx, dy): seeded RANSAC for each group of keypoint matches.
 
+    Draws stop once the confidence for the observed share of inliers is reached, at ``rounds`` at the latest.
     Fewer than four matches, or no model with four inliers, give a null ``h`` and the status 'failed'.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["sx", "sy", "dx", "dy"])
         src, dst = pdf[["sx", "sy"]].to_numpy(float), pdf[["dx", "dy"]].to_numpy(float)
-        rng, best = np.random.default_rng(0), np.zeros(len(src), bool)
-        for _ in range(rounds if len(src) >= 4 else 0):
-            pick = rng.choice(len(src), 4, replace=False)
-            try:
-                with np.errstate(all="ignore"):
-                    own = np.linalg.norm(_project(_fit(src[pick], dst[pick]), src) - dst, axis=1) <= limit
-            except np.linalg.LinAlgError:
-                continue
-            best = own if own.sum() > best.sum() else best
+        best = _consensus(src, dst, limit, rounds, confidence) if len(src) >= 4 else np.zeros(len(src), bool)
         out = pdf[keys].iloc[:1].copy()
         good = best.sum() >= 4
         out["h"], out["inliers"], out["status"] = [_fit(src[best], dst[best]).ravel().tolist() if good else None], int(best.sum()), "aligned" if good else "failed"

@@ -11,7 +11,7 @@ from ..operators import align, labels as lab, morphology as mor, objects as obj,
 
 @dataclass(frozen=True)
 class Settings:
-    """Options of a run.  ``holes_thresh``, ``scale_factor``, ``connect`` and ``align_upsample_factor`` are accepted without effect."""
+    """Options of a run.  ``holes_thresh``, ``scale_factor``, ``connect`` and ``align_upsample_factor`` are accepted without effect; ``keypoints`` is the most of a slice, 0 for all."""
 
     num_tissue: int = 8
     thresh: int | None = None
@@ -19,7 +19,7 @@ class Settings:
     padding: int = 50
     crop_only: bool = False
     ratio: float = 0.75
-    keypoints: int = 500
+    keypoints: int = 0
     holes_thresh: int = 5000
     scale_factor: int = 8
     connect: int = 2

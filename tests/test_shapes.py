@@ -154,3 +154,38 @@ def test_search_of_the_small_table(spark):
     assert len(out) % 25 == 0 and len({r.value for r in out}) > 2
     for idx in {r.idx for r in out}:
         assert [r.value for r in out if r.idx == idx] == sorted((r.value for r in out if r.idx == idx), reverse=True)
+
+
+def test_all_peaks_are_keypoints(spark):
+    cells = [(1, 0, y, x, 200 - 20 * abs(y % 9 - 5) - 15 * abs(x % 9 - 5)) for y, x in np.ndindex(227, 227)]
+    found = align.keypoints(spark.createDataFrame(cells, "idx long, z long, y long, x long, v long"))
+    assert found.count() == 25 * 25
+
+
+def test_few_inliers_are_found(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for z in range(8):
+        at = rng.uniform(0, 2000, (60, 2))
+        to = np.where(np.arange(60)[:, None] < 12, at * [1.1, 0.9] + [30 + z, -20], rng.uniform(0, 2000, (60, 2)))
+        rows += [(z, *map(float, a), *map(float, b)) for a, b in zip(at, to, strict=True)]
+    out = reg.find_homographies(spark.createDataFrame(rows, "z long, sx double, sy double, dx double, dy double"), ["z"]).collect()
+    assert len(out) == 8
+    for r in out:
+        assert r.inliers >= 12 and r.h == pytest.approx([1.1, 0, 30 + r.z, 0, 0.9, -20, 0, 0, 1], abs=1e-3)
+
+
+def test_nearest_two_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 9, (90, 3)).astype(float)
+    df = spark.createDataFrame([(i % 2, i, v.tolist()) for i, v in enumerate(x)], "g long, id long, a array<double>")
+    monkeypatch.setattr(mat, "BLOCK", 7)
+    got = {(r.g, r.id): (r.near, r.d1, r.d2) for r in mat.knn_ratio(df.where("id < 40"), df.where("id >= 40").toDF("g", "near", "b"), 0.9).collect()}
+    want = {}
+    for i in range(40):
+        near = sorted((round(float(np.linalg.norm(x[i] - x[j])), 6), j) for j in range(40, 90) if j % 2 == i % 2)
+        if near[0][0] < 0.9 * near[1][0]:
+            want[i % 2, i] = (near[0][1], near[0][0], near[1][0])
+    assert want and got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v)
