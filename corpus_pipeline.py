@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lamella.llm.decontaminate import find_benchmark, remove_spans
 from lamella.llm.entry import tokenizer_path
-from lamella.llm.jaccard_join import near_duplicates
+from lamella.llm.jaccard_join import removed_copies
 from lamella.llm.packing import pack
 from lamella.llm.storage import shared_folder
 from lamella.llm.suffix_dedup import remove_repeats
@@ -20,19 +20,22 @@ from lamella.llm.toxicity import score_toxicity, training_rows
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with their text hash th, whose id (null too) and text aren't in (doc_id, th)."""
+    hashed = docs.withColumn("th", F.xxhash64("text"))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
+    return hashed.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left_anti")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of 0.3 or more go.  Rows of one id and text have one score."""
-    scores = score_toxicity(docs, training_rows(spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    bad = scores.where("score >= 0.3").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(COLUMNS)
+    """Documents with a score of 0.3 or more go.  Rows of one id and text have one score; other texts of the id have their own."""
+    scores = score_toxicity(docs, training_rows(spark.read.parquet(f"{sf_dir}/labels.parquet")), text_hash=True)
+    return _without(docs, scores.where("score >= 0.3").select("doc_id", "th").distinct()).select(COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near copies stays, once if its row repeats."""
-    groups = near_duplicates(docs)
-    gone = groups.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").withColumn("th", F.xxhash64("text"))
-    return kept.dropDuplicates(["doc_id", "th"]).select(COLUMNS)
+    """The row of smallest doc_id of each group of near copies stays, once if it repeats; a null id is the largest."""
+    return _without(docs, removed_copies(docs)).dropDuplicates(["doc_id", "th"]).select(COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,22 +168,13 @@ def _verify(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, copy_id, n_links.
-
-    Two documents are linked if the Jaccard similarity of their sets of five-word shingles is the
-    threshold or more; class_id is the smallest doc_id of the connected component, copy_id the
-    smallest doc_id with the same shingle set, n_links the number of other rows linked to this one
-    (copies included).  Texts of one to four words are one shingle.  Texts without a word are
-    linked if they are equal.  Null and empty texts have no link and their own doc_id as class.
-    Repeated rows are copies.  A null doc_id is a row like any other; it is nobody's smallest id
-    unless all are null.  Further columns are ignored; an empty table gives no row.
-    """
+def _known(docs: DataFrame, threshold: float, target: float, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, known): doc_id, text hash th and class c of each row; ids, links and the first row (none, doc_id, th) of each class's component."""
     depth = prefix_depth(threshold, target)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
     rows = stored(source.mapInArrow(_sketches(depth), "doc_id long, th long, c binary, size long, keys array<long>"), "signatures")
     classes = rows.where("c is not null").groupBy("c").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.min(F.struct("doc_id", "th")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")
+        F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")
     )
     nodes = classes.where("size(keys) > 0").select("c", "copies", "rep", "size", F.posexplode("keys").alias("tree", "key"))
     shared = (
@@ -209,12 +200,37 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target: float
     links = stored(blocks.groupBy("node", "i", "j").applyInArrow(_verify(threshold), "c binary, links long, root binary"), "links")
     degree = links.groupBy("c").agg(F.sum("links").alias("links"))
     parts_of = connected_components(links.select("c", "root"), "c", "root").select(F.col("node").alias("c"), "component")
-    known = classes.select("c", "copies", "copy_id").join(degree, "c", "left").join(parts_of, "c", "left")
+    known = classes.select("c", "copies", "copy_id", "rep").join(degree, "c", "left").join(parts_of, "c", "left")
     known = known.withColumn("component", F.coalesce("component", "c"))
-    least = known.where("links is not null").groupBy("component").agg(F.min("copy_id").alias("class_id"))
+    least = known.where("links is not null").groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("rep").alias("first"))
     known = known.join(least, "component", "left").select(
-        "c", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "c", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("first", "rep").alias("first")
     )
-    return rows.select("doc_id", "c").join(known, "c", "left").select(
+    return rows, known
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, copy_id, n_links.
+
+    Two documents are linked if the Jaccard similarity of their sets of five-word shingles is the
+    threshold or more; class_id is the smallest doc_id of the connected component, copy_id the
+    smallest doc_id with the same shingle set, n_links the number of other rows linked to this one
+    (copies included).  Texts of one to four words are one shingle.  Texts without a word are
+    linked if they are equal.  Null and empty texts have no link and their own doc_id as class.
+    Repeated rows are copies.  A null doc_id is a row like any other; it is nobody's smallest id
+    unless all are null.  Further columns are ignored; an empty table gives no row.
+    """
+    rows, known = _known(docs, threshold, target, doc_id, text)
+    return rows.select("doc_id", "c").join(known.drop("first"), "c", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
+
+
+def removed_copies(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Distinct (doc_id, th) of the rows that are not the first of their component; th is the text's xxhash64.
+
+    The first row has the smallest doc_id, null after all others, and of its texts the one of least hash.
+    """
+    rows, known = _known(docs, threshold, target, doc_id, text)
+    met = rows.where("c is not null").select("doc_id", "th", "c").join(known.select("c", "first"), "c")
+    return met.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")))).select("doc_id", "th").distinct()

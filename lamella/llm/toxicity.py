@@ -147,8 +147,8 @@ def training_rows(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic
     return one.orderBy(h, "doc_id").limit(most).withColumn("part", F.pmod(h, F.lit(8)).cast("int"))
 
 
-def score_toxicity(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, score) for each row of ``docs``; ``training`` is (doc_id, toxic, part) of at most ``most`` rows.
+def score_toxicity(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE_ROWS, text_hash: bool = False) -> DataFrame:
+    """(doc_id, score) for each row of ``docs``, with ``text_hash`` also th, the text's xxhash64; ``training`` is (doc_id, toxic, part) of at most ``most`` rows.
 
     Null and empty texts have features of 0 and are scored too.  A null doc_id has a score, but no
     label can be joined to it.  Repeated rows have equal scores.  If the training rows that are
@@ -162,20 +162,22 @@ def score_toxicity(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id",
     sample = stored(training.limit(most), "training")  # of bounded size, so it can be broadcast
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     lexicon = learn_lexicon(source.join(F.broadcast(sample.where("part < 4")), "doc_id"))
-    measured = stored(source.mapInArrow(_measured(lexicon), "doc_id long, x array<double>"), "features")
+    own = ["doc_id", "th"] if text_hash else ["doc_id"]
+    hashed = source.select("doc_id", *([F.xxhash64("text").alias("th")] if text_hash else []), "text")
+    measured = stored(hashed.mapInArrow(_measured(lexicon), ", ".join(f"{c} long" for c in own) + ", x array<double>"), "features")
     fit = measured.join(F.broadcast(sample), "doc_id").select(F.col("toxic").cast("double").alias("toxic"), "part", array_to_vector("x").alias("x"))
     seen = {(r["p"], r["toxic"]): r["n"] for r in fit.groupBy(F.when(F.col("part") < 4, 0).when(F.col("part") < 7, 1).otherwise(2).alias("p"), "toxic").agg(F.count("*").alias("n")).collect()}
     if not ((1, 0.0) in seen and (1, 1.0) in seen):
         n = sum(seen.values())
-        return measured.select("doc_id", F.lit(sum(v for (_, t), v in seen.items() if t) / n if n else 0.0).alias("score"))
+        return measured.select(*own, F.lit(sum(v for (_, t), v in seen.items() if t) / n if n else 0.0).alias("score"))
     trees = GBTClassifier(featuresCol="x", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=5, seed=3)
     model = trees.fit(fit.where("part between 4 and 6"))
     raw = vector_to_array("probability")[1]
     enough = min(seen.get((2, 0.0), 0), seen.get((2, 1.0), 0)) >= 5
-    scored = model.transform(measured.withColumn("x", array_to_vector("x"))).select("doc_id", raw.alias("raw"))
+    scored = model.transform(measured.withColumn("x", array_to_vector("x"))).select(*own, raw.alias("raw"))
     if not enough:
-        return scored.select("doc_id", F.col("raw").alias("score"))
+        return scored.select(*own, F.col("raw").alias("score"))
     known = model.transform(fit.where("part = 7")).select("toxic", raw.alias("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="level").fit(known)
     # The raw score orders documents of one level.
-    return curve.transform(scored).select("doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("level") * 0.999 + F.col("raw") * 0.001)).alias("score"))
+    return curve.transform(scored).select(*own, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("level") * 0.999 + F.col("raw") * 0.001)).alias("score"))

@@ -53,3 +53,30 @@ def test_odd_rows_pass(spark):
         assert docs.columns == pipe.COLUMNS
     assert docs.where("doc_id = 2").count() == 2
     assert pipe.packing(spark, docs, SMALL).count() >= 3
+
+
+COLUMN_TYPES = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_copies_by_id_and_text(spark):
+    words = [f"w{i}" for i in range(100)]
+    text, near = " ".join(words), " ".join(words[:50] + ["new"] + words[51:])
+    other, third = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(1, text), (None, near), (2, near), (2, other), (3, third), (3, third + " end"), (None, "alone here"), (None, "alone here"), (None, "twice"), (None, "Twice")]
+    out = pipe.near_copies(spark, spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], COLUMN_TYPES), SMALL)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert [x for x in got if x[1].split()[0].lower() not in ("y0", "twice")] == sorted([(1, text), (2, other), (None, "alone here")], key=str)
+    assert len([x for x in got if x[0] == 3]) == 1 and len([x for x in got if x[1].lower() == "twice"]) == 1
+
+
+def test_toxic_rows_by_id_and_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in ((None, "bad a"), (None, "good b"), (4, "bad c"), (4, "good d"), (5, "good a"))], COLUMN_TYPES)
+    real = pipe.score_toxicity
+
+    def scored(*args, **more):
+        out = real(*args, **more)
+        bad = docs.where("text like 'bad%'").select(F.xxhash64("text").alias("th")).withColumn("bad", F.lit(1.0))
+        return out.join(bad, "th", "left").withColumn("score", F.coalesce("bad", F.lit(0.0)))
+
+    monkeypatch.setattr(pipe, "score_toxicity", scored)
+    assert sorted((r.text for r in pipe.toxicity(spark, docs, SMALL).collect())) == ["good a", "good b", "good d"]
