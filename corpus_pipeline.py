@@ -54,8 +54,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens, neighbours being similar."""
-    return pack(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
+    """Pieces of documents, with their token ids, in sequences of 2048 tokens, neighbours being similar."""
+    return pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [("toxicity", toxicity), ("near_copies", near_copies), ("repeats", repeats), ("benchmark", benchmark), ("packing", packing)]

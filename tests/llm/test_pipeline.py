@@ -80,3 +80,12 @@ def test_toxic_rows_by_id_and_text(spark, monkeypatch):
 
     monkeypatch.setattr(pipe, "score_toxicity", scored)
     assert sorted((r.text for r in pipe.toxicity(spark, docs, SMALL).collect())) == ["good a", "good b", "good d"]
+
+
+def test_sequences_can_be_read(stages):
+    import zlib
+
+    import numpy as np
+
+    rows = stages[5].collect()
+    assert rows and all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
