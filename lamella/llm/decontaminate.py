@@ -120,16 +120,16 @@ class FMIndex:
 
 
 def windows(benchmark: list[tuple], size: int) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """Distinct windows as rows of word hashes (right-aligned), their lengths, and the items of each."""
+    """Distinct windows as rows of word hashes (right-aligned), their lengths, and the items of each; a null id is in none."""
     found: dict[bytes, set[str]] = {}
-    ids = [str(i) for i, _ in benchmark]
+    ids = [() if i is None else (str(i),) for i, _ in benchmark]
     for texts in slices(pa.array([t for _, t in benchmark], pa.string())):
         w = words(texts)
         h = w.hashes
         for i in range(len(texts)):
             own = h[w.rows[i] : w.rows[i + 1]]
             for k in range(max(len(own) - size, 0) + 1 if len(own) else 0):
-                found.setdefault(own[k : k + size].tobytes(), set()).add(ids[texts.first + i])
+                found.setdefault(own[k : k + size].tobytes(), set()).update(ids[texts.first + i])
     lengths = np.array([len(k) // 8 for k in found], np.int64)
     rows = np.zeros((len(found), size), np.uint64)
     for i, k in enumerate(found):
@@ -165,17 +165,18 @@ def _scan(found: tuple, names: dict):
                 w = words(texts)
                 n_words = np.diff(w.rows)
                 hit = np.zeros(len(w.starts) + 1, np.int64)
-                of = [set() for _ in range(len(texts))]
+                of, met = [set() for _ in range(len(texts))], set()
                 if len(w.starts) and len(phrases):
                     which, doc, at = _hits(phrases, lengths, w)
                     np.add.at(hit, at, 1)
                     np.add.at(hit, at + lengths[which], -1)
                     for p, d in set(zip(which.tolist(), doc.tolist(), strict=True)):
                         of[d].update(items[p])
+                        met.add(d)
                 inside = np.cumsum(hit[:-1]) > 0
                 spans: list[list[list[int]]] = [[] for _ in range(len(texts))]
                 n_hit = np.zeros(len(texts), np.int64)
-                for d in [i for i, x in enumerate(of) if x]:
+                for d in sorted(met):
                     a, b = w.rows[d], w.rows[d + 1]
                     own = np.flatnonzero(np.diff(np.concatenate([[0], inside[a:b], [0]])))
                     n_hit[d] = inside[a:b].sum()
@@ -194,15 +195,15 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is
     one window.  A null or empty text has no words and no hits; so has every text if the
-    benchmark is empty.  Repeated rows are each judged.  Null item ids are skipped; equal items
-    count each.  Columns of ``docs`` named as the added ones are replaced; the others stay.  The
+    benchmark is empty.  Repeated rows are each judged.  Items with a null id make hits and spans,
+    but aren't in items; equal items count each.  Columns of ``docs`` named as the added ones are replaced; the others stay.  The
     benchmark reaches the tasks in portions of at most ``QUERY_WORDS`` words; a second portion
     means a second pass, whose hits are merged by position.
     """
     docs = docs.drop("n_words", "n_hit", "items", "spans")
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))]
     names = {"text": text} | {f.name: f.name for f in added}
-    queries = benchmark.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(item_id, item_text)
+    queries = benchmark.where(F.col(item_text).isNotNull()).select(item_id, item_text)
     out, portion, size = None, [], 0
 
     def more(out: DataFrame | None) -> DataFrame:

@@ -138,6 +138,15 @@ def test_decontamination(spark, messy, empty):
     assert clean.where("n_hit > 0").count() <= out.where("n_hit > 0").count()
 
 
+def test_items_without_an_id_are_hits(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "clean text")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (3, "other words here")], "item_id long, text string")
+    out = dec.find_benchmark(docs, bench)
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in out.collect()) == [(1, 30, []), (2, 0, [])]
+    assert dec.remove_spans(out).where("doc_id = 1").first().text == "before  after"
+
+
 def test_decontamination_in_portions(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = dec.find_benchmark(docs, bench).select("doc_id", "n_hit", "items", "spans").toPandas()
