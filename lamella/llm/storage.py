@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's ``spark.checkpoint.dir``; a local folder only where it is unset and Spark runs in one process, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        sc = spark.sparkContext
-        folder = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-checkpoint-")
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(folder)
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -25,7 +25,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that no later plan reads."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,14 +1,19 @@
 """Exact removal of long repeated byte strings with a logarithmic family of sparse suffix arrays.
 
-Suffixes are sampled by minimizers: every window of ``length`` bytes has one, the leftmost
-k-mer of least hash in it, so equal windows have equal sampled suffixes at equal offsets.  A
-batch's suffix array holds its sampled suffixes in the order of their leading k-mer's fingerprint,
-equal ones as one run with its length.  A new batch is merge-scanned against the levels of the
-family, and levels of equal size merge geometrically.  Suffixes whose k-mer repeats go on to
-the comparison of long matches: first the whole stretch of windows around the sampled suffix;
-where only some of them can repeat, groups of eight windows at equal distance from it; and
-where a group's common core repeats but not the whole of it, window by window.  Each step looks
-at one of each set of equal candidates, so copies cost nothing.  Fingerprints have 64 bits.
+Suffixes are sampled by minimizers: every window of ``length`` bytes has one, the leftmost k-mer
+of least hash in it, so equal windows have equal sampled suffixes at equal offsets.  The windows
+of one sampled suffix are neighbours; the bytes that they cover are its stretch.
+
+A batch's suffix array holds its sampled suffixes in the order of their text (the first bytes as
+text, further ones by fingerprints), equal stretches as one run with its number and first place.
+Each window reaches 116 bytes to the right of its suffix or 85 to the left (for 200 bytes), so
+two suffixes can share a window only if they agree that far on one side: a new batch is merge-scanned
+for such agreement against itself and all levels of the family.  Then levels of equal size merge.
+
+What the scans find is settled in two ways.  Runs with two places repeat as a whole.  The windows
+of stretches that agree in part with others get a dense suffix array in text order in the task of
+their k-mer, where neighbours with a common prefix of ``length`` bytes are repeats; k-mers with more
+stretches than a task should hold compare fingerprints of their windows as rows instead.
 """
 
 from __future__ import annotations
@@ -17,25 +22,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .storage import release, stored
+from .storage import drop, release, stored
 from .wordhash import Hasher, Texts, mix, slices
 
 LENGTH = 200
 KMER = 32
-BATCHES = 2
-#: Windows of a group.
-GROUP = 8
+BATCHES = 4
+#: Leading bytes of a suffix that are kept as text.
+HEAD = 16
+#: Stretches of one k-mer that a task sorts; stretches of a bucket of k-mers; windows sorted at once.
+HOT, BUCKET, WINDOWS = 1024, 2048, 1 << 16
 _SALT = np.uint64(0xD6E8FEB86659FD93)
+_RUN = ["head", "fwd", "back", "ext"]
+_MARKS = "u long, v long, mark long"
 
 
-def sampled(texts: Texts, length: int = LENGTH, kmer: int = KMER) -> dict[str, np.ndarray]:
-    """The sampled suffixes of each row: row, kmer, ext (its whole stretch), lo (first window), p (from there to the suffix), n (windows)."""
-    none = {k: np.zeros(0, np.int64) for k in ("row", "kmer", "ext", "lo", "p", "n")}
+def reach(length: int) -> tuple[int, int, int]:
+    """k-mer size, and how far any window reaches from its suffix: so many bytes to the right, or else so many to the left."""
+    kmer = min(KMER, length)
+    half = (length - kmer) // 2
+    return kmer, length - half, half + 1
+
+
+def sampled(texts: Texts, length: int = LENGTH) -> dict[str, np.ndarray]:
+    """The sampled suffixes of each row: row, lo (its first window), p (from there to the suffix), n (windows), head, fwd, back, ext.
+
+    fwd and back are fingerprints of the reach to each side, 0 where no window of the stretch reaches so
+    far; ext is the fingerprint of the whole stretch.
+    """
     data, size = texts.data, len(texts.data)
+    kmer, right, left = reach(length)
     if not (np.diff(texts.offsets) >= length).any():
-        return none
+        return {k: np.zeros(0, np.int64) for k in ("row", "lo", "p", "n", "fwd", "back", "ext")} | {"head": np.zeros((0, min(HEAD, kmer)), np.uint8)}
     hasher = Hasher(data)
     at = np.arange(size - kmer + 1)
     low = (hasher.of(at, at + kmer) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
@@ -60,220 +80,254 @@ def sampled(texts: Texts, length: int = LENGTH, kmer: int = KMER) -> dict[str, n
     stop = stop[np.searchsorted(stop, start, "right")]
     p = chosen[start]
     row = np.searchsorted(texts.offsets, start, "right") - 1
-    key = hasher.of(p, p + kmer)
     ext = mix(hasher.of(start, stop - 1 + length) + (p - start).astype(np.uint64) * _SALT)
-    return {"row": row, "kmer": key.view(np.int64), "ext": ext.view(np.int64), "lo": start - texts.offsets[row], "p": p - start, "n": stop - start}
+    far = p - (stop - 1) <= length - right  # some window begins so near that it reaches ``right`` bytes on
+    fwd = np.where(far, mix(hasher.of(p, np.where(far, p + right, p))), 0)
+    deep = p - start >= left
+    back = np.where(deep, mix(hasher.of(np.where(deep, p - left, p), p + kmer) + _SALT), 0)
+    head = data[p[:, None] + np.arange(min(HEAD, kmer))]
+    signed = {k: v.view(np.int64) for k, v in (("fwd", fwd), ("back", back), ("ext", ext))}
+    return {"row": row, "lo": start - texts.offsets[row], "p": p - start, "n": stop - start, "head": head} | signed
 
 
-def _suffixes(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for texts in slices(batch.column("text")):
-                s = sampled(texts, length)
-                rows = batch.select(["doc_id", "u"]).slice(texts.first, len(texts)).take(pa.array(s["row"]))
-                place = pa.array((s["lo"] << 32) | (s["p"] << 16) | s["n"])
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("u"), pa.array(s["kmer"]), pa.array(s["ext"]), place], names=["doc_id", "u", "kmer", "ext", "place"])
+def _fixed(rows: np.ndarray) -> pa.Array:
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
 
-    return run
 
+def _suffixes(length: int, *columns: str):
+    """(u, v, place) and the asked columns of every sampled suffix; place holds the first window, the distance to the suffix and the windows."""
 
-def _keys(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([pa.array(sampled(texts, length)["kmer"])], names=["kmer"])
+                s = sampled(texts, length)
+                own = batch.select(["u", "v"]).slice(texts.first, len(texts)).take(pa.array(s["row"]))
+                place = pa.array((s["lo"] << 32) | (s["p"] << 16) | s["n"])
+                more = [_fixed(s[c]) if c == "head" else pa.array(s[c]) for c in columns]
+                yield pa.RecordBatch.from_arrays([*own.columns, place, *more], names=["u", "v", "place", *columns])
 
     return run
 
 
 class SuffixLevels:
-    """The index family: sparse suffix arrays (kmer, n) whose sizes are powers of two of a batch."""
+    """The index family: suffix arrays of runs (head, fwd, back, ext, n, one) in text order, with sizes in powers of two of a batch.
+
+    ``found`` are the runs that share text with another one, as tables that the scans have written.
+    """
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
+        self.found: list[DataFrame] = []
 
     @staticmethod
-    def _merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.unionByName(b).groupBy("kmer").agg(F.sum("n").alias("n"))
+    def _keys(runs: DataFrame) -> DataFrame:
+        return runs.select("head", F.explode(F.array("fwd", "back")).alias("key"), "ext").where("key <> 0")
 
-    def insert(self, batch: DataFrame) -> None:
-        """Add a batch of sampled suffixes; equal levels merge first, so each suffix is rewritten log(batches) times."""
+    @staticmethod
+    def _holding(runs: DataFrame, keys: DataFrame) -> DataFrame:
+        sides = [runs.join(keys.withColumnRenamed("key", side), ["head", side], "left_semi") for side in ("fwd", "back")]
+        return sides[0].unionByName(sides[1])
+
+    def _scan(self, new: DataFrame) -> None:
+        """Merge-scan ``new`` against itself and each level: runs of either side with a common reach."""
+        keys = stored(self._keys(new).groupBy("head", "key").agg(F.min("ext").alias("a"), F.max("ext").alias("z")), "batch-keys")
+        own = stored(keys.where("a <> z").select("head", "key"), "own-keys")
+        found = self._holding(new, own).unionByName(new.where("n > 1"))
+        common = []
+        for _, level in self.levels:
+            both = self._keys(level).select("head", "key").distinct().join(keys.select("head", "key"), ["head", "key"])
+            common.append(stored(both, "common-keys"))
+            found = found.unionByName(self._holding(new, common[-1])).unionByName(self._holding(level, common[-1]))
+        self.found.append(stored(found, "found"))
+        drop(keys, own, *common)
+
+    def insert(self, suffixes: DataFrame) -> None:
+        """Add a batch of sampled suffixes (head, fwd, back, ext, u, v, place); each is rewritten log(batches) times."""
+        new = suffixes.groupBy(_RUN).agg(F.count("*").alias("n"), F.min(F.struct("u", "v", "place")).alias("one"))
+        new = stored(new.sortWithinPartitions(_RUN), "level")
+        self._scan(new)
+        self.levels.append((1, new))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, a), (_, b) = self.levels.pop(), self.levels.pop()
-            self.levels.append((2 * size, stored(self._merge(a, b).sortWithinPartitions("kmer"), "level")))
-        new = batch.groupBy("kmer").agg(F.count("*").alias("n")).sortWithinPartitions("kmer")
-        self.levels.append((1, stored(new, "level")))
+            merged = a.unionByName(b).groupBy(_RUN).agg(F.sum("n").alias("n"), F.min("one").alias("one"))
+            self.levels.append((2 * size, stored(merged.sortWithinPartitions(_RUN), "level")))
+            drop(a, b)
 
-    def repeated(self) -> DataFrame:
-        """Leading k-mers that occur twice or more: a merge-scan of all levels."""
-        union = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            union = union.unionByName(level)
-        return union.groupBy("kmer").agg(F.sum("n").alias("n")).where("n > 1").select("kmer")
+    def matches(self) -> DataFrame:
+        """The runs that share text: (head, fwd, back, ext, one, full), full with two places or more."""
+        found = self.found[0]
+        for more in self.found[1:]:
+            found = found.unionByName(more)
+        runs = found.groupBy(_RUN).agg(F.max("n").alias("n"), F.min("one").alias("one"), F.max("one").alias("other"))
+        return runs.select(*_RUN, "one", ((F.col("n") > 1) | (F.col("one") != F.col("other"))).alias("full"))
 
+    def close(self) -> None:
+        drop(*self.found, *(level for _, level in self.levels))
 
-def _contexts(length: int):
-    """The bytes of each asked stretch."""
+
+def _bodies(length: int):
+    """The bytes of each asked stretch, with the hash of its k-mer."""
+    kmer = reach(length)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)
-                text, places = batch.column("text"), batch.column("places")
-                row = np.repeat(np.arange(len(text)), places.value_lengths().to_numpy())
-                flat = places.flatten()
-                own = batch.select(["doc_id", "u"]).take(pa.array(row))
-                encoded = text.cast(pa.binary()).to_pylist()
-                bodies = [encoded[r][p >> 32 : (p >> 32) + (p & 0xFFFF) - 1 + length] for r, p in zip(row.tolist(), flat.to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), flat, pa.array(bodies, pa.binary())], names=["doc_id", "u", "place", "body"])
+                asked = batch.column("asked")
+                row = np.repeat(np.arange(len(batch)), asked.value_lengths().to_numpy())
+                flat = asked.flatten()
+                place = flat.field("place").to_numpy()
+                texts = batch.column("text").cast(pa.binary()).to_pylist()
+                lo, p, n = place >> 32, (place >> 16) & 0xFFFF, place & 0xFFFF
+                body = [texts[r][a : a + k - 1 + length] for r, a, k in zip(row.tolist(), lo.tolist(), n.tolist(), strict=True)]
+                ends = np.cumsum([0, *map(len, body)])
+                at = ends[:-1] + p
+                key = Hasher(np.frombuffer(b"".join(body), np.uint8)).of(at, at + kmer).view(np.int64)
+                own = batch.select(["u", "v"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*own.columns, flat.field("place"), flat.field("full"), pa.array(key), pa.array(body, pa.binary())], names=["u", "v", "place", "full", "kmer", "body"])
 
     return run
 
 
-def _stretches(batch: pa.RecordBatch) -> tuple[Hasher, np.ndarray, np.ndarray, np.ndarray]:
-    """Hasher of the batch's bodies, where each begins, its suffix's distance from there and its windows."""
-    body = batch.column("body").cast(pa.large_binary())
-    _, offsets, data = body.buffers()
-    at = np.frombuffer(offsets, np.int64)[body.offset : body.offset + len(body) + 1]
-    place = batch.column("place").to_numpy()
-    return Hasher(np.frombuffer(data, np.uint8)[at[0] : at[-1]]), at[:-1] - at[0], (place >> 16) & 0xFFFF, place & 0xFFFF
+def _windows(batch: pa.RecordBatch | pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bodies one after the other, and row and start there of each of their windows."""
+    body = batch.column("body")
+    body = body.combine_chunks() if isinstance(body, pa.ChunkedArray) else body
+    data = np.frombuffer(b"".join(body.to_pylist()), np.uint8)
+    n = batch.column("place").to_numpy() & 0xFFFF
+    row = np.repeat(np.arange(len(n)), n)
+    begin = np.concatenate([[0], np.cumsum(n - 1 + length)[:-1]])
+    return data, row, np.arange(len(row)) + np.repeat(begin - np.cumsum(n) + n, n)
+
+
+def _dense(length: int):
+    """Marks of the repeated windows in a bucket of k-mers: a dense suffix array of each k-mer's stretches, compared with its neighbours."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("kmer").combine_chunks()
+        kmer, place = table.column("kmer").to_numpy(), table.column("place").to_numpy()
+        full = table.column("full").to_numpy()
+        done = np.concatenate([[0], np.cumsum(place & 0xFFFF)])
+        cuts = np.append(np.flatnonzero(np.diff(kmer)) + 1, len(kmer))
+        rows, marks, a = [], [], 0
+        while a < len(kmer):
+            z = cuts[max(np.searchsorted(done[cuts], done[a] + WINDOWS, "right") - 1, np.searchsorted(cuts, a, "right"))]
+            data, row, start = _windows(table.slice(a, z - a), length)
+            text = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[start]).view(f"V{length}").ravel().view(f"S{length}")
+            order = np.argsort(text, kind="stable")
+            near = text[order]
+            same = near[1:] == near[:-1]
+            again = np.zeros(len(order), bool)
+            again[order[1:][same]] = True
+            again[order[:-1][same]] = True
+            again &= ~full[a + row]
+            at = np.flatnonzero(again)
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])
+            begin = at[new]
+            run_of = np.diff(np.append(np.flatnonzero(new), len(at)))
+            local = begin - (done[a + row[begin]] - done[a])
+            rows.append(a + row[begin])
+            marks.append((((place[a + row[begin]] >> 32) + local) << 32) | run_of)
+            a = z
+        own = table.select(["u", "v"]).take(pa.array(np.concatenate(rows)))
+        return own.append_column("mark", pa.array(np.concatenate(marks)))
+
+    return run
 
 
-def _groups(length: int):
-    """Of each group of windows, the core that all have in common and the whole that they cover."""
+def _window_rows(length: int):
+    """Fingerprint and mark of each window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                hasher, at, p, n = _stretches(batch)
-                low, high = (p - n + 1) // GROUP, p // GROUP  # groups by distance to the suffix
-                count = high - low + 1
-                row = np.repeat(np.arange(len(at)), count)
-                j = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-                first = np.maximum(p[row] - GROUP * j - GROUP + 1, 0)
-                last = np.minimum(p[row] - GROUP * j, n[row] - 1)
-                core_from = at[row] + last
-                core_to = at[row] + first + length
-                # The core is that of the full group, so that cut groups of other stretches agree with it.
-                full = (p[row] - GROUP * j == last) & (p[row] - GROUP * j - GROUP + 1 == first)
-                inner_from = at[row] + p[row]
-                near = hasher.of(inner_from, np.minimum(inner_from + KMER, at[row] + n[row] - 1 + length))
-                core = np.where(full, hasher.of(core_from, core_to), 0)
-                cut = ~full
-                if cut.any():
-                    a = np.maximum(p[row] - GROUP * j, 0)[cut]
-                    b = (p[row] - GROUP * j - GROUP + 1)[cut] + length
-                    a, b = np.minimum(a, (n[row] - 1)[cut] + length), np.maximum(b, 0)
-                    inside = (p[row] - GROUP * j)[cut] <= (n[row] - 1 + length)[cut]
-                    core[cut] = np.where(inside, hasher.of(at[row][cut] + a, at[row][cut] + np.maximum(a, b)), 0)
-                core = mix(core ^ mix(near + j.astype(np.uint64)))
-                ext = mix(hasher.of(at[row] + first, at[row] + last + length) + mix(core + (p[row] - first).astype(np.uint64) * _SALT))
-                own = batch.select(["doc_id", "u", "place"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array((first << 16) | (last - first + 1)), pa.array(core.view(np.int64)), pa.array(ext.view(np.int64))], names=["doc_id", "u", "place", "part", "core", "ext"])
+            for first in range(0, whole.num_rows, 1024):
+                batch = whole.slice(first, 1024)
+                data, row, start = _windows(batch, length)
+                h = Hasher(data).of(start, start + length)
+                place = batch.column("place").to_numpy()[row]
+                local = np.arange(len(row)) - np.searchsorted(row, row)
+                own = batch.select(["u", "v", "full"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array((((place >> 32) + local) << 32) | 1), pa.array(h.view(np.int64))], names=["u", "v", "full", "mark", "h"])
 
     return run
 
 
-def _window_hashes(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hasher, at, p, _ = _stretches(batch)
-            parts = batch.column("parts")
-            part = parts.flatten().to_numpy()
-            row = np.repeat(np.arange(len(at)), parts.value_lengths().to_numpy())
-            first, n = part >> 16, part & 0xFFFF
-            s = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            row = np.repeat(row, n)
-            h = mix(hasher.of(at[row] + s, at[row] + s + length) + (p[row] - s).astype(np.uint64) * _SALT)
-            own = batch.select(["doc_id", "u"]).take(pa.array(row))
-            s += batch.column("place").to_numpy()[row] >> 32
-            yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("u"), pa.array(s), pa.array(h.view(np.int64))], names=["doc_id", "u", "s", "h"])
-
-    return run
+def _partial(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """Marks of single windows: those of stretches that agree in part with others."""
+    keys = runs.select("head", F.explode(F.array("fwd", "back")).alias("key")).where("key <> 0")
+    shared = stored(keys.groupBy("head", "key").agg(F.count("*").alias("n")).where("n > 1").select("head", "key"), "shared-keys")
+    asked = SuffixLevels._holding(runs.select("head", "fwd", "back", "one", "full"), shared)
+    asked = asked.groupBy(F.col("one.u").alias("i"), F.col("one.v").alias("j")).agg(F.collect_set(F.struct("one.place", "full")).alias("asked"))
+    texts = docs.join(asked, (F.col("u") == F.col("i")) & (F.col("v") == F.col("j"))).select("u", "v", "text", "asked").dropDuplicates(["u", "v"])
+    bodies = stored(texts.mapInArrow(_bodies(length), "u long, v long, place long, full boolean, kmer long, body binary"), "stretches")
+    release(docs.sparkSession)
+    drop(shared)
+    hot = stored(bodies.groupBy("kmer").count().where(F.col("count") > HOT).select("kmer"), "hot-kmers")
+    buckets = max(1, -(-bodies.count() // BUCKET))
+    cold = bodies.join(hot, "kmer", "left_anti").withColumn("bucket", F.pmod("kmer", F.lit(buckets)))
+    cold = cold.groupBy("bucket").applyInArrow(_dense(length), _MARKS)
+    windows = bodies.join(hot, "kmer", "left_semi").select("u", "v", "place", "full", "body")
+    windows = stored(windows.mapInArrow(_window_rows(length), "u long, v long, full boolean, mark long, h long"), "windows")
+    again = stored(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-windows")
+    marks = stored(cold.unionByName(windows.where("not full").join(again, "h", "left_semi").select("u", "v", "mark")), "partial-marks")
+    drop(bodies, hot, windows, again)
+    return marks
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds n_bytes, spans and kept (bytes) from the windows' starts (``full``: first and number; ``part``: one by one)."""
-    for batch in batches:
-        names = batch.schema.names
-        for texts in slices(batch.column("text")):
-            rows = batch.slice(texts.first, len(texts))
-            spans, kept = [], []
-            for i, (full, part, length) in enumerate(zip(*(rows.column(k).to_pylist() for k in ("full", "part", "length")), strict=True)):
-                body = texts.data[texts.offsets[i] : texts.offsets[i + 1]]
-                if not full and not part:
-                    spans.append([])
-                    kept.append(body.tobytes())
-                    continue
-                edge = np.zeros(len(body) + 1, np.int64)
-                f = np.array(full or [], np.int64)
-                p = np.array(part or [], np.int64)
-                a = np.concatenate([f >> 32, p])
-                b = np.concatenate([(f >> 32) + (f & 0xFFFF) - 1 + length, p + length])
-                np.add.at(edge, a, 1)
-                np.add.at(edge, b, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                at = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
-                spans.append([{"start": int(x), "end": int(y)} for x, y in at.reshape(-1, 2)])
-                kept.append(body[~gone].tobytes())
-            keep = [k for k in names if k not in ("full", "part", "length")]
-            yield pa.RecordBatch.from_arrays(
-                [*(rows.column(k) for k in keep), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())],
-                names=[*keep, "spans", "kept"],
-            )
-
-
-def repeated_windows(docs: DataFrame, length: int, batches: int) -> DataFrame:
-    """(doc_id, u, full, part): each document's windows that occur elsewhere too, as stretches and as single starts."""
-    spark, index = docs.sparkSession, SuffixLevels()
+def repeated_windows(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, index: SuffixLevels | None = None) -> DataFrame:
+    """(u, v, marks) of documents (u, v, text) with windows that occur elsewhere too; a mark holds the first of some neighbours and their number."""
+    spark, index = docs.sparkSession, index or SuffixLevels()
     for b in range(batches):
         batch = docs.where(F.pmod("u", F.lit(batches)) == b) if batches > 1 else docs
-        index.insert(batch.select("text").mapInArrow(_keys(length), "kmer long"))
+        index.insert(batch.mapInArrow(_suffixes(length, *_RUN), "u long, v long, place long, head binary, fwd long, back long, ext long"))
         release(spark)
-    suffixes = docs.mapInArrow(_suffixes(length), "doc_id long, u long, kmer long, ext long, place long")
-    # A table of its own: a join on the aggregate's partitioning couldn't split a k-mer that fills a third of all rows.
-    repeated = stored(index.repeated(), "repeated-kmers")
-    again = stored(suffixes.join(repeated, "kmer", "left_semi"), "repeated")
-    release(spark)
-    full, part = _equal(again, "kmer", ["doc_id", "u", "place"])
-    places = part.groupBy("doc_id", "u").agg(F.collect_list("place").alias("places"))
-    asked = docs.join(places.withColumnsRenamed({"doc_id": "i", "u": "v"}), _same("i", "v")).select("doc_id", "u", "places", "text").dropDuplicates(["doc_id", "u"])
-    bodies = stored(asked.mapInArrow(_contexts(length), "doc_id long, u long, place long, body binary"), "contexts")
-    release(spark)
-    groups = bodies.mapInArrow(_groups(length), "doc_id long, u long, place long, part long, core long, ext long")
-    shared = groups.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    groups = stored(groups.join(shared, "core", "left_semi"), "groups")
-    release(spark)
-    wide, narrow = _equal(groups, "core", ["doc_id", "u", "place", "part"])
-    stretch = F.shiftleft(F.shiftright("place", 32) + F.shiftright("part", 16), 32).bitwiseOR(F.col("part").bitwiseAND(0xFFFF))
-    parts = narrow.groupBy("doc_id", "u", "place").agg(F.collect_list("part").alias("parts")).withColumnsRenamed({"doc_id": "i", "u": "v", "place": "w"})
-    windows = bodies.join(parts, _same("i", "v") & (F.col("place") == F.col("w"))).select("doc_id", "u", "place", "parts", "body").mapInArrow(_window_hashes(length), "doc_id long, u long, s long, h long")
-    windows = stored(windows, "windows")
-    release(spark)
-    single = windows.join(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "h", "left_semi")
-    none = F.lit(None).cast("long")
-    marks = (
-        full.select("doc_id", "u", F.col("place").alias("full"), none.alias("part"))
-        .unionAll(wide.select("doc_id", "u", stretch.alias("full"), none.alias("part")))
-        .unionAll(single.select("doc_id", "u", none.alias("full"), F.col("s").alias("part")))
-    )
-    marks = stored(marks.groupBy("doc_id", "u").agg(F.collect_set("full").alias("full"), F.collect_set("part").alias("part")), "marks")
+    runs = stored(index.matches(), "matches")
+    index.close()
+    # A table of its own: a join on an aggregate's partitioning couldn't split a run that fills a third of all rows.
+    full = stored(runs.where("full").select("head", "ext").distinct(), "full")
+    places = docs.mapInArrow(_suffixes(length, "head", "ext"), "u long, v long, place long, head binary, ext long")
+    whole = places.join(full, ["head", "ext"], "left_semi").select("u", "v", F.expr("place - (place & 4294967295) + (place & 65535)").alias("mark"))
+    marks = whole.unionByName(_partial(docs, runs, length))
+    marks = stored(marks.groupBy("u", "v").agg(F.collect_set("mark").alias("marks")), "marks")
     release(spark)
+    drop(runs, full)
     return marks
 
 
-def _same(i: str, v: str):
-    return F.col("doc_id").eqNullSafe(F.col(i)) & (F.col("u") == F.col(v))
+def _cut(text: str, length: int, row: str, marks: str, spans: str, kept: str):
+    """Each row with the spans that its marks cover and the bytes that remain."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(row)
+            column = rows.field(text)
+            for texts in slices(column):
+                gone, left = [], []
+                for i, mark in enumerate(batch.column(marks).slice(texts.first, len(texts)).to_pylist()):
+                    body = texts.data[texts.offsets[i] : texts.offsets[i + 1]]
+                    if not mark:
+                        gone.append([])
+                        left.append(body.tobytes())
+                        continue
+                    m = np.sort(np.array(mark, np.int64))
+                    a, z = m >> 32, (m >> 32) + (m & 0xFFFF) - 1 + length
+                    z = np.maximum.accumulate(z)
+                    new = np.append(True, a[1:] > z[:-1])
+                    a, z = a[new], z[np.append(np.flatnonzero(new)[1:] - 1, len(z) - 1)]
+                    gone.append([{"start": int(x), "end": int(y)} for x, y in zip(a, z, strict=True)])
+                    left.append(b"".join(body[x:y].tobytes() for x, y in zip([0, *z.tolist()], [*a.tolist(), len(body)], strict=True)))
+                yield pa.RecordBatch.from_arrays([rows.slice(texts.first, len(texts)), pa.array(gone, kind), pa.array(left, pa.binary())], names=[row, spans, kept])
+
+    return run
 
 
-def _equal(rows: DataFrame, key: str, place: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Places whose ``ext`` occurs twice, and one place of each ext of those keys that have several of them."""
-    runs = rows.groupBy(key, "ext").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("one"))
-    kinds = runs.groupBy(key).agg((F.count("*") > 1).alias("mixed"))
-    runs = stored(runs.join(kinds, key), "runs")
-    release(rows.sparkSession)
-    return rows.join(runs.where("n > 1").select(key, "ext"), [key, "ext"], "left_semi").select(*place), runs.where("mixed").select("one.*")
+def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
+    """Two hashes of a row's id and text: together they tell rows apart, whatever the id's type."""
+    return F.xxhash64(F.col(doc_id), F.col(text)), F.xxhash64(F.col(text), F.lit(9), F.col(doc_id))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -282,18 +336,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     A byte goes if a string of ``length`` bytes covering it starts anywhere else too, in the same
     document or another, overlaps included; strings are judged on the input.  Null and empty
     texts, and texts shorter than ``length``, lose nothing; a null keeps empty bytes.  Repeated rows
-    repeat each other, so long ones vanish altogether.  A null doc_id is a value like any other.
-    Columns named as the added ones are replaced; an empty table gives no row.
+    repeat each other, so long ones vanish altogether.  Ids may have any type that can be hashed; a null
+    id is a value like any other.  Columns named as the added ones are replaced; an empty table gives no row.
     """
     docs = docs.drop("spans", "kept")
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(doc_id, text).alias("u"))
-    marks = repeated_windows(slim, length, batches).withColumnsRenamed({"doc_id": "i", "u": "v"})
-    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(doc_id, text).alias("u"), F.struct("*").alias("row"))
-    return _apply(named, marks, length)
-
-
-def _apply(named: DataFrame, marks: DataFrame, length: int) -> DataFrame:
-    joined = named.join(marks, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("u") == F.col("v")), "left")
-    cut = joined.select("row", "text", "full", "part", F.lit(length).alias("length"))
-    spans = "array<struct<start:int,end:int>>"
-    return cut.mapInArrow(_cut, f"row {named.schema['row'].dataType.simpleString()}, text string, spans {spans}, kept binary").select("row.*", "spans", "kept")
+    u, v = _row_key(doc_id, text)
+    slim = docs.where(F.octet_length(F.col(text)) >= length).select(u.alias("u"), v.alias("v"), F.col(text).alias("text"))
+    marks = repeated_windows(slim, length, batches)
+    keyed = docs.select(u.alias("u"), v.alias("v"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    joined = keyed.join(marks.withColumnsRenamed({"u": "i", "v": "j"}), (F.col("u") == F.col("i")) & (F.col("v") == F.col("j")), "left")
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("spans", spans), T.StructField("kept", T.BinaryType())])
+    return joined.select("row", "marks").mapInArrow(_cut(text, length, "row", "marks", "spans", "kept"), schema).select("row.*", "spans", "kept")

@@ -86,12 +86,54 @@ def test_repeats_fuzz(spark):
     same(out.select("doc_id", n.alias("a"), (n - F.octet_length("kept")).alias("b"), F.size("spans").alias("s"), F.sha2("kept", 256).alias("h")), brute.without_repeats(rows), "doc_id", "a", "b", "s", "h")
 
 
+def suffix_rows(spark, texts):
+    slim = spark.createDataFrame(list(enumerate(texts)), "u long, text string").withColumn("v", F.lit(0).cast("long"))
+    return slim.mapInArrow(suf._suffixes(200, *suf._RUN), "u long, v long, place long, head binary, fwd long, back long, ext long")
+
+
 def test_levels_merge_geometrically(spark):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    index, shared = suf.SuffixLevels(), text(260)
+    for b in range(7):
+        index.insert(suffix_rows(spark, [text(500), text(300) + shared if b in (1, 5) else text(400)]))
+    assert [size for size, _ in index.levels] == [4, 2, 1]
+    for _, level in index.levels:  # suffixes in the order of their text, in each part
+        for part in level.select("head").rdd.glom().collect():
+            heads = [bytes(r.head) for r in part]
+            assert heads == sorted(heads)
+    found = index.matches().collect()
+    assert len(found) >= 2 and len({bytes(r.head) for r in found}) <= 10  # the passage of batches 1 and 5, by then in other levels
+
+
+def test_levels_merge_within_the_query(spark, monkeypatch):
     index = suf.SuffixLevels()
-    for _ in range(7):
-        index.insert(spark.createDataFrame([(1,), (2,)], "kmer long"))
-    assert [size for size, _ in index.levels] == [4, 2, 1] or sum(size for size, _ in index.levels) == 7
-    assert {r.kmer for r in index.repeated().collect()} == {1, 2}
+    monkeypatch.setattr(suf, "SuffixLevels", lambda: index)
+    monkeypatch.setattr(suf, "_partial", lambda docs, runs, length: spark.createDataFrame([], suf._MARKS))
+    seen, plain = [], index.insert
+    monkeypatch.setattr(index, "insert", lambda s: (plain(s), seen.append([n for n, _ in index.levels])))
+    suf.remove_repeats(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    assert seen == [[1], [2], [2, 1], [4]]
+
+
+@pytest.mark.parametrize("hot", [1024, 2])
+def test_repeats_of_edges(spark, monkeypatch, hot):
+    """A common passage in unique text: its edges are stretches that agree in part; with few allowed in a task, as rows."""
+    monkeypatch.setattr(suf, "HOT", hot)
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefghijk ") for _ in range(n))
+    passage = text(700)
+    rows = [(i, text(rng.randint(0, 300)) + passage[rng.randint(0, 40) : 700 - rng.randint(0, 300)] + text(rng.randint(0, 300))) for i in range(40)]
+    out = suf.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    n = F.octet_length("text").cast("long")
+    same(out.select("doc_id", n.alias("a"), (n - F.octet_length("kept")).alias("b"), F.size("spans").alias("s"), F.sha2("kept", 256).alias("h")), brute.without_repeats(rows), "doc_id", "a", "b", "s", "h")
+
+
+def test_repeats_with_odd_names_and_ids(spark):
+    df = spark.createDataFrame([("a", "x" * 300, 1, 2), (None, "y" * 100, 3, 4), ("b", None, 5, 6)], "doc_id string, text string, `my col` int, `u.v` int")
+    out = suf.remove_repeats(df)
+    assert out.columns == ["doc_id", "text", "my col", "u.v", "spans", "kept"]
+    assert {(r.doc_id, r["my col"], r["u.v"], bytes(r.kept)) for r in out.collect()} == {("a", 1, 2, b""), (None, 3, 4, b"y" * 100), ("b", 5, 6, b"")}
 
 
 def test_near_duplicates(spark, messy, empty):
