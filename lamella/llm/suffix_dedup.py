@@ -4,8 +4,8 @@ Suffixes are sampled by minimizers: every window of ``length`` bytes has one, th
 of least hash in it, so equal windows have equal sampled suffixes at equal offsets.  The windows
 of one sampled suffix are neighbours; the bytes that they cover are its stretch.
 
-A batch's suffix array holds its sampled suffixes in the order of their text (the first bytes as
-text, further ones by fingerprints), equal stretches as one run with its number and first place.
+A batch's suffix array holds its sampled suffixes in the order of their text (eight bytes as they
+are, the rest of their reach by fingerprints), equal stretches as one run with its number and a place.
 Each window reaches 116 bytes to the right of its suffix or 85 to the left (for 200 bytes), so
 two suffixes can share a window only if they agree that far on one side: a new batch is merge-scanned
 for such agreement against itself and all levels of the family.  Then levels of equal size merge.
@@ -30,12 +30,11 @@ from .wordhash import Hasher, Texts, mix, slices
 LENGTH = 200
 KMER = 32
 BATCHES = 4
-#: Leading bytes of a suffix that are kept as text.
-HEAD = 16
 #: Stretches of one k-mer that a task sorts; stretches of a bucket of k-mers; windows sorted at once.
 HOT, BUCKET, WINDOWS = 1024, 2048, 1 << 16
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 _RUN = ["head", "fwd", "back", "ext"]
+_PLACE = ["u", "v", "place"]
 _MARKS = "u long, v long, mark long"
 
 
@@ -49,13 +48,13 @@ def reach(length: int) -> tuple[int, int, int]:
 def sampled(texts: Texts, length: int = LENGTH) -> dict[str, np.ndarray]:
     """The sampled suffixes of each row: row, lo (its first window), p (from there to the suffix), n (windows), head, fwd, back, ext.
 
-    fwd and back are fingerprints of the reach to each side, 0 where no window of the stretch reaches so
+    head holds the first eight bytes, as a number that sorts like the text (of a shorter k-mer: 0).  fwd and back are fingerprints of the reach to each side, 0 where no window of the stretch reaches so
     far; ext is the fingerprint of the whole stretch.
     """
     data, size = texts.data, len(texts.data)
     kmer, right, left = reach(length)
     if not (np.diff(texts.offsets) >= length).any():
-        return {k: np.zeros(0, np.int64) for k in ("row", "lo", "p", "n", "fwd", "back", "ext")} | {"head": np.zeros((0, min(HEAD, kmer)), np.uint8)}
+        return {k: np.zeros(0, np.int64) for k in ("row", "lo", "p", "n", *_RUN)}
     hasher = Hasher(data)
     at = np.arange(size - kmer + 1)
     low = (hasher.of(at, at + kmer) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
@@ -85,15 +84,12 @@ def sampled(texts: Texts, length: int = LENGTH) -> dict[str, np.ndarray]:
     fwd = np.where(far, mix(hasher.of(p, np.where(far, p + right, p))), 0)
     deep = p - start >= left
     back = np.where(deep, mix(hasher.of(np.where(deep, p - left, p), p + kmer) + _SALT), 0)
-    head = data[p[:, None] + np.arange(min(HEAD, kmer))]
-    signed = {k: v.view(np.int64) for k, v in (("fwd", fwd), ("back", back), ("ext", ext))}
-    return {"row": row, "lo": start - texts.offsets[row], "p": p - start, "n": stop - start, "head": head} | signed
-
-
-def _fixed(rows: np.ndarray) -> pa.Array:
-    rows = np.ascontiguousarray(rows)
-    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+    head = np.zeros(len(p), np.uint64)
+    for k in range(8 if kmer >= 8 else 0):
+        head = head << np.uint64(8) | data[p + k]
+    head ^= np.uint64(1 << 63)
+    signed = {k: v.view(np.int64) for k, v in zip(_RUN, (head, fwd, back, ext), strict=True)}
+    return {"row": row, "lo": start - texts.offsets[row], "p": p - start, "n": stop - start} | signed
 
 
 def _suffixes(length: int, *columns: str):
@@ -105,16 +101,16 @@ def _suffixes(length: int, *columns: str):
                 s = sampled(texts, length)
                 own = batch.select(["u", "v"]).slice(texts.first, len(texts)).take(pa.array(s["row"]))
                 place = pa.array((s["lo"] << 32) | (s["p"] << 16) | s["n"])
-                more = [_fixed(s[c]) if c == "head" else pa.array(s[c]) for c in columns]
-                yield pa.RecordBatch.from_arrays([*own.columns, place, *more], names=["u", "v", "place", *columns])
+                yield pa.RecordBatch.from_arrays([*own.columns, place, *(pa.array(s[c]) for c in columns)], names=[*_PLACE, *columns])
 
     return run
 
 
 class SuffixLevels:
-    """The index family: suffix arrays of runs (head, fwd, back, ext, n, one) in text order, with sizes in powers of two of a batch.
+    """The index family: suffix arrays of runs (head, fwd, back, ext, n, u, v, place) in text order, with sizes in powers of two of a batch.
 
-    ``found`` are the runs that share text with another one, as tables that the scans have written.
+    A run is a stretch with its number and one of its places.  ``found`` are tables of the (head, key)
+    that the scans have seen with two different stretches, key being their common reach on one side.
     """
 
     def __init__(self):
@@ -125,43 +121,54 @@ class SuffixLevels:
     def _keys(runs: DataFrame) -> DataFrame:
         return runs.select("head", F.explode(F.array("fwd", "back")).alias("key"), "ext").where("key <> 0")
 
+    @classmethod
+    def _reaches(cls, runs: DataFrame, a: str, z: str) -> DataFrame:
+        return cls._keys(runs).groupBy("head", "key").agg(F.min("ext").alias(a), F.max("ext").alias(z))
+
     @staticmethod
-    def _holding(runs: DataFrame, keys: DataFrame) -> DataFrame:
-        sides = [runs.join(keys.withColumnRenamed("key", side), ["head", side], "left_semi") for side in ("fwd", "back")]
-        return sides[0].unionByName(sides[1])
-
-    def _scan(self, new: DataFrame) -> None:
-        """Merge-scan ``new`` against itself and each level: runs of either side with a common reach."""
-        keys = stored(self._keys(new).groupBy("head", "key").agg(F.min("ext").alias("a"), F.max("ext").alias("z")), "batch-keys")
-        own = stored(keys.where("a <> z").select("head", "key"), "own-keys")
-        found = self._holding(new, own).unionByName(new.where("n > 1"))
-        common = []
+    def _run(rows: DataFrame, n: Column) -> DataFrame:
+        return rows.groupBy(_RUN).agg(n.alias("n"), *(F.first(c).alias(c) for c in _PLACE)).sortWithinPartitions(_RUN)
+
+    def scan(self, new: DataFrame) -> None:
+        """Merge-scan ``new`` against itself and each level for stretches that differ, but agree as far as a window reaches on a side."""
+        keys = stored(self._reaches(new, "a", "z"), "batch-keys")
+        found = keys.where("a <> z").select("head", "key")
         for _, level in self.levels:
-            both = self._keys(level).select("head", "key").distinct().join(keys.select("head", "key"), ["head", "key"])
-            common.append(stored(both, "common-keys"))
-            found = found.unionByName(self._holding(new, common[-1])).unionByName(self._holding(level, common[-1]))
+            both = keys.join(self._reaches(level, "b", "y"), ["head", "key"]).where("least(a, b) <> greatest(z, y)")
+            found = found.unionByName(both.select("head", "key"))
         self.found.append(stored(found, "found"))
-        drop(keys, own, *common)
+        drop(keys)
 
     def insert(self, suffixes: DataFrame) -> None:
         """Add a batch of sampled suffixes (head, fwd, back, ext, u, v, place); each is rewritten log(batches) times."""
-        new = suffixes.groupBy(_RUN).agg(F.count("*").alias("n"), F.min(F.struct("u", "v", "place")).alias("one"))
-        new = stored(new.sortWithinPartitions(_RUN), "level")
-        self._scan(new)
+        new = stored(self._run(suffixes, F.count("*")), "level")
+        self.scan(new)
         self.levels.append((1, new))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, a), (_, b) = self.levels.pop(), self.levels.pop()
-            merged = a.unionByName(b).groupBy(_RUN).agg(F.sum("n").alias("n"), F.min("one").alias("one"))
-            self.levels.append((2 * size, stored(merged.sortWithinPartitions(_RUN), "level")))
+            self.levels.append((2 * size, stored(self._run(a.unionByName(b), F.sum("n")), "level")))
             drop(a, b)
 
+    def runs(self) -> DataFrame:
+        """The runs of all levels, each once."""
+        if len(self.levels) == 1:
+            return self.levels[0][1]
+        every = self.levels[0][1]
+        for _, level in self.levels[1:]:
+            every = every.unionByName(level)
+        return self._run(every, F.sum("n"))
+
     def matches(self) -> DataFrame:
-        """The runs that share text: (head, fwd, back, ext, one, full), full with two places or more."""
+        """The runs that agree with another one on a side of a suffix."""
         found = self.found[0]
         for more in self.found[1:]:
             found = found.unionByName(more)
-        runs = found.groupBy(_RUN).agg(F.max("n").alias("n"), F.min("one").alias("one"), F.max("one").alias("other"))
-        return runs.select(*_RUN, "one", ((F.col("n") > 1) | (F.col("one") != F.col("other"))).alias("full"))
+        # Tables of their own: joins on an aggregate's partitioning couldn't split a key that fills a third of all rows.
+        shared = stored(found.distinct(), "shared-keys")
+        some = stored(self._keys(self.runs()).join(shared, ["head", "key"], "left_semi").select("head", "ext").distinct(), "shared-runs")
+        matches = stored(self.runs().join(some, ["head", "ext"], "left_semi"), "matches")
+        drop(shared, some)
+        return matches
 
     def close(self) -> None:
         drop(*self.found, *(level for _, level in self.levels))
@@ -257,14 +264,10 @@ def _window_rows(length: int):
 
 def _partial(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     """Marks of single windows: those of stretches that agree in part with others."""
-    keys = runs.select("head", F.explode(F.array("fwd", "back")).alias("key")).where("key <> 0")
-    shared = stored(keys.groupBy("head", "key").agg(F.count("*").alias("n")).where("n > 1").select("head", "key"), "shared-keys")
-    asked = SuffixLevels._holding(runs.select("head", "fwd", "back", "one", "full"), shared)
-    asked = asked.groupBy(F.col("one.u").alias("i"), F.col("one.v").alias("j")).agg(F.collect_set(F.struct("one.place", "full")).alias("asked"))
-    texts = docs.join(asked, (F.col("u") == F.col("i")) & (F.col("v") == F.col("j"))).select("u", "v", "text", "asked").dropDuplicates(["u", "v"])
+    asked = runs.groupBy(F.col("u").alias("i"), F.col("v").alias("j")).agg(F.collect_list(F.struct("place", (F.col("n") > 1).alias("full"))).alias("asked"))
+    texts = docs.join(asked, (F.col("u") == F.col("i")) & (F.col("v") == F.col("j"))).select("u", "v", "text", "asked")
     bodies = stored(texts.mapInArrow(_bodies(length), "u long, v long, place long, full boolean, kmer long, body binary"), "stretches")
     release(docs.sparkSession)
-    drop(shared)
     hot = stored(bodies.groupBy("kmer").count().where(F.col("count") > HOT).select("kmer"), "hot-kmers")
     buckets = max(1, -(-bodies.count() // BUCKET))
     cold = bodies.join(hot, "kmer", "left_anti").withColumn("bucket", F.pmod("kmer", F.lit(buckets)))
@@ -282,18 +285,18 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, batches: int = BATCH
     spark, index = docs.sparkSession, index or SuffixLevels()
     for b in range(batches):
         batch = docs.where(F.pmod("u", F.lit(batches)) == b) if batches > 1 else docs
-        index.insert(batch.mapInArrow(_suffixes(length, *_RUN), "u long, v long, place long, head binary, fwd long, back long, ext long"))
+        index.insert(batch.mapInArrow(_suffixes(length, *_RUN), "u long, v long, place long, head long, fwd long, back long, ext long"))
         release(spark)
-    runs = stored(index.matches(), "matches")
+    matches = index.matches()
+    full = stored(index.runs().where("n > 1").select("head", "ext").distinct(), "full")
     index.close()
-    # A table of its own: a join on an aggregate's partitioning couldn't split a run that fills a third of all rows.
-    full = stored(runs.where("full").select("head", "ext").distinct(), "full")
-    places = docs.mapInArrow(_suffixes(length, "head", "ext"), "u long, v long, place long, head binary, ext long")
+    release(spark)
+    places = docs.mapInArrow(_suffixes(length, "head", "ext"), "u long, v long, place long, head long, ext long")
     whole = places.join(full, ["head", "ext"], "left_semi").select("u", "v", F.expr("place - (place & 4294967295) + (place & 65535)").alias("mark"))
-    marks = whole.unionByName(_partial(docs, runs, length))
+    marks = whole.unionByName(_partial(docs, matches, length))
     marks = stored(marks.groupBy("u", "v").agg(F.collect_set("mark").alias("marks")), "marks")
     release(spark)
-    drop(runs, full)
+    drop(matches, full)
     return marks
 
 
