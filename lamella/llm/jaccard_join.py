@@ -1,10 +1,16 @@
 """Near-duplicate join on word shingles by a MinHash LSH forest with exact verification.
 
-Each distinct shingle set (a class of copies) has a signature in each of several prefix trees.
-Matched prefixes are shortened from the full depth until the recall at the threshold reaches the
-target; the nodes of that depth with two classes or more hold the candidates.  All pairs of a
-node are verified exactly, in blocks inside tasks: what leaves a task is one row per class, with
-its number of links and the smallest class it is linked to, never the pairs.
+Each distinct shingle set (a class of copies) has a signature in each tree; the sorted signatures
+are a prefix trie, whose nodes are the classes with a common prefix.  A class's prefix in a tree is as short
+as its node stays small: all begin with long prefixes that are shortened to ``depth``, by which two
+sets at the threshold meet with the target recall in a few trees already.  A class that lies in
+crowded nodes there (common boilerplate) keeps double the length in them, and gets as many further trees as bring it
+to the target recall; long prefixes split a crowded node into those that agree in more than the
+boilerplate.  For each class, one minus the product over its trees of the chances to miss a set at the threshold
+is the target recall or more.
+
+All pairs of a node are verified exactly, in blocks inside tasks: what leaves a task is one row
+per class, with its number of links and the smallest class it is linked to, never the pairs.
 """
 
 from __future__ import annotations
@@ -13,26 +19,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .components import connected_components
-from .storage import stored
+from .storage import drop, stored
 from .wordhash import Texts, mix, slices, words
 
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 16
-DEPTH = 6
 TARGET_RECALL = 0.999
-#: Classes compared at once; a node with more is dealt out as pairs of parts of about this size.
+#: Classes of a node that are compared at once.  A node with more is crowded; long prefixes that still agree are dealt out as pairs of parts of about this size.
 BLOCK = 1024
 #: Shingles compared at once: nodes of long texts have more parts, so a task's memory doesn't grow with the texts.
 BLOCK_SHINGLES = 1 << 22
 
-_rng = np.random.default_rng(8)
-_PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TIMES = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64)
+_PLACE = np.random.default_rng(8).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def recall(similarity: float, depth: int, trees: int = TREES) -> float:
@@ -40,13 +42,22 @@ def recall(similarity: float, depth: int, trees: int = TREES) -> float:
     return 1 - (1 - similarity**depth) ** trees
 
 
-def prefix_depth(threshold: float = THRESHOLD, target: float = TARGET_RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix, shortened from the full depth, that has the target recall."""
-    while depth > 1 and recall(threshold, depth, trees) < target:
-        depth -= 1
+def prefix_depth(threshold: float = THRESHOLD, target: float = TARGET_RECALL, trees: int = TREES) -> int:
+    """The longest prefix that has the target recall in this many trees."""
+    depth = 1
+    while recall(threshold, depth + 1, trees) >= target:
+        depth += 1
     return depth
 
 
+def trees_needed(depth: int, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> int:
+    """How many trees give prefixes of this depth the target recall."""
+    trees = 1
+    while recall(threshold, depth, trees) < target:
+        trees += 1
+    return trees
+
+
 def shingle_sets(texts: Texts, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each row, one after the other, and each row's start.
 
@@ -66,37 +77,51 @@ def shingle_sets(texts: Texts, size: int = WORDS) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), starts
 
 
-def _sketches(depth: int):
+def _digests(texts: Texts, s: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Class of each row: 128 bits of its shingle set; of its bytes where it has no word; null for an empty text."""
+    full, bytes_of = np.flatnonzero(np.diff(at)), np.diff(texts.offsets)
+    digest = np.zeros((len(texts), 2), np.uint64)
+    if len(full):
+        for k in (0, 1):
+            digest[full, k] = np.bitwise_xor.reduceat(mix(s + _PLACE[60 + k]), at[full])
+    for i in np.flatnonzero((np.diff(at) == 0) & (bytes_of > 0)):
+        raw = texts.data[texts.offsets[i] : texts.offsets[i + 1]].astype(np.uint64)
+        place = np.arange(len(raw), dtype=np.uint64)
+        digest[i] = [np.bitwise_xor.reduce(mix(mix(place + _PLACE[62 + k]) ^ (raw * _PLACE[5]))) for k in (0, 1)]
+    c = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(texts), [None, pa.py_buffer(digest)]).cast(pa.binary())
+    return pa.compute.if_else(pa.array(bytes_of > 0), c, pa.scalar(None, pa.binary()))
+
+
+def _prefixes(s: np.ndarray, at: np.ndarray, trees: int, depth: int) -> pa.Array:
+    """The prefix of each row's signature in each tree, as one number; no prefix for an empty set."""
+    full = np.flatnonzero(np.diff(at))
+    keys = np.zeros((len(full), trees), np.uint64)
+    for t in range(trees if len(full) else 0):
+        times, plus = np.random.default_rng([8, t]).integers(1, 1 << 63, (2, 64), dtype=np.uint64)
+        key = np.full(len(full), t, np.uint64)
+        for k in range(depth):
+            key = mix(key + np.minimum.reduceat(s * (times[k] * np.uint64(2) + np.uint64(1)) + plus[k], at[full]))
+        keys[:, t] = key
+    ends = np.concatenate([[0], np.cumsum(np.diff(at) > 0)]).astype(np.int32) * np.int32(trees)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
+
+
+def _sketches(trees: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
                 s, at = shingle_sets(texts)
-                full = np.flatnonzero(np.diff(at))
-                digest = np.zeros((len(texts), 2), np.uint64)
-                keys = np.zeros((len(texts), TREES), np.uint64)
-                if len(full):
-                    starts = at[full]
-                    digest[full, 0] = np.bitwise_xor.reduceat(mix(s + _PLACE[60]), starts)
-                    digest[full, 1] = np.bitwise_xor.reduceat(mix(s + _PLACE[61]), starts)
-                    for t in range(TREES):
-                        key = np.full(len(full), t, np.uint64)
-                        for k in range(depth):
-                            j = t * DEPTH + k
-                            key = mix(key + np.minimum.reduceat(s * _TIMES[j] + _PLUS[j], starts))
-                        keys[full, t] = key
-                bytes_of = np.diff(texts.offsets)
-                bare = np.flatnonzero((np.diff(at) == 0) & (bytes_of > 0))
-                for i in bare:  # texts without a word are copies if they are equal
-                    raw = texts.data[texts.offsets[i] : texts.offsets[i + 1]].astype(np.uint64)
-                    place = np.arange(len(raw), dtype=np.uint64)
-                    digest[i] = [np.bitwise_xor.reduce(mix(mix(place + _PLACE[62 + k]) ^ (raw * _PLACE[5]))) for k in (0, 1)]
                 rows = batch.slice(texts.first, len(texts))
-                known = pa.array(bytes_of > 0)
-                c = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(texts), [None, pa.py_buffer(digest)]).cast(pa.binary())
-                c = pa.compute.if_else(known, c, pa.scalar(None, pa.binary()))
-                flat = pa.array(keys[full].view(np.int64).ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.diff(at) > 0)]).astype(np.int32) * TREES), flat)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("th"), c, pa.array(np.diff(at)), lists], names=["doc_id", "th", "c", "size", "keys"])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("th"), _digests(texts, s, at), pa.array(np.diff(at)), _prefixes(s, at, trees, depth)], names=["doc_id", "th", "c", "size", "keys"])
+
+    return run
+
+
+def _long_prefixes(trees: int, depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in slices(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("c").slice(texts.first, len(texts)), _prefixes(*shingle_sets(texts), trees, depth)], names=["c", "keys"])
 
     return run
 
@@ -110,7 +135,7 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows.column("c"), rows.column("copies"), rows.column("nodes"), lists], names=["c", "copies", "nodes", "s"])
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, trees: int):
     def run(table: pa.Table) -> pa.Table:
         node, i, j = (table.column(k)[0].as_py() for k in ("node", "i", "j"))
         table = table.combine_chunks()
@@ -120,7 +145,7 @@ def _verify(threshold: float):
             table, c = table.take(pa.array(keep)), c[keep]
         n = len(c)
         copies, part = (table.column(k).to_numpy() for k in ("copies", "part"))
-        where = np.zeros((n, TREES), np.int64)
+        where = np.zeros((n, trees), np.int64)
         col = table.column("nodes").combine_chunks()
         flat = col.flatten()
         owner = np.repeat(np.arange(n), col.value_lengths().to_numpy())
@@ -168,44 +193,69 @@ def _verify(threshold: float):
     return run
 
 
+def _nodes(classes: DataFrame, first: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Each class's node in each tree (trees count from ``first``), and the nodes of two classes or more: parts, and a number that tells their members."""
+    at = classes.select("c", "size", F.posexplode("keys").alias("tree", "key")).withColumn("tree", F.col("tree") + first)
+    sizes = at.groupBy("tree", "key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(F.xxhash64("c")).alias("members"))
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("long")
+    # Nodes of different trees with the same members have the same number and are verified once.
+    return at.select("c", "tree", "key"), stored(sizes.where("n > 1").select("tree", "key", parts.alias("parts"), F.xxhash64("members", "n").alias("node")), "nodes")
+
+
+def _texts(source: DataFrame, classes: DataFrame, *columns: str) -> DataFrame:
+    """The text of each class's representative, once, with columns of ``classes``."""
+    wanted = classes.select("c", *columns, F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
+    met = source.join(wanted, source.doc_id.eqNullSafe(F.col("rep_id")) & (source.th == F.col("rep_th")))
+    return met.select("c", *columns, "text").dropDuplicates(["c"])
+
+
+def _candidates(source: DataFrame, classes: DataFrame, threshold: float, target: float, depth: int) -> tuple[DataFrame, int]:
+    """(c, copies, rep, nodes) of the classes that share an opened node with another one, and the number of trees."""
+    at, sizes = _nodes(classes)
+    spare = TREES - trees_needed(depth, threshold, target)
+    many = sizes.where("parts > 1").select("tree", "key")
+    crowded = stored(at.join(many, ["tree", "key"], "left_semi").groupBy("c").count().where(F.col("count") > spare).select("c"), "crowded")
+    members, trees = at.join(sizes.where("parts = 1"), ["tree", "key"]), TREES
+    if not crowded.isEmpty():
+        more = trees_needed(2 * depth, threshold, target)
+        texts = _texts(source, classes.join(crowded, "c", "left_semi"), "size")
+        long = stored(texts.mapInArrow(_long_prefixes(more, 2 * depth), "c binary, keys array<long>").join(classes.select("c", "size"), "c"), "long-prefixes")
+        at, sizes = _nodes(long, TREES)
+        members, trees = members.unionByName(at.join(sizes, ["tree", "key"])), TREES + more
+    found = members.groupBy("c").agg(F.collect_list(F.struct("tree", "node", "parts")).alias("nodes"))
+    return classes.select("c", "copies", "rep").join(found, "c"), trees
+
+
 def _known(docs: DataFrame, threshold: float, target: float, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(rows, known): doc_id, text hash th and class c of each row; ids, links and the first row (none, doc_id, th) of each class's component."""
     depth = prefix_depth(threshold, target)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
-    rows = stored(source.mapInArrow(_sketches(depth), "doc_id long, th long, c binary, size long, keys array<long>"), "signatures")
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    long, of = T.LongType(), source.schema["doc_id"].dataType
+    kinds = {"doc_id": of, "th": long, "c": T.BinaryType(), "size": long, "keys": T.ArrayType(long)}
+    rows = stored(source.mapInArrow(_sketches(TREES, depth), T.StructType([T.StructField(k, v) for k, v in kinds.items()])), "signatures")
     classes = rows.where("c is not null").groupBy("c").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")
     )
-    nodes = classes.where("size(keys) > 0").select("c", "copies", "rep", "size", F.posexplode("keys").alias("tree", "key"))
-    shared = (
-        nodes.groupBy("tree", "key")
-        .agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(F.xxhash64("c")).alias("members"))
-        .where("n > 1")
-        .select("tree", "key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("long").alias("parts"), F.xxhash64("members", "n").alias("node"))
-    )
-    # Nodes of different trees with the same members have the same number and are verified once.
-    wanted = (
-        nodes.join(shared, ["tree", "key"])
-        .groupBy("c")
-        .agg(F.first("copies").alias("copies"), F.first("rep").alias("rep"), F.collect_list(F.struct("tree", "node", "parts")).alias("nodes"))
-        .select("c", "copies", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"), "nodes")
-    )
-    texts = source.join(wanted, source.doc_id.eqNullSafe(F.col("rep_id")) & (source.th == F.col("rep_th"))).select("c", "copies", "nodes", "text")
-    sets = texts.dropDuplicates(["c"]).mapInArrow(_shingles, "c binary, copies long, nodes array<struct<tree:int,node:long,parts:long>>, s array<long>")
+    classes = stored(classes, "classes")
+    wanted, trees = _candidates(source, classes, threshold, target, depth)
+    sets = _texts(source, wanted, "copies", "nodes").mapInArrow(_shingles, "c binary, copies long, nodes array<struct<tree:int,node:long,parts:long>>, s array<long>")
     node = F.explode(F.array_distinct(F.transform("nodes", lambda x: F.struct(x.node.alias("node"), x.parts.alias("parts")))))
     parts = F.col("at.parts").cast("int")
     placed = sets.withColumn("at", node).select("*", F.col("at.node").alias("node"), parts.alias("parts"), F.pmod(F.xxhash64("c", F.col("at.node")), parts).cast("int").alias("part"))
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j"))))
     blocks = placed.withColumn("ij", meets).select("node", F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "part", "c", "copies", "nodes", "s")
-    links = stored(blocks.groupBy("node", "i", "j").applyInArrow(_verify(threshold), "c binary, links long, root binary"), "links")
+    links = stored(blocks.groupBy("node", "i", "j").applyInArrow(_verify(threshold, trees), "c binary, links long, root binary"), "links")
     degree = links.groupBy("c").agg(F.sum("links").alias("links"))
     parts_of = connected_components(links.select("c", "root"), "c", "root").select(F.col("node").alias("c"), "component")
     known = classes.select("c", "copies", "copy_id", "rep").join(degree, "c", "left").join(parts_of, "c", "left")
-    known = known.withColumn("component", F.coalesce("component", "c"))
-    least = known.where("links is not null").groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("rep").alias("first"))
+    known = stored(known.withColumn("component", F.coalesce("component", "c")), "linked")
+    least = stored(known.where("links is not null").groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("rep").alias("first")), "components")
+    # Tables of their own: joins on an aggregate's partitioning couldn't split a class or component with a third of all rows.
     known = known.join(least, "component", "left").select(
         "c", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("first", "rep").alias("first")
     )
+    known = stored(known, "known")
+    drop(classes, links, least)
     return rows, known
 
 
@@ -218,12 +268,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target: float
     (copies included).  Texts of one to four words are one shingle.  Texts without a word are
     linked if they are equal.  Null and empty texts have no link and their own doc_id as class.
     Repeated rows are copies.  A null doc_id is a row like any other; it is nobody's smallest id
-    unless all are null.  Further columns are ignored; an empty table gives no row.
+    unless all are null.  Ids may have any type with an order.  Further columns are ignored; an empty table gives no row.
     """
     rows, known = _known(docs, threshold, target, doc_id, text)
-    return rows.select("doc_id", "c").join(known.drop("first"), "c", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    met = rows.where("c is not null").select("doc_id", "c").join(known, "c").select("doc_id", "class_id", "copy_id", "n_links")
+    alone = rows.where("c is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
+    return met.unionByName(alone)
 
 
 def removed_copies(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -156,9 +156,50 @@ def test_large_nodes_are_verified_in_parts(spark, monkeypatch, limit, value):
     same(jac.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), brute.linked(rows), "doc_id", "class_id", "n_links")
 
 
-def test_prefixes_are_shortened_to_the_recall():
+def test_every_class_has_the_recall():
     depth = jac.prefix_depth()
     assert jac.recall(0.8, depth) >= jac.TARGET_RECALL > jac.recall(0.8, depth + 1)
+    few, many = jac.trees_needed(depth), jac.trees_needed(2 * depth)
+    assert few <= jac.TREES and jac.recall(0.8, depth, few) >= jac.TARGET_RECALL > jac.recall(0.8, depth, few - 1)
+    assert jac.recall(0.8, 2 * depth, many) >= jac.TARGET_RECALL > jac.recall(0.8, 2 * depth, many - 1)
+
+
+def similar_pairs(n, boilerplate=0):
+    """Pairs of texts with a similarity just above 0.8, each with the same words in front."""
+    rng, rows = random.Random(11), []
+    front = " ".join(f"front{i}" for i in range(boilerplate))
+    for k in range(n):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        other = own.copy()
+        for at in range(10, 120, 12 if boilerplate else 55):
+            other[at] = "x"
+        rows += [(2 * k, f"{front} {' '.join(own)}"), (2 * k + 1, f"{front} {' '.join(other)}")]
+    return rows
+
+
+@pytest.mark.parametrize("boilerplate", [0, 400])
+def test_recall_just_above_the_threshold(spark, monkeypatch, boilerplate):
+    """800 pairs near 0.83; with nodes of more than 16 classes counted as crowded, boilerplate sends all to long prefixes."""
+    asked, plain = [], jac._long_prefixes
+    monkeypatch.setattr(jac, "_long_prefixes", lambda *a: asked.append(a) or plain(*a))
+    monkeypatch.setattr(jac, "BLOCK", 16 if boilerplate else 1024)
+    rows = similar_pairs(800, boilerplate)
+    a, b = (brute.shingles(t) for _, t in rows[:2])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    got = {r.doc_id: r.n_links for r in jac.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got.values()) <= {0, 1} and sum(got.values()) >= 0.99 * 1600 and asked == ([(trees, 8)] if (trees := jac.trees_needed(8)) and boilerplate else [])
+    print("linked", sum(got.values()), "of 1600")
+
+
+def test_recall_on_the_larger_table(spark):
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()
+    same(entry.op8_jaccard_join(spark, "/root/testdata/sf0.01"), brute.linked([(r["doc_id"], r["text"]) for r in docs]), "doc_id", "class_id", "n_links")
+
+
+def test_near_duplicates_of_text_ids(spark):
+    rows = [("b", "one two three four five six"), ("a", "One two three four five six!"), (None, None), ("c", "")]
+    out = jac.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert {(r.doc_id, r.class_id, r.n_links) for r in out.collect()} == {("a", "a", 1), ("b", "a", 1), (None, None, 0), ("c", "c", 0)}
 
 
 def test_decontamination(spark, messy, empty):
