@@ -9,7 +9,6 @@ stream, the position id of their first token and the stream intervals of their a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -105,7 +104,8 @@ def format_conversations(conversations: DataFrame, tokenizer: str, loss_role: st
     path = kept.groupBy("leaf").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: F.substring(x.node, 1, 16)), "").alias("path"))
     ranks = stored(_ranked(path, ["path", "leaf"], "rank").select("leaf", "rank"), "ranks")
     paths = stored(kept.join(ranks, "leaf").select("leaf", "rank", "depth", "node", "role", "text"), "paths")
-    owners = paths.groupBy("node").agg(F.min("rank").alias("owner"))
+    # A table of its own: a join on the aggregate's partitioning couldn't split a turn that many share.
+    owners = stored(paths.groupBy("node").agg(F.min("rank").alias("owner")), "owners")
     owned = stored(paths.join(owners, "node"), "owned")
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY))
     texts = owned.where("rank = owner").select("owner", "depth", "node", head.alias("head"), escape(F.col("text")).alias("body"), F.lit(END).alias("tail"), (F.col("role") == loss_role).alias("is_loss"))
@@ -128,7 +128,7 @@ def format_conversations(conversations: DataFrame, tokenizer: str, loss_role: st
 
 
 def _read(path: str):
-    """Digests of conversations from their tokens: decoded, taken apart by the template and unescaped."""
+    """Each node's turns, loss text and length from its tokens: decoded, taken apart by the template and unescaped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import decoders
@@ -137,23 +137,24 @@ def _read(path: str):
         vocabulary: dict[int, str] = {v: k for k, v in _tokenizer(path).get_vocab().items()}
         decode = lambda ids: byte_level.decode([vocabulary[i] for i in ids])
         for batch in batches:
-            rows = []
-            for leaf, steps in zip(batch.column("leaf").to_pylist(), batch.column("steps").to_pylist(), strict=True):
-                whole = decode([i for s in steps for i in s["ids"]])
-                turns = hashlib.sha256()
-                for part in whole.split(TURN)[1:]:
-                    role, _, text = part.removesuffix(END).partition(BODY)
-                    turns.update(f"{unescaped(role)}\n{unescaped(text)}\n".encode())
-                loss = "".join(unescaped(decode(s["ids"][s["loss_start"] : s["loss_end"]])) for s in steps if s["loss_end"] > s["loss_start"])
-                rows.append((leaf, len(whole.split(TURN)) - 1, turns.hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole)))
-            yield pa.RecordBatch.from_pydict(dict(zip(("leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"), map(pa.array, zip(*rows, strict=True)), strict=True))) if rows else batch.slice(0, 0).select([])
+            said, n, loss, chars = [], [], [], []
+            for ids, a, z in zip(*(batch.column(k).to_pylist() for k in ("ids", "loss_start", "loss_end")), strict=True):
+                whole = decode(ids)
+                turns = [part.removesuffix(END).partition(BODY) for part in whole.split(TURN)[1:]]
+                said.append("".join(f"{unescaped(role)}\n{unescaped(text)}\n" for role, _, text in turns))
+                n.append(len(turns))
+                loss.append(unescaped(decode(ids[a:z])) if z > a else "")
+                chars.append(len(whole))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(loss, pa.string()), pa.array(chars, pa.int64())], names=["node", "n", "said", "loss", "chars"])
 
     return run
 
 
 def read_back(nodes: DataFrame, paths: DataFrame, members: DataFrame, tokenizer: str) -> DataFrame:
-    """Each conversation's turns and loss text, as digests, from the written tokens."""
-    steps = paths.join(nodes.select("node", "ids", "loss_start", "loss_end"), "node")
-    whole = steps.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "ids", "loss_start", "loss_end"))).alias("steps"))
-    digests = whole.mapInArrow(_read(tokenizer), "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
-    return members.select("conv_id", "leaf").join(digests, "leaf").drop("leaf")
+    """Each conversation's turns and loss text, as digests, from the written tokens; every node is decoded once."""
+    read = nodes.select("node", "ids", "loss_start", "loss_end").mapInArrow(_read(tokenizer), "node string, n long, said string, loss string, chars long")
+    steps = paths.join(stored(read, "read"), "node")
+    whole = steps.groupBy("leaf").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.array_sort(F.collect_list(F.struct("depth", "said", "loss"))).alias("steps"))
+    turns, loss = (F.array_join(F.transform("steps", lambda x: x[k]), "") for k in ("said", "loss"))
+    digests = whole.select("leaf", "n_turns", F.sha2(turns, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+    return members.select("conv_id", "leaf").join(stored(digests, "digests"), "leaf").drop("leaf")

@@ -9,20 +9,19 @@ position; hit words of overlapping occurrences merge into spans.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .storage import fresh
-from .wordhash import SLICE_BYTES, slices, words
+from .storage import drop, fresh, stored
+from .wordhash import Texts, Words, slices, words
 
 WINDOW = 10
 SAMPLE = 8
-#: Benchmark words that tasks receive at once; a larger benchmark takes more passes.
-QUERY_WORDS = 4_000_000
+#: Windows and their items that are broadcast at once; a larger benchmark takes more passes.
+PORTION = 400_000
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -119,22 +118,41 @@ class FMIndex:
         return out
 
 
-def windows(benchmark: list[tuple], size: int) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """Distinct windows as rows of word hashes (right-aligned), their lengths, and the items of each; a null id is in none."""
-    found: dict[bytes, set[str]] = {}
-    ids = [() if i is None else (str(i),) for i, _ in benchmark]
-    for texts in slices(pa.array([t for _, t in benchmark], pa.string())):
-        w = words(texts)
-        h = w.hashes
-        for i in range(len(texts)):
-            own = h[w.rows[i] : w.rows[i + 1]]
-            for k in range(max(len(own) - size, 0) + 1 if len(own) else 0):
-                found.setdefault(own[k : k + size].tobytes(), set()).update(ids[texts.first + i])
+def _item_windows(size: int):
+    """(window, item) of each item: its words' hashes one after the other; a null id stays null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("item").to_pylist()
+            for texts in slices(batch.column("text")):
+                w = words(texts)
+                h = w.hashes
+                cut, item = [], []
+                for i in range(len(texts)):
+                    own = h[w.rows[i] : w.rows[i + 1]]
+                    n = max(len(own) - size, 0) + 1 if len(own) else 0
+                    cut += [own[k : k + size].tobytes() for k in range(n)]
+                    item += [ids[texts.first + i]] * n
+                yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), pa.array(item, pa.string())], names=["window", "item"])
+
+    return run
+
+
+def benchmark_windows(benchmark: DataFrame, size: int, item_id: str, item_text: str) -> DataFrame:
+    """(window, items): the distinct windows of all items, with the sorted ids of those that have it."""
+    told = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
+    cut = told.mapInArrow(_item_windows(size), "window binary, item string")
+    return cut.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def _phrases(portion: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """Windows as rows of word hashes (right-aligned), their lengths, and the items of each."""
+    found = portion.column("window").to_pylist()
     lengths = np.array([len(k) // 8 for k in found], np.int64)
     rows = np.zeros((len(found), size), np.uint64)
     for i, k in enumerate(found):
         rows[i, size - lengths[i] :] = np.frombuffer(k, np.uint64)
-    return rows, lengths, [sorted(v) for v in found.values()]
+    return rows, lengths, portion.column("items").to_pylist()
 
 
 def _hits(phrases: np.ndarray, lengths: np.ndarray, w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,102 +174,120 @@ def _hits(phrases: np.ndarray, lengths: np.ndarray, w) -> tuple[np.ndarray, np.n
     return np.repeat(some, count), doc, at - doc
 
 
-def _scan(found: tuple, names: dict):
-    phrases, lengths, items = found
+def _search(texts: Texts, w: Words, phrases: np.ndarray, lengths: np.ndarray, items: list[list[str]]) -> tuple[np.ndarray, list[set[str]]]:
+    """Which words of the shard are hit, and the items that each text has."""
+    hit, of = np.zeros(len(w.starts) + 1, np.int64), [set() for _ in range(len(texts))]
+    if len(w.starts) and len(phrases):
+        which, doc, at = _hits(phrases, lengths, w)
+        np.add.at(hit, at, 1)
+        np.add.at(hit, at + lengths[which], -1)
+        for p, d in set(zip(which.tolist(), doc.tolist(), strict=True)):
+            of[d].update(items[p])
+    return np.cumsum(hit[:-1]) > 0, of
 
+
+def _ranges(inside: np.ndarray) -> np.ndarray:
+    """First and end of each run of true."""
+    return np.flatnonzero(np.diff(np.concatenate([[0], inside, [0]]))).reshape(-1, 2)
+
+
+_RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _judged(rows: pa.RecordBatch, names: list[str], texts: Texts, w: Words, inside: np.ndarray, of: list) -> pa.RecordBatch:
+    """``rows`` with n_words, n_hit, items and spans."""
+    before = np.concatenate([[0], np.cumsum(inside)])
+    spans: list[list[dict[str, int]]] = [[] for _ in range(len(texts))]
+    n_hit = np.diff(before[w.rows])
+    for d in np.flatnonzero(n_hit):
+        a = w.rows[d]
+        spans[d] = [{"start": int(w.starts[a + p] - texts.offsets[d]), "end": int(w.ends[a + q - 1] - texts.offsets[d])} for p, q in _ranges(inside[a : w.rows[d + 1]])]
+    added = [pa.array(np.diff(w.rows)), pa.array(n_hit), pa.array([sorted(x) for x in of], pa.list_(pa.string())), pa.array(spans, _RANGES)]
+    return pa.RecordBatch.from_arrays([*rows.columns, *added], names=names)
+
+
+def _scan(found, size: int, text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = _phrases(found.value, size)
         for batch in batches:
-            for texts in slices(batch.column(names["text"])):
+            for texts in slices(batch.column(text)):
                 w = words(texts)
-                n_words = np.diff(w.rows)
-                hit = np.zeros(len(w.starts) + 1, np.int64)
-                of, met = [set() for _ in range(len(texts))], set()
-                if len(w.starts) and len(phrases):
-                    which, doc, at = _hits(phrases, lengths, w)
-                    np.add.at(hit, at, 1)
-                    np.add.at(hit, at + lengths[which], -1)
-                    for p, d in set(zip(which.tolist(), doc.tolist(), strict=True)):
-                        of[d].update(items[p])
-                        met.add(d)
-                inside = np.cumsum(hit[:-1]) > 0
-                spans: list[list[list[int]]] = [[] for _ in range(len(texts))]
-                n_hit = np.zeros(len(texts), np.int64)
-                for d in sorted(met):
-                    a, b = w.rows[d], w.rows[d + 1]
-                    own = np.flatnonzero(np.diff(np.concatenate([[0], inside[a:b], [0]])))
-                    n_hit[d] = inside[a:b].sum()
-                    spans[d] = [{"start": int(w.starts[a + p] - texts.offsets[d]), "end": int(w.ends[a + q - 1] - texts.offsets[d])} for p, q in own.reshape(-1, 2)]
-                rows = batch.slice(texts.first, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(n_words), pa.array(n_hit), pa.array([sorted(x) for x in of], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                    names=[*rows.schema.names, *(names[k] for k in ("n_words", "n_hit", "items", "spans"))],
-                )
+                yield _judged(batch.slice(texts.first, len(texts)), names, texts, w, *_search(texts, w, *phrases))
 
     return run
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` with n_words, n_hit, items and spans (byte ranges of hit words, merged) of benchmark windows.
+def _partly(found, size: int):
+    """Word ranges and items of the texts that hold windows of a portion."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = _phrases(found.value, size)
+        for batch in batches:
+            for texts in slices(batch.column("text")):
+                w = words(texts)
+                inside, of = _search(texts, w, *phrases)
+                some = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(inside)])[w.rows]))
+                ranges = [[{"start": int(p), "end": int(q)} for p, q in _ranges(inside[w.rows[d] : w.rows[d + 1]])] for d in some]
+                own = batch.select(["u", "v"]).slice(texts.first, len(texts)).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array([sorted(of[d]) for d in some], pa.list_(pa.string())), pa.array(ranges, _RANGES)], names=["u", "v", "items", "ranges"])
+
+    return run
 
-    A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is
-    one window.  A null or empty text has no words and no hits; so has every text if the
-    benchmark is empty.  Repeated rows are each judged.  Items with a null id make hits and spans,
-    but aren't in items; equal items count each.  Columns of ``docs`` named as the added ones are replaced; the others stay.  The
-    benchmark reaches the tasks in portions of at most ``QUERY_WORDS`` words; a second portion
-    means a second pass, whose hits are merged by position.
-    """
-    docs = docs.drop("n_words", "n_hit", "items", "spans")
-    added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))]
-    names = {"text": text} | {f.name: f.name for f in added}
-    queries = benchmark.where(F.col(item_text).isNotNull()).select(item_id, item_text)
-    out, portion, size = None, [], 0
-
-    def more(out: DataFrame | None) -> DataFrame:
-        found = windows(portion, window)
-        if out is None:
-            return docs.mapInArrow(_scan(found, names), T.StructType([*docs.schema.fields, *added]))
-        was = dict(zip(names, fresh(out, *("last_" + k for k in names)), strict=True))
-        renamed = out.withColumnsRenamed({k: was[k] for k in ("n_words", "n_hit", "items", "spans")})
-        both = renamed.mapInArrow(_scan(found, names), T.StructType([*renamed.schema.fields, *added]))
-        return both.mapInArrow(_merged(text, was), T.StructType([*docs.schema.fields, *added]))
-
-    for row in queries.toLocalIterator():
-        portion.append((row[0], row[1]))
-        size += len(row[1]) // 2 + 1
-        if size > QUERY_WORDS:
-            out = more(out)
-            portion, size = [], 0
-    return more(out) if portion or out is None else out
-
-
-def _merged(text: str, was: dict):
-    """Hits of two passes over the benchmark as one."""
+
+def _joined(text: str, items: str, ranges: str, names: list[str]):
+    """What the portions have found, as one answer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                body = (r[text] or "").encode()
-                spans = sorted([(s["start"], s["end"]) for k in ("spans", was["spans"]) for s in r[k]])
-                merged: list[list[int]] = []
-                for a, b in spans:
-                    if merged and (a <= merged[-1][1] or not words(next(slices(pa.array([body[merged[-1][1] : a].decode()])))).starts.size):
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                r["n_hit"] = sum(words(next(slices(pa.array([body[a:b].decode()])))).starts.size for a, b in merged)
-                r["spans"] = [{"start": a, "end": b} for a, b in merged]
-                r["items"] = sorted({*r["items"], *r[was["items"]]})
-                for k in ("n_words", "n_hit", "items", "spans"):
-                    r.pop(was[k])
-            schema = pa.schema([f for f in batch.schema if f.name not in {was[k] for k in ("n_words", "n_hit", "items", "spans")}])
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            for texts in slices(batch.column(text)):
+                w, rows = words(texts), batch.slice(texts.first, len(texts))
+                edge = np.zeros(len(w.starts) + 1, np.int64)
+                for first, own in zip(w.rows[:-1], rows.column(ranges).to_pylist(), strict=True):
+                    for r in own or ():
+                        edge[first + r["start"]] += 1
+                        edge[first + r["end"]] -= 1
+                of = [x or [] for x in rows.column(items).to_pylist()]
+                kept = rows.select([n for n in rows.schema.names if n not in (items, ranges)])
+                yield _judged(kept, names, texts, w, np.cumsum(edge[:-1]) > 0, of)
 
     return run
 
 
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` with n_words, n_hit, items and spans (byte ranges of hit words, merged) of benchmark windows.
+
+    A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is
+    one window.  A null or empty text has no words and no hits; so has every text if the
+    benchmark is empty.  Repeated rows are each judged.  Items with a null id make hits and spans,
+    but aren't in items; equal items count each.  Columns of ``docs`` named as the added ones are
+    replaced; the others stay.  The distinct windows are a table made by a job; the tasks get it as
+    a broadcast while it has at most ``PORTION`` windows and items.  A larger one is dealt out to portions, each
+    broadcast alone and searched in a job of its own; what these find is joined by the texts' hashes.
+    """
+    spark = docs.sparkSession
+    docs = docs.drop("n_words", "n_hit", "items", "spans")
+    long, ranges = T.LongType(), T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    added = [T.StructField("n_words", long), T.StructField("n_hit", long), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", ranges)]
+    schema = T.StructType([*docs.schema.fields, *added])
+    table = stored(benchmark_windows(benchmark, window, item_id, item_text), "windows")
+    portions = max(1, -(-(table.agg(F.sum(F.size("items") + 1)).first()[0] or 0) // PORTION))
+    part = lambda k: spark.sparkContext.broadcast(table.where(F.pmod(F.xxhash64("window"), F.lit(portions)) == k).toArrow())
+    if portions == 1:
+        return docs.mapInArrow(_scan(part(0), window, text, schema.names), schema)
+    u, v = F.xxhash64(F.col(text)), F.xxhash64(F.lit(1), F.col(text))
+    distinct = docs.select(u.alias("u"), v.alias("v"), F.col(text).alias("text"))
+    found = None
+    for k in range(portions):
+        windows = part(k)
+        one = stored(distinct.mapInArrow(_partly(windows, window), "u long, v long, items array<string>, ranges array<struct<start:int,end:int>>"), "portion")
+        windows.unpersist()
+        found = one if found is None else found.unionByName(one)
+    a, b, i, r = fresh(docs, "text_u", "text_v", "found_items", "found_ranges")
+    gather = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    found = stored(found.groupBy(F.col("u").alias(a), F.col("v").alias(b)).agg(gather("items").alias(i), gather("ranges").alias(r)), "found")
+    drop(table)
+    both = docs.join(found, (u == F.col(a)) & (v == F.col(b)), "left").drop(a, b)
+    return both.mapInArrow(_joined(text, i, r, schema.names), schema)
 
 
 def remove_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:

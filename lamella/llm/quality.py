@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import stored
 from .toxicity import training_rows
-from .wordhash import Texts, slices, words
+from .wordhash import Texts, first_of, slices, words
 
 SAMPLE_ROWS = 20_000
 #: Bounds of a prior's weight in documents.
@@ -37,8 +37,7 @@ def features(texts: Texts) -> np.ndarray:
     distinct = np.zeros(n)
     again = np.zeros(n)
     if len(h):
-        pairs = np.unique(np.stack([row.astype(np.uint64), h], axis=1), axis=0)
-        distinct = np.bincount(pairs[:, 0].astype(np.int64), minlength=n)
+        distinct = np.bincount(row[first_of(row, h)], minlength=n)
         again = np.bincount(row[1:][(h[1:] == h[:-1]) & (row[1:] == row[:-1])], minlength=n)
     length = np.bincount(row, w.ends - w.starts, n) / n_words
     cells = by_text((raw == 124) | (raw == 9))
@@ -97,7 +96,8 @@ def score_quality(docs: DataFrame, training: DataFrame, host: str, path: str, do
     g = hosts.agg(F.sum("host_s"), F.sum("host_n")).first()
     mean = g[0] / g[1] if g[1] else 0.5
     strong, near = prior_weight(hosts, "host_s", "host_n"), prior_weight(paths, "s", "n")
-    sites = paths.join(hosts, "host")
+    # A table of its own: else documents would be dealt by host for this join, and a hot one would fill a task.
+    sites = stored(paths.join(hosts, "host"), "sites")
     own = F.col("evidence")
     host_posterior = (strong * mean + F.col("host_s") - own) / (strong + F.col("host_n") - 1)
     path_posterior = (near * host_posterior + F.col("s") - own) / (near + F.col("n") - 1)

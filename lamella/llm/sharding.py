@@ -1,10 +1,11 @@
 """A uniform distributed shuffle into shards of exact size, by a hypergeometric communication matrix.
 
-How many rows of each input partition go to each destination block is drawn exactly (the counts of
-a uniform permutation); each partition permutes its own destinations; rows are exchanged by block
-and permuted again inside the block.  Blocks are small parts of a shard, so no task holds a shard.
-Partitions draw their own row of the matrix: they walk a binary tree over the partitions' sizes
-with a seed for each node, so the driver holds only one row count for each partition.
+How many rows of each input partition go to each shard is drawn exactly (the counts of a uniform
+permutation); each partition permutes its own destinations; rows are exchanged and permuted again
+inside the shard, by random lots: their leading bits are a block, so that no task holds a shard, and the
+blocks' counts tell where each begins.  Partitions draw their own row of the matrix: they walk a binary
+tree over the partitions' sizes with a seed for each node, so a task holds the shards' counts, and the
+driver one row count for each partition.
 """
 
 from __future__ import annotations
@@ -16,23 +17,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .storage import fresh
+from .storage import fresh, stored
 
-#: Rows of one block: what a task permutes at once.
+#: Rows of one block, on average: what a task permutes at once.
 BLOCK_ROWS = 1000
 #: numpy draws hypergeometric counts up to this population.
 _NUMPY_LIMIT = 10**9 - 1
 
 
-def block_sizes(rows: int, shards: int, block_rows: int = BLOCK_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of all blocks and the shard of each: shards differ by one row at most, as do a shard's blocks."""
-    sizes, owner = [], []
-    for s in range(shards):
-        n = rows // shards + (s < rows % shards)
-        blocks = max(1, -(-n // block_rows))
-        sizes += [n // blocks + (b < n % blocks) for b in range(blocks)]
-        owner += [s] * blocks
-    return np.array(sizes, np.int64), np.array(owner, np.int64)
+def shard_sizes(rows: int, shards: int) -> np.ndarray:
+    """Sizes that differ by one row at most."""
+    return rows // shards + (np.arange(shards) < rows % shards)
 
 
 def _one_count(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -61,9 +56,9 @@ def draw_counts(rng: np.random.Generator, left: np.ndarray, draws: int) -> np.nd
     return out
 
 
-def matrix_row(partition: int, ends: np.ndarray, blocks: np.ndarray, seed: int) -> np.ndarray:
+def matrix_row(partition: int, ends: np.ndarray, shards: np.ndarray, seed: int) -> np.ndarray:
     """Row ``partition`` of the communication matrix; ``ends`` are running sums of the partitions' row counts."""
-    low, high, left = 0, len(ends), blocks
+    low, high, left = 0, len(ends), shards
     while high - low > 1:
         mid = (low + high) // 2
         start = int(ends[low - 1]) if low else 0
@@ -95,9 +90,8 @@ def shuffle_into_shards(
     for row in counted:
         sizes[row[0]] = row[1]
     ends = np.cumsum(sizes)
-    blocks, owner = block_sizes(int(ends[-1]), shards, block_rows)
-    first = np.cumsum(blocks) - blocks
-    first -= first[np.searchsorted(owner, owner)]  # the block's first slot in its shard
+    of = shard_sizes(int(ends[-1]), shards)
+    bits = max(0, int(-(-int(of[0]) // block_rows) - 1).bit_length())
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         me, at, goes = TaskContext.get().partitionId(), 0, None
@@ -106,20 +100,23 @@ def shuffle_into_shards(
                 if me >= len(sizes):
                     raise RuntimeError("the input has other partitions than when it was counted")
                 rng = np.random.default_rng([seed, 1, me])
-                goes = rng.permutation(np.repeat(np.arange(len(blocks), dtype=np.int64), matrix_row(me, ends, blocks, seed)))
-            mine = goes[at : at + batch.num_rows]
+                goes = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), matrix_row(me, ends, of, seed)))
+                lots = rng.integers(0, 1 << 63, len(goes), dtype=np.int64)
+            mine, lot = goes[at : at + batch.num_rows], lots[at : at + batch.num_rows]
             at += batch.num_rows
             if len(mine) < batch.num_rows:
                 raise RuntimeError("the input has more rows than when it was counted")
-            lots = rng.integers(0, 1 << 63, len(mine), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(owner[mine], pa.int32()), pa.array(first[mine]), pa.array(mine), pa.array(lots)],
-                names=[*batch.schema.names, shard, slot, block, r],
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mine), pa.array(lot >> (63 - bits)), pa.array(lot)], names=[*batch.schema.names, shard, block, r])
         if goes is not None and at != len(goes):
             raise RuntimeError("the input has fewer rows than when it was counted")
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(shard, T.IntegerType()), T.StructField(slot, T.LongType()), T.StructField(block, T.LongType()), T.StructField(r, T.LongType())])
-    out = docs.mapInArrow(deal, schema)
-    place = F.row_number().over(Window.partitionBy(block).orderBy(r)) - 1
-    return out.withColumn(slot, F.col(slot) + place).drop(block, r)
+    def dealt(rows: DataFrame) -> DataFrame:
+        added = [T.StructField(shard, T.IntegerType()), T.StructField(block, T.LongType()), T.StructField(r, T.LongType())]
+        return rows.mapInArrow(deal, T.StructType([*rows.schema.fields, *added]))
+
+    # The same draws without the rows' columns: a block begins after those before it in its shard.
+    counts = dealt(docs.select(F.spark_partition_id().alias(p))).groupBy(shard, block).count()
+    before = F.coalesce(F.sum("count").over(Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = stored(counts.select(shard, block, before.alias(p)), "blocks")
+    place = F.row_number().over(Window.partitionBy(shard, block).orderBy(r)) - 1
+    return dealt(docs).join(begins, [shard, block]).withColumn(slot, F.col(p) + place).select(*docs.columns, shard, slot)

@@ -1,9 +1,10 @@
 """Exact top-k inner products with a KD-tree for each shard.
 
-A shard's vectors are split at medians of their widest dimension and every node keeps a tight
-bounding box.  A block of queries meets one shard after the other: boxes bound the products from
-above, nodes are visited best first, and the k-th score so far, propagated from a first shard to
-all others, ends a search.  Queries are a stated set and meet the rows in packed blocks.
+Rows are dealt to shards by the top levels of one KD-tree, fitted to a bounded sample, so that a shard
+is a region; inside it, vectors are split at medians of their widest dimension and every node keeps a
+tight bounding box.  Queries are a stated set in packed blocks of one region each.  A block first meets a
+shard of its own region; the k-th score there bounds all others: only shards whose box can reach
+it get the queries, nodes are visited best first, and the k-th score so far ends a search.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from .storage import stored
 
 #: Rows of a shard, queries of a block, vectors of a leaf.
 SHARD_ROWS, BLOCK_QUERIES, LEAF = 8192, 4096, 256
+#: Sampled rows that the regions are fitted to, and those of one region.
+SAMPLE_ROWS, REGION_SAMPLE = 65_536, 64
+#: Shards whose boxes meet a block of queries at once; blocks that a task searches one shard for.
+BOXES, BLOCKS = 1024, 64
 
 
 def usable(vector: str) -> Column:
@@ -114,16 +119,78 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return x.astype(np.int32) if np.abs(x).max(initial=0) < 2**31 else x
 
 
+def _regions(sample: np.ndarray, most: int) -> list[tuple[int, int, int, int]]:
+    """Top of a KD-tree over a sample: (dimension, value, left, right); a negative child -r - 1 is the region r."""
+    nodes, regions = [], 0
+
+    def grow(x: np.ndarray, share: int) -> int:
+        nonlocal regions
+        if share > 1 and len(x) > 1:
+            d = int(np.argmax(x.max(axis=0) - x.min(axis=0)))
+            cut = int(np.median(x[:, d]))
+            low = x[:, d] <= cut
+            if low.any() and not low.all():
+                me = len(nodes)
+                nodes.append((0, 0, 0, 0))
+                left = grow(x[low], share // 2)
+                nodes[me] = (d, cut, left, grow(x[~low], share - share // 2))
+                return me
+        regions += 1
+        return -regions
+
+    grow(sample, most)
+    return nodes
+
+
+def _placed(nodes: list[tuple[int, int, int, int]], dim: int):
+    """The region of each vector; vectors of other lengths are in region 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.array(nodes, np.int64).reshape(-1, 4)
+        for batch in batches:
+            region = np.zeros(batch.num_rows, np.int64)
+            mine = np.flatnonzero(batch.column("dim").to_numpy() == dim)
+            if len(mine) and len(table):
+                x = batch.column("x").take(pa.array(mine)).flatten().to_numpy().reshape(-1, dim)
+                at = np.zeros(len(mine), np.int64)
+                while (go := np.flatnonzero(at >= 0)).size:
+                    d, cut, left, right = table[at[go]].T
+                    at[go] = np.where(x[go, d] <= cut, left, right)
+                region[mine] = -at - 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region.astype(np.int32))], names=[*batch.schema.names, "region"])
+
+    return run
+
+
 def _plant(table: pa.Table) -> pa.Table:
     dim, shard = table.column("dim")[0].as_py(), table.column("shard")[0].as_py()
     tree = build_tree(table.column("id").to_numpy(), _matrix(table.column("x"), dim))
-    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "tree": pa.array([_pack(tree)], pa.binary())})
+    box = [pa.array([tree[k][0].tolist()], pa.list_(pa.int64())) for k in ("low", "high")]
+    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "tree": pa.array([_pack(tree)], pa.binary()), "low": box[0], "high": box[1]})
 
 
 def _gather(table: pa.Table) -> pa.Table:
-    dim, block = table.column("dim")[0].as_py(), table.column("block")[0].as_py()
+    dim, block, home = (table.column(k)[0].as_py() for k in ("dim", "block", "home"))
     packed = _pack({"ids": table.column("id").to_numpy(), "x": _matrix(table.column("x"), dim), "floor": table.column("floor").to_numpy()})
-    return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int32()), "queries": pa.array([packed], pa.binary())})
+    return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int64()), "home": pa.array([home], pa.int32()), "queries": pa.array([packed], pa.binary())})
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The queries of a block that each shard's box can give a score of at least their k-th, for shards with such queries."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            dim, block, home, queries, boxes = (batch.column(k)[i].as_py() for k in ("dim", "block", "home", "queries", "boxes"))
+            q = _unpack(queries)
+            x, rows = q["x"].astype(float), []
+            low, high = (np.array([b[k] for b in boxes], float) for k in ("low", "high"))
+            bounds = np.maximum(x, 0) @ high.T + np.minimum(x, 0) @ low.T
+            slack = 1e-9 * np.maximum(np.abs(x) @ np.maximum(np.abs(low), np.abs(high)).T, 1)  # beyond 2^53 sums are rounded
+            for b, reach in zip(boxes, (bounds + slack >= q["floor"][:, None]).T, strict=True):
+                if b["shard"] != home and reach.any():
+                    rows.append((dim, b["shard"], block, _pack({k: v[reach] for k, v in q.items()})))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["dim", "shard", "block", "queries"])
 
 
 def _meet(k: int):
@@ -142,30 +209,50 @@ def _meet(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest integer inner products of each query, ties to the smaller vec_id.
 
-    Both tables hold an id and an array of integers (see :func:`scaled`); a query doesn't find rows
-    with its own id.  Null ids take no part, nor do null vectors or null components.  Vectors of
-    different lengths don't meet.  Rows that repeat an id and vector count once.  With fewer than k
+    Both tables hold an integer id and an array of integers (see :func:`scaled`); a query doesn't find
+    rows with its own id.  Null ids take no part, nor do null vectors or null components.  Vectors of
+    different lengths don't meet.  Rows that repeat an id and vector are candidates each; a query that
+    repeats both is asked once, and an id with several query vectors has the best of all.  With fewer than k
     other rows, all are returned; without queries or rows, nothing.  Further columns are ignored.
     """
-    clean = lambda df: df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<long>").alias("x")).where("id is not null and x is not null and size(x) > 0 and not exists(x, v -> v is null)").dropDuplicates().withColumn("dim", F.size("x"))
-    rows, asked = clean(vectors), clean(queries)
+    spark = vectors.sparkSession
+    clean = lambda df: df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<long>").alias("x")).where("id is not null and x is not null and size(x) > 0 and not exists(x, v -> v is null)").withColumn("dim", F.size("x"))
+    rows, asked = clean(vectors), clean(queries).dropDuplicates()
     counts = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    shards = max(1, max((-(-n // SHARD_ROWS) for n in counts.values()), default=1))
-    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    trees = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("dim", "shard").applyInArrow(_plant, "dim int, shard int, tree binary")
+    main = max(counts, key=counts.get, default=0)
+    most = min(-(-counts.get(main, 0) // SHARD_ROWS), SAMPLE_ROWS // REGION_SAMPLE)
+    sample = rows.where(F.col("dim") == main).orderBy(F.xxhash64("id", F.lit(3))).limit(most * REGION_SAMPLE).select("x").collect() if most > 1 else []
+    place = _placed(_regions(np.array([r["x"] for r in sample], np.int64).reshape(-1, max(main, 1)), most), main)
+    to = "id long, x array<long>, dim int, region int"
+    rows, asked = stored(rows.mapInArrow(place, to), "placed"), stored(asked.mapInArrow(place, to), "asked")
+    # A region with more rows than a shard should hold (equal vectors, say) is dealt out by a hash.
+    shards = rows.groupBy("dim", "region").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("parts"))
+    first_shard = F.sum("parts").over(Window.partitionBy("dim").orderBy("region").rowsBetween(Window.unboundedPreceding, -1))
+    shards = stored(shards.withColumn("first_shard", F.coalesce(first_shard, F.lit(0)).cast("int")), "shards")
+    deal = lambda seed: (F.col("first_shard") + F.pmod(F.xxhash64("id", F.lit(seed), F.monotonically_increasing_id()), F.col("parts"))).cast("int")
+    trees = rows.join(F.broadcast(shards), ["dim", "region"]).withColumn("shard", deal(1)).select("dim", "shard", "id", "x").groupBy("dim", "shard").applyInArrow(_plant, "dim int, shard int, tree binary, low array<long>, high array<long>")
     trees = stored(trees, "trees")
     lowest = F.lit(-(2**62))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int"))
-
-    def found(q: DataFrame, where: Column) -> DataFrame:
-        packed = q.groupBy("dim", "block").applyInArrow(_gather, "dim int, block int, queries binary")
-        pairs = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(where)
-        met = pairs.join(trees.hint("shuffle_hash"), ["dim", "shard"]).groupBy("dim", "shard", "block")
-        return met.applyInArrow(_meet(k), "query_id long, vec_id long, score long")
-
-    home = F.col("shard") == F.pmod("block", F.lit(shards))
-    first = stored(found(asked.withColumn("floor", lowest), home), "first")
+    # A block holds queries of one region (of its nearest one, if the region has no rows) and has a shard of that region as its home.
+    per = asked.groupBy("dim", "region").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+    homes = per.join(F.broadcast(shards), ["dim", "region"], "left").where(F.col("dim").isin(list(counts) or [-1]))
+    homes = homes.withColumns({"first_shard": F.coalesce("first_shard", F.lit(0)), "parts": F.coalesce("parts", F.lit(1))})
+    lot = F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks"))
+    asked = stored(asked.join(F.broadcast(homes), ["dim", "region"]).select("dim", "id", "x", (F.shiftleft(F.col("region").cast("long"), 32) + lot).alias("block"), (F.col("first_shard") + F.pmod(lot, F.col("parts"))).cast("int").alias("home")), "blocks")
+    n_blocks = asked.select("dim", "block").distinct().count()
+    salts = max(1, -(-n_blocks // BLOCKS))
+    boxes = trees.withColumn("portion", F.floor(F.col("shard") / BOXES).cast("int")).groupBy("dim", "portion").agg(F.collect_list(F.struct("shard", "low", "high")).alias("boxes"))
+    boxes = stored(boxes, "boxes")
+
+    def found(pairs: DataFrame) -> DataFrame:
+        salted = trees.select("dim", "shard", "tree", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        met = pairs.withColumn("salt", F.pmod("block", F.lit(salts)).cast("int")).join(salted.hint("shuffle_hash"), ["dim", "shard", "salt"])
+        return met.groupBy("dim", "shard", "salt", "block").applyInArrow(_meet(k), "query_id long, vec_id long, score long")
+
+    packed = lambda q: q.groupBy("dim", "block", "home").applyInArrow(_gather, "dim int, block long, home int, queries binary")
+    first = stored(found(packed(asked.withColumn("floor", lowest)).withColumnRenamed("home", "shard")), "first")
     kth = first.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-    rest = found(asked.join(kth, "id", "left").withColumn("floor", F.coalesce("kth", lowest)).drop("kth"), ~home)
+    floors = packed(asked.join(kth, "id", "left").withColumn("floor", F.coalesce("kth", lowest)).drop("kth"))
+    rest = stored(floors.join(boxes, "dim").mapInArrow(_reached, "dim int, shard int, block long, queries binary"), "reached")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return first.unionByName(rest).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return first.unionByName(found(rest)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import stored
-from .wordhash import Texts, slices, words
+from .wordhash import Texts, first_of, slices, words
 
 #: Most labelled rows that are learned from, both halves together.
 SAMPLE_ROWS = 40_000
@@ -24,6 +24,8 @@ LEXICON = 4000
 #: Lengths in bytes of the word beginnings looked at.
 PREFIXES = (4, 5, 6, 7, 8)
 TREES, DEPTH = 30, 4
+#: Least rows of each class that calibration is fitted on.
+CALIBRATION_ROWS = 5
 
 # Words of insult and words of address.
 INSULTS = "idiot moron stupid clown loser trash scum worthless pathetic disgusting dumb imbecile fool garbage jerk filth".split()
@@ -50,9 +52,10 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(np.arange(len(texts)), np.diff(w.rows))
             toxic = batch.column("toxic").to_numpy()[texts.first : texts.first + len(texts)] > 0
             for size, h in ((0, w.hashes), *((n, w.prefix(n)) for n in PREFIXES)):
-                pairs = np.unique(np.stack([h[h != 0], row[h != 0].astype(np.uint64)], axis=1), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
-                gram, place = np.unique(pairs[:, 0], return_inverse=True)
-                bad = np.bincount(place, toxic[pairs[:, 1].astype(np.int64)], len(gram)).astype(np.int64)
+                some = h != 0
+                one = np.flatnonzero(some)[first_of(row[some], h[some])]
+                gram, place = np.unique(h[one], return_inverse=True)
+                bad = np.bincount(place, toxic[row[one]], len(gram)).astype(np.int64)
                 every = np.bincount(place, minlength=len(gram))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), size, np.int32)), pa.array(gram.view(np.int64)), pa.array(bad), pa.array(every - bad)], names=["size", "gram", "bad", "good"])
 
@@ -94,8 +97,7 @@ def features(texts: Texts, lexicon: dict[int, np.ndarray], insults: np.ndarray,
             np.maximum.at(near, row[bad[ok]], 1 / (1 + np.abs(mate[ok] - bad[ok])))
     kinds = np.zeros(n)
     if len(bad):
-        pairs = np.unique(np.stack([row[bad].astype(np.uint64), h[bad]], axis=1), axis=0)
-        kinds = np.bincount(pairs[:, 0].astype(np.int64), minlength=n).astype(float)
+        kinds = np.bincount(row[bad][first_of(row[bad], h[bad])], minlength=n).astype(float)
     raw = texts.data
     upper, lower = (raw >= 65) & (raw <= 90), (raw >= 97) & (raw <= 122)
     digit, mark = (raw >= 48) & (raw <= 57), (raw > 32) & (raw < 127) & ~((raw >= 48) & (raw <= 57)) & ~((raw >= 65) & (raw <= 90)) & ~((raw >= 97) & (raw <= 122))
@@ -153,7 +155,8 @@ def score_toxicity(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id",
     Null and empty texts have features of 0 and are scored too.  A null doc_id has a score, but no
     label can be joined to it.  Repeated rows have equal scores.  If the training rows that are
     among the documents have fewer than two classes, every score is the share of toxic ones (0 if
-    there are none).  An empty table gives no row.
+    there are none).  Calibration takes five rows of each class in part 7 (of some 80 labelled rows, that is);
+    with fewer it would be noise, and scores are the trees' own probabilities.  An empty table gives no row.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -173,7 +176,7 @@ def score_toxicity(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id",
     trees = GBTClassifier(featuresCol="x", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=5, seed=3)
     model = trees.fit(fit.where("part between 4 and 6"))
     raw = vector_to_array("probability")[1]
-    enough = min(seen.get((2, 0.0), 0), seen.get((2, 1.0), 0)) >= 5
+    enough = min(seen.get((2, 0.0), 0), seen.get((2, 1.0), 0)) >= CALIBRATION_ROWS
     scored = model.transform(measured.withColumn("x", array_to_vector("x"))).select(*own, raw.alias("raw"))
     if not enough:
         return scored.select(*own, F.col("raw").alias("score"))

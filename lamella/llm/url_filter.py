@@ -19,6 +19,7 @@ INLINE_RULES = 500
 
 _QUOTED = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*>"""
+_BASE = r"""(?is)<base\b(?=[^>]*\bhref\s*=)[^>]*>"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*>"""
 
 
@@ -40,8 +41,17 @@ def _node(url: Column) -> Column:
     )
 
 
+def _flat(path: Column) -> Column:
+    """``path`` without segments ``.`` and ``..``; a query stays as it is."""
+    way, rest = F.regexp_extract(path, r"(?s)^([^?#]*)", 1), F.regexp_extract(path, r"(?s)^[^?#]*(.*)$", 1)
+    way = F.regexp_replace(way, r"/(\.\.?)$", "/$1/")
+    up = lambda kept: F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+    kept = F.aggregate(F.split(way, "/"), F.array().cast("array<string>"), lambda k, x: F.when(x == ".", k).when(x == "..", up(k)).otherwise(F.concat(k, F.array(x))))
+    return F.when(way.contains("/."), F.concat(F.array_join(kept, "/"), rest)).otherwise(path)
+
+
 def _resolved(base: Column, href: Column) -> Column:
-    """An absolute URL for ``href`` as found on page ``base``; null where there is none."""
+    """An absolute URL for ``href`` as found on page ``base``, without dot segments; null where there is none."""
     href = F.trim(F.regexp_replace(href, "&amp;", "&"))
     origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url_path(base), r"(?s)^(.*/)", 1)
@@ -49,10 +59,10 @@ def _resolved(base: Column, href: Column) -> Column:
         F.when(href.isNull() | (href == "") | href.startswith("#") | (origin == ""), None)
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("/"), F.concat(origin, _flat(href)))
         .when(href.startswith("?"), F.concat(origin, url_path(base), href))
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-        .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), href))
+        .otherwise(F.concat(origin, _flat(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), href))))
     )
 
 
@@ -62,13 +72,14 @@ def _attribute(tag: Column, name: str) -> Column:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (src, dst) of URLs from each page's canonical link and refresh redirect."""
-    base = F.col(url)
+    """Edges (src, dst) of URLs from each page's canonical link and refresh redirect; a ``<base href>`` is what they start from."""
+    told = _resolved(F.col(url), F.nullif(_attribute(F.regexp_extract(html, _BASE, 0), "href"), F.lit("")))
+    base = F.coalesce(told, F.col(url))
     canonical = _attribute(F.regexp_extract(html, _CANONICAL, 0), "href")
     content = _attribute(F.regexp_extract(html, _REFRESH, 0), "content")
     refresh = F.regexp_replace(F.regexp_extract(content, r"(?is)\burl\s*=\s*(.*)$", 1), r"""^\s*['"]|['"]\s*$""", "")
-    found = pages.where(base.isNotNull() & F.col(html).rlike(r"""(?i)\b(rel\s*=\s*["']?canonical|http-equiv\s*=\s*["']?refresh)\b"""))
-    return found.select(base.alias("src"), F.explode(F.array(_resolved(base, canonical), _resolved(base, refresh))).alias("dst")).where(
+    found = pages.where(F.col(url).isNotNull() & F.col(html).rlike(r"""(?i)\b(rel\s*=\s*["']?canonical|http-equiv\s*=\s*["']?refresh)\b"""))
+    return found.select(F.col(url).alias("src"), F.explode(F.array(_resolved(base, canonical), _resolved(base, refresh))).alias("dst")).where(
         "dst is not null"
     )
 
@@ -86,21 +97,23 @@ def _ruled(df: DataFrame, rules: list[tuple[str, str, str]], host: str, path: st
             best = F.coalesce(best, F.when(fits, F.lit(h + p)))
             verdict = F.coalesce(verdict, F.when(fits, F.lit(kind)))
         return df.withColumns({rule: best, said: verdict})
-    # A long list: equi-join on the host's suffixes, on distinct (host, path) only.
+    # A long list: equi-join on the host's suffixes, on distinct (host, path) only; ties go as above.
     table = df.sparkSession.createDataFrame(sorted(set(rules)), "kind string, rule_host string, rule_path string")
-    parts = F.split(F.col("h"), r"\.")
+    h, p = fresh(df, "host_key", "path_key")
+    parts = F.split(F.col(h), r"\.")
     suffix = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    order = F.struct((-F.length(F.concat("rule_host", "rule_path"))).alias("n"), (F.col("kind") != "allow").alias("b"), "kind", "rule_host", "rule_path")
     won = (
-        df.select(F.col(host).alias("h"), F.col(path).alias("p"))
+        df.select(F.col(host).alias(h), F.col(path).alias(p))
         .distinct()
         .withColumn("rule_host", F.explode(suffix))
         .join(table, "rule_host")
-        .where(F.startswith("p", "rule_path"))
-        .groupBy("h", "p")
-        .agg(F.max(F.struct(F.length(F.concat("rule_host", "rule_path")).alias("n"), (F.col("kind") == "allow").alias("a"), F.concat("rule_host", "rule_path").alias("r"), F.col("kind").alias("k"))).alias("w"))
-        .select("h", "p", F.col("w.r").alias(rule), F.col("w.k").alias(said))
+        .where(F.startswith(p, "rule_path"))
+        .groupBy(h, p)
+        .agg(F.min(order).alias("w"))
+        .select(h, p, F.concat("w.rule_host", "w.rule_path").alias(rule), F.col("w.kind").alias(said))
     )
-    return df.join(won, (F.col(host) == won.h) & (F.col(path) == won.p), "left").drop("h", "p")
+    return df.join(won, (F.col(host) == F.col(h)) & (F.col(path) == F.col(p)), "left").drop(h, p)
 
 
 def filter_urls(

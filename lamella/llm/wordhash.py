@@ -35,6 +35,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def first_of(row: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Where each distinct (row, hash) occurs first."""
+    return np.unique(mix(h + row.astype(np.uint64) * _BASE), return_index=True)[1]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + 1)

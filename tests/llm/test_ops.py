@@ -233,7 +233,7 @@ def test_items_without_an_id_are_hits(spark):
 def test_decontamination_in_portions(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = dec.find_benchmark(docs, bench).select("doc_id", "n_hit", "items", "spans").toPandas()
-    monkeypatch.setattr(dec, "QUERY_WORDS", 2500)
+    monkeypatch.setattr(dec, "PORTION", 700)
     parts = dec.find_benchmark(docs, bench).select("doc_id", "n_hit", "items", "spans").toPandas()
     assert [str(r) for r in whole.sort_values("doc_id").values.tolist()] == [str(r) for r in parts.sort_values("doc_id").values.tolist()]
 
@@ -321,12 +321,35 @@ def test_top_k(spark):
     ints = {i: [math.floor(64 * c) for c in x] for i, x in rows}
     want = []
     for q in (i for i in ints if i % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(ints[q], x, strict=True)), i) for i, x in ints.items() if i != q)[:20]
+        best = sorted((-sum(a * b for a, b in zip(ints[q], x, strict=True)), i) for i, x in [*ints.items(), (7, ints[7])] if i != q)[:20]
         want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     same(got, want, "query_id", "rank", "vec_id", "score")
     assert top.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_rows(spark):
+    v = spark.createDataFrame([(0, [5]), (1, [5]), (1, [5]), (2, [1])], "vec_id long, embedding array<int>")
+    got = [(r.rank, r.vec_id, r.score) for r in top.top_k(v, v.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(1, 1, 25), (2, 1, 25), (3, 2, 5)]
+
+
+def test_top_k_over_many_shards(spark, monkeypatch):
+    """Clusters far apart in many small shards, a third of the rows equal, queries beyond the rows."""
+    for name, value in (("SHARD_ROWS", 40), ("BLOCK_QUERIES", 16), ("BOXES", 8), ("BLOCKS", 2)):
+        monkeypatch.setattr(top, name, value)
+    rng = random.Random(12)
+    rows = [(i, [rng.choice((-400, 400)) + rng.randint(-9, 9) for _ in range(3)]) for i in range(600)] + [(i, [300, -300, 300]) for i in range(600, 900)]
+    rows += [(2000 + i, [i, 1]) for i in range(30)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<int>")
+    q = [(i, x) for i, x in rows if i % 20 == 0] + [(5000, [-3, 2, 9]), (5001, [1, 1, 1, 1])]
+    asked = spark.createDataFrame(q, "vec_id long, embedding array<int>")
+    want = []
+    for i, x in q:
+        best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), j) for j, y in rows if j != i and len(y) == len(x))[:20]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    same(top.top_k(v, asked), want, "query_id", "rank", "vec_id", "score")
+
+
 def test_tree_prunes():
     import numpy as np
 
@@ -350,6 +373,22 @@ def test_urls(spark):
     many = [("block", f"h{i}.net", "/") for i in range(600)] + entry.RULES
     assert {r.page_id: r.rule for r in url.filter_urls(df, many).collect()} == {k: v[0] for k, v in out.items()}
     assert url.filter_urls(df.limit(0), entry.RULES, url.page_links(df.limit(0))).count() == 0
+    linked = {r.page_id: (r.rule, r.verdict) for r in url.filter_urls(df, many, links).collect()}
+    assert linked == out
+
+
+@pytest.mark.parametrize("more", [0, 600])
+def test_urls_keep_columns_and_ties(spark, more):
+    rules = [("block", f"h{i}.net", "/") for i in range(more)] + [("block", "bc.org", "/xy"), ("block", "a.bc.org", "/")]
+    df = spark.createDataFrame([(1, "http://a.bc.org/xyz", "x", 7, "y")], "page_id long, url string, h string, p int, host_key string")
+    (r,) = url.filter_urls(df, rules, spark.createDataFrame([("http://q.net/", "http://r.net/")], "src string, dst string")).collect()
+    assert (r.rule, r.verdict, r.h, r.p, r.host_key) == ("a.bc.org/", "block", "x", 7, "y")
+
+
+def test_links_without_dots_and_with_a_base(spark):
+    pages = [("http://a.net/b/c/d", "<link rel=canonical href='../x/./y?q=..'>"), ("http://a.net/b/c", "<base href='/m/n/'><link rel=canonical href='../o'>"), ("http://a.net/b", "<link rel=canonical href='/..'>"), (None, "<link rel=canonical href=/x>")]
+    got = {r.src: r.dst for r in url.page_links(spark.createDataFrame(pages, "url string, html string")).collect()}
+    assert got == {"http://a.net/b/c/d": "http://a.net/b/x/y?q=..", "http://a.net/b/c": "http://a.net/m/o", "http://a.net/b": "http://a.net/"}
 
 
 def test_components(spark):
