@@ -101,12 +101,3 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) A
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
 }
-
-
-def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, folder)
-
-
-QUERIES["pipeline"] = pipeline
