@@ -412,6 +412,58 @@ def test_toxicity_odd_tables(spark, messy, empty):
     assert tox.score_toxicity(empty, tox.training_rows(labels)).count() == 0
 
 
+def test_toxicity_features_by_hand(spark):
+    """Each feature of odd and plain texts, counted word by word."""
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["", "You are an IDIOT and you know it!!", "clean words only", "1d10t y0u", "sooo b@d, your trash your TRASH", "İ ünï CODE", "x" * 5000]
+    lexicon = {0: tox._hashes_of(["clean"]), **{n: np.zeros(0, np.uint64) for n in tox.PREFIXES}}
+    (t,) = tox.slices(pa.array(texts))
+    got = tox.features(t, lexicon, tox._hashes_of(tox.INSULTS), tox._hashes_of(tox.ADDRESS))
+    for text, row in zip(texts, got, strict=True):
+        w, f = brute.words(text), dict(zip(tox.FEATURES, row, strict=True))
+        bad = [i for i, x in enumerate(w) if x in tox.INSULTS or x == "clean"]
+        you = [i for i, x in enumerate(w) if x in tox.ADDRESS]
+        n, letters = max(len(w), 1), max(len(re.findall("[A-Za-z]", text)), 1)
+        want = {
+            "stated": sum(x in tox.INSULTS for x in w) / n, "learned": w.count("clean") / n, "kinds": len({w[i] for i in bad}), "address": len(you) / n,
+            "near": max((1 / (1 + min(abs(i - j) for j in you)) for i in bad), default=0) if you else 0, "capitals": len(re.findall("[A-Z]", text)) / letters,
+            "cries": len(re.findall("[!?]", text)) / max(len(text.encode()), 1), "marks": len(re.findall(r"[!-/:-@\[-`{-~]", text)) / max(len(text.encode()), 1),
+            "mixed": sum(bool(re.search(r"\d", x) and re.search("[a-z]", x)) for x in w) / n, "n_words": math.log1p(len(w)),
+        }
+        assert {k: round(float(f[k]), 9) for k in want} == {k: round(float(v), 9) for k, v in want.items()}, text
+
+
+def test_quality_posteriors_by_hand(spark):
+    """Posteriors and scores from the evidence, group by group."""
+    rows = entry.op2_quality(spark, SMALL).collect()
+    hosts, paths = {}, {}
+    for r in rows:
+        for groups, key in ((hosts, r.host), (paths, (r.host, r.path))):
+            n, s = groups.get(key, (0, 0.0))
+            groups[key] = (n + 1, s + r.evidence)
+    total, mean = len(rows), sum(r.evidence for r in rows) / len(rows)
+
+    def weight(groups):
+        n, q = sum(a for a, _ in groups), sum(s * s / a for a, s in groups)
+        within = mean * (1 - mean)
+        between = (q - n * mean**2 - (len(groups) - 1) * within) / (n - sum(a * a for a, _ in groups) / n)
+        return 1000.0 if between <= 0 else min(1000.0, max(1.0, within / between - 1))
+
+    strong, near = weight(list(hosts.values())), weight(list(paths.values()))
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for r in rows:
+        (hn, hs), (pn, ps) = hosts[r.host], paths[r.host, r.path]
+        host = (strong * mean + hs - r.evidence) / (strong + hn - 1)
+        path = (near * host + ps - r.evidence) / (near + pn - 1)
+        score = 1 / (1 + math.exp(-(logit(r.evidence) + logit(path) - logit(mean))))
+        assert abs(r.host_posterior - host) < 1e-6 and abs(r.path_posterior - path) < 1e-6 and abs(r.score - score) < 1e-6
+    assert total == len(table("documents"))
+
+
 def test_quality(spark, messy, empty):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
