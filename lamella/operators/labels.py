@@ -65,9 +65,17 @@ def fill_holes(pixels: DataFrame, area: int | Column) -> DataFrame:
     return pixels.join(small, ["z", "y", "x"], "left").select("z", "y", "x", F.greatest("v", F.coalesce("f", F.lit(0))).cast("long").alias("v"))
 
 
-def top_components(stats: DataFrame, n: int) -> DataFrame:
-    """The n components of largest area of each plane; all that tie with the last one stay."""
-    rank = F.rank().over(Window.partitionBy("z").orderBy(F.desc("area")))
+def top_components(stats: DataFrame, n: int, plane: int | None = None) -> DataFrame:
+    """The n components of largest area of each plane; all that tie with the last one stay.
+
+    With ``plane``, the pixels of a plane, the cut is the area in place n + 1 with the background among them, as in
+    the workflow that this repeats: a background smaller than a component lets one component more stay.
+    """
+    whole = Window.partitionBy("z")
+    rank = F.rank().over(whole.orderBy(F.desc("area")))
+    if plane is not None:
+        background = F.lit(plane) - F.sum("area").over(whole)
+        rank = rank - 1 + (background > F.col("area")).cast("int")
     return stats.withColumn("r", rank).where(F.col("r") <= n).drop("r")
 
 

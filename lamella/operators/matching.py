@@ -155,10 +155,11 @@ def profile_mask(stack: DataFrame) -> DataFrame:
     return columns.select("z", F.lit(0).cast("long").alias("y"), "x", (scaled > 0).cast("long").alias("v"))
 
 
-def greedy_matches(counts: DataFrame) -> DataFrame:
+def greedy_matches(counts: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """(z, src, dst, n): labels in their order each take the partner of largest overlap that no earlier one took, or null.
 
-    Takes (z, src, dst, n) of :func:`overlaps`; a group holds the label pairs of one slice, not its pixels.
+    Takes (z, src, dst, n) of :func:`overlaps`; a group holds the label pairs of one slice, not its pixels.  Labels of
+    ``sources`` (z, src) without any overlap get a row with null too.
     """
 
     def take(pdf):
@@ -170,4 +171,23 @@ def greedy_matches(counts: DataFrame) -> DataFrame:
         out = pdf.iloc[:0]
         return out.__class__(rows, columns=["z", "src", "dst", "n"]).astype({"dst": "Int64"})
 
-    return counts.groupBy("z").applyInPandas(take, "z long, src long, dst long, n long")
+    met = counts.groupBy("z").applyInPandas(take, "z long, src long, dst long, n long")
+    if sources is None:
+        return met
+    return sources.select("z", "src").distinct().join(met, ["z", "src"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
+def stack_metrics(stack: DataFrame) -> DataFrame:
+    """(idx, dice, agreement) of stacks (idx, z, c, y, x, v): means over the slices after the first, from their column profiles.
+
+    dice compares a slice with the one before, agreement with the union of all, zeros too, over the union's area.  A stack of one
+    slice has 0 for both; 0 divided by 0 makes a mean NaN.
+    """
+    profile = profile_mask(stack.select(F.struct("idx", "z").alias("z"), "c", "y", "x", "v")).select("z.idx", "z.z", "x", "v")
+    order = stack.select("idx", "z").distinct().withColumn("r", F.row_number().over(Window.partitionBy("idx").orderBy("z")))
+    mask = profile.join(F.broadcast(order), ["idx", "z"]).withColumn("u", F.max("v").over(Window.partitionBy("idx", "x")))
+    before = mask.select("idx", (F.col("r") + 1).alias("r"), "x", F.col("v").alias("w"))
+    sums = mask.where("r > 1").join(before, ["idx", "r", "x"]).groupBy("idx", "r").agg(F.sum(F.col("v") * F.col("w")).alias("both"), F.sum(F.col("v") + F.col("w")).alias("sizes"), F.sum((F.col("v") == F.col("u")).cast("long")).alias("same"), F.sum("u").alias("area"))
+    share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(float("nan")))
+    means = sums.groupBy("idx").agg(F.avg(share(2 * F.col("both"), F.col("sizes"))).alias("dice"), F.avg(share(F.col("same"), F.col("area"))).alias("agreement"))
+    return order.select("idx").distinct().join(means, "idx", "left").select("idx", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("dice", "agreement")))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import align, labels as lab, morphology as mor, objects as obj, raster as ras, refine, shapes
+from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, shapes
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,10 @@ class Settings:
 
 @dataclass(frozen=True)
 class Result:
-    """``objects`` and ``boxes`` are keyed by (z, idx), ``stacks`` and ``aligned`` by (idx, z, c, y, x); those of a crop-only run have no ``aligned``."""
+    """``objects`` and ``boxes`` are keyed by (z, idx), ``stacks`` and ``aligned`` by (idx, z, c, y, x); those of a crop-only run have no ``aligned``.
+
+    ``metrics`` (idx, dice, agreement) tells how well the slices of an aligned tissue agree.
+    """
 
     objects: DataFrame
     boxes: DataFrame
@@ -36,6 +39,7 @@ class Result:
     stacks: DataFrame
     status: DataFrame | None
     aligned: DataFrame | None
+    metrics: DataFrame | None = None
 
 
 def thresholds(plane: DataFrame, settings: Settings) -> DataFrame:
@@ -59,7 +63,8 @@ def detect(mask: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     Slices with different numbers of objects raise an error.
     """
     found = lab.checkpointed(lab.connected_components(mask.where("v = 1")))
-    top = lab.top_components(lab.component_stats(found), n)
+    size = mask.groupBy("z").count().agg(F.max("count")).first()[0]  # planes are dense and of one size
+    top = lab.top_components(lab.component_stats(found), n, size)
     kept = lab.checkpointed(found.join(top.select("z", "label"), ["z", "label"], "left_semi"))
     order = lab.u_order(lab.centroids(kept)).select("z", "label", "idx")
     middle = shapes.contour_centroids(kept).select("z", "label", F.col("cx"), F.col("cy"))
@@ -126,4 +131,5 @@ def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings:
     maps = status.join(lost, "idx", "left_anti").join(channels, F.col("idx") == F.col("tissue")).select(F.col("key").alias("idx"), "z", "h")
     moved = align.warp_each(stacks, maps, high, wide).select("idx.idx", "z", "idx.c", "y", "x", "v")
     still = flat.join(reference, ["idx", "z"], "left_semi").join(lost, "idx", "left_anti").select("idx", "z", "c", "y", "x", F.col("v").cast("double").alias("v"))
-    return Result(objects, boxes, masks, flat, status, moved.unionByName(still))
+    aligned = moved.unionByName(still)
+    return Result(objects, boxes, masks, flat, status, aligned, mat.stack_metrics(aligned))

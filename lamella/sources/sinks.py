@@ -1,4 +1,4 @@
-"""Outputs: trial records as JSON and label planes as PNG files."""
+"""Outputs: trial records as JSON, label planes as PNG files, stacks as Parquet by tissue."""
 
 from __future__ import annotations
 
@@ -44,3 +44,8 @@ def png_tiles(colours: DataFrame, side: int = 2048) -> DataFrame:
 
     tiles = colours.withColumns({"ty": F.expr(f"y div {side}"), "tx": F.expr(f"x div {side}")})
     return tiles.groupBy("z", "ty", "tx").applyInPandas(draw, f"z {kind}, ty long, tx long, png binary")
+
+
+def write_stacks(stacks: DataFrame, path: str, tissue: str = "idx") -> None:
+    """Pixels of stacks as Parquet, a folder for each tissue, its rows in the order of slices and channels."""
+    stacks.repartition(tissue, "z").sortWithinPartitions(tissue, "z", "c", "y", "x").write.partitionBy(tissue).parquet(path)

@@ -3,8 +3,9 @@
 import numpy as np
 import pytest
 
+from lamella.operators import labels as lab, matching as mat
 from lamella.plans import chain
-from lamella.sources import metadata
+from lamella.sources import metadata, sinks
 
 XML = """<?xml version="1.0" encoding="UTF-8"?><OME xmlns="http://www.openmicroscopy.org/Schemas/OME/2016-06"><Image><Pixels SizeX="{0}" SizeY='9' PhysicalSizeX="{1}" PhysicalSizeXUnit="{2}" PhysicalSizeY="0.5"/></Image></OME>"""
 
@@ -37,7 +38,7 @@ def slides_of(spark, side, size, corners, moves):
     return spark.createDataFrame(cells, "z long, c long, y long, x long, v long"), texture
 
 
-def test_two_tissues_from_slides_to_aligned_stacks(spark):
+def test_two_tissues_from_slides_to_aligned_stacks(spark, tmp_path):
     slides, texture = slides_of(spark, 72, 28, ((3, 3), (38, 39)), ((0, 0), (1, 2)))
     out = chain.run(slides, 1, 1, 72, 72, chain.Settings(num_tissue=2, thresh=40, kernel_size=5, padding=2))
     objects = {(r.z, r.idx): r for r in out.objects.collect()}
@@ -55,6 +56,12 @@ def test_two_tissues_from_slides_to_aligned_stacks(spark):
     # Both slices of a tissue show the same picture once they are aligned.
     wide = aligned.pivot_table(index=["idx", "c", "y", "x"], columns="z", values="v").dropna()
     assert len(wide[wide[0] > 0]) >= 4 * 26 * 26 and (wide[0] - wide[1]).abs().median() < 1
+    metrics = {r.idx: r for r in out.metrics.collect()}
+    assert sorted(metrics) == [1, 2] and all(r.dice > 0.9 and r.agreement > 0.9 for r in metrics.values())
+    sinks.write_stacks(out.stacks, f"{tmp_path}/stacks")
+    back = spark.read.parquet(f"{tmp_path}/stacks").select(out.stacks.columns)
+    assert back.count() == out.stacks.count() and (tmp_path / "stacks" / "idx=2").is_dir()
+    assert back.selectExpr("sum(hash(cast(idx AS long), z, c, y, x, v))").first() == out.stacks.selectExpr("sum(hash(cast(idx AS long), z, c, y, x, v))").first()
 
 
 def test_different_numbers_of_tissues(spark):
@@ -63,3 +70,23 @@ def test_different_numbers_of_tissues(spark):
     mask = one.where("c = 0").selectExpr("z", "y", "x", "cast(v > 0 as long) AS v")
     with pytest.raises(Exception, match="different numbers"):
         chain.detect(mask, 8)
+
+
+def test_stack_metrics(spark):
+    """Columns 0-3 of slice 0 against 2-5 of slice 1; a stack of one slice; one that is empty throughout."""
+    cells = [(1, z, 0, 0, x, int(a <= x <= b)) for z, a, b in ((0, 0, 3), (1, 2, 5)) for x in range(8)]
+    cells += [(2, 5, 0, 0, x, 1) for x in range(3)] + [(3, z, 0, 0, x, 0) for z in (0, 2) for x in range(3)]
+    got = {r.idx: (r.dice, r.agreement) for r in mat.stack_metrics(spark.createDataFrame(cells, "idx long, z long, c long, y long, x long, v long")).collect()}
+    assert got[1] == (0.5, 1.0) and got[2] == (0.0, 0.0) and all(np.isnan(v) for v in got[3])
+
+
+def test_background_in_the_size_cut(spark):
+    stats = spark.createDataFrame([(0, 1, 50), (0, 2, 9), (0, 3, 7)], "z long, label long, area long")
+    kept = lambda plane: sorted(r.label for r in lab.top_components(stats, 1, plane).collect())
+    assert kept(1000) == [1] and kept(70) == [1, 2] and kept(None) == [1]
+
+
+def test_sources_without_overlap(spark):
+    counts = spark.createDataFrame([(0, 1, 4, 3)], "z long, src long, dst long, n long")
+    sources = spark.createDataFrame([(0, 1), (0, 2), (1, 7)], "z long, src long")
+    assert sorted((r.z, r.src, r.dst, r.n) for r in mat.greedy_matches(counts, sources).collect()) == [(0, 1, 4, 3), (0, 2, None, 0), (1, 7, None, 0)]
