@@ -86,6 +86,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_toxicity, op4_chat_format, op5_topk_search, op6_sharding, op7_decontaminate, op8_jaccard_join, op9_suffix_dedup, op10_packing)}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '^(?s).*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+# Up to n words from each place of each text of a table.
+_RUNS = "SELECT {keys}, i, list(word) OVER (PARTITION BY {keys} ORDER BY i ROWS BETWEEN CURRENT ROW AND {more} FOLLOWING) AS l FROM (SELECT {keys}, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM {table})"
 SQL = {
     "op1_url_filter": f"""
 WITH u AS (SELECT page_id, {_HOST} AS host, regexp_extract(coalesce(url, ''), '^(?s).*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
@@ -100,4 +104,49 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) A
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+    "op4_chat_format": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|turn|>' || role || '<|body|>' || text || '<|end|>' || chr(10)) + length(regexp_replace(role || text, '[^\\<\[|]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op7_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS k, CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS ({_RUNS.format(keys="k", more=9, table="b")}),
+win AS (SELECT DISTINCT item, len(l) AS n, array_to_string(l, ' ') AS s FROM bw JOIN b USING (k) WHERE len(l) = least(len(w), 10)),
+dw AS ({_RUNS.format(keys="r", more=9, table="d")}),
+met AS (SELECT r, i, win.n, item FROM (SELECT r, i, n, array_to_string(l[1:n], ' ') AS s FROM dw, (SELECT DISTINCT n FROM win) WHERE len(l) >= n) x JOIN win ON x.n = win.n AND x.s = win.s),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM met WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
+    "op8_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, text, {_WORDS} AS w FROM documents),
+dw AS ({_RUNS.format(keys="r", more=4, table="d")}),
+sh AS (SELECT DISTINCT r, array_to_string(l, ' ') AS s FROM dw JOIN d USING (r) WHERE len(l) = least(len(w), 5)),
+sets AS (SELECT r, count(*) AS n, 's' || sha256(string_agg(s, chr(10) ORDER BY s)) AS c FROM sh GROUP BY r
+         UNION ALL SELECT r, 0, 't' || text FROM d WHERE len(w) = 0 AND text <> ''),
+classes AS (SELECT c, min(r) AS one, any_value(n) AS n FROM sets GROUP BY c),
+cs AS (SELECT c, n, s FROM classes JOIN sh ON sh.r = one),
+near AS (SELECT x.c AS a, y.c AS b FROM cs x JOIN cs y ON x.s = y.s AND x.c <> y.c GROUP BY x.c, y.c, x.n, y.n HAVING 5 * count(*) >= 4 * (x.n + y.n - count(*))),
+reach(a, b) AS (SELECT c, c FROM classes UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+own AS (SELECT c, min(doc_id) AS copy_id, count(*) AS copies FROM d JOIN sets USING (r) GROUP BY c),
+roots AS (SELECT a AS c, min(copy_id) AS class_id FROM reach JOIN own ON own.c = b GROUP BY a),
+links AS (SELECT a AS c, CAST(sum(copies) AS BIGINT) AS other FROM near JOIN own ON own.c = b GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(copy_id, doc_id) AS copy_id, coalesce(copies - 1 + coalesce(other, 0), 0) AS n_links
+FROM d LEFT JOIN sets USING (r) LEFT JOIN own USING (c) LEFT JOIN roots USING (c) LEFT JOIN links USING (c)""",
+    "op9_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS (SELECT r, o, substr(h, 2 * o + 1, 910) AS c FROM (SELECT r, h, unnest(range(0, length(h) // 2, 256)) AS o FROM d)),
+win AS (SELECT r, o + j AS i, md5_number(substr(c, 2 * j + 1, 400)) AS k FROM (SELECT r, o, c, unnest(range(0, least(256, length(c) // 2 - 199))) AS j FROM part)),
+again AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS step FROM win SEMI JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS z FROM (SELECT r, i, sum(CAST(coalesce(step, 201) > 200 AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS g FROM again) GROUP BY r, g),
+keep AS (SELECT r, a, lead(b) OVER (PARTITION BY r ORDER BY a) AS b FROM (SELECT r, z AS a, a AS b FROM span UNION ALL SELECT r, 0, NULL FROM d)),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS kh FROM keep JOIN d USING (r) GROUP BY r),
+sums AS (SELECT r, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kh)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)""",
 }

@@ -6,6 +6,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,16 @@ def same(df, want, *columns):
     assert got == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("name", list(entry.SQL))
+def test_equals_sql(spark, name):
+    sql = duckdb.connect()
+    for f in Path(SMALL).glob("*.parquet"):
+        sql.sql(f"create view {f.stem} as select * from '{f}'")
+    want, df = sql.sql(entry.SQL[name]), entry.QUERIES[name](spark, SMALL)
+    assert sorted(df.columns) == sorted(want.columns)
+    same(df, want.fetchall(), *want.columns)
+
+
 def test_repeats(spark, messy, empty):
     rows, df = messy
     out = suf.remove_repeats(df)
