@@ -61,8 +61,8 @@ def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
     other = next_slice(features, {"label": "dst"} | {c: f"{c}_2" for c in columns})
     d = F.sqrt(sum((F.col(c) - F.col(f"{c}_2")) * (F.col(c) - F.col(f"{c}_2")) for c in columns))
     pairs = features.join(other, "z").select("z", F.col("label").alias("src"), "dst", F.round(d, 6).alias("d"))
-    best = F.row_number().over(Window.partitionBy("z", "src").orderBy("d", "dst"))
-    return pairs.withColumn("r", best).where("r = 1").drop("r")
+    best = pairs.groupBy("z", "src").agg(F.min(F.struct("d", "dst")).alias("m"))  # combined before the shuffle
+    return best.select("z", "src", "m.dst", "m.d")
 
 
 def _best_two(key: str):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .raster import median_filter
+
 
 def _pass(df: DataFrame, line: list[str], along: str, k: int, erode: bool) -> DataFrame:
     order = Window.partitionBy(*line).orderBy(along)
@@ -81,26 +83,50 @@ def ellipse_open(df: DataFrame, k: int) -> DataFrame:
     return any_under(any_under(unset).select("z", "y", "x", (1 - F.col("v")).alias("v")))
 
 
+def remove_islands(planes: DataFrame, noise: int = 3, blob: int = 3) -> DataFrame:
+    """Dense binary planes (0 and anything above) without lone pixels and small blobs: a median, then an elliptic opening."""
+    on = planes.select("z", "y", "x", (F.col("v") > 0).cast("long").alias("v"))
+    return ellipse_open(median_filter(on, noise), blob)
+
+
+def _cubic_weight(d):
+    """Cubic convolution with a = -0.75."""
+    d = F.abs(d)
+    near = (1.25 * d - 2.25) * d * d + 1
+    far = ((-0.75 * d + 3.75) * d - 6) * d + 3
+    return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
+
+
+def _cubic_sums(df: DataFrame, sy: int, sx: int) -> DataFrame:
+    """(z, y, x, s) of scaled-up planes; edges are repeated.
+
+    Lines first, then columns: a pixel is spread to about 4 sx places of its line, added up, and these to 4 sy lines.
+    """
+    size = df.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+
+    def spread(c: str, n: str, s: int):
+        """Places t that the pixel c counts in, with its weight; the first and the last pixel stand for those beyond."""
+        places = F.sequence(F.greatest(F.col(c) * s - 2 * s, F.lit(0)), F.least(F.col(c) * s + 3 * s, F.col(n) * s - 1))
+
+        def weight(t):
+            d = (t + 0.5) / s - 0.5 - F.col(c)
+            low, high = (F.when(edge, _cubic_weight(d + k) + _cubic_weight(d + 2 * k)).otherwise(0.0) for edge, k in ((F.col(c) == 0, 1), (F.col(c) == F.col(n) - 1, -1)))
+            return _cubic_weight(d) + low + high
+
+        return F.explode(F.filter(F.transform(places, lambda t: F.struct(t.alias("t"), weight(t).alias("c"))), lambda x: x.c != 0))
+
+    lines = df.where("v <> 0").join(size, "z").select("z", "h", "y", "v", spread("x", "w", sx).alias("p"))
+    lines = lines.groupBy("z", "h", "y", F.col("p.t").alias("x")).agg(F.sum(F.col("v") * F.col("p.c")).alias("v"))
+    planes = lines.select("z", "x", "v", spread("y", "h", sy).alias("p"))
+    return planes.groupBy("z", F.col("p.t").alias("y"), "x").agg(F.round(F.sum(F.col("v") * F.col("p.c")), 6).alias("s"))
+
+
 def cubic_upsample(df: DataFrame, sy: int, sx: int) -> DataFrame:
     """Mask scaled up by cubic convolution (a = -0.75, edges repeated), positive after rounding: foreground rows (z, y, x)."""
-    size = df.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    return _cubic_sums(df.withColumn("v", (F.col("v") > 0).cast("long")), sy, sx).where("s > 0.5").select("z", "y", "x")
+
 
-    def weight(d):
-        d = F.abs(d)
-        near = (1.25 * d - 2.25) * d * d + 1
-        far = ((-0.75 * d + 3.75) * d - 6) * d + 3
-        return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
-
-    def taps(n: str, s: int, to: str):
-        at = (F.col(to) + 0.5) / s - 0.5
-        t = F.explode(F.transform(F.sequence(F.lit(-1), F.lit(2)), lambda k: F.struct((F.floor(at) + k).alias("i"), weight(at - (F.floor(at) + k)).alias("c"))))
-        return t
-
-    rows = size.select("z", "h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") * sy - 1)).alias("ty")).withColumn("t", taps("h", sy, "ty"))
-    rows = rows.select("z", "ty", F.greatest(F.lit(0), F.least(F.col("t.i"), F.col("h") - 1)).alias("y"), F.col("t.c").alias("cy"))
-    cols = size.select("z", "w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("w") * sx - 1)).alias("tx")).withColumn("t", taps("w", sx, "tx"))
-    cols = cols.select("z", "tx", F.greatest(F.lit(0), F.least(F.col("t.i"), F.col("w") - 1)).alias("x"), F.col("t.c").alias("cx"))
-    on = df.where("v > 0").select("z", "y", "x")
-    spread = on.join(rows, ["z", "y"]).join(cols, ["z", "x"])
-    out = spread.groupBy("z", "ty", "tx").agg(F.sum(F.col("cy") * F.col("cx")).alias("s"))
-    return out.where(F.round("s", 6) > 0.5).select("z", F.col("ty").alias("y"), F.col("tx").alias("x"))
+def cubic_upsample_grey(df: DataFrame, sy: int, sx: int, top: int = 255) -> DataFrame:
+    """Grey planes scaled up likewise, rounded half to even and kept within 0 to ``top``; pixels that come out as 0 have no row."""
+    v = F.least(F.greatest(F.bround("s").cast("long"), F.lit(0)), F.lit(top)).cast("long")
+    return _cubic_sums(df, sy, sx).select("z", "y", "x", v.alias("v")).where("v <> 0")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 
@@ -37,21 +39,41 @@ def histogram(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("z", "v").agg(F.count("*").alias("n"))
 
 
-def multi_otsu(hist: DataFrame) -> DataFrame:
-    """(z, t1, t2): the pair of grey values that maximises S1^2/P1 + S2^2/P2 + S3^2/P3; ties to the smallest pair.
+def multi_otsu(hist: DataFrame, lines: int = 4096) -> DataFrame:
+    """(z, t1, t2): the pair of grey values that maximises S1^2/P1 + S2^2/P2 + S3^2/P3 to four decimals; ties to the smallest pair.
 
-    Works on histograms, whose size is bounded by the number of grey values, never on pixels.
+    A plane's histogram is one row, bounded by the number of grey values; ``lines`` first thresholds are a task's
+    portion, tried against all second ones in small matrices, so that no pair is ever a row.  Planes with fewer than three
+    grey values have no pair.
     """
-    so_far = Window.partitionBy("z").orderBy("v")
-    whole = Window.partitionBy("z")
-    sums = hist.select("z", "v", F.sum("n").over(so_far).alias("p"), F.sum(F.col("n") * F.col("v")).over(so_far).alias("s"), F.sum("n").over(whole).alias("pp"), F.sum(F.col("n") * F.col("v")).over(whole).alias("ss"))
-    a, b = sums.alias("a"), sums.alias("b")
-    pairs = a.join(b, (F.col("a.z") == F.col("b.z")) & (F.col("a.v") < F.col("b.v")) & (F.col("b.p") < F.col("b.pp")))
-    sq = lambda s, p: s.cast("double") * s / p
-    goal = F.round(sq(F.col("a.s"), F.col("a.p")) + sq(F.col("b.s") - F.col("a.s"), F.col("b.p") - F.col("a.p")) + sq(F.col("a.ss") - F.col("b.s"), F.col("a.pp") - F.col("b.p")), 4)
-    pairs = pairs.select(F.col("a.z").alias("z"), F.col("a.v").alias("t1"), F.col("b.v").alias("t2"), goal.alias("goal"))
-    best = F.row_number().over(Window.partitionBy("z").orderBy(F.desc("goal"), "t1", "t2"))
-    return pairs.withColumn("r", best).where("r = 1").select("z", "t1", "t2")
+    bars = hist.where("v is not null").groupBy("z").agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("bars"))
+    starts = F.explode(F.expr(f"sequence(0, greatest(size(bars) - 3, 0), {lines})")).alias("first")
+    portions = bars.where("size(bars) > 2").select("z", F.col("bars.v").alias("v"), F.col("bars.n").alias("n"), starts).repartition("z", "first")
+    kinds = {f.name: f.dataType.simpleString() for f in hist.schema}
+
+    def search(frames):
+        for pdf in frames:
+            found = []
+            for z, v, n, first in pdf.itertuples(index=False):
+                p, s = np.cumsum(n), np.cumsum(np.asarray(n) * v)
+                whole, total = p[-1], s[-1]
+                best = None
+                for at in range(first, min(first + lines, len(v) - 2), 64):
+                    i = np.arange(at, min(at + 64, first + lines, len(v) - 2))[:, None]
+                    j = np.arange(at + 1, len(v) - 1)[None, :]
+                    two, three = s[j] - s[i], total - s[j]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        goal = s[i].astype(float) * s[i] / p[i] + two.astype(float) * two / (p[j] - p[i]) + three.astype(float) * three / (whole - p[j])
+                    goal = np.where(j > i, np.floor(goal * 1e4 + 0.5) / 1e4, -np.inf)
+                    k, m = divmod(int(goal.argmax()), goal.shape[1])
+                    if best is None or goal[k, m] > best[0]:
+                        best = (goal[k, m], v[at + k], v[at + 1 + m])
+                found.append((z, best[1], best[2], best[0]))
+            yield pd.DataFrame(found, columns=["z", "t1", "t2", "goal"])
+
+    tried = portions.mapInPandas(search, f"z {kinds['z']}, t1 {kinds['v']}, t2 {kinds['v']}, goal double")
+    best = F.min_by(F.struct("t1", "t2"), F.struct(-F.col("goal"), "t1", "t2")).alias("t")
+    return tried.groupBy("z").agg(best).select("z", "t.t1", "t.t2")
 
 
 def binarize(pixels: DataFrame, threshold: float) -> DataFrame:
@@ -66,10 +88,10 @@ def binarize_auto(pixels: DataFrame) -> DataFrame:
 
 
 def median_filter(pixels: DataFrame, k: int = 3) -> DataFrame:
-    """Exact median of the k x k neighbourhood inside the plane (the lower one of an even count)."""
-    r = range(-(k // 2), k - k // 2)
-    near = pixels.withColumn("d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in r for j in r))))
-    spread = near.select("z", (F.col("y") + F.col("d.i")).alias("y"), (F.col("x") + F.col("d.j")).alias("x"), "v")
-    med = spread.groupBy("z", "y", "x").agg(F.array_sort(F.collect_list("v")).alias("w"))
-    med = med.select("z", "y", "x", F.element_at("w", F.expr("cast((size(w) + 1) div 2 as int)")).alias("v"))
-    return med.join(pixels.select("z", "y", "x"), ["z", "y", "x"], "left_semi")
+    """Exact median of the k x k neighbourhood inside dense planes (the lower one of an even count): lines, then columns of lines."""
+    first, last = -(k - 1 - k // 2), k // 2
+    across = Window.partitionBy("z", "y").orderBy("x").rangeBetween(first, last)
+    down = Window.partitionBy("z", "x").orderBy("y").rangeBetween(first, last)
+    lines = pixels.select("z", "y", "x", F.collect_list("v").over(across).alias("w"))
+    near = lines.select("z", "y", "x", F.array_sort(F.flatten(F.collect_list("w").over(down))).alias("w"))
+    return near.select("z", "y", "x", F.element_at("w", F.expr("cast((size(w) + 1) div 2 as int)")).alias("v"))

@@ -129,3 +129,12 @@ def shape_features(labels: DataFrame) -> DataFrame:
         "z", "label", "area", "cx", "cy", "perimeter", F.try_divide(F.col("perimeter") ** 2, 4 * math.pi * F.col("area")).alias("compactness"),
         F.try_divide("area", "hull").alias("solidity"), F.sqrt(1 - F.greatest(short, F.lit(0.0))).alias("eccentricity"), *logged,
     )
+
+
+def match_blobs(labels: DataFrame) -> DataFrame:
+    """(z, src, dst, d): each object's most similar one of the next slice, by the standardised features of their outlines.
+
+    Objects whose outline has no area take no part.
+    """
+    columns = [*(f"hu{i}" for i in range(1, 8)), "solidity", "eccentricity", "area", "cx", "cy", "perimeter", "compactness"]
+    return nearest(zscore(shape_features(labels).where("area > 0"), columns), columns)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, shapes
+from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
 
 
 @dataclass(frozen=True)
@@ -18,6 +18,7 @@ class Settings:
     kernel_size: int = 100
     padding: int = 50
     crop_only: bool = False
+    optimize: bool = False
     ratio: float = 0.75
     keypoints: int = 0
     holes_thresh: int = 5000
@@ -30,7 +31,8 @@ class Settings:
 class Result:
     """``objects`` and ``boxes`` are keyed by (z, idx), ``stacks`` and ``aligned`` by (idx, z, c, y, x); those of a crop-only run have no ``aligned``.
 
-    ``metrics`` (idx, dice, agreement) tells how well the slices of an aligned tissue agree.
+    ``metrics`` (idx, dice, agreement) tells how well the slices of an aligned tissue agree.  A run with ``optimize`` has
+    ``trials`` of alignment parameters, best first for each tissue, instead of ``status``, ``aligned`` and ``metrics``.
     """
 
     objects: DataFrame
@@ -40,6 +42,7 @@ class Result:
     status: DataFrame | None
     aligned: DataFrame | None
     metrics: DataFrame | None = None
+    trials: DataFrame | None = None
 
 
 def thresholds(plane: DataFrame, settings: Settings) -> DataFrame:
@@ -125,6 +128,10 @@ def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings:
     size = planes.agg(F.max("y"), F.max("x")).first()
     high, wide = (size[0] or 0) + 1, (size[1] or 0) + 1
     reference = best.select("idx", "z")
+    if settings.optimize:
+        trials = lab.checkpointed(reg.trial_parameters(pixels.sparkSession))
+        scores = align.trial_scores(planes, reference, trials, high, wide, 0)
+        return Result(objects, boxes, masks, flat, None, None, trials=reg.search(trials, scores))
     _, status = align.align_stack(planes, reference, high, wide, settings.ratio, settings.keypoints)
     lost = status.where("status = 'failed'").select("idx").distinct()
     channels = stacks.select("idx").distinct().select(F.col("idx.idx").alias("tissue"), F.col("idx").alias("key"))

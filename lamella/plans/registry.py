@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
 from ..sources.metadata import TARGET_UM, scale_factors
 from ..sources.rasters import embedding_raster, lineitem_raster, order_files, physical_sizes, table
-from ..sources.sinks import label_colours, png_tiles
+from ..sources.sinks import grey_levels, label_colours, png_tiles
 
 CUT = 136  # foreground threshold of the derived raster
 
@@ -144,6 +144,15 @@ query("median_filter", f"{EMB} SELECT a.z, a.y, a.x, quantile_disc(b.v, 0.5) AS
     lambda spark, folder: ras.median_filter(embedding_raster(spark, folder))
 )
 
+_CELLS = ", ".join(f"({dy}, {dx})" for dy, a, b in mor.ellipse(3) for dx in range(a, b + 1))
+query(
+    "remove_islands",
+    f"""{MASK}, c(dy, dx) AS (VALUES {", ".join(f"({i}, {j})" for i in (-1, 0, 1) for j in (-1, 0, 1))}), e(dy, dx) AS (VALUES {_CELLS}),
+d AS (SELECT m.z, m.y, m.x, quantile_disc(n.v, 0.5) AS v FROM (SELECT z, y + dy AS y, x + dx AS x, v FROM m, c) n JOIN m USING (z, y, x) GROUP BY ALL),
+e1 AS (SELECT d.z, d.y, d.x, min(n.v) AS v FROM (SELECT z, y + dy AS y, x + dx AS x, v FROM d, e) n JOIN d USING (z, y, x) GROUP BY ALL)
+SELECT d.z, d.y, d.x, max(n.v) AS v FROM (SELECT z, y + dy AS y, x + dx AS x, v FROM e1, e) n JOIN d USING (z, y, x) GROUP BY ALL""",
+)(lambda spark, folder: mor.remove_islands(_mask(spark, folder)))
+
 query("connected_components", f"{COMP} SELECT z, y, x, label FROM k")(_labels)
 query("component_stats", f"{STATS} SELECT * FROM s")(lambda spark, folder: lab.component_stats(_labels(spark, folder)))
 
@@ -206,6 +215,10 @@ query("cubic_upsample", f"{MASK}, sz AS (SELECT z, max(y) + 1 AS h, max(x) + 1 A
     lambda spark, folder: mor.cubic_upsample(_mask(spark, folder), 2, 3)
 )
 
+query("upsample_grey", f"{EMB}, sz AS (SELECT z, max(y) + 1 AS h, max(x) + 1 AS w FROM r GROUP BY z), {_axis('ay', 'h', 3)}, {_axis('ax', 'w', 2)}, s AS (SELECT r.z, ayw.t AS y, axw.t AS x, CAST(round_even(round(sum(r.v * ayw.c * axw.c), 6), 0) AS BIGINT) AS v FROM r JOIN ayw ON ayw.z = r.z AND ayw.i = r.y JOIN axw ON axw.z = r.z AND axw.i = r.x GROUP BY ALL) SELECT z, y, x, least(v, 255) AS v FROM s WHERE v > 0")(
+    lambda spark, folder: mor.cubic_upsample_grey(embedding_raster(spark, folder), 3, 2)
+)
+
 query("dice_adjacent", f"{MASK} SELECT a.z, round(2.0::DOUBLE * sum(a.v * b.v) / nullif(sum(a.v) + sum(b.v), 0), 6) AS dice FROM m a JOIN m b ON b.z = a.z + 1 AND a.y = b.y AND a.x = b.x GROUP BY a.z")(lambda spark, folder: mat.dice_adjacent(_mask(spark, folder)))
 query("dice_pairs", f"{MASK} SELECT a.z, round(2.0::DOUBLE * sum(a.v * b.v) / nullif(sum(a.v) + sum(b.v), 0), 6) AS dice FROM m a JOIN m b ON b.z = 0 AND a.z <> 0 AND a.y = b.y AND a.x = b.x GROUP BY a.z")(lambda spark, folder: mat.dice_pairs(_mask(spark, folder)))
 query("area_consistency", f"{MASK}, u AS (SELECT y, x, max(v) AS u FROM m GROUP BY y, x) SELECT z, round(CAST(sum(CAST(v = u AS BIGINT)) AS DOUBLE) / (SELECT sum(u) FROM u), 6) AS agreement FROM m JOIN u USING (y, x) WHERE z >= 1 GROUP BY z")(lambda spark, folder: mat.area_consistency(_mask(spark, folder)))
@@ -336,4 +349,7 @@ def _all_labels(spark, folder):
     return _mask(spark, folder).join(_labels(spark, folder), ["z", "y", "x"], "left").select("z", "y", "x", F.coalesce(F.col("label") + 1, F.lit(0)).cast("long").alias("label"))
 
 
+query("grey_image", f"{EMB}, n AS (SELECT z, y, x, CAST(round_even((v - min(v) OVER w) * 255.0::DOUBLE / (max(v) OVER w - min(v) OVER w), 0) AS BIGINT) AS v FROM r WINDOW w AS (PARTITION BY z)) SELECT z, y, x, v AS r, v AS g, v AS b FROM n")(
+    lambda spark, folder: grey_levels(embedding_raster(spark, folder))
+)
 query("label_png")(lambda spark, folder: png_tiles(label_colours(_all_labels(spark, folder))))

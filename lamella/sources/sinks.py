@@ -7,10 +7,13 @@ import zlib
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.raster import minmax_normalize
+
 
 def write_trials(trials: DataFrame, folder: str) -> None:
-    """One JSON record {number, value, params} on each line, best first."""
-    trials.select("number", "value", "params").orderBy(F.desc("value"), "number").coalesce(1).write.mode("errorifexists").json(folder)  # a study's few trials
+    """One JSON record {number, value, params} on each line, best first; that of each tissue with its ``idx``."""
+    tissue = [c for c in trials.columns if c == "idx"]
+    trials.select(*tissue, "number", "value", "params").orderBy(*tissue, F.desc("value"), "number").coalesce(1).write.mode("errorifexists").json(folder)  # a study's few trials
 
 
 def label_colours(labels: DataFrame) -> DataFrame:
@@ -19,6 +22,11 @@ def label_colours(labels: DataFrame) -> DataFrame:
     return labels.select("z", "y", "x", part(73, 11).alias("r"), part(151, 83).alias("g"), part(199, 157).alias("b"))
 
 
+def grey_levels(pixels: DataFrame) -> DataFrame:
+    """(z, y, x, r, g, b): each plane stretched to 0 to 255, in grey."""
+    return minmax_normalize(pixels).select("z", "y", "x", *(F.col("v").alias(c) for c in "rgb"))
+
+
 def _png(width: int, height: int, rgb: bytes) -> bytes:
     lines = b"".join(b"\0" + rgb[y * 3 * width : (y + 1) * 3 * width] for y in range(height))
     chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
