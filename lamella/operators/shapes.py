@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .labels import connected_components
+from .matching import nearest, zscore
 
 
 def filled(labels: DataFrame) -> DataFrame:

@@ -166,3 +166,32 @@ def test_registries_agree():
 @pytest.mark.parametrize("name", ["refine_mask", "align_stack", "shape_features", "greedy_overlap", "label_png"])
 def test_queries_without_sql_give_rows(spark, name):
     assert registry.QUERIES[name](spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("lines", [1, 3, 4096])
+def test_otsu_does_not_depend_on_portions(spark, lines):
+    rng = np.random.default_rng(8)
+    hist = {z: dict(zip(sorted(rng.choice(900, 40, False).tolist()), rng.integers(1, 50, 40).tolist(), strict=True)) for z in (3, 7)}
+    hist[8], hist[9] = {5: 10}, {5: 10, 6: 2}
+    df = spark.createDataFrame([(z, v, n) for z, h in hist.items() for v, n in h.items()], "z long, v long, n long")
+    want = []
+    for z in (3, 7):
+        v, n = (np.array(x) for x in zip(*hist[z].items(), strict=True))
+        goal = lambda i, j: round(sum((n[a:b] @ v[a:b]) ** 2 / n[a:b].sum() for a, b in ((0, i), (i, j), (j, 40))), 4)  # noqa: E731, B023
+        i, j = min(((i, j) for i in range(1, 39) for j in range(i + 1, 40)), key=lambda p: (-goal(*p), p))
+        want.append((z, int(v[i - 1]), int(v[j - 1])))
+    assert rows(ras.multi_otsu(df, lines)) == want
+
+
+def test_grey_upsampling_of_edges(spark):
+    flat = pixels(spark, [(0, y, x, 77) for y in range(4) for x in range(5)] + [(1, 0, 0, 300)])
+    got = rows(mor.cubic_upsample_grey(flat, 3, 2))
+    assert got == [(0, y, x, 77) for y in range(12) for x in range(10)] + [(1, y, x, 255) for y in range(3) for x in range(2)]
+
+
+def test_lone_pixels_go(spark):
+    m = np.zeros((12, 12), int)
+    m[2:7, 3:9] = 255
+    m[10, 10] = m[4, 5] = 1
+    on = {(r.y, r.x) for r in mor.remove_islands(pixels(spark, [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(m)])).where("v = 1").collect()}
+    assert (10, 10) not in on and (4, 5) in on and {(y, x) for y in range(3, 6) for x in range(4, 8)} <= on

@@ -189,3 +189,13 @@ def test_nearest_two_do_not_depend_on_blocks(spark, monkeypatch):
     assert want and got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v)
+
+
+def test_blobs_are_matched_by_shape(spark):
+    rows = []
+    for z, shift in ((0, 0), (1, 3)):
+        for label, (y, x, h, w) in {1: (5, 5, 10, 10), 2: (5, 40, 4, 30), 3: (40, 10, 25, 6)}.items():
+            rows += [(z, y + i, x + shift + j, label if z == 0 else label + 10) for i in range(h) for j in range(w)]
+        rows.append((z, 60, 60, 99))  # no area
+    got = shapes.match_blobs(spark.createDataFrame(rows, "z long, y long, x long, label long")).collect()
+    assert sorted((r.z, r.src, r.dst) for r in got) == [(0, 1, 11), (0, 2, 12), (0, 3, 13)]
