@@ -89,12 +89,10 @@ def remove_islands(planes: DataFrame, noise: int = 3, blob: int = 3) -> DataFram
     return ellipse_open(median_filter(on, noise), blob)
 
 
-def _cubic_weight(d):
+def _cubic_weight(d: float) -> float:
     """Cubic convolution with a = -0.75."""
-    d = F.abs(d)
-    near = (1.25 * d - 2.25) * d * d + 1
-    far = ((-0.75 * d + 3.75) * d - 6) * d + 3
-    return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
+    d = abs(d)
+    return (1.25 * d - 2.25) * d * d + 1 if d <= 1 else ((-0.75 * d + 3.75) * d - 6) * d + 3 if d < 2 else 0.0
 
 
 def _cubic_sums(df: DataFrame, sy: int, sx: int) -> DataFrame:
@@ -104,21 +102,21 @@ def _cubic_sums(df: DataFrame, sy: int, sx: int) -> DataFrame:
     """
     size = df.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
 
-    def spread(c: str, n: str, s: int):
-        """Places t that the pixel c counts in, with its weight; the first and the last pixel stand for those beyond."""
-        places = F.sequence(F.greatest(F.col(c) * s - 2 * s, F.lit(0)), F.least(F.col(c) * s + 3 * s, F.col(n) * s - 1))
-
-        def weight(t):
-            d = (t + 0.5) / s - 0.5 - F.col(c)
-            low, high = (F.when(edge, _cubic_weight(d + k) + _cubic_weight(d + 2 * k)).otherwise(0.0) for edge, k in ((F.col(c) == 0, 1), (F.col(c) == F.col(n) - 1, -1)))
-            return _cubic_weight(d) + low + high
-
-        return F.explode(F.filter(F.transform(places, lambda t: F.struct(t.alias("t"), weight(t).alias("c"))), lambda x: x.c != 0))
-
-    lines = df.where("v <> 0").join(size, "z").select("z", "h", "y", "v", spread("x", "w", sx).alias("p"))
-    lines = lines.groupBy("z", "h", "y", F.col("p.t").alias("x")).agg(F.sum(F.col("v") * F.col("p.c")).alias("v"))
-    planes = lines.select("z", "x", "v", spread("y", "h", sy).alias("p"))
-    return planes.groupBy("z", F.col("p.t").alias("y"), "x").agg(F.round(F.sum(F.col("v") * F.col("p.c")), 6).alias("s"))
+    def spread(df: DataFrame, c: str, n: str, s: int) -> DataFrame:
+        """Rows for the places t that the pixel c counts in, with its weight; the first and the last pixel stand for those beyond."""
+        taps = []
+        for o in range(-2 * s, 3 * s):  # weights depend on the place from s * c only
+            d = (o + 0.5) / s - 0.5
+            own, low, high = _cubic_weight(d), _cubic_weight(d + 1) + _cubic_weight(d + 2), _cubic_weight(d - 1) + _cubic_weight(d - 2)
+            taps.append(F.struct(F.lit(o).alias("o"), F.lit(own).alias("own"), F.lit(low).alias("low"), F.lit(high).alias("high")))
+        rows = df.withColumn("p", F.explode(F.array(*taps))).withColumn("t", F.col(c) * s + F.col("p.o"))
+        weight = F.col("p.own") + F.when(F.col(c) == 0, F.col("p.low")).otherwise(0.0) + F.when(F.col(c) == F.col(n) - 1, F.col("p.high")).otherwise(0.0)
+        return rows.where((F.col("t") >= 0) & (F.col("t") < F.col(n) * s)).withColumn("c", weight).where("c <> 0")
+
+    lines = spread(df.where("v <> 0").join(size, "z").select("z", "h", "w", "y", "x", "v"), "x", "w", sx)
+    lines = lines.groupBy("z", "h", "y", F.col("t").alias("x")).agg(F.sum(F.col("v") * F.col("c")).alias("v"))
+    planes = spread(lines, "y", "h", sy)
+    return planes.groupBy("z", F.col("t").alias("y"), "x").agg(F.round(F.sum(F.col("v") * F.col("c")), 6).alias("s"))
 
 
 def cubic_upsample(df: DataFrame, sy: int, sx: int) -> DataFrame:
