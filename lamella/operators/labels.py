@@ -3,25 +3,46 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the session's folder; a local folder only where none is set, as in tests."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a local folder only where it is unset and Spark runs in one process, as in tests."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the session's folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the checkpoint folder.  A checkpoint keeps its partitioning; a table doesn't, so a hot key can be split where it is joined."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _components(edges: DataFrame) -> DataFrame:
-    """(z, node, root) for edges (z, u, v), u > v: large-star and small-star rounds until nothing moves."""
+    """(z, node, root) for edges (z, u, v), u > v: large-star and small-star rounds until nothing moves.
+
+    A component's root comes to have all its runs as neighbours, so its minimum is joined as a table of its own.
+    """
     e = checkpointed(edges.distinct())
     mark = None
     while True:
         both = e.union(e.select("z", F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("z", "u").agg(F.min("v").alias("m")).select("z", "u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("z", "u").agg(F.min("v").alias("m")).select("z", "u", F.least("u", "m").alias("m")))
         large = both.join(low, ["z", "u"]).where("v > u and v > m").select("z", F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("z", "u").agg(F.min("v").alias("m"))
         small = large.join(low, ["z", "u"]).where("v > m").select("z", F.col("v").alias("u"), F.col("m").alias("v"))

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .labels import checkpointed
+
 #: Rows of a block of queries or of descriptors.
 BLOCK = 1024
 
@@ -39,30 +41,36 @@ def relabel(labels: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def propagate(matches: DataFrame, first: DataFrame, slices: int) -> DataFrame:
-    """(z, label, origin): labels of slice 0 followed through matches (z, src, dst) of neighbouring slices; chains that break end."""
-    now = first.select(F.lit(0).cast("long").alias("z"), "label", F.col("label").alias("origin"))
-    out = now
-    for z in range(slices - 1):
-        step = matches.where(F.col("z") == z).select("src", "dst")
-        now = now.join(step, now.label == step.src).groupBy(F.col("dst").alias("label")).agg(F.max("origin").alias("origin")).select(F.lit(z + 1).cast("long").alias("z"), "label", "origin")
-        out = out.unionByName(now)
-    return out
+    """(z, label, origin): labels of slice 0 followed through matches (z, src, dst) of neighbouring slices; chains that break end.
+
+    Chains that meet go on with the largest origin.  Jumps over 1, 2, 4, ... slices are joined from two of half the
+    size, so the rounds, each cut off by a checkpoint, are the logarithm of the slices.
+    """
+    found = first.select(F.lit(0).cast("long").alias("z"), "label", F.col("label").alias("origin"))
+    jumps, step = matches.select("z", "src", "dst").distinct(), 1
+    while step < slices:
+        ahead = found.join(jumps.withColumnRenamed("src", "label"), ["z", "label"]).select(F.col("z") + step, "dst", "origin")
+        found = checkpointed(found.union(ahead).groupBy("z", "label").agg(F.max("origin").alias("origin")))
+        further = jumps.select((F.col("z") - step).alias("z"), F.col("src").alias("dst"), F.col("dst").alias("far"))
+        jumps = checkpointed(jumps.join(further, ["z", "dst"]).select("z", "src", F.col("far").alias("dst")).distinct())
+        step *= 2
+    return found.where(F.col("z") < slices)
 
 
 def zscore(features: DataFrame, columns: list[str]) -> DataFrame:
     """Features of each slice minus their mean, over their population deviation (1 where that is 0)."""
-    own = Window.partitionBy("z")
-    dev = lambda c: F.coalesce(F.nullif(F.stddev_pop(c).over(own), F.lit(0.0)), F.lit(1.0))
-    return features.select("z", "label", *(((F.col(c) - F.avg(c).over(own)) / dev(c)).alias(c) for c in columns))
+    means = (F.avg(c).alias(f"{c}_mean") for c in columns)
+    own = features.groupBy("z").agg(*means, *(F.stddev_pop(c).alias(f"{c}_dev") for c in columns))  # combined before the shuffle
+    dev = lambda c: F.coalesce(F.nullif(F.col(f"{c}_dev"), F.lit(0.0)), F.lit(1.0))
+    return features.join(own, "z").select("z", "label", *(((F.col(c) - F.col(f"{c}_mean")) / dev(c)).alias(c) for c in columns))
 
 
 def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Each label's nearest one of the next slice by Euclidean distance, the lowest on ties."""
-    other = next_slice(features, {"label": "dst"} | {c: f"{c}_2" for c in columns})
-    d = F.sqrt(sum((F.col(c) - F.col(f"{c}_2")) * (F.col(c) - F.col(f"{c}_2")) for c in columns))
-    pairs = features.join(other, "z").select("z", F.col("label").alias("src"), "dst", F.round(d, 6).alias("d"))
-    best = pairs.groupBy("z", "src").agg(F.min(F.struct("d", "dst")).alias("m"))  # combined before the shuffle
-    return best.select("z", "src", "m.dst", "m.d")
+    """(z, src, dst, d): each label's nearest one of the next slice by Euclidean distance, the lowest on ties; rows with a null take no part."""
+    own = features.select("z", "label", F.array(*columns).alias("v"))
+    queries = own.select("z", F.col("label").alias("id"), F.col("v").alias("a"))
+    two = nearest_two(queries, next_slice(own, {"label": "near", "v": "b"}), "z")
+    return two.select("z", F.col("id").alias("src"), F.col("near").alias("dst"), F.col("d1").alias("d"))
 
 
 def _best_two(key: str):
@@ -93,7 +101,12 @@ def _best_two(key: str):
 
 
 def knn_ratio(queries: DataFrame, train: DataFrame, ratio: float | Column, key: str = "g") -> DataFrame:
-    """(id, near, d1, d2): the two nearest descriptors inside a group; kept if the first is nearer than ratio * the second.
+    """:func:`nearest_two`, kept if the first is nearer than ratio * the second."""
+    return nearest_two(queries, train, key).where(F.col("d1") < ratio * F.col("d2"))
+
+
+def nearest_two(queries: DataFrame, train: DataFrame, key: str = "g") -> DataFrame:
+    """(key, id, near, d1, d2): the nearest descriptor inside a group, its distance and that of the second nearest (null without one).
 
     Queries (key, id, a) and descriptors (key, near, b) are dealt into blocks of about ``BLOCK`` rows; a task compares two
     blocks and gives two rows for each query, so no pair of vectors leaves it.  Vectors of different lengths don't
@@ -117,8 +130,7 @@ def knn_ratio(queries: DataFrame, train: DataFrame, ratio: float | Column, key:
     schema = T.StructType([T.StructField(key, q.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("id", "near")), T.StructField("d", T.DoubleType())])
     pairs = q.groupBy(*by).cogroup(t.groupBy(*other)).applyInArrow(_best_two(key), schema)
     two = pairs.withColumn("r", F.row_number().over(Window.partitionBy(key, "id").orderBy("d", "near"))).where("r <= 2")
-    out = two.groupBy(key, "id").agg(F.min(F.when(F.col("r") == 1, F.col("near"))).alias("near"), F.min("d").alias("d1"), F.max(F.when(F.col("r") == 2, F.col("d"))).alias("d2"))
-    return out.where(F.col("d1") < ratio * F.col("d2"))
+    return two.groupBy(key, "id").agg(F.min(F.when(F.col("r") == 1, F.col("near"))).alias("near"), F.min("d").alias("d1"), F.max(F.when(F.col("r") == 2, F.col("d"))).alias("d2"))
 
 
 def dice_adjacent(mask: DataFrame) -> DataFrame:

@@ -201,8 +201,8 @@ SELECT CAST(idx AS BIGINT) AS idx, z, y + dy AS y, x + dx AS x, v FROM cr JOIN s
 )(lambda spark, folder: obj.pad_stack(lab.checkpointed(_crops(spark, folder))))
 query("nonuniform_groups", f"{_CROP}, sz AS (SELECT idx, z, max(y) AS h, max(x) AS w FROM cr GROUP BY idx, z) SELECT CAST(idx AS BIGINT) AS idx, count(DISTINCT (h, w)) AS shapes FROM sz GROUP BY idx HAVING shapes > 1")(lambda spark, folder: obj.nonuniform_groups(_crops(spark, folder)))
 query("mask_apply", f"{MASK} SELECT r.z, r.y, r.x, r.v FROM r JOIN m USING (z, y, x) WHERE m.v = 1 AND r.v <> 0")(lambda spark, folder: obj.apply_mask(embedding_raster(spark, folder), _mask(spark, folder).where("v = 1")))
-query("label_mode", f"{COMP}, c AS (SELECT m.z, coalesce(label, 0) AS label, count(*) AS n FROM m LEFT JOIN k USING (z, y, x) WHERE m.y < 20 GROUP BY ALL) SELECT z, label FROM c QUALIFY row_number() OVER (PARTITION BY z ORDER BY n DESC, label) = 1")(
-    lambda spark, folder: lab.label_mode(_mask(spark, folder).where("y < 20").select("z", "y", "x").join(_labels(spark, folder), ["z", "y", "x"], "left").select("z", F.coalesce("label", F.lit(0)).cast("long").alias("label")))
+query("label_mode", f"{COMP}, c AS (SELECT m.z, coalesce(label, 0) AS label, count(*) AS n FROM m LEFT JOIN k USING (z, y, x) GROUP BY ALL) SELECT z, label FROM c QUALIFY row_number() OVER (PARTITION BY z ORDER BY n DESC, label) = 1")(
+    lambda spark, folder: lab.label_mode(_mask(spark, folder).select("z", "y", "x").join(_labels(spark, folder), ["z", "y", "x"], "left").select("z", F.coalesce("label", F.lit(0)).cast("long").alias("label")))
 )
 
 
@@ -241,19 +241,20 @@ def propagate(spark, folder):
     return mat.propagate(matches, labels.where("z = 0").select("label").distinct(), n)
 
 
-_FEAT = "f AS (SELECT CAST(label AS BIGINT) AS z, vec_id AS label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c FROM embeddings)"
+_DIMS = [f"e{i}" for i in range(64)]
+_FEAT = "f AS (SELECT CAST(label AS BIGINT) AS z, vec_id AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
 
 
 def _features(spark, folder):
-    e = lambda i: F.col("embedding")[i].cast("double")
-    return table(spark, folder, "embeddings").select(F.col("label").cast("long").alias("z"), F.col("vec_id").alias("label"), e(0).alias("a"), e(1).alias("b"), e(2).alias("c"))
+    e = (F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(_DIMS))
+    return table(spark, folder, "embeddings").select(F.col("label").cast("long").alias("z"), F.col("vec_id").alias("label"), *e)
 
 
-query("zscore_features", f"{_FEAT} SELECT z, label, " + ", ".join(f"round(({c} - avg({c}) OVER w) / coalesce(nullif(stddev_pop({c}) OVER w, 0), 1), 6) + 0 AS {c}" for c in "abc") + " FROM f WINDOW w AS (PARTITION BY z)")(
-    lambda spark, folder: mat.zscore(_features(spark, folder), list("abc")).select("z", "label", *((F.round(c, 6) + 0).alias(c) for c in "abc"))
+query("zscore_features", f"{_FEAT} SELECT z, label, " + ", ".join(f"round((e[{i}] - avg(e[{i}]) OVER w) / coalesce(nullif(stddev_pop(e[{i}]) OVER w, 0), 1), 6) + 0 AS {c}" for i, c in enumerate(_DIMS, 1)) + " FROM f WINDOW w AS (PARTITION BY z)")(
+    lambda spark, folder: mat.zscore(_features(spark, folder), _DIMS).select("z", "label", *((F.round(c, 6) + 0).alias(c) for c in _DIMS))
 )
-query("nearest_blob", f"{_FEAT} SELECT p.z, p.label AS src, q.label AS dst, round(sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c)), 6) AS d FROM f p JOIN f q ON q.z = p.z + 1 QUALIFY row_number() OVER (PARTITION BY p.z, p.label ORDER BY d, q.label) = 1")(
-    lambda spark, folder: mat.nearest(_features(spark, folder), list("abc"))
+query("nearest_blob", f"{_FEAT} SELECT p.z, p.label AS src, q.label AS dst, round(list_distance(p.e, q.e), 6) AS d FROM f p JOIN f q ON q.z = p.z + 1 QUALIFY row_number() OVER (PARTITION BY p.z, p.label ORDER BY d, q.label) = 1")(
+    lambda spark, folder: mat.nearest(_features(spark, folder), _DIMS)
 )
 
 
@@ -327,7 +328,7 @@ def refine_mask(spark, folder):
 
 def _moved_stack(spark, folder):
     """Each plane is a tissue's reference slice, 0; slice 1 is a moved copy."""
-    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").where("y < 64").withColumn("z", F.lit(0).cast("long"))
+    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").withColumn("z", F.lit(0).cast("long"))
     moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
     return lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
 

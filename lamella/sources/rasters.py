@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from ..operators.labels import checkpointed
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,10 +36,13 @@ def slide_files(spark: SparkSession, folder: str, suffix: str = "qptiff") -> Dat
 
 
 def order_files(files: DataFrame, name: str = "name") -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.orderBy(F.lower(F.substring(name, 1, 3)), name)  # a list of files, not of pixels
-    return files.withColumn("slice_id", (F.row_number().over(order) - 1).cast("long"))
+    """``files`` with slice_id from 0: range-sorted, numbered inside each partition, and moved on by the rows of those before it."""
+    columns = [c for c in files.columns if c != "slice_id"]
+    at = checkpointed(files.select(*columns).orderBy(F.lower(F.substring(name, 1, 3)), name).select(F.struct(*columns).alias("file"), F.monotonically_increasing_id().alias("at")))
+    at = at.select("file", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("place"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    begins = at.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("begin"))  # a row for each partition
+    return at.join(F.broadcast(begins), "part").select("file.*", (F.col("begin") + F.col("place")).alias("slice_id"))
 
 
 def channel_names(spark: SparkSession, path: str) -> DataFrame:
