@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import stored
+from .storage import drop, stored
 from .toxicity import training_rows
 from .wordhash import Texts, first_of, slices, words
 
@@ -91,13 +91,14 @@ def score_quality(docs: DataFrame, training: DataFrame, host: str, path: str, do
     else:
         told = measured.withColumn("evidence", F.lit(float(next(iter(seen), 0.5))))
     told = stored(told.select("doc_id", F.coalesce("host", F.lit("\0")).alias("host"), F.coalesce("path", F.lit("\0")).alias("path"), "evidence"), "evidence")
-    paths = told.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s"))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
+    # Tables of their own: joins on an aggregate's partitioning couldn't split a host with a third of all paths or documents.
+    paths = stored(told.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s")), "paths")
+    hosts = stored(paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s")), "hosts")
     g = hosts.agg(F.sum("host_s"), F.sum("host_n")).first()
     mean = g[0] / g[1] if g[1] else 0.5
     strong, near = prior_weight(hosts, "host_s", "host_n"), prior_weight(paths, "s", "n")
-    # A table of its own: else documents would be dealt by host for this join, and a hot one would fill a task.
     sites = stored(paths.join(hosts, "host"), "sites")
+    drop(paths, hosts)
     own = F.col("evidence")
     host_posterior = (strong * mean + F.col("host_s") - own) / (strong + F.col("host_n") - 1)
     path_posterior = (near * host_posterior + F.col("s") - own) / (near + F.col("n") - 1)
