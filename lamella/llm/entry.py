@@ -8,12 +8,15 @@ from .chat_format import format_conversations, read_back
 from .decontaminate import find_benchmark
 from .jaccard_join import near_duplicates
 from .packing import pack
+from .pattern_packing import pack_patterns
+from .prefix_trie import grafted, numbered_turns, prefix_trie
 from .quality import quality_training, score_quality
 from .sharding import shuffle_into_shards
 from .suffix_dedup import remove_repeats
 from .topk_search import scaled, top_k, usable
 from .toxicity import fold, score_toxicity, training_rows
 from .url_filter import filter_urls, page_links
+from .vector_codes import compress, digest, scaled_exactly
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -83,13 +86,52 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json")).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_toxicity, op4_chat_format, op5_topk_search, op6_sharding, op7_decontaminate, op8_jaccard_join, op9_suffix_dedup, op10_packing)}
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = prefix_trie(*grafted(numbered_turns(_table(spark, folder, "conversations"))))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").where(usable("embedding"))
+    codes, books = compress(vectors.select("vec_id", "label", scaled_exactly("embedding", 4096).alias("embedding")))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
+def op13_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_patterns(_table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json")).drop("ids")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_quality, op3_toxicity, op4_chat_format, op5_topk_search, op6_sharding, op7_decontaminate, op8_jaccard_join, op9_suffix_dedup, op10_packing,
+        op11_prefix_trie, op12_vector_codes, op13_pattern_packing,
+    )
+}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '^(?s).*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 # Up to n words from each place of each text of a table.
 _RUNS = "SELECT {keys}, i, list(word) OVER (PARTITION BY {keys} ORDER BY i ROWS BETWEEN CURRENT ROW AND {more} FOLLOWING) AS l FROM (SELECT {keys}, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM {table})"
+# CRC-32 of a decimal number, bit by bit: each byte is taken in with the first of its eight shifts.
+_CRC = "xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0])), lambda s, e: xor(xor(s, e) >> 1, (xor(s, e) & 1) * 3988292384)), 4294967295)"
+_SQUARE = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _rounds(n: int) -> str:
+    """Common tables a0, b1, a1, ..., bn, an: assignments (r, part, entry, d) to codebooks b (part, entry, c) and the codebooks after them."""
+    out = []
+    for k in range(n + 1):
+        near = f"SELECT r, p.part, entry, {_SQUARE.format(a='x', b='c')} AS d FROM parts p JOIN b{k} ON b{k}.part = p.part"
+        out.append(f"a{k} AS MATERIALIZED (SELECT r, part, entry, d FROM ({near}) QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1)")
+        if k < n:
+            sums = f"SELECT part, entry, pos, sum(v) AS s, count(*) AS n FROM (SELECT a.part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM a{k} a JOIN parts p ON p.r = a.r AND p.part = a.part) GROUP BY ALL"
+            means = f"SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS c FROM ({sums}) GROUP BY part, entry"
+            out.append(f"b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN ({means}) m USING (part, entry))")
+    return ", ".join(out)
+
+
 SQL = {
     "op1_url_filter": f"""
 WITH u AS (SELECT page_id, {_HOST} AS host, regexp_extract(coalesce(url, ''), '^(?s).*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
@@ -149,4 +191,22 @@ kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) //
 sums AS (SELECT r, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
 SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kh)) AS kept_sha256
 FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)""",
+    "op11_prefix_trie": f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(said ORDER BY i) AS l, {_CRC.format(x="conv_id")} % 6 AS h FROM t GROUP BY conv_id),
+re AS (SELECT c.conv_id, coalesce(b.l, [])[1:c.h] || c.l[c.h + 1:] AS l FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS MATERIALIZED (SELECT conv_id, d, len(l) = d AS last, CASE WHEN d > 0 THEN length(l[d].t) ELSE 0 END AS chars, sha256(CAST(to_json(l[1:d]) AS VARCHAR)) AS k, sha256(CAST(to_json(l[1:d - 1]) AS VARCHAR)) AS up
+      FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM re)),
+n AS MATERIALIZED (SELECT d, k, any_value(up) AS up, any_value(chars) AS chars, count(*) AS n_convs, min(conv_id) AS conv_id, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM p GROUP BY d, k),
+f AS MATERIALIZED (SELECT n.*, q.conv_id AS parent_conv_id, coalesce(kids, 0) AS n_children FROM n LEFT JOIN n q ON q.d = n.d - 1 AND q.k = n.up LEFT JOIN (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM n GROUP BY ALL) z ON z.d = n.d AND z.k = n.k),
+s AS (SELECT a.d, a.k, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved FROM f JOIN p v ON v.conv_id = f.conv_id AND v.d <= f.d JOIN f a ON a.d = v.d AND a.k = v.k GROUP BY a.d, a.k)
+SELECT conv_id, f.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256 FROM f JOIN s ON s.d = f.d AND s.k = f.k""",
+    "op12_vector_codes": f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS r, * FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS MATERIALIZED (SELECT r, part, e[part * (len(e) // 8) + 1:(part + 1) * (len(e) // 8)] AS x FROM v, (SELECT unnest(range(8)) AS part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM parts WHERE r <= 16), {_rounds(6)},
+code AS (SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY r),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN code USING (r), book""",
 }
