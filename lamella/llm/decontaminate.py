@@ -298,3 +298,22 @@ def remove_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> D
     between = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda x: F.substring(body, x.a + 1, x.b - x.a))
     kept = F.aggregate(between, F.lit(b""), lambda out, x: F.concat(out, x)).cast("string")
     return docs.withColumn(text, F.when(F.size(spans) > 0, kept).otherwise(F.col(text)))
+
+
+def remove_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the benchmark's windows: their words are cut, and again where a cut brings words together to a new window.
+
+    Only the texts that were cut are judged again; each round takes words from them, so the rounds end, with no word hit.
+    Other texts, null and empty ones too, are left as they are.  Columns named as those of :func:`find_benchmark` go; repeated
+    rows are each cut; an empty table gives no row.
+    """
+    todo, clean = docs.drop("n_words", "n_hit", "items", "spans"), None
+    columns = todo.columns
+    while True:
+        found = stored(find_benchmark(todo, benchmark, window, text, item_id, item_text), "judged")
+        free = found.where("n_hit = 0").select(*columns)
+        clean = free if clean is None else clean.unionByName(free)
+        hit = found.where("n_hit > 0")
+        if hit.isEmpty():
+            return clean
+        todo = remove_spans(hit, text).select(*columns)

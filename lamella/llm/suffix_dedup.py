@@ -300,7 +300,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, batches: int = BATCH
     return marks
 
 
-def _cut(text: str, length: int, row: str, marks: str, spans: str, kept: str):
+def _cut(text: str, length: int, row: str, marks: str, spans: str, kept: str, characters: bool):
     """Each row with the spans that its marks cover and the bytes that remain."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -321,6 +321,12 @@ def _cut(text: str, length: int, row: str, marks: str, spans: str, kept: str):
                     z = np.maximum.accumulate(z)
                     new = np.append(True, a[1:] > z[:-1])
                     a, z = a[new], z[np.append(np.flatnonzero(new)[1:] - 1, len(z) - 1)]
+                    if characters:
+                        inner = np.append((body & 0xC0) == 0x80, False)  # bytes of a character after its first
+                        while (more := inner[a]).any():
+                            a = a - more
+                        while (more := inner[z]).any():
+                            z = z + more
                     gone.append([{"start": int(x), "end": int(y)} for x, y in zip(a, z, strict=True)])
                     left.append(b"".join(body[x:y].tobytes() for x, y in zip([0, *z.tolist()], [*a.tolist(), len(body)], strict=True)))
                 yield pa.RecordBatch.from_arrays([rows.slice(texts.first, len(texts)), pa.array(gone, kind), pa.array(left, pa.binary())], names=[row, spans, kept])
@@ -333,7 +339,7 @@ def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.xxhash64(F.col(doc_id), F.col(text)), F.xxhash64(F.col(text), F.lit(9), F.col(doc_id))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, doc_id: str = "doc_id", text: str = "text", characters: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with ``spans`` (removed byte ranges, maximal) and ``kept`` (remaining bytes).
 
     A byte goes if a string of ``length`` bytes covering it starts anywhere else too, in the same
@@ -341,6 +347,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     texts, and texts shorter than ``length``, lose nothing; a null keeps empty bytes.  Repeated rows
     repeat each other, so long ones vanish altogether.  Ids may have any type that can be hashed; a null
     id is a value like any other.  Columns named as the added ones are replaced; an empty table gives no row.
+    With ``characters`` spans are widened to whole characters, so that what is kept is text.
     """
     docs = docs.drop("spans", "kept")
     u, v = _row_key(doc_id, text)
@@ -350,4 +357,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     joined = keyed.join(marks.withColumnsRenamed({"u": "i", "v": "j"}), (F.col("u") == F.col("i")) & (F.col("v") == F.col("j")), "left")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("spans", spans), T.StructField("kept", T.BinaryType())])
-    return joined.select("row", "marks").mapInArrow(_cut(text, length, "row", "marks", "spans", "kept"), schema).select("row.*", "spans", "kept")
+    return joined.select("row", "marks").mapInArrow(_cut(text, length, "row", "marks", "spans", "kept", characters), schema).select("row.*", "spans", "kept")
