@@ -1,6 +1,7 @@
 """Cleaning a corpus: toxic documents, near copies, repeated passages and benchmark text go; the rest is packed.
 
-Each stage takes (session, documents, folder of tables) and returns a table that the next one gets.
+Each stage takes (session, documents, folder of tables) and returns a table that the next one gets.  An
+empty table passes all stages; nulls are allowed in any column.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamella.llm.decontaminate import find_benchmark, remove_spans
+from lamella.llm.decontaminate import remove_benchmark
 from lamella.llm.entry import tokenizer_path
 from lamella.llm.jaccard_join import removed_copies
 from lamella.llm.packing import pack
@@ -39,22 +40,20 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut; a character that is cut in part goes as a whole."""
-    out = remove_repeats(docs.select(COLUMNS))
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.try_validate_utf8(F.col("kept").cast("string")))
-    whole = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.coalesce(text, whole))
+    """Repeated passages are cut; a character that is cut in part goes as a whole.  Null texts stay, repeated long rows are emptied."""
+    out = remove_repeats(docs.select(COLUMNS), characters=True)
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
     return out.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out of the texts."""
-    found = find_benchmark(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return remove_spans(found).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+    """Benchmark passages are cut out of the texts until none is left.  Null texts and repeated rows stay."""
+    clean = remove_benchmark(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, with their token ids, in sequences of 2048 tokens, neighbours being similar."""
+    """Pieces of documents, with their token ids, in sequences of 2048 tokens, neighbours being similar.  Null texts are empty ones."""
     return pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
