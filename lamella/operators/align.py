@@ -7,46 +7,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .labels import checkpointed
 from .matching import knn_ratio
 from .register import find_homographies
+from .scalespace import DETECTORS, Detector, scale_space
 
 
-def _box_sum(df: DataFrame, v: str, k: int, to: str) -> DataFrame:
-    """Sum of v over k x k pixels around each one, k odd; null where the square isn't whole."""
-    r = k // 2
-    across = Window.partitionBy("idx", "z", "y").orderBy("x").rangeBetween(-r, r)
-    down = Window.partitionBy("idx", "z", "x").orderBy("y").rangeBetween(-r, r)
-    df = df.withColumn(to, F.when(F.count(v).over(across) == k, F.sum(v).over(across)))
-    return df.withColumn(to, F.when(F.count(to).over(down) == k, F.sum(to).over(down)))
+def _strongest(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Keypoints counted as kp from the strongest of each plane, ties in reading order."""
+    order = Window.partitionBy(*keys).orderBy(F.desc("gain"), "y", "x", "size", "angle")
+    return points.withColumn("kp", F.row_number().over(order).cast("long"))
 
 
-def keypoints(planes: DataFrame, most: int = 0, contrast: int = 0, reach: int = 4) -> DataFrame:
-    """(idx, z, kp, y, x, gain, descriptor) of dense integer planes (idx, z, y, x, v).
+def keypoints(planes: DataFrame, most: int = 0, detector: Detector = Detector()) -> DataFrame:
+    """(idx, z, kp, y, x, size, angle, gain, descriptor) of planes (idx, z, y, x, v) of 0 to 255 in scale space.
 
-    A keypoint is a pixel whose 3 x 3 mean exceeds its 7 x 7 mean by more than ``contrast`` and by more
-    than at its eight neighbours do; the ``most`` strongest of each plane stay (0: all), ties to the first in
-    reading order.  kp counts them from the strongest, and gain is 441 times the excess.  The descriptor holds the 3 x 3 sums of the (2 reach + 1) squared pixels around, less their
-    mean, at unit length; keypoints too near to the edge for it are left out.
+    The ``most`` strongest of each plane stay (0: all); kp counts them from the strongest.
     """
-    d = _box_sum(_box_sum(planes, "v", 3, "near"), "v", 7, "wide").withColumn("gain", F.col("near") * 49 - F.col("wide") * 9)
-    d = checkpointed(d.select("idx", "z", "y", "x", "near", "gain"))
-    across = Window.partitionBy("idx", "z", "y").orderBy("x").rangeBetween(-1, 1)
-    down = Window.partitionBy("idx", "z", "x").orderBy("y").rangeBetween(-1, 1)
-    top = d.withColumn("line", F.max("gain").over(across)).withColumn("peak", F.max("line").over(down))
-    top = top.withColumn("n", F.sum((F.col("gain") == F.col("peak")).cast("int")).over(across))
-    found = top.where(F.col("gain").isNotNull() & (F.col("gain") == F.col("peak")) & (F.col("gain") > contrast * 441) & (F.col("n") == 1))
-    rank = F.row_number().over(Window.partitionBy("idx", "z").orderBy(F.desc("gain"), "y", "x"))
-    found = found.select("idx", "z", "y", "x", "gain", rank.cast("long").alias("kp"))
+    one = planes.sparkSession.createDataFrame([(0, detector.sigma, detector.layers, detector.contrast, detector.edge)], DETECTORS)
+    found = _strongest(scale_space(planes, ["idx", "z"], one), ["idx", "z"])
     found = found.where(F.col("kp") <= most) if most else found
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    asked = found.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
-    asked = asked.select("idx", "z", "kp", "gain", F.col("y").alias("ky"), F.col("x").alias("kx"), (F.col("y") + F.col("i")).alias("y"), (F.col("x") + F.col("j")).alias("x"))
-    cells = asked.join(d.where("near is not null").select("idx", "z", "y", "x", "near"), ["idx", "z", "y", "x"])
-    patch = cells.groupBy("idx", "z", "kp", "ky", "kx", "gain").agg(F.array_sort(F.collect_list(F.struct("y", "x", "near"))).alias("p"))
-    size = (2 * reach + 1) ** 2
-    total: Column = F.aggregate("p", F.lit(0.0), lambda s, c: s + c.near)
-    centred = F.transform("p", lambda c: c.near - total / size)
-    norm = F.sqrt(F.aggregate("c", F.lit(0.0), lambda s, c: s + c * c))
-    patch = patch.where(F.size("p") == size).withColumn("c", centred).withColumn("s", norm).where("s > 0")
-    return patch.select("idx", "z", "kp", F.col("ky").alias("y"), F.col("kx").alias("x"), "gain", F.transform("c", lambda c: c / F.col("s")).alias("descriptor"))
+    return found.select("idx", "z", "kp", "y", "x", "size", "angle", "gain", "descriptor")
 
 
 def match_to_reference(points: DataFrame, reference: DataFrame, ratio: float | Column = 0.75) -> DataFrame:
@@ -80,13 +58,13 @@ def warp_each(pixels: DataFrame, homographies: DataFrame, height: int, width: in
     return seen.select("idx", "z", F.col("ty").cast("long").alias("y"), F.col("tx").cast("long").alias("x"), "v")
 
 
-def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int, ratio: float = 0.75, most: int = 0, contrast: int = 0) -> tuple[DataFrame, DataFrame]:
+def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int, ratio: float = 0.75, most: int = 0, detector: Detector = Detector()) -> tuple[DataFrame, DataFrame]:
     """(aligned pixels, status) of dense planes (idx, z, y, x, v); ``reference`` holds each tissue's reference slice (idx, z).
 
     The status (idx, z, h, inliers, status) has a row for each other slice.  A slice that can't be aligned fails its
     whole tissue: it has status rows, but no pixels.  The reference slice is copied as it is.
     """
-    matches = match_to_reference(checkpointed(keypoints(stack, most, contrast)), reference, ratio)
+    matches = match_to_reference(checkpointed(keypoints(stack, most, detector)), reference, ratio)
     found = find_homographies(matches, ["idx", "z"])
     others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
     status = checkpointed(others.join(found, ["idx", "z"], "left").withColumns({"inliers": F.coalesce("inliers", F.lit(0)), "status": F.coalesce("status", F.lit("failed"))}))
@@ -99,16 +77,16 @@ def align_stack(stack: DataFrame, reference: DataFrame, height: int, width: int,
 def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, height: int, width: int, cut: float) -> DataFrame:
     """(number, idx, value, unaligned) of each trial and tissue: the mean Dice of its other slices with the reference slice, pixels above ``cut``.
 
-    Each trial aligns with its own n_features (most keypoints of a slice, 0: all), contrast_threshold (of 255 grey values)
-    and ratio_threshold; the detector has no counterpart of the other parameters.  ``value`` scores the aligned slices,
-    ``unaligned`` the slices as they were.  A trial with a slice that can't be aligned has 0 in both.
+    Each trial aligns with its own n_features (most keypoints of a slice, 0: all), sigma, n_octave_layers, contrast_threshold
+    and edge_threshold of the detector and its ratio_threshold.  ``value`` scores the aligned slices, ``unaligned`` the
+    slices as they were.  A trial with a slice that can't be aligned has 0 in both.
     """
-    # A trial's keypoints are the first ones of all, so all trials share one detection.
-    points = checkpointed(keypoints(stack, 0))
-    trials = checkpointed(trials.select("number", "n_features", "contrast_threshold", "ratio_threshold"))
+    trials = checkpointed(trials.select("number", "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold"))
+    detectors = trials.select("number", "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"))
+    points = _strongest(scale_space(stack, ["idx", "z"], detectors), ["number", "idx", "z"])
     key = F.struct("number", "ratio_threshold", "idx").alias("idx")
-    strong = (F.col("gain") > F.col("contrast_threshold") * 255 * 441) & ((F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features")))
-    own = points.crossJoin(F.broadcast(trials)).where(strong).select(key, "z", "kp", "y", "x", "descriptor")
+    strong = (F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features"))
+    own = checkpointed(points.join(F.broadcast(trials), "number").where(strong).select(key, "z", "kp", "y", "x", "descriptor"))
     matches = match_to_reference(own, reference.crossJoin(F.broadcast(trials)).select(key, "z"), F.col("g.idx.ratio_threshold"))
     found = find_homographies(matches.select("idx.number", "idx.idx", "z", "sx", "sy", "dx", "dy"), ["number", "idx", "z"])
     others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
