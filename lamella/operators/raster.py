@@ -81,10 +81,17 @@ def binarize(pixels: DataFrame, threshold: float) -> DataFrame:
     return pixels.select("z", "y", "x", (F.col("v") > threshold).cast("long").alias("v"))
 
 
+def half_otsu(pixels: DataFrame) -> DataFrame:
+    """(z, t): half of each plane's first Otsu threshold; a plane with fewer than three grey values raises an error when read."""
+    hist = histogram(pixels)
+    all_ = hist.select("z").distinct().join(multi_otsu(hist), "z", "left")
+    none = F.raise_error(F.lit("a plane has fewer than three grey values, so it has no threshold")).cast("double")
+    return all_.select("z", F.coalesce(F.col("t1") / 2, none).alias("t"))
+
+
 def binarize_auto(pixels: DataFrame) -> DataFrame:
-    """Threshold of each plane: half its first Otsu threshold."""
-    limits = multi_otsu(histogram(pixels))
-    return pixels.join(F.broadcast(limits), "z").select("z", "y", "x", (F.col("v") > F.col("t1") / 2).cast("long").alias("v"))
+    """Threshold of each plane: half its first Otsu threshold; a plane with fewer than three grey values raises an error when read."""
+    return pixels.join(F.broadcast(half_otsu(pixels)), "z", "left").select("z", "y", "x", (F.col("v") > F.col("t")).cast("long").alias("v"))
 
 
 def median_filter(pixels: DataFrame, k: int = 3) -> DataFrame:

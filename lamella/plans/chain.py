@@ -46,10 +46,10 @@ class Result:
 
 
 def thresholds(plane: DataFrame, settings: Settings) -> DataFrame:
-    """(z, t): the given threshold, or half of each plane's first Otsu threshold."""
+    """(z, t): the given threshold, or half of each plane's first Otsu threshold; planes without one raise an error when read."""
     if settings.thresh is not None:
         return plane.select("z").distinct().withColumn("t", F.lit(float(settings.thresh)))
-    return ras.multi_otsu(ras.histogram(plane)).select("z", (F.col("t1") / 2).alias("t"))
+    return ras.half_otsu(plane)
 
 
 def tissue_mask(plane: DataFrame, limits: DataFrame, k: int) -> DataFrame:

@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .codecs import DECODERS, samples
 from .rasters import order_files
 
 # Numbers of tags, and struct codes of the types of their values.
@@ -24,7 +25,6 @@ WIDTH, HEIGHT, BITS, COMPRESSION, STRIPS, SAMPLES, STRIP_ROWS, STRIP_BYTES, PLAN
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILES, TILE_BYTES, SUB_IFDS, FORMAT = 317, 322, 323, 324, 325, 330, 339
 DESCRIPTION, X_RESOLUTION, Y_RESOLUTION, UNIT = 270, 282, 283, 296
 CODES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "Q", 6: "b", 8: "h", 9: "i", 13: "I", 16: "Q", 17: "q", 18: "Q"}
-PLAIN, DEFLATE = (1,), (8, 32946)
 
 #: Samples decoded at once.
 BLOCK = 1 << 20
@@ -144,31 +144,30 @@ def _segments(level: int):
 
 def _lines(f, s) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, rows x line x samples) blocks of a segment."""
-    if s.compression not in PLAIN + DEFLATE:
-        raise ValueError(f"compression {s.compression} of {s.path} can't be decoded: plain and deflate can")
-    if s.bits not in (8, 16, 32) or s.predictor not in (1, 2) or (s.predictor == 2 and s.format == 3):
+    if s.compression not in DECODERS:
+        raise ValueError(f"compression {s.compression} of {s.path} can't be decoded: plain, LZW, deflate and PackBits can")
+    sound = {1: (8, 16, 32), 2: (8, 16, 32), 3: (16, 32, 64)}
+    if s.bits not in sound.get(s.format, ()) or s.predictor not in ((1, 3) if s.format == 3 else (1, 2)):
         raise ValueError(f"samples of {s.bits} bits with predictor {s.predictor} in {s.path} can't be decoded")
-    dtype = np.dtype(f"{s.order}{ {1: 'u', 2: 'i', 3: 'f'}[s.format] }{s.bits // 8}")
-    one = s.line * s.samples * dtype.itemsize
+    at = 0
+
+    def feed() -> bytes:
+        nonlocal at
+        part = _at(f, s.offset + at, min(BLOCK, s.bytes - at))
+        at += len(part)
+        return part
+
+    stored, one = DECODERS[s.compression](feed), s.line * s.samples * s.bits // 8
     rows = max(1, BLOCK // (s.line * s.samples))
-    unpack, rest, at = zlib.decompressobj(), b"", 0
     for first in range(0, s.rows, rows):
-        want, got = min(rows, s.rows - first) * one, b""
-        while len(got) < want:
-            if s.compression in PLAIN:
-                part = _at(f, s.offset + at, want - len(got))
-                at += len(part)
-            else:
-                if not rest and at < s.bytes:
-                    rest = _at(f, s.offset + at, min(BLOCK, s.bytes - at))
-                    at += len(rest)
-                part = unpack.decompress(rest, want - len(got))
-                rest = unpack.unconsumed_tail
-            if not part and (s.compression in PLAIN or (not rest and at >= s.bytes)):
-                raise ValueError(f"a segment of {s.path} at {s.offset} is too short")
-            got += part
-        block = np.frombuffer(got, dtype).reshape(-1, s.line, s.samples)
-        yield first, np.cumsum(block, axis=1, dtype=dtype.newbyteorder("=")) if s.predictor == 2 else block
+        want = min(rows, s.rows - first) * one
+        try:
+            got = stored.read(want)
+        except (ValueError, zlib.error) as e:
+            raise ValueError(f"a segment of {s.path} at {s.offset} is damaged: {e}") from e
+        if len(got) < want:
+            raise ValueError(f"a segment of {s.path} at {s.offset} is too short")
+        yield first, samples(got, s.order, s.bits, s.format, s.predictor, s.line, s.samples)
 
 
 def _decode(kind: str):
@@ -205,8 +204,8 @@ def slide_info(spark: SparkSession, path: str, suffix: str = "qptiff", level: in
 def read_tiff(spark: SparkSession, path: str, suffix: str = "qptiff", level: int = 0, kind: str = "long") -> DataFrame:
     """Pixels (z, c, y, x, v) of a TIFF file or of the files of a folder that end in ``suffix``, in the order of ``slide_files``.
 
-    Classic and big TIFF, strips and tiles, 8 to 32 bits, plain or deflate, with or without differences; ``level`` picks a
-    smaller version.  Pages of a slide are its channels, and so are a page's samples.  ``kind`` is the type of v, 'long' or
+    Classic and big TIFF, strips and tiles, whole numbers of 8 to 32 bits and floating-point ones of 16 to 64, plain, LZW, deflate
+    or PackBits, with or without differences; ``level`` picks a smaller version.  Pages of a slide are its channels, and so are a page's samples.  ``kind`` is the type of v, 'long' or
     'double'.  Other compressions and damaged files raise an error when read; a folder without slides gives no rows.
     """
     if kind not in ("long", "double"):

@@ -195,3 +195,17 @@ def test_lone_pixels_go(spark):
     m[10, 10] = m[4, 5] = 1
     on = {(r.y, r.x) for r in mor.remove_islands(pixels(spark, [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(m)])).where("v = 1").collect()}
     assert (10, 10) not in on and (4, 5) in on and {(y, x) for y in range(3, 6) for x in range(4, 8)} <= on
+
+
+def test_planes_without_a_threshold_are_not_lost(spark):
+    from pyspark.errors import PySparkException
+
+    from lamella.operators import raster as ras
+    from lamella.plans import chain
+
+    rows = [(0, 0, x, x * 40) for x in range(8)] + [(1, 0, x, x % 2) for x in range(8)]
+    df = spark.createDataFrame(rows, "z long, y long, x long, v long")
+    assert ras.binarize_auto(df.where("z = 0")).count() == 8
+    for read in (lambda: ras.binarize_auto(df).collect(), lambda: chain.thresholds(df, chain.Settings()).collect(), lambda: chain.tissue_mask(df, chain.thresholds(df, chain.Settings()), 10).collect()):
+        with pytest.raises(PySparkException, match="fewer than three grey values"):
+            read()

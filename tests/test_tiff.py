@@ -10,6 +10,60 @@ from lamella.plans import command
 from lamella.sources import tiff
 
 
+def lzw(data):
+    """Dictionary coding by the book: codes of 9 to 12 bits, a new dictionary before it is full."""
+    out, bits, width = 0, 0, 9
+
+    def put(code):
+        nonlocal out, bits
+        out, bits = out << width | code, bits + width
+
+    put(256)
+    table = {bytes([i]): i for i in range(256)}
+    free, held = 258, b""
+    for i in range(len(data)):
+        more = held + data[i : i + 1]
+        if more in table:
+            held = more
+            continue
+        put(table[held])
+        table[more] = free
+        if free == (1 << width) - 1:  # entry 511, 1023, 2047
+            width += 1
+        free += 1
+        held = data[i : i + 1]
+        if free == 4095:
+            put(table[held])
+            put(256)
+            table, free, width, held = {bytes([i]): i for i in range(256)}, 258, 9, b""
+    if held:
+        put(table[held])
+        if free == (1 << width) - 1:
+            width += 1
+    put(257)
+    pad = -bits % 8
+    return (out << pad).to_bytes((bits + pad) // 8, "big")
+
+
+def packbits(data):
+    out, i = bytearray(), 0
+    while i < len(data):
+        n = 1
+        while n < 128 and i + n < len(data) and data[i + n] == data[i]:
+            n += 1
+        if n > 1:
+            out += bytes([257 - n, data[i]])
+        else:
+            while n < 128 and i + n < len(data) and data[i + n] != data[i + n - 1]:
+                n += 1
+            out += bytes([128, n - 1]) + data[i : i + n]  # 128 stands for nothing
+        i += n
+    return bytes(out)
+
+
+CODERS = {1: bytes, 5: lzw, 8: zlib.compress, 32773: packbits}
+
+
 def write(path, pages, order="<", tile=None, compression=1, predictor=1, subs=False, rows=7, more=None):
     """A classic TIFF of arrays (y, x) or (y, x, sample), each a page; ``subs`` makes the later ones smaller versions of the first."""
     out = bytearray(struct.pack(order + "2sHI", {"<": b"II", ">": b"MM"}[order], 42, 0))
@@ -27,7 +81,12 @@ def write(path, pages, order="<", tile=None, compression=1, predictor=1, subs=Fa
                 if predictor == 2:
                     part = np.diff(part, axis=1, prepend=np.zeros_like(part[:, :1]))
                 data = part.astype(part.dtype.newbyteorder(order)).tobytes()
-                data = zlib.compress(data) if compression == 8 else data
+                if predictor == 3:
+                    n = part.dtype.itemsize
+                    planes = part.astype(part.dtype.newbyteorder(">")).reshape(len(part), -1, 1).view("u1").transpose(0, 2, 1).reshape(len(part), -1, samples)
+                    data = np.diff(planes, axis=1, prepend=np.zeros_like(planes[:, :1])).astype("u1").tobytes()
+                    assert len(data) == part.size * n
+                data = CODERS[compression](data)
                 offsets.append(len(out))
                 sizes.append(len(data))
                 out += data
@@ -80,9 +139,57 @@ def test_slides_are_read(spark, tmp_path, monkeypatch, how, dtype):
     assert read(tiff.read_tiff(spark, str(tmp_path))) == cells({(0, 0): a, (0, 1): b, (1, 0): b, (1, 1): a})
 
 
+@pytest.mark.parametrize("how", [{"compression": 5}, {"compression": 5, "predictor": 2, "tile": (16, 16)}, {"compression": 5, "order": ">", "predictor": 2}, {"compression": 32773}, {"compression": 32773, "predictor": 2, "tile": (16, 16)}])
+@pytest.mark.parametrize("dtype", ["u1", "u2"])
+def test_dictionary_and_run_compression(spark, tmp_path, how, dtype):
+    rng = np.random.default_rng(7)
+    smooth = (np.add.outer(np.arange(90), np.arange(130)) // 3 % 250).astype(dtype)
+    noisy = rng.integers(0, 250, (90, 130)).astype(dtype)  # fills the dictionary more than once
+    colours = np.stack([smooth, noisy, smooth // 2], axis=2)
+    write(tmp_path / "a.qptiff", [smooth, noisy], rows=90, **how)
+    write(tmp_path / "b.qptiff", [colours], rows=90, **how)
+    want = {(0, 0): smooth, (0, 1): noisy} | {(1, c): colours[:, :, c] for c in range(3)}
+    assert read(tiff.read_tiff(spark, str(tmp_path))) == cells(want)
+
+
+@pytest.mark.parametrize(("dtype", "compression"), [("f4", 5), ("f4", 8), ("f8", 5), ("f2", 32773)])
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_floating_point_differences(spark, tmp_path, dtype, compression, order):
+    a = np.random.default_rng(3).normal(size=(20, 31, 2)).astype(dtype)
+    write(tmp_path / "a.qptiff", [a], tile=(16, 16), predictor=3, compression=compression, order=order)
+    got = read(tiff.read_tiff(spark, str(tmp_path), kind="double"))
+    assert got == cells({(0, c): a[:, :, c].astype("f8") for c in (0, 1)})
+
+
+@pytest.mark.parametrize(("compression", "coder"), [(5, lzw), (32773, packbits), (8, zlib.compress), (1, bytes)])
+def test_decoders_give_any_portion(compression, coder):
+    from lamella.sources.codecs import DECODERS
+
+    rng = np.random.default_rng(compression)
+    data = bytes(200) + rng.integers(0, 256, 9000).astype("u1").tobytes() + bytes(range(256)) * 9 + bytes(5000)
+    packed = coder(data)
+    for step, portion in ((1, 4000), (7, 977), (len(packed), 1)):
+        stream = iter([packed[i : i + step] for i in range(0, len(packed), step)])
+        decoder = DECODERS[compression](lambda: next(stream, b""))  # noqa: B023
+        got = [decoder.read(portion) for _ in range(-(-len(data) // portion))]
+        assert b"".join(got) == data and all(len(g) == portion for g in got[:-1]) and decoder.read(5) == b""
+
+
+@pytest.mark.parametrize("compression", [5, 8, 32773])
+@pytest.mark.parametrize("harm", ["short", "codes"])
+def test_damaged_segments_raise(spark, tmp_path, compression, harm, monkeypatch):
+    a = np.random.default_rng(1).integers(0, 250, (40, 40)).astype("u1")
+    good = CODERS[compression]
+    bad = {"short": lambda d: good(d)[: len(good(d)) // 2], "codes": lambda d: b"\xff" * 9 if compression != 32773 else b"\x05"}[harm]
+    monkeypatch.setitem(CODERS, compression, bad)
+    write(tmp_path / "a.qptiff", [a], rows=40, compression=compression)
+    with pytest.raises(PythonException, match="damaged|too short"):
+        tiff.read_tiff(spark, str(tmp_path)).collect()
+
+
 def test_blocks_of_a_strip(monkeypatch, tmp_path):
     a = np.arange(50 * 30, dtype="u2").reshape(50, 30)
-    for compression in (1, 8):
+    for compression in (1, 5, 8, 32773):
         write(tmp_path / "a.qptiff", [a], rows=50, compression=compression)
         monkeypatch.setattr(tiff, "BLOCK", 100)
         parts = next(tiff._segments(0)(iter([pd.DataFrame({"slice_id": [0], "path": [str(tmp_path / "a.qptiff")]})])))
