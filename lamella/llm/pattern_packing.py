@@ -4,7 +4,7 @@ Only the histogram of lengths, which the sequence length bounds, comes to the dr
 patterns of a few length classes that fill a sequence exactly get repeat counts by non-negative least
 squares, rounded, as far as the histogram goes; what is left over goes best fit, longest first, into further
 sequences, in lots of equal lengths.  The plan says for each place in the order
-of lengths which sequence and offset it has, so pieces are range-sorted by length, numbered and placed by look-up.
+of lengths which sequence and offset it has, so the lengths alone are range-sorted, numbered and placed by look-up.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .packing import _tokenizer
 from .running import running_sums
@@ -216,23 +217,26 @@ def _pieces(path: str, end: int, length: int):
 
 
 def _placed(intervals: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+    """The sequence and offset of each row by its place."""
 
-        press = zstandard.ZstdDecompressor()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.column("one_upto").to_numpy() - 1
             first, sequence, many, offset, length = intervals[np.searchsorted(intervals[:, 0], place, "right") - 1].T
-            j = place - first
-            ids = [np.frombuffer(press.decompress(p), np.uint32 if w else np.uint16).astype(np.int32) for p, w in zip(batch.column("packed").to_pylist(), batch.column("wide").to_pylist(), strict=True)]
-            ends = np.cumsum([0, *(len(x) for x in ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence + j // np.maximum(many, 1)), pa.array(offset + j % np.maximum(many, 1) * length), lists], names=[*names, "sequence_id", "offset", "ids"])
+            each, nth = np.divmod(place - first, np.maximum(many, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sequence + each), pa.array(offset + nth * length)], names=["row", "sequence_id", "offset"])
 
     return run
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _unpacked(packed: pd.Series, wide: pd.Series) -> pd.Series:
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    return pd.Series([np.frombuffer(press.decompress(p), np.uint32 if w else np.uint16).astype(np.int32) for p, w in zip(packed, wide, strict=True)])
+
+
 def pack_patterns(docs: DataFrame, tokenizer: str, end: int = 1, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Whole documents in as few sequences of at most ``length`` tokens as patterns and best fit reach, with their ids.
 
@@ -248,7 +252,8 @@ def pack_patterns(docs: DataFrame, tokenizer: str, end: int = 1, length: int = L
     tokens = stored(source.mapInArrow(_pieces(tokenizer, end, length), pieces + ", wide boolean, packed binary").withColumn("row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in tokens.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``length`` rows
     intervals, _ = plan(histogram, length)
-    keyed = tokens.withColumns({"all": F.lit(0).cast("long"), "one": F.lit(1).cast("long")})
-    keep = [f.name for f in tokens.schema if f.name != "row"]
-    numbered = running_sums(keyed, "all", ["length", "row"], ["one"], keep=keep)
-    return numbered.mapInArrow(_placed(intervals), pieces + ", sequence_id long, offset long, ids array<int>")
+    keyed = tokens.select("length", "row", F.lit(0).cast("long").alias("all"), F.lit(1).cast("long").alias("one"))
+    numbered = running_sums(keyed, "all", ["length", "row"], ["one"], keep=["row"])
+    places = numbered.mapInArrow(_placed(intervals), "row long, sequence_id long, offset long")
+    # The ids join last, as a column of their own: who doesn't read them doesn't move them.
+    return tokens.join(places, "row").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", _unpacked("packed", "wide").alias("ids"))
