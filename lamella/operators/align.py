@@ -79,18 +79,22 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
 
     Each trial aligns with its own n_features (most keypoints of a slice, 0: all), sigma, n_octave_layers, contrast_threshold
     and edge_threshold of the detector and its ratio_threshold.  ``value`` scores the aligned slices, ``unaligned`` the
-    slices as they were.  A trial with a slice that can't be aligned has 0 in both.
+    slices as they were.  A trial with a slice that can't be aligned has 0 in both.  Trials with a column ``idx`` are tried on
+    that tissue only.
     """
-    trials = checkpointed(trials.select("number", "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold"))
-    detectors = trials.select("number", "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"))
+    by = [c for c in ("number", "idx") if c in trials.columns]
+    trials = checkpointed(trials.select(*by, "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold"))
+    detectors = trials.select(*by, "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"))
     points = _strongest(scale_space(stack, ["idx", "z"], detectors), ["number", "idx", "z"])
     key = F.struct("number", "ratio_threshold", "idx").alias("idx")
     strong = (F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features"))
-    own = checkpointed(points.join(F.broadcast(trials), "number").where(strong).select(key, "z", "kp", "y", "x", "descriptor"))
-    matches = match_to_reference(own, reference.crossJoin(F.broadcast(trials)).select(key, "z"), F.col("g.idx.ratio_threshold"))
+    asked = F.broadcast(trials)
+    of_trials = lambda df: df.join(asked, "idx") if "idx" in by else df.crossJoin(asked)
+    own = checkpointed(points.join(asked, by).where(strong).select(key, "z", "kp", "y", "x", "descriptor"))
+    matches = match_to_reference(own, of_trials(reference.select("idx", "z")).select(key, "z"), F.col("g.idx.ratio_threshold"))
     found = find_homographies(matches.select("idx.number", "idx.idx", "z", "sx", "sy", "dx", "dy"), ["number", "idx", "z"])
     others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
-    maps = checkpointed(others.crossJoin(F.broadcast(trials.select("number"))).join(found.select("number", "idx", "z", "h"), ["number", "idx", "z"], "left"))
+    maps = checkpointed(of_trials(others).select("number", "idx", "z").join(found.select("number", "idx", "z", "h"), ["number", "idx", "z"], "left"))
 
     keyed = maps.where("h is not null").select(F.struct("number", "idx").alias("idx"), "z", "h")
     planes = stack.join(maps.where("h is not null").select("number", "idx", "z"), ["idx", "z"]).select(F.struct("number", "idx").alias("idx"), "z", "y", "x", "v")

@@ -1,11 +1,17 @@
-"""Connected components of masks, by runs of pixels and star contraction, and what builds on them."""
+"""Connected components of masks, inside tiles and by star contraction between them, and what builds on them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from . import tiles
+from .tiles import repeated, to_blocks
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -33,12 +39,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _components(edges: DataFrame) -> DataFrame:
-    """(z, node, root) for edges (z, u, v), u > v: large-star and small-star rounds until nothing moves.
+def _components(edges: DataFrame) -> DataFrame | None:
+    """(z, node, root) for edges (z, u, v), u > v: large-star and small-star rounds until nothing moves; None without edges.
 
     A component's root comes to have all its runs as neighbours, so its minimum is joined as a table of its own.
     """
     e = checkpointed(edges.distinct())
+    if e.isEmpty():
+        return None
     mark = None
     while True:
         both = e.union(e.select("z", F.col("v").alias("u"), F.col("u").alias("v")))
@@ -52,19 +60,69 @@ def _components(edges: DataFrame) -> DataFrame:
             return e.select("z", F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _united(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least of each group of 0 ... n - 1 that edges (u, v) join."""
+    root = np.arange(n)
+    while True:
+        a, b = root[u], root[v]
+        live = a != b
+        if not live.any():
+            return root
+        u, v = u[live], v[live]
+        np.minimum.at(root, np.maximum(a, b)[live], np.minimum(a, b)[live])
+        while ((r := root[root]) != root).any():
+            root = r
+
+
+def _first_pixels(on: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(y, x) of the set pixels and of the first pixel, in reading order, of their component inside the array."""
+    wide = np.pad(on, ((0, 0), (1, 1))).astype(np.int8)
+    step = np.diff(wide, axis=1)
+    row, start = np.nonzero(step == 1)
+    end = np.nonzero(step == -1)[1] - 1
+    span, reach = on.shape[1] + 4, int(diagonal)
+    # Runs of the line above that touch: those that end at or after its start and start at or before its end.
+    low = np.searchsorted(row * span + end + 2, (row - 1) * span + start + 2 - reach, "left")
+    high = np.searchsorted(row * span + start + 2, (row - 1) * span + end + 2 + reach, "right")
+    many = np.maximum(high - low, 0)
+    below = np.repeat(np.arange(len(row)), many)
+    above = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
+    root = _united(len(row), above, below)
+    of = np.repeat(root, end - start + 1)
+    y, x = np.nonzero(on)
+    return y, x, row[of], start[of]
+
+
 def connected_components(mask: DataFrame, diagonal: bool = True, width: int = 1 << 20) -> DataFrame:
-    """(z, y, x, label) of mask rows (z, y, x); a label is the least y * width + x of its component."""
-    line = Window.partitionBy("z", "y").orderBy("x")
-    runs = mask.select("z", "y", "x").withColumn("g", F.col("x") - F.row_number().over(line))
-    runs = runs.withColumn("id", F.col("y") * width + F.min("x").over(Window.partitionBy("z", "y", "g")))
-    ends = checkpointed(runs.groupBy("z", "y", "id").agg(F.min("x").alias("a"), F.max("x").alias("b")))
-    up = ends.select("z", (F.col("y") + 1).alias("y"), F.col("id").alias("v"), F.col("a").alias("c"), F.col("b").alias("d"))
-    reach = 1 if diagonal else 0
-    edges = ends.join(up, ["z", "y"]).where((F.col("a") <= F.col("d") + reach) & (F.col("c") <= F.col("b") + reach)).select("z", F.col("id").alias("u"), "v")
+    """(z, y, x, label) of mask rows (z, y, x); a label is the least y * width + x of its component.
+
+    Components are found inside tiles; only those that touch across the tiles' borders are joined by rounds over tables.
+    """
+    ones = mask.select("z", "y", "x", F.lit(1).alias("v"))
+    blocks = to_blocks(ones, ["z"], "u1", sized=False)
+    schema = T.StructType([blocks.schema["z"], *(T.StructField(c, T.LongType()) for c in ("y", "x", "local")), T.StructField("at_edge", T.BooleanType())])
+    side = tiles.SIDE
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                y0, x0, ny, nx = (batch.column(c)[i].as_py() for c in ("at_y", "at_x", "n_y", "n_x"))
+                on = np.frombuffer(batch.column("data")[i].as_buffer(), "u1").reshape(ny, nx) == 1
+                y, x, fy, fx = _first_pixels(on, diagonal)
+                y, x, first = y + y0, x + x0, (fy + y0) * width + fx + x0
+                edge = ((y % side == 0) & (y > 0)) | (y % side == side - 1) | ((x % side == 0) & (x > 0)) | (x % side == side - 1)
+                yield pa.RecordBatch.from_arrays([*repeated(batch.slice(i, 1), ["z"], len(y)).values(), *map(pa.array, (y, x, first, edge))], names=["z", "y", "x", "local", "at_edge"])
+
+    found = checkpointed(blocks.mapInArrow(local, schema))
+    border = found.where("at_edge").select("z", "y", "x", "local")
+    ways = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * diagonal
+    to = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ways))).alias("d")
+    near = border.select("z", "y", "x", F.col("local").alias("other"), to).select("z", (F.col("y") + F.col("d.i")).alias("y"), (F.col("x") + F.col("d.j")).alias("x"), "other")
+    edges = near.join(border, ["z", "y", "x"]).where("local <> other").select("z", F.greatest("local", "other").alias("u"), F.least("local", "other").alias("v"))
     roots = _components(edges)
-    # A run's root is the least run; the least pixel is in the component's top line, whose first run it begins.
-    out = runs.join(roots.withColumnRenamed("node", "id"), ["z", "id"], "left").select("z", "y", "x", F.coalesce("root", "id").alias("label"))
-    return out
+    if roots is None:
+        return found.select("z", "y", "x", F.col("local").alias("label"))
+    return found.join(roots.withColumnRenamed("node", "local"), ["z", "local"], "left").select("z", "y", "x", F.coalesce("root", "local").alias("label"))
 
 
 def component_stats(labels: DataFrame) -> DataFrame:

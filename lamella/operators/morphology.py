@@ -1,53 +1,83 @@
-"""Morphology on dense binary planes (z, y, x, v of 0 and 1).
+"""Morphology on binary planes (z, y, x, v of 0 and 1), tile by tile.
 
-A rectangle is two passes of counts in a sliding range, each the difference of two running sums,
-so the cost doesn't depend on the kernel's size.  Pixels outside the plane never count.
+A sequence of steps is one exchange of strips between tiles, as wide as all its kernels reach; inside a tile a
+rectangle is two passes of differences of running sums, so the cost doesn't depend on the kernel's size.
+Pixels outside the plane, and missing ones, never count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
 from .raster import median_filter
+from .tiles import Tile, as_pixels, block_schema, block_table, deal, to_blocks
 
+MISSING = 255
 
-def _pass(df: DataFrame, line: list[str], along: str, k: int, erode: bool) -> DataFrame:
-    order = Window.partitionBy(*line).orderBy(along)
-    upto, before = order.rangeBetween(Window.unboundedPreceding, k - 1 - k // 2), order.rangeBetween(Window.unboundedPreceding, -(k // 2) - 1)
-    within = lambda c: F.sum(c).over(upto) - F.coalesce(F.sum(c).over(before), F.lit(0))
-    on = within("v")
-    return df.withColumn("v", (on == within(F.lit(1))).cast("long") if erode else (on > 0).cast("long"))
 
+def _tiled(df: DataFrame, reach: int, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Planes of 0 and 1 after ``change`` of each tile with ``reach`` pixels around it."""
+    blocks = to_blocks(df, ["z"], "u1", MISSING, sized=False)
 
-def _rect(df: DataFrame, k: int, erode: bool) -> DataFrame:
-    if k < 1:
-        k = 3  # an empty kernel stands for 3 x 3
-    return _pass(_pass(df, ["z", "y"], "x", k, erode), ["z", "x"], "y", k, erode)
+    def work(tile: Tile, table):
+        a = np.where(tile.a == MISSING, MISSING, change(tile.a))[tile.own].astype("u1")
+        return block_table(table, ["z"], a, tile.top, tile.left, tile.height, tile.width)
+
+    return as_pixels(deal(blocks, ["z"], "u1", reach, work, block_schema(blocks, ["z"]), MISSING), ["z"], "u1", MISSING)
+
+
+def _counts(on: np.ndarray, first: int, last: int, axis: int) -> np.ndarray:
+    """Set pixels from ``first`` to ``last`` places on along an axis."""
+    n = on.shape[axis]
+    upto = np.concatenate([np.zeros_like(on.take([0], axis), np.int32), np.cumsum(on, axis, dtype=np.int32)], axis)
+    at = np.arange(n)
+    return upto.take(np.clip(at + last + 1, 0, n), axis) - upto.take(np.clip(at + first, 0, n), axis)
+
+
+def _rectangle(a: np.ndarray, k: int, erode: bool) -> np.ndarray:
+    here = a != MISSING
+    for axis in (1, 0):
+        on = _counts(a == 1, -(k // 2), k - 1 - k // 2, axis)
+        a = np.where(here, on == _counts(here, -(k // 2), k - 1 - k // 2, axis) if erode else on > 0, MISSING)
+    return a
+
+
+def steps(df: DataFrame, sizes: list[tuple[int, bool]]) -> DataFrame:
+    """Erosions (True) and dilations with squares of the given sizes, one after the other; sizes below 1 stand for 3."""
+    sizes = [(k if k >= 1 else 3, erode) for k, erode in sizes]
+
+    def change(a: np.ndarray) -> np.ndarray:
+        for k, erode in sizes:
+            a = _rectangle(a, k, erode)
+        return a
+
+    return _tiled(df, sum(k // 2 for k, _ in sizes), change)
 
 
 def dilate(df: DataFrame, k: int, times: int = 1) -> DataFrame:
-    for _ in range(times):
-        df = _rect(df, k, False)
-    return df
+    return steps(df, [(k, False)] * times)
 
 
 def erode(df: DataFrame, k: int, times: int = 1) -> DataFrame:
-    for _ in range(times):
-        df = _rect(df, k, True)
-    return df
+    return steps(df, [(k, True)] * times)
+
+
+#: Steps of an operation, True for an erosion; any other name, 'erode' too, has none.
+OPERATIONS = {"opening": (True, False), "closing": (False, True), "dilation": (False,), "erosion": (True,)}
+
+
+def sequence(df: DataFrame, operations: list[tuple[str, int]]) -> DataFrame:
+    """Operations ('opening', 'closing', 'dilation', 'erosion') with their sizes, in one exchange; any other name changes nothing."""
+    sizes = [(k, erode) for name, k in operations for erode in OPERATIONS.get(name, ())]
+    return steps(df, sizes) if sizes else df
 
 
 def morphology(df: DataFrame, k: int, operation: str) -> DataFrame:
     """'opening', 'closing', 'dilation' or 'erosion'; any other name, 'erode' too, leaves the planes as they are."""
-    if operation == "opening":
-        return dilate(erode(df, k), k)
-    if operation == "closing":
-        return erode(dilate(df, k), k)
-    if operation == "dilation":
-        return dilate(df, k)
-    if operation == "erosion":
-        return erode(df, k)
-    return df
+    return sequence(df, [(operation, k)])
 
 
 def ellipse(k: int) -> list[tuple[int, int, int]]:
@@ -64,23 +94,18 @@ def ellipse(k: int) -> list[tuple[int, int, int]]:
 
 
 def ellipse_open(df: DataFrame, k: int) -> DataFrame:
-    """Erosion and dilation with an ellipse: counts in sliding ranges of each line, added up over the lines.
-
-    Two shuffles each, whatever the kernel's size, and no row is repeated.
-    """
+    """Erosion and dilation with an ellipse: counts in ranges of each line, shifted over the lines, inside one tile."""
     rows = ellipse(k)
-    across, down = Window.partitionBy("z", "y").orderBy("x"), Window.partitionBy("z", "x").orderBy("y")
-
-    def any_under(df: DataFrame) -> DataFrame:
-        """v = 1 where a pixel under the kernel is set."""
-        ranges = sorted({(a, b) for _, a, b in rows})
-        upto = lambda at: F.coalesce(F.sum("v").over(across.rangeBetween(Window.unboundedPreceding, at)), F.lit(0))
-        lines = df.select("z", "y", "x", *((upto(b) - upto(a - 1)).alias(f"n{i}") for i, (a, b) in enumerate(ranges)))
-        near = (F.coalesce(F.sum(f"n{ranges.index((a, b))}").over(down.rangeBetween(dy, dy)), F.lit(0)) for dy, a, b in rows)
-        return lines.select("z", "y", "x", (sum(near, F.lit(0)) > 0).cast("long").alias("v"))
-
-    unset = df.select("z", "y", "x", (1 - F.col("v")).alias("v"))
-    return any_under(any_under(unset).select("z", "y", "x", (1 - F.col("v")).alias("v")))
+
+    def any_under(on: np.ndarray) -> np.ndarray:
+        """Where a pixel under the kernel is set."""
+        out, n = np.zeros(on.shape, bool), len(on)
+        lines = {(a, b): _counts(on, a, b, 1) > 0 for _, a, b in rows}
+        for dy, a, b in rows:
+            out[max(-dy, 0) : n - max(dy, 0)] |= lines[a, b][max(dy, 0) : n - max(-dy, 0)]
+        return out
+
+    return _tiled(df, 2 * (k // 2), lambda a: any_under((a != MISSING) & ~any_under(a == 0)))
 
 
 def remove_islands(planes: DataFrame, noise: int = 3, blob: int = 3) -> DataFrame:

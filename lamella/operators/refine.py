@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .labels import checkpointed, connected_components, fill_holes
-from .morphology import dilate, morphology
+from .morphology import dilate, morphology, sequence
 
 
 def refine_mask(planes: DataFrame, under: DataFrame, threshold: int, k: int, last: int = 70) -> tuple[DataFrame, DataFrame]:
@@ -18,9 +18,8 @@ def refine_mask(planes: DataFrame, under: DataFrame, threshold: int, k: int, las
     """
     small = k // 5
     m = planes.select("z", "y", "x", (F.col("v") > threshold // 2).cast("long").alias("v"))
-    for operation in ("closing", "erosion", "dilation", "opening", "closing"):
-        m = morphology(m, small, operation)
-    m = checkpointed(dilate(m, 4 * small))
+    m = sequence(m, [(operation, small) for operation in ("closing", "erosion", "dilation", "opening", "closing")] + [("dilation", 4 * small)])
+    m = checkpointed(m)
     m = checkpointed(dilate(fill_holes(m, F.expr("(h * w) div 10")), small))
     labels = checkpointed(m.join(connected_components(m.where("v = 1")), ["z", "y", "x"], "left").select("z", "y", "x", F.when(F.col("v") == 1, F.col("label")).otherwise(-1).alias("label")))
     chosen = under.join(labels, ["z", "y", "x"]).groupBy("z").agg(F.mode("label", True).alias("chosen"))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .labels import checkpointed
+
 
 def _fit(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
     """Homography of least squares after normalising both point sets."""
@@ -97,23 +103,117 @@ def warp(pixels: DataFrame, h: list[float], height: int, width: int) -> DataFram
     return seen.select("z", F.col("ty").alias("y"), F.col("tx").alias("x"), "v")
 
 
+#: Fixed values of the search: each parameter's lowest and highest value, and whether it is a whole number.
+SPACE = {
+    "n_features": (0, 1000, True), "contrast_threshold": (0.01, 0.1, False), "edge_threshold": (2.0, 15.0, False), "sigma": (0.0, 2.0, False),
+    "n_octave_layers": (1, 10, True), "ratio_threshold": (0.5, 0.9, False), "flann_checks": (100, 500, True), "flann_trees": (5, 50, True),
+}
+
+
+def _drawn(space: dict, rng: np.random.Generator) -> dict:
+    return {k: int(rng.integers(low, high + 1)) if whole else float(rng.uniform(low, high)) for k, (low, high, whole) in space.items()}
+
+
+def propose(told: list[tuple[dict, float]], n: int, seed: int, space: dict = SPACE, startup: int = 10, candidates: int = 24, share: float = 0.2) -> list[dict]:
+    """n parameter sets to try next, a larger value being better: a tree-structured Parzen estimator, seeded.
+
+    The ``startup`` first trials are drawn at random.  After that, each parameter has one density over the best
+    ``share`` of what was tried and one over the rest, both mixtures of normal distributions about the tried values, as wide as the
+    gaps between them, and of the whole range; of some draws from the first one the one of the largest ratio is
+    taken.  Trials of one round don't know of each other; only their draws differ.
+    """
+    out = []
+    for i in range(n):
+        rng = np.random.default_rng([seed, len(told) + i])
+        if len(told) < startup:
+            out.append(_drawn(space, rng))
+            continue
+        ranked = sorted(range(len(told)), key=lambda j: (-told[j][1], j))
+        cut = math.ceil(share * len(told))
+        own = {}
+        for name, (low, high, whole) in space.items():
+            a, b = (low - 0.5, high + 0.5) if whole else (low, high)
+            good, bad = (np.array([told[j][0][name] for j in part], float) for part in (ranked[:cut], ranked[cut:]))
+            x = _mixture_draws(good, a, b, candidates, rng)
+            pick = x[np.argmax(_mixture_density(x, good, a, b) - _mixture_density(x, bad, a, b))]
+            own[name] = int(min(max(round(pick), low), high)) if whole else float(min(max(pick, low), high))
+        out.append(own)
+    return out
+
+
+def _kernels(points: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """Middles and widths of the normal distributions: about each point, as wide as its larger gap, and about the middle of the range."""
+    order = np.sort(np.append(points, (low + high) / 2))
+    gaps = np.diff(np.concatenate([[low], order, [high]]))
+    width = np.clip(np.maximum(gaps[:-1], gaps[1:]), (high - low) / min(100.0, 1.0 + len(order)), high - low)
+    width[np.searchsorted(order, (low + high) / 2)] = high - low
+    return order, width
+
+
+def _mixture_draws(points: np.ndarray, low: float, high: float, n: int, rng: np.random.Generator) -> np.ndarray:
+    middle, width = _kernels(points, low, high)
+    which = rng.integers(0, len(middle), n)
+    x = rng.normal(middle[which], width[which])
+    for _ in range(20):  # draws outside the range are drawn again
+        bad = (x < low) | (x > high)
+        x[bad] = rng.normal(middle[which[bad]], width[which[bad]])
+    return np.clip(x, low, high)
+
+
+def _mixture_density(x: np.ndarray, points: np.ndarray, low: float, high: float) -> np.ndarray:
+    """Logarithm of the mixture's density, each part cut off at the ends of the range."""
+    middle, width = _kernels(points, low, high)
+    inside = np.array([(math.erf((high - m) / w / math.sqrt(2)) - math.erf((low - m) / w / math.sqrt(2))) / 2 for m, w in zip(middle, width, strict=True)])
+    part = np.exp(-0.5 * ((x[:, None] - middle) / width) ** 2) / (width * np.sqrt(2 * np.pi) * np.maximum(inside, 1e-12))
+    return np.log(part.mean(axis=1) + 1e-300)
+
+
+PARAMETERS = ", ".join(f"{k} {'long' if whole else 'double'}" for k, (_, _, whole) in SPACE.items())
+
+
 def trial_parameters(spark: SparkSession, trials: int = 25, seed: int = 0) -> DataFrame:
     """Random parameters of a registration search, one row for each trial."""
-    u = lambda k, a, b: a + (b - a) * F.rand(seed * 16 + k)
-    n = lambda k, a, b: F.floor(u(k, a, b + 1))
-    return spark.range(trials, numPartitions=1).select(
-        F.col("id").alias("number"), n(1, 0, 1000).alias("n_features"), u(2, 0.01, 0.1).alias("contrast_threshold"), u(3, 2.0, 15.0).alias("edge_threshold"), u(4, 0.05, 2.0).alias("sigma"),
-        n(5, 1, 10).alias("n_octave_layers"), u(6, 0.5, 0.9).alias("ratio_threshold"), n(7, 100, 500).alias("flann_checks"), n(8, 5, 50).alias("flann_trees"),
-    )
+    rows = [(i, *_drawn(SPACE, np.random.default_rng([seed, i])).values()) for i in range(trials)]
+    return spark.createDataFrame(rows, "number long, " + PARAMETERS)
+
+
+def study(tissues: DataFrame, score: Callable[[DataFrame], DataFrame], trials: int = 25, startup: int = 10, batch: int = 5, seed: int = 0) -> DataFrame:
+    """(idx, number, value, further columns of the scores, params): a search for each tissue (idx), best trial first.
+
+    ``score`` gives (number, idx, value, ...) of trials (idx, number, parameters).  The first ``startup`` trials are one round of
+    random draws, the others come in rounds of ``batch`` from :func:`propose`, which reads what that tissue's trials have scored.
+    The driver holds a row for each trial and tissue.
+    """
+    spark = tissues.sparkSession
+    known: dict[int, list[tuple[dict, float]]] = {r["idx"]: [] for r in tissues.select("idx").distinct().orderBy("idx").collect()}
+    names, kind = list(SPACE), tissues.schema["idx"].dataType.simpleString()
+    rows, scores, first = [], [], 0
+    while first < trials and known:
+        n = min(startup if not first else batch, trials - first)
+        new = [(idx, first + i, *own.values()) for idx, told in known.items() for i, own in enumerate(propose(told, n, seed, startup=startup))]
+        asked = spark.createDataFrame(new, f"idx {kind}, number long, {PARAMETERS}")
+        got = checkpointed(score(asked))
+        value = {(r["idx"], r["number"]): r["value"] or 0.0 for r in got.select("idx", "number", "value").collect()}
+        for idx, number, *own in new:
+            known[idx].append((dict(zip(names, own, strict=True)), value.get((idx, number), 0.0)))
+        rows += new
+        scores.append(got)
+        first += n
+    table = spark.createDataFrame(rows, f"idx {kind}, number long, {PARAMETERS}")
+    if not scores:
+        return table.select("idx", "number", F.lit(0.0).alias("value"), F.struct(*names).alias("params"))
+    return search(table, reduce(DataFrame.unionByName, scores))
 
 
 def search(trials: DataFrame, scores: DataFrame) -> DataFrame:
     """Trials with the value of (number, value), best first; failures are 0.
 
-    Further columns of ``scores`` stay; with a tissue ``idx`` among them, each tissue's trials are ordered.
+    Further columns of ``scores`` stay; with a tissue ``idx`` among them, each tissue's trials are ordered.  Trials may be those
+    of a tissue, by ``idx``, too.
     """
-    params = [c for c in trials.columns if c != "number"]
-    out = trials.withColumn("params", F.struct(*params)).select("number", "params").join(scores, "number", "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    params = [c for c in trials.columns if c not in ("number", "idx")]
+    on = [c for c in ("number", "idx") if c in trials.columns]
+    out = trials.withColumn("params", F.struct(*params)).select(*on, "params").join(scores, on, "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
     more = [c for c in scores.columns if c not in ("number", "value", "idx")]
     tissue = [c for c in scores.columns if c == "idx"]
     return out.select(*tissue, "number", "value", *more, "params").orderBy(*tissue, F.desc("value"), "number")

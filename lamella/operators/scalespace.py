@@ -217,14 +217,16 @@ def _halved(tile: Tile, a: np.ndarray) -> tuple[np.ndarray, int, int]:
 def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octaves: int | None = None) -> DataFrame:
     """(keys, number, y, x, size, gain, angle, octave, descriptor) of planes (keys, y, x, v) with values of 0 to 255.
 
-    ``detectors`` are the rows (number, sigma, layers, contrast, edge) of a few detectors: each plane is searched by each.
+    ``detectors`` are the rows (number, sigma, layers, contrast, edge) of a few detectors: each plane is searched by each, or, if
+    some of the keys are among their columns too, by those of its key.
     Missing pixels are 0.  A plane of fewer than 12 pixels each way has no keypoints; octaves go on while the smallest side
     has 8 pixels, unless a number is given.
     """
     few = [Detector(r["sigma"], r["layers"], r["contrast"], r["edge"]) for r in detectors.select("sigma", "layers", "contrast", "edge").distinct().collect()]
     reach = max((d.reach for d in few), default=0)
     own = [*keys, "number", "detector"]
-    known = detectors.select("number", F.struct("sigma", "layers", "contrast", "edge").alias("detector"))
+    on = [k for k in keys if k in detectors.columns]
+    known = detectors.select(*on, "number", F.struct("sigma", "layers", "contrast", "edge").alias("detector"))
     of = lambda table: Detector(**{k: table.column("detector")[0].as_py()[k] for k in ("sigma", "layers", "contrast", "edge")})
     first = checkpointed(to_blocks(planes, keys, "f4"))
     size = first.agg(F.min(F.least("height", "width"))).first()[0] or 0
@@ -240,7 +242,8 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
         a = gaussian(tile.a.astype("f8"), of(table).first_blur)[tile.own]
         return block_table(table, own, a.astype("f4"), tile.top, tile.left, tile.height, tile.width)
 
-    start = deal(first, keys, "f4", 1, begin, block_schema(first, keys)).crossJoin(F.broadcast(known))
+    start = deal(first, keys, "f4", 1, begin, block_schema(first, keys))
+    start = start.join(F.broadcast(known), on) if on else start.crossJoin(F.broadcast(known))
     blocks = deal(start, own, "f4", max((_radius(d.first_blur) for d in few), default=0), blurred, block_schema(start, own))
     out = None
     for k in range(octaves):

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .labels import connected_components
+from .labels import checkpointed, connected_components
 from .matching import nearest, zscore
 
 
@@ -94,13 +94,87 @@ def _hull_area(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["z", "label"]].iloc[:1].assign(hull=abs(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2)
 
 
+#: Powers (p, q) of x and y whose sums over the outline an ellipse is fitted to.
+POWERS = [(p, q) for n in range(5) for p, q in ((n - k, k) for k in range(n + 1))]
+
+
+def outline_sums(solid: DataFrame) -> DataFrame:
+    """(z, label, x0, y0, s00, s10, s01, ...): sums of x^p y^q over the outline pixels of filled objects, from the corner (x0, y0) of their box.
+
+    Outline pixels have a neighbour above, below, left or right that isn't the object's.
+    """
+    ways = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0))))
+    spread = solid.withColumn("d", F.explode(ways)).select("z", "label", (F.col("y") + F.col("d.i")).alias("y"), (F.col("x") + F.col("d.j")).alias("x"), ((F.col("d.i") == 0) & (F.col("d.j") == 0)).cast("int").alias("own"))
+    line = spread.groupBy("z", "label", "y", "x").agg(F.max("own").alias("own"), F.count("*").alias("n")).where("own = 1 and n < 5").select("z", "label", "y", "x")
+    box = solid.groupBy("z", "label").agg(F.min("x").alias("x0"), F.min("y").alias("y0"))
+    x, y = (F.col("x") - F.col("x0")).cast("double"), (F.col("y") - F.col("y0")).cast("double")
+    power = lambda c, k: F.lit(1.0) if not k else c if k == 1 else power(c, k - 1) * c
+    return line.join(box, ["z", "label"]).groupBy("z", "label", "x0", "y0").agg(*(F.sum(power(x, p) * power(y, q)).alias(f"s{p}{q}") for p, q in POWERS))
+
+
+def _ellipse(sums: dict[tuple[int, int], float]) -> tuple[float, ...] | None:
+    """(cx, cy, major, minor, angle) of the ellipse of least squares through points with these sums; None if there is none.
+
+    The conic's factors solve an eigenproblem of 3 x 3, after its linear part is eliminated, in coordinates of mean 0 and spread 1.
+    """
+    n = sums[0, 0]
+    mx, my = sums[1, 0] / n, sums[0, 1] / n
+    spread = math.sqrt(max((sums[2, 0] + sums[0, 2]) / n - mx * mx - my * my, 0.0))
+    if n < 5 or not spread:
+        return None
+
+    def moment(p: int, q: int) -> float:
+        parts = (math.comb(p, i) * math.comb(q, j) * sums[i, j] * (-mx) ** (p - i) * (-my) ** (q - j) for i in range(p + 1) for j in range(q + 1))
+        return sum(parts) / spread ** (p + q) / n
+
+    terms = [(2, 0), (1, 1), (0, 2), (1, 0), (0, 1), (0, 0)]
+    s = np.array([[moment(a + c, b + d) for c, d in terms] for a, b in terms])
+    try:
+        linear = -np.linalg.solve(s[3:, 3:], s[3:, :3])
+        reduced = s[:3, :3] + s[:3, 3:] @ linear
+        _, vectors = np.linalg.eig(np.array([reduced[2] / 2, -reduced[1], reduced[0] / 2]))
+    except np.linalg.LinAlgError:
+        return None
+    vectors = vectors.real
+    fits = 4 * vectors[0] * vectors[2] - vectors[1] ** 2
+    if not fits.max() > 1e-12:
+        return None
+    a, b, c = top = vectors[:, fits.argmax()]
+    d, e, f = linear @ top
+    x, y = np.linalg.solve([[2 * a, b], [b, 2 * c]], [-d, -e])
+    values, axes = np.linalg.eigh([[a, b / 2], [b / 2, c]])
+    squares = -(f + (d * x + e * y) / 2) / values
+    if not (squares > 0).all():
+        return None
+    k = int(squares.argmax())
+    half = np.sqrt(squares) * spread
+    return mx + x * spread, my + y * spread, half[k], half[1 - k], math.atan2(axes[1, k], axes[0, k]) % math.pi
+
+
+def fit_ellipses(solid: DataFrame) -> DataFrame:
+    """(z, label, cx, cy, major, minor, angle) of the ellipse fitted to each filled object's outline, half axes; nulls where none fits."""
+    sums = outline_sums(solid)
+    kinds = {f.name: f.dataType.simpleString() for f in sums.schema}
+    names = ["z", "label", "cx", "cy", "major", "minor", "angle"]
+
+    def fit(frames):
+        for frame in frames:
+            rows = []
+            for r in frame.to_dict("records"):
+                own = _ellipse({(p, q): r[f"s{p}{q}"] for p, q in POWERS})
+                rows.append((r["z"], r["label"], *((own[0] + r["x0"], own[1] + r["y0"], *own[2:]) if own else (None,) * 5)))
+            yield pd.DataFrame(rows, columns=names)
+
+    return sums.mapInPandas(fit, f"z {kinds['z']}, label {kinds['label']}, " + ", ".join(f"{n} double" for n in names[2:]))
+
+
 def shape_features(labels: DataFrame) -> DataFrame:
     """(z, label, area, cx, cy, perimeter, compactness, solidity, eccentricity, hu1 ... hu7) of each object's outline.
 
-    Hu moments are sign * log10(|h|), 0 where h is 0.  The eccentricity is that of the ellipse with the
-    outline's second moments.  Objects with an area of 0 have nulls but for area and perimeter.
+    Hu moments are sign * log10(|h|), 0 where h is 0.  The eccentricity is that of the ellipse fitted to the outline's pixels,
+    or where none fits, that with the outline's second moments.  Objects with an area of 0 have nulls but for area and perimeter.
     """
-    solid = filled(labels)
+    solid = checkpointed(filled(labels))
     squares = _squares(solid)
     # A pair of neighbours without more in its square is a side of the outline; a diagonal pair is passed on both sides.
     length = F.when(F.col("n") == 3, math.sqrt(2)).when(F.col("bits").isin(6, 9), 2 * math.sqrt(2)).when(F.col("n") == 2, 1.0).otherwise(0.0)
@@ -114,7 +188,8 @@ def shape_features(labels: DataFrame) -> DataFrame:
     lines = solid.groupBy("z", "label", "y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     kinds = {f.name: f.dataType.simpleString() for f in labels.schema}
     hulls = lines.groupBy("z", "label").applyInPandas(_hull_area, f"z {kinds['z']}, label {kinds['label']}, hull double")
-    out = first.join(central, ["z", "label"], "left").join(hulls, ["z", "label"])
+    fitted = fit_ellipses(solid).select("z", "label", (1 - (F.col("minor") / F.col("major")) ** 2).alias("flat"))
+    out = first.join(central, ["z", "label"], "left").join(hulls, ["z", "label"]).join(fitted, ["z", "label"], "left")
     n20, n11, n02, n30, n21, n12, n03 = (F.col(f"m{p}{q}") / F.col("area") ** (1 + (p + q) / 2) for p, q in powers)
     a, b, c, d = n30 + n12, n21 + n03, n30 - 3 * n12, 3 * n21 - n03
     hu = [
@@ -128,7 +203,7 @@ def shape_features(labels: DataFrame) -> DataFrame:
     short = F.try_divide(F.col("m20") + F.col("m02") - spread, F.col("m20") + F.col("m02") + spread)
     return out.select(
         "z", "label", "area", "cx", "cy", "perimeter", F.try_divide(F.col("perimeter") ** 2, 4 * math.pi * F.col("area")).alias("compactness"),
-        F.try_divide("area", "hull").alias("solidity"), F.sqrt(1 - F.greatest(short, F.lit(0.0))).alias("eccentricity"), *logged,
+        F.try_divide("area", "hull").alias("solidity"), F.when(F.col("area") > 0, F.sqrt(F.coalesce("flat", 1 - F.greatest(short, F.lit(0.0))))).alias("eccentricity"), *logged,
     )
 
 

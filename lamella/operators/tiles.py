@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-#: Pixels of a tile's side.
-SIDE = 512
+#: Pixels of a tile's side; the height and width of planes whose end isn't known.
+SIDE, ENDLESS = 512, 1 << 40
 
 PLACE = ["height", "width", "at_y", "at_x", "n_y", "n_x"]
 _BLOCK = [*(T.StructField(c, T.LongType()) for c in PLACE), T.StructField("data", T.BinaryType())]
@@ -49,10 +49,12 @@ def repeated(table: pa.Table | pa.RecordBatch, keys: list[str], n: int) -> dict[
     return {k: table.column(k).take(pa.array(np.zeros(n, np.int64))) for k in keys}
 
 
-def to_blocks(pixels: DataFrame, keys: list[str], dtype: str, missing: float = 0, side: int | None = None) -> DataFrame:
-    """Blocks (keys, height, width, at_y, at_x, n_y, n_x, data) of pixels (keys, y, x, v), one for each tile with pixels."""
+def to_blocks(pixels: DataFrame, keys: list[str], dtype: str, missing: float = 0, side: int | None = None, sized: bool = True) -> DataFrame:
+    """Blocks (keys, height, width, at_y, at_x, n_y, n_x, data) of pixels (keys, y, x, v), one for each tile with pixels.
+
+    Without ``sized`` planes have no known end, and what isn't there is ``missing``.
+    """
     side = side or SIDE
-    size = pixels.groupBy(*keys).agg((F.max("y") + 1).cast("long").alias("height"), (F.max("x") + 1).cast("long").alias("width"))
     cells = pixels.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), "v")
     cells = cells.withColumns({"ty": F.expr(f"y div {side}"), "tx": F.expr(f"x div {side}")})
 
@@ -61,11 +63,13 @@ def to_blocks(pixels: DataFrame, keys: list[str], dtype: str, missing: float = 0
         y0, x0 = int(y.min()), int(x.min())
         a = np.full((int(y.max()) - y0 + 1, int(x.max()) - x0 + 1), missing, dtype)
         a[y - y0, x - x0] = v
-        place = zip(PLACE[2:], (y0, x0, *a.shape), strict=True)
-        return pa.table({**repeated(table, keys, 1), **{k: pa.array([n], pa.int64()) for k, n in place}, "data": pa.array([a.tobytes()], pa.binary())})
+        return block_table(table, keys, a, y0, x0, ENDLESS, ENDLESS)
 
-    blocks = cells.groupBy(*keys, "ty", "tx").applyInArrow(gather, T.StructType([*fields(cells, keys), *_BLOCK[2:]]))
-    return blocks.join(size, keys).select(*keys, *PLACE, "data")
+    blocks = cells.groupBy(*keys, "ty", "tx").applyInArrow(gather, T.StructType([*fields(cells, keys), *_BLOCK]))
+    if not sized:
+        return blocks
+    size = pixels.groupBy(*keys).agg((F.max("y") + 1).cast("long").alias("height"), (F.max("x") + 1).cast("long").alias("width"))
+    return blocks.drop("height", "width").join(size, keys).select(*keys, *PLACE, "data")
 
 
 def _strips(keys: list[str], dtype: str, side: int, reach: int):

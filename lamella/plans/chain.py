@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
 
@@ -33,6 +36,8 @@ class Result:
 
     ``metrics`` (idx, dice, agreement) tells how well the slices of an aligned tissue agree.  A run with ``optimize`` has
     ``trials`` of alignment parameters, best first for each tissue, instead of ``status``, ``aligned`` and ``metrics``.
+    ``labels`` (z, idx, y, x) are the pixels of the objects as detected; ``stages`` (stage, rows, seconds) what each step gave
+    and took.
     """
 
     objects: DataFrame
@@ -43,6 +48,21 @@ class Result:
     aligned: DataFrame | None
     metrics: DataFrame | None = None
     trials: DataFrame | None = None
+    labels: DataFrame | None = None
+    stages: list[tuple[str, int, float]] = field(default_factory=list)
+
+
+class Stages:
+    """Steps of a run, each checkpointed; their rows are counted while they are written."""
+
+    def __init__(self) -> None:
+        self.done: list[tuple[str, int, float]] = []
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        seen, start = Observation(f"{name}-{uuid.uuid4().hex}"), time.monotonic()
+        out = lab.checkpointed(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        self.done.append((name, seen.get["rows"], round(time.monotonic() - start, 3)))
+        return out
 
 
 def thresholds(plane: DataFrame, settings: Settings) -> DataFrame:
@@ -55,9 +75,9 @@ def thresholds(plane: DataFrame, settings: Settings) -> DataFrame:
 def tissue_mask(plane: DataFrame, limits: DataFrame, k: int) -> DataFrame:
     """Dense binary planes of low resolution: what lies above the threshold, smoothed."""
     m = plane.join(limits, "z").select("z", "y", "x", (F.col("v") > F.col("t")).cast("long").alias("v"))
-    m = lab.checkpointed(mor.dilate(mor.morphology(mor.morphology(m, k, "closing"), k, "erosion"), k // 10, 2))
+    m = lab.checkpointed(mor.sequence(m, [("closing", k), ("erosion", k), ("dilation", k // 10), ("dilation", k // 10)]))
     m = lab.checkpointed(mor.ellipse_open(m, 3 * k // 10))
-    return lab.checkpointed(mor.morphology(mor.morphology(m, 2 * k, "closing"), k, "dilation"))
+    return mor.sequence(m, [("closing", 2 * k), ("dilation", k)])
 
 
 def detect(mask: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +85,7 @@ def detect(mask: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
 
     Slices with different numbers of objects raise an error.
     """
-    found = lab.checkpointed(lab.connected_components(mask.where("v = 1")))
+    found = lab.connected_components(mask.where("v = 1"))
     size = mask.groupBy("z").count().agg(F.max("count")).first()[0]  # planes are dense and of one size
     top = lab.top_components(lab.component_stats(found), n, size)
     kept = lab.checkpointed(found.join(top.select("z", "label"), ["z", "label"], "left_semi"))
@@ -90,24 +110,28 @@ def rough_masks(mask: DataFrame, labels: DataFrame, k: int, sx: int, sy: int, he
     return up.select("z.z", "z.idx", "y", "x")
 
 
-def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings: Settings = Settings()) -> Result:
+def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings: Settings = Settings(), boxed: Callable[[list[tuple]], DataFrame] | None = None) -> Result:
     """Slides (z, c, y, x, v), dense and of height x width pixels, to stacks of their tissues.
 
     ``sx`` and ``sy`` are the scale factors of detection.  As in the workflow that this repeats, sx divides y
     and sy divides x in the block means.  A tissue's reference slice is the one of its largest box.  Crops are
     masked: pixels outside a tissue's refined mask are 0.  A tissue with a slice that can't be aligned isn't in ``aligned``.
+    ``boxed`` reads the pixels of boxes (z, x1, y1, x2, y2), a row for each tissue of each slice, and maybe others; without it
+    crops are taken from ``pixels``.
     """
-    k = settings.kernel_size
-    low = lab.checkpointed(ras.channel_sum_u16(ras.block_mean(pixels, sx, sy, ("z", "c"))))
-    limits = lab.checkpointed(thresholds(low, settings))
-    mask = tissue_mask(low, limits, k)
+    k, stage = settings.kernel_size, Stages()
+    low = stage("read and downsample", ras.channel_sum_u16(ras.block_mean(pixels, sx, sy, ("z", "c"))))
+    limits = stage("thresholds", thresholds(low, settings))
+    mask = stage("masks", tissue_mask(low, limits, k))
     objects, labels = detect(mask, settings.num_tissue)
+    labels = stage("tissues", labels)
     best = obj.biggest_boxes(objects)
     sized = objects.select("z", "idx", "cx", "cy").join(best.select("idx", "w", "h"), "idx")
     boxes = lab.checkpointed(obj.expand_box(sized, sx, sy, settings.padding, width, height).select("z", "idx", "x1", "y1", "x2", "y2"))
 
-    cells = obj.crop(pixels.select("z", "y", "x", F.struct("c", "v").alias("v")), boxes)
-    crops = lab.checkpointed(cells.select(F.struct("z", "idx").alias("z"), F.col("v.c").alias("c"), "y", "x", F.col("v.v").alias("v")))
+    source = pixels if boxed is None else boxed([tuple(r) for r in boxes.select("z", "x1", "y1", "x2", "y2").collect()])
+    cells = obj.crop(source.select("z", "y", "x", F.struct("c", "v").alias("v")), boxes)
+    crops = stage("crops", cells.select(F.struct("z", "idx").alias("z"), F.col("v.c").alias("c"), "y", "x", F.col("v.v").alias("v")))
     rough = rough_masks(mask, labels, k, sx, sy, -(-height // sx), -(-width // sy))
     under = rough.join(boxes, ["z", "idx"]).where("x >= x1 and x < x2 and y >= y1 and y < y2")
     under = under.select(F.struct("z", "idx").alias("z"), (F.col("y") - F.col("y1")).alias("y"), (F.col("x") - F.col("x1")).alias("x"))
@@ -115,13 +139,13 @@ def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings:
     shift = ras.channel_sum_wide(crops).join(limits.withColumnRenamed("z", "slice"), F.col("z.z") == F.col("slice"))
     above = shift.select("z", "y", "x", (F.col("v") - F.floor(F.floor("t") / 2)).cast("long").alias("v"))
     masks, _ = refine.refine_mask(above, under, 0, k)
-    masks = lab.checkpointed(masks)
+    masks = stage("refined masks", masks)
     masked = crops.join(masks.withColumnRenamed("v", "m"), ["z", "y", "x"]).select("z.z", F.struct("z.idx", "c").alias("idx"), "y", "x", (F.col("v") * F.col("m")).alias("v"))
-    stacks = lab.checkpointed(obj.pad_stack(masked))
+    stacks = stage("stacks", obj.pad_stack(masked))
     flat = stacks.select("idx.idx", "z", "idx.c", "y", "x", "v")
     masks = masks.select("z.z", "z.idx", "y", "x", "v")
     if settings.crop_only:
-        return Result(objects, boxes, masks, flat, None, None)
+        return Result(objects, boxes, masks, flat, None, None, labels=labels, stages=stage.done)
 
     summed = ras.minmax_normalize(ras.channel_sum_u16(flat.select(F.struct("idx", "z").alias("z"), "y", "x", "v")))
     planes = lab.checkpointed(summed.select("z.idx", "z.z", "y", "x", "v"))
@@ -129,14 +153,13 @@ def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings:
     high, wide = (size[0] or 0) + 1, (size[1] or 0) + 1
     reference = best.select("idx", "z")
     if settings.optimize:
-        trials = lab.checkpointed(reg.trial_parameters(pixels.sparkSession))
-        scores = align.trial_scores(planes, reference, trials, high, wide, 0)
-        return Result(objects, boxes, masks, flat, None, None, trials=reg.search(trials, scores))
+        trials = reg.study(reference, lambda t: align.trial_scores(planes, reference, t, high, wide, 0))
+        return Result(objects, boxes, masks, flat, None, None, trials=stage("trials", trials), labels=labels, stages=stage.done)
     _, status = align.align_stack(planes, reference, high, wide, settings.ratio, settings.keypoints)
     lost = status.where("status = 'failed'").select("idx").distinct()
     channels = stacks.select("idx").distinct().select(F.col("idx.idx").alias("tissue"), F.col("idx").alias("key"))
     maps = status.join(lost, "idx", "left_anti").join(channels, F.col("idx") == F.col("tissue")).select(F.col("key").alias("idx"), "z", "h")
     moved = align.warp_each(stacks, maps, high, wide).select("idx.idx", "z", "idx.c", "y", "x", "v")
     still = flat.join(reference, ["idx", "z"], "left_semi").join(lost, "idx", "left_anti").select("idx", "z", "c", "y", "x", F.col("v").cast("double").alias("v"))
-    aligned = moved.unionByName(still)
-    return Result(objects, boxes, masks, flat, status, aligned, mat.stack_metrics(aligned))
+    aligned = stage("aligned stacks", moved.unionByName(still))
+    return Result(objects, boxes, masks, flat, status, aligned, mat.stack_metrics(aligned), labels=labels, stages=stage.done)

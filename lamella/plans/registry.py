@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators import align, labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, refine, register as reg, shapes
+from ..operators.scalespace import Detector
 from ..sources.metadata import TARGET_UM, scale_factors
 from ..sources.rasters import embedding_raster, lineitem_raster, order_files, physical_sizes, table
 from ..sources.sinks import grey_levels, label_colours, png_tiles
@@ -283,10 +284,10 @@ def homography(spark, folder):
 
 @query("param_search")
 def param_search(spark, folder):
-    """25 trials for each tissue of ``align_stack``'s: aligned with the trial's parameters, scored by Dice."""
+    """25 trials for each tissue of ``align_stack``'s, proposed by what its earlier ones have scored: aligned with the trial's parameters, scored by Dice."""
     stack = _moved_stack(spark, folder)
-    trials = lab.checkpointed(reg.trial_parameters(spark))
-    return reg.search(trials, align.trial_scores(stack, stack.where("z = 0").select("idx", "z").distinct(), trials, 64, 64, CUT))
+    reference = stack.where("z = 0").select("idx", "z").distinct()
+    return reg.study(reference, lambda trials: align.trial_scores(stack, reference, trials, 64, 64, CUT))
 
 
 query("file_order", "f AS (SELECT s_name AS name FROM supplier) SELECT name, CAST(row_number() OVER (ORDER BY lower(substr(name, 1, 3)), name) - 1 AS BIGINT) AS slice_id FROM f")(lambda spark, folder: order_files(table(spark, folder, "supplier").select(F.col("s_name").alias("name"))))
@@ -306,6 +307,13 @@ qs AS (SELECT z, label, y - a AS qy, x - b AS qx, count(*) AS n, sum(y) AS sy, s
 query("contour_centroid", f"{_FILLED}, t AS (SELECT z, label, sum(ar) AS area, sum(ar * sx / n) AS mx, sum(ar * sy / n) AS my FROM qs GROUP BY z, label) SELECT z, label, area, CAST(CASE WHEN area > 0 THEN floor(round(mx / area, 9)) ELSE 0 END AS BIGINT) AS cx, CAST(CASE WHEN area > 0 THEN floor(round(my / area, 9)) ELSE 0 END AS BIGINT) AS cy FROM t")(
     lambda spark, folder: shapes.contour_centroids(lab.checkpointed(_labels(spark, folder)))
 )
+_AT = "(SELECT unnest([0, 0, 1, -1]) AS a, unnest([1, -1, 0, 0]) AS b)"
+query(
+    "outline_sums",
+    f"""{_FILLED}, nb AS (SELECT fi.z, fi.label, fi.y, fi.x, count(o.x) AS n FROM fi CROSS JOIN {_AT} LEFT JOIN fi o ON o.z = fi.z AND o.label = fi.label AND o.y = fi.y + a AND o.x = fi.x + b GROUP BY ALL HAVING n < 4),
+ol AS (SELECT z, label, x_min AS x0, y_min AS y0, CAST(x - x_min AS DOUBLE) AS x, CAST(y - y_min AS DOUBLE) AS y FROM nb JOIN s USING (z, label))
+SELECT z, label, x0, y0, {", ".join(f"sum(x ** {p} * y ** {q}) AS s{p}{q}" for p, q in shapes.POWERS)} FROM ol GROUP BY z, label, x0, y0""",
+)(lambda spark, folder: shapes.outline_sums(shapes.filled(lab.checkpointed(_labels(spark, folder)))))
 query("shape_features")(lambda spark, folder: shapes.shape_features(lab.checkpointed(_labels(spark, folder))))
 
 _PROFILE = f"{EMB}, cs AS (SELECT z, y % 2 AS c, x, sum(v) % 65536 AS s FROM r GROUP BY ALL), ps AS (SELECT z, x, sum(s) AS s FROM cs GROUP BY ALL), pm AS (SELECT z, x, CAST(round_even((s - min(s) OVER w) * 255.0::DOUBLE / (max(s) OVER w - min(s) OVER w), 0) > 0 AS BIGINT) AS v FROM ps WINDOW w AS (PARTITION BY z))"
@@ -327,17 +335,17 @@ def refine_mask(spark, folder):
 
 
 def _moved_stack(spark, folder):
-    """Each plane is a tissue's reference slice, 0; slice 1 is a moved copy."""
-    still = embedding_raster(spark, folder).withColumnRenamed("z", "idx").withColumn("z", F.lit(0).cast("long"))
+    """Each plane, stretched to 0 to 255, is a tissue's reference slice, 0; slice 1 is a moved copy."""
+    still = ras.minmax_normalize(embedding_raster(spark, folder)).withColumnRenamed("z", "idx").withColumn("z", F.lit(0).cast("long"))
     moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
     return lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
 
 
 @query("align_stack")
 def align_stack(spark, folder):
-    """Each plane, smoothed, is a tissue's reference slice; a moved copy is brought back onto it."""
+    """Each plane is a tissue's reference slice; a moved copy is brought back onto it."""
     stack = _moved_stack(spark, folder)
-    return align.align_stack(stack, stack.where("z = 0").select("idx", "z").distinct(), 64, 64)[0]
+    return align.align_stack(stack, stack.where("z = 0").select("idx", "z").distinct(), 64, 64, detector=Detector(1.6, 3, 0.01, 10.0))[0]
 
 
 query("label_colours", f"{COMP} SELECT m.z, m.y, m.x, {', '.join(f'CAST(CASE WHEN label IS NULL THEN 0 ELSE ((label + 1) * {k} + {t}) % 255 + 1 END AS BIGINT) AS {c}' for c, k, t in (('r', 73, 11), ('g', 151, 83), ('b', 199, 157)))} FROM m LEFT JOIN k USING (z, y, x)")(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, functions as F
@@ -57,3 +58,27 @@ def png_tiles(colours: DataFrame, side: int = 2048) -> DataFrame:
 def write_stacks(stacks: DataFrame, path: str, tissue: str = "idx") -> None:
     """Pixels of stacks as Parquet, a folder for each tissue, its rows in the order of slices and channels."""
     stacks.repartition(tissue, "z").sortWithinPartitions(tissue, "z", "c", "y", "x").write.partitionBy(tissue).parquet(path)
+
+
+def write_images(tiles: DataFrame, folder: str, prefix: str) -> DataFrame:
+    """Tiles of :func:`png_tiles` as files ``<folder>/<prefix>_<z>_<ty>_<tx>.png``; (path) of those written.
+
+    A task writes a file under a name of its attempt and then gives it its own, so that repeated tasks do no harm.
+    """
+
+    def write(frames):
+        from .tiff import fs_of
+
+        for frame in frames:
+            out = []
+            for z, ty, tx, png in frame[["z", "ty", "tx", "png"]].itertuples(index=False):
+                path = f"{folder}/{prefix}_{z}_{ty}_{tx}.png"
+                system, place = fs_of(path)
+                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(own := f"{place}.{uuid.uuid4().hex}.part") as f:
+                    f.write(png)
+                system.move(own, place)
+                out.append(path)
+            yield frame.iloc[:0].__class__({"path": out})
+
+    return tiles.mapInPandas(write, "path string")

@@ -209,3 +209,53 @@ def test_planes_without_a_threshold_are_not_lost(spark):
     for read in (lambda: ras.binarize_auto(df).collect(), lambda: chain.thresholds(df, chain.Settings()).collect(), lambda: chain.tissue_mask(df, chain.thresholds(df, chain.Settings()), 10).collect()):
         with pytest.raises(PySparkException, match="fewer than three grey values"):
             read()
+
+
+def plain_step(a, k, erode):
+    """Minimum or maximum over k x k, by shifts; -1 is missing and never counts."""
+    out = np.full(a.shape, -1)
+    for y, x in np.argwhere(a >= 0):
+        near = a[max(0, y - k // 2) : y + k - k // 2, max(0, x - k // 2) : x + k - k // 2]
+        out[y, x] = (near[near >= 0].min() if erode else near.max())
+    return out
+
+
+@pytest.mark.parametrize("side", [5, 8, 512])
+def test_morphology_does_not_depend_on_tiles(spark, monkeypatch, side):
+    from lamella.operators import morphology as mor, tiles
+
+    monkeypatch.setattr(tiles, "SIDE", side)
+    a = (np.random.default_rng(side).random((2, 23, 31)) > 0.6).astype(int)
+    df = spark.createDataFrame([(z, y, x, int(v)) for (z, y, x), v in np.ndenumerate(a)], "z long, y long, x long, v long")
+    got = mor.sequence(df, [("closing", 3), ("erosion", 4), ("nothing", 9), ("dilation", 7), ("opening", 0)])
+    for z in (0, 1):
+        want = a[z]
+        for k, erode in ((3, False), (3, True), (4, True), (7, False), (3, True), (3, False)):
+            want = plain_step(want, k, erode)
+        assert {(r.y, r.x): r.v for r in got.where(f"z = {z}").collect()} == {(y, x): v for (y, x), v in np.ndenumerate(want)}
+    opened, k = mor.ellipse_open(df.where("z = 0"), 5), mor.ellipse(5)
+    under = lambda p, f: np.array([[f(p[y + dy, x + dx] for dy, i, j in k for dx in range(i, j + 1) if 0 <= y + dy < 23 and 0 <= x + dx < 31) for x in range(31)] for y in range(23)])
+    want = under(under(a[0], min), max)
+    assert {(r.y, r.x): r.v for r in opened.collect()} == {(y, x): v for (y, x), v in np.ndenumerate(want)}
+
+
+@pytest.mark.parametrize("side", [4, 9, 512])
+@pytest.mark.parametrize("diagonal", [True, False])
+def test_components_do_not_depend_on_tiles(spark, monkeypatch, side, diagonal):
+    from lamella.operators import labels as lab, tiles
+
+    monkeypatch.setattr(tiles, "SIDE", side)
+    rng = np.random.default_rng(side)
+    on = {(z, y, x) for z in (0, 3) for y in range(26) for x in range(33) if rng.random() < 0.55}
+    on |= {(0, y, 0) for y in range(26)} | {(0, 25, x) for x in range(33)}  # one that goes through many tiles
+    got = {(r.z, r.y, r.x): r.label for r in lab.connected_components(spark.createDataFrame(sorted(on), "z long, y long, x long"), diagonal).collect()}
+    want = {}
+    for start in sorted(on):
+        todo = [] if start in want else [start]
+        while todo:
+            z, y, x = todo.pop()
+            if (z, y, x) in on and (z, y, x) not in want:
+                want[z, y, x] = start[1] * (1 << 20) + start[2]
+                todo += [(z, y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i or j) and (diagonal or not (i and j))]
+    assert got == want
+    assert lab.connected_components(spark.createDataFrame([], "z long, y long, x long")).count() == 0

@@ -16,6 +16,19 @@ def picture(spark, lines, label=1):
     return spark.createDataFrame(cells, "z long, y long, x long, label long")
 
 
+def plain_eccentricity(points):
+    """Of the conic whose six factors solve the constrained least squares as one generalised eigenproblem."""
+    x, y = (np.array(c, float) - np.mean(c) for c in zip(*points, strict=True))
+    d = np.column_stack([x * x, x * y, y * y, x, y, np.ones(len(x))])
+    c = np.zeros((6, 6))
+    c[0, 2] = c[2, 0] = 2
+    c[1, 1] = -1
+    values, vectors = np.linalg.eig(np.linalg.solve(d.T @ d, c))
+    a, b, g = vectors[:3, np.argmax(values.real)].real
+    small, large = sorted(abs(np.linalg.eigvalsh([[a, b / 2], [b / 2, g]])))
+    return (1 - small / large) ** 0.5
+
+
 def test_outline_of_a_rectangle_with_a_hole(spark):
     df = picture(spark, ["#######", "#.....#", "#.....#", "#######"]).union(picture(spark, ["", "", "..#"], 2))
     out = {r.label: r for r in shapes.contour_centroids(df).collect()}
@@ -25,7 +38,7 @@ def test_outline_of_a_rectangle_with_a_hole(spark):
     assert f[1].perimeter == 18.0 and f[1].solidity == pytest.approx(1) and f[1].cx == 3.0 and f[1].cy == 1.5
     assert f[1].compactness == pytest.approx(18**2 / (4 * np.pi * 18))
     assert f[1].hu1 == pytest.approx(np.log10((6 * 3**3 / 12 + 3 * 6**3 / 12) / 18**2))
-    assert f[1].eccentricity == pytest.approx((1 - (3 / 6) ** 2) ** 0.5)
+    assert f[1].eccentricity == pytest.approx(plain_eccentricity([(x, y) for x in range(7) for y in range(4) if x in (0, 6) or y in (0, 3)]), abs=1e-6)
     assert f[2].solidity is None and f[2].hu1 is None
 
 
@@ -209,3 +222,54 @@ def test_blobs_are_matched_by_shape(spark):
         rows.append((z, 60, 60, 99))  # no area
     got = shapes.match_blobs(spark.createDataFrame(rows, "z long, y long, x long, label long")).collect()
     assert sorted((r.z, r.src, r.dst) for r in got) == [(0, 1, 11), (0, 2, 12), (0, 3, 13)]
+
+
+def test_ellipses_are_recovered(spark):
+    rows, want = [], {}
+    for label, (cy, cx, a, b, turn) in enumerate([(60, 70, 40, 20, 0.5), (55.5, 64, 30, 30, 0), (70, 90.5, 50, 12, 2.6), (50, 50, 25, 15, np.pi / 2)]):
+        y, x = np.mgrid[:140, :180]
+        u, v = (x - cx) * np.cos(turn) + (y - cy) * np.sin(turn), (y - cy) * np.cos(turn) - (x - cx) * np.sin(turn)
+        want[label] = (cx, cy, a, b, turn)
+        rows += [(label, 1, int(j), int(i)) for j, i in np.argwhere((u / a) ** 2 + (v / b) ** 2 <= 1)]
+    rows += [(9, 1, 5, i) for i in range(20)] + [(10, 1, 0, 0)]  # a line and a pixel have none
+    got = {r.z: r for r in shapes.fit_ellipses(spark.createDataFrame(rows, "z long, label long, y long, x long")).collect()}
+    assert got[9].major is None and got[10].major is None and len(got) == 6
+    for label, (cx, cy, a, b, turn) in want.items():
+        r = got[label]
+        assert (r.cx, r.cy) == pytest.approx((cx, cy), abs=0.3) and (r.major, r.minor) == pytest.approx((a, b), abs=1.0)
+        assert a == b or abs((r.angle - turn + np.pi / 2) % np.pi - np.pi / 2) < 0.03
+
+
+def test_proposals_beat_random_draws():
+    space = {"a": (0.0, 1.0, False), "b": (-3.0, 5.0, False), "n": (1, 20, True)}
+    goal = lambda p: np.exp(-abs(p["a"] - 0.3) * 5 - abs(p["b"] - 1.2)) * (1 - abs(p["n"] - 15) / 20)
+
+    def best(seed, startup):
+        told = []
+        while len(told) < 40:
+            new = reg.propose(told, 10 if not told else 5, seed, space, startup)
+            assert all(low <= p[k] <= high and isinstance(p[k], int) == whole for p in new for k, (low, high, whole) in space.items())
+            told += [(p, goal(p)) for p in new]
+        return max(v for _, v in told)
+
+    learned, drawn = (np.mean([best(seed, startup) for seed in range(20)]) for startup in (10, 1000))
+    assert learned > drawn * 1.1
+    assert reg.propose([], 3, 5) == reg.propose([], 3, 5) != reg.propose([], 3, 6)
+
+
+def test_a_study_learns_for_each_tissue(spark):
+    from pyspark.sql import functions as F
+
+    rounds = []
+
+    def score(trials):
+        rounds.append(sorted((r.idx, r.number) for r in trials.collect()))
+        off = F.abs(F.col("sigma") - F.when(F.col("idx") == 1, 0.5).otherwise(1.5))
+        return trials.select("number", "idx", F.when(F.col("number") != 3, 1 - off).alias("value"), F.lit(0).alias("more"))
+
+    out = reg.study(spark.createDataFrame([(1,), (7,)], "idx long"), score, trials=14, startup=8, batch=4).collect()
+    assert rounds == [[(i, n) for i in (1, 7) for n in part] for part in (range(8), range(8, 12), range(12, 14))]
+    assert [r.idx for r in out] == [1] * 14 + [7] * 14 and out[0].value > 0.8 and out[14].value > 0.8
+    assert all([r.value for r in out if r.idx == i] == sorted((r.value for r in out if r.idx == i), reverse=True) for i in (1, 7))
+    assert {r.value for r in out if r.number == 3} == {0.0} and out[0].params.sigma != out[14].params.sigma
+    assert reg.study(spark.createDataFrame([], "idx long"), score).count() == 0

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PythonException
 
 from lamella.plans import command
-from lamella.sources import tiff
+from lamella.sources import metadata, tiff
 
 
 def lzw(data):
@@ -257,13 +257,56 @@ def test_command_from_slides_to_files(spark, tmp_path):
     assert [r.name for r in done["channels"].orderBy("channel").collect()] == ["one", "two"]
     assert sorted(r.idx for r in done["metrics"].collect()) == [1, 2] and all(r.dice > 0.9 for r in done["metrics"].collect())
     files = done["aligned"].collect()
-    assert sorted((r.idx, r.z, r.c) for r in files) == [(i, z, c) for i in (1, 2) for z in (0, 1) for c in (0, 1)]
-    assert done["sumChannels"].count() == done["sumChannels_beforeAlignment"].count() == 4
+    assert sorted((r.file, r.planes) for r in files) == [("aligned_tissue_1", 4), ("aligned_tissue_2", 4)]
+    assert done["sumChannels"].count() == done["sumChannels_beforeAlignment"].count() == 2
     kept = {(r.idx, r.z, r.c): r.n for r in spark.read.parquet(f"{tmp_path}/out/aligned_tissue_stacks").where("v >= 0.5").groupBy("idx", "z", "c").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
     for r in files:
-        assert tiff.read_tiff(spark, r.path, "tif").where("v > 0").count() == pytest.approx(kept[r.idx, r.z, r.c], abs=9)
+        pages = tiff.read_tiff(spark, r.path, "tif").where("v > 0").groupBy("c").count().collect()
+        assert len(pages) == 4
+        for page in pages:
+            assert page["count"] == pytest.approx(kept[int(r.file[-1]), page.c // 2, page.c % 2], abs=9)
+        xml = tiff.slide_info(spark, r.path, "tif").first().ome_xml
+        assert 'Name="one"' in xml and 'Name="two"' in xml and 'SizeZ="2" SizeC="2"' in xml
+        sizes = {x.dimension: x.value_um for x in metadata.slide_sizes(spark.createDataFrame([(0, xml)], "slice_id long, ome_xml string")).collect()}
+        assert sizes == pytest.approx({"X": 10000 / 3333, "Y": 10000 / 3333, "Z": 1.0})
+    assert done["labels"].count() == 2 and all(open(r.path.removeprefix("file://"), "rb").read(4) == b"\x89PNG" for r in done["labels"].collect())
+    stages = {r.stage: r.rows for r in done["stages"].collect()}
+    assert stages["stacks"] == spark.read.parquet(f"{tmp_path}/out/aligned_tissue_stacks").count() and stages["tissues"] > 0 and "crops" in stages
     crops = command.run(spark, command.options().parse_args([*common, "--output_dir", str(tmp_path / "crops"), "--crop_only"]))
-    assert crops["crops"].count() == 8 and set(crops) == {"channels", "crops"}
+    assert sorted((r.file, r.planes) for r in crops["crops"].collect()) == [(f"aligned_tissue_{i}_{z}", 2) for i in (1, 2) for z in (0, 1)]
+    assert set(crops) == {"channels", "crops", "labels", "stages"}
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_stacks_are_one_file_each(spark, tmp_path, mounted):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    a = {(f, z, c): rng.integers(0, 60000, (150 if f == "a" else 3, 70)) for f in "ab" for z in (1, 4) for c in (0, 1, 2)}
+    rows = [(f, z, c, y, x, int(v)) for (f, z, c), p in a.items() for (y, x), v in np.ndenumerate(p) if (f, z, c) != ("b", 4, 1) or (y, x) == (0, 5)]
+    pixels = spark.createDataFrame(rows, "file string, z long, c long, y long, x long, v long").repartition(5)
+    told = pixels.groupBy("file").agg(tiff.ome_xml(F.max("y") + 1, F.max("x") + 1, F.lit(2), F.lit(3), ["DAPI", 'a "b" <c>'], 16, {"X": 0.5, "Y": 0.25, "Z": 2.0}).alias("ome_xml"))
+    done = tiff.write_stacks(pixels, told, f"file://{tmp_path}/out", strip=16, mounted=mounted).collect()
+    assert sorted((r.file, r.planes, r.height, r.width) for r in done) == [("a", 6, 150, 70), ("b", 6, 3, 70)]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")) == ["a.ome.tif", "b.ome.tif"]
+    a["b", 4, 1] = np.where(np.arange(210).reshape(3, 70) == 5, a["b", 4, 1], 0)
+    for f in "ab":
+        want = {(0, i): a[f, z, c] for i, (z, c) in enumerate((z, c) for z in (1, 4) for c in (0, 1, 2))}
+        assert read(tiff.read_tiff(spark, f"{tmp_path}/out/{f}.ome.tif", "tif")) == cells(want)
+    import xml.etree.ElementTree as tree
+
+    xml = tree.fromstring(tiff.slide_info(spark, f"{tmp_path}/out/a.ome.tif", "tif").first().ome_xml)
+    part = {k: [e for e in xml.iter() if e.tag.endswith(k)] for k in ("Pixels", "Channel")}
+    got = part["Pixels"][0].attrib
+    assert [got[k] for k in ("DimensionOrder", "SizeX", "SizeY", "SizeZ", "SizeC", "PhysicalSizeX", "PhysicalSizeY", "PhysicalSizeZ")] == ["XYCZT", "70", "150", "2", "3", "0.5", "0.25", "2.0"]
+    assert [c.attrib.get("Name") for c in part["Channel"]] == ["DAPI", 'a "b" <c>', None]
+
+
+def test_stacks_that_do_not_fit_leave_no_file(spark, tmp_path):
+    pixels = spark.createDataFrame([("a", 0, 0, 0, 0, 70000)], "file string, z long, c long, y long, x long, v long")
+    with pytest.raises(PythonException, match="don't fit"):
+        tiff.write_stacks(pixels, spark.createDataFrame([], "file string, ome_xml string"), f"file://{tmp_path}/out")
+    assert not (tmp_path / "out").exists() or not list((tmp_path / "out").iterdir())
 
 
 def test_slide_info(spark, tmp_path):
