@@ -10,6 +10,10 @@ from .register import find_homographies
 from .scalespace import DETECTORS, Detector, scale_space
 
 
+#: RANSAC draws of a trial's slice: many trials have no good model to find.
+TRIAL_DRAWS = 2000
+
+
 def _strongest(points: DataFrame, keys: list[str]) -> DataFrame:
     """Keypoints counted as kp from the strongest of each plane, ties in reading order."""
     order = Window.partitionBy(*keys).orderBy(F.desc("gain"), "y", "x", "size", "angle")
@@ -21,7 +25,7 @@ def keypoints(planes: DataFrame, most: int = 0, detector: Detector = Detector())
 
     The ``most`` strongest of each plane stay (0: all); kp counts them from the strongest.
     """
-    one = planes.sparkSession.createDataFrame([(0, detector.sigma, detector.layers, detector.contrast, detector.edge)], DETECTORS)
+    one = planes.sparkSession.createDataFrame([(0, detector.sigma, detector.layers, detector.contrast, detector.edge, most)], DETECTORS)
     found = _strongest(scale_space(planes, ["idx", "z"], one), ["idx", "z"])
     found = found.where(F.col("kp") <= most) if most else found
     return found.select("idx", "z", "kp", "y", "x", "size", "angle", "gain", "descriptor")
@@ -84,7 +88,7 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
     """
     by = [c for c in ("number", "idx") if c in trials.columns]
     trials = checkpointed(trials.select(*by, "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold"))
-    detectors = trials.select(*by, "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"))
+    detectors = trials.select(*by, "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"), F.col("n_features").cast("int").alias("most"))
     points = _strongest(scale_space(stack, ["idx", "z"], detectors), ["number", "idx", "z"])
     key = F.struct("number", "ratio_threshold", "idx").alias("idx")
     strong = (F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features"))
@@ -92,7 +96,7 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
     of_trials = lambda df: df.join(asked, "idx") if "idx" in by else df.crossJoin(asked)
     own = checkpointed(points.join(asked, by).where(strong).select(key, "z", "kp", "y", "x", "descriptor"))
     matches = match_to_reference(own, of_trials(reference.select("idx", "z")).select(key, "z"), F.col("g.idx.ratio_threshold"))
-    found = find_homographies(matches.select("idx.number", "idx.idx", "z", "sx", "sy", "dx", "dy"), ["number", "idx", "z"])
+    found = find_homographies(matches.select("idx.number", "idx.idx", "z", "sx", "sy", "dx", "dy"), ["number", "idx", "z"], rounds=TRIAL_DRAWS)
     others = stack.select("idx", "z").distinct().join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
     maps = checkpointed(of_trials(others).select("number", "idx", "z").join(found.select("number", "idx", "z", "h"), ["number", "idx", "z"], "left"))
 

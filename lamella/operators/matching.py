@@ -82,12 +82,21 @@ def _best_two(key: str):
             return pa.table({key: queries.column(key).slice(0, 0), "id": pa.array([], pa.int64()), "near": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
         train = train.take(pa.compute.sort_indices(train, [("near", "ascending")]))
         a, b = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t, c in ((queries, "a"), (train, "b")))
-        d = np.zeros((len(a), len(b)))
-        for k in range(a.shape[1]):
-            step = a[:, k, None] - b[None, :, k]
-            d += step * step
-        d = np.floor(np.sqrt(d) * 1e6 + 0.5) / 1e6
-        d[np.isnan(d)] = np.inf
+        # Only pairs that may be among the two nearest are worked out: a matrix product, with room for its rounding, tells them.
+        with np.errstate(all="ignore"):
+            qa, qb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+            rough = qa[:, None] + qb[None, :] - 2 * (a @ b.T)
+            rough[np.isnan(rough)] = -np.inf
+            limit = np.partition(rough, min(1, len(b) - 1), axis=1)[:, min(1, len(b) - 1)]
+            # Distances are rounded to six decimals, so what lies within that of the second one may tie with it.
+            edge = (np.sqrt(np.maximum(limit, 0)) + 2e-6) ** 2 + 1e-9 * (qa + qb.max() + 1)
+            row, column = np.nonzero(~(rough > edge[:, None]))
+            exact = np.zeros(len(row))
+            for k in range(a.shape[1]):
+                step = a[row, k] - b[column, k]
+                exact += step * step
+        d = np.full((len(a), len(b)), np.inf)
+        d[row, column] = np.where(np.isnan(exact), np.inf, np.floor(np.sqrt(exact) * 1e6 + 0.5) / 1e6)
         rows, out = np.arange(len(a)), []
         for _ in range(min(2, len(b))):
             at = d.argmin(axis=1)

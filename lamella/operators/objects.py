@@ -23,9 +23,15 @@ def expand_box(boxes: DataFrame, sx: int, sy: int, padding: int, width: int, hei
     return boxes.withColumns({"x1": x1.cast("long"), "y1": y1.cast("long"), "x2": x2.cast("long"), "y2": y2.cast("long")})
 
 
-def crop(pixels: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Pixels inside each box [x1, x2) x [y1, y2) with coordinates from its corner; the slice is the equi-key of the join."""
-    inside = pixels.join(boxes.select("z", "idx", "x1", "y1", "x2", "y2"), "z").where("x >= x1 and x < x2 and y >= y1 and y < y2")
+def crop(pixels: DataFrame, boxes: DataFrame, cell: int = 512) -> DataFrame:
+    """Pixels inside each box [x1, x2) x [y1, y2) with coordinates from its corner.
+
+    Boxes are dealt to the square cells of a grid that they meet, so a pixel meets the boxes of its cell only.
+    """
+    last = lambda c: F.expr(f"greatest({c} - 1, 0) div {cell}")
+    own = boxes.where("x1 < x2 and y1 < y2").select("z", "idx", "x1", "y1", "x2", "y2", F.explode(F.sequence(F.expr(f"y1 div {cell}"), last("y2"))).alias("gy"), F.expr(f"x1 div {cell}").alias("first"), last("x2").alias("last"))
+    own = own.withColumn("gx", F.explode(F.sequence("first", "last"))).drop("first", "last")
+    inside = pixels.withColumns({"gy": F.expr(f"y div {cell}"), "gx": F.expr(f"x div {cell}")}).join(own, ["z", "gy", "gx"]).where("x >= x1 and x < x2 and y >= y1 and y < y2")
     return inside.select("z", "idx", (F.col("y") - F.col("y1")).alias("y"), (F.col("x") - F.col("x1")).alias("x"), "v")
 
 

@@ -177,7 +177,7 @@ def trial_parameters(spark: SparkSession, trials: int = 25, seed: int = 0) -> Da
     return spark.createDataFrame(rows, "number long, " + PARAMETERS)
 
 
-def study(tissues: DataFrame, score: Callable[[DataFrame], DataFrame], trials: int = 25, startup: int = 10, batch: int = 5, seed: int = 0) -> DataFrame:
+def study(tissues: DataFrame, score: Callable[[DataFrame], DataFrame], trials: int = 25, startup: int = 9, batch: int = 8, seed: int = 0) -> DataFrame:
     """(idx, number, value, further columns of the scores, params): a search for each tissue (idx), best trial first.
 
     ``score`` gives (number, idx, value, ...) of trials (idx, number, parameters).  The first ``startup`` trials are one round of

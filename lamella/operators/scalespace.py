@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +26,22 @@ CELLS, CELL_BINS, CELL_SIZE, MOST = 4, 8, 3.0, 0.2
 
 
 #: Rows of detectors, the numbers being the caller's.
-DETECTORS = "number long, sigma double, layers int, contrast double, edge double"
+DETECTORS = "number long, sigma double, layers int, contrast double, edge double, most int"
+PARTS = ("sigma", "layers", "contrast", "edge", "most")
 
 
 @dataclass(frozen=True)
 class Detector:
-    """Blur of an octave's first image, images between doublings of the blur, least contrast (of 1), most ratio of curvatures."""
+    """Blur of an octave's first image, images between doublings of the blur, least contrast (of 1), most ratio of curvatures.
+
+    A tile keeps its ``most`` strongest keypoints of an octave (0: all): more can't be among as many of the plane.
+    """
 
     sigma: float = 2.0
     layers: int = 4
     contrast: float = 0.03
     edge: float = 5.0
+    most: int = 0
 
     @property
     def blurs(self) -> list[float]:
@@ -123,21 +129,34 @@ def _refined(d: np.ndarray, at: np.ndarray, detector: Detector, tile: Tile) -> t
     return alive, at + shift, np.abs(contrast)
 
 
-def _around(image: np.ndarray, y: int, x: int, r: int) -> tuple[np.ndarray, ...]:
-    """(dy, dx, size, angle) of the gradients within r pixels that have all neighbours."""
-    ya, yz, xa, xz = max(y - r, 1), min(y + r, image.shape[0] - 2), max(x - r, 1), min(x + r, image.shape[1] - 2)
-    gy = (image[ya + 1 : yz + 2, xa : xz + 1] - image[ya - 1 : yz, xa : xz + 1]).ravel()
-    gx = (image[ya : yz + 1, xa + 1 : xz + 2] - image[ya : yz + 1, xa - 1 : xz]).ravel()
-    dy, dx = np.mgrid[ya - y : yz - y + 1, xa - x : xz - x + 1].reshape(2, -1)
-    return dy, dx, np.hypot(gy, gx), np.arctan2(gy, gx)
+def _gradients(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(size, angle) of the gradient at each pixel but those at the array's edge, where the size is 0."""
+    gy, gx = np.zeros_like(image), np.zeros_like(image)
+    gy[1:-1, 1:-1] = image[2:, 1:-1] - image[:-2, 1:-1]
+    gx[1:-1, 1:-1] = image[1:-1, 2:] - image[1:-1, :-2]
+    return np.hypot(gy, gx), np.arctan2(gy, gx)
+
+
+@cache
+def _offsets(r: int) -> tuple[np.ndarray, np.ndarray]:
+    dy, dx = np.mgrid[-r : r + 1, -r : r + 1]
+    return dy, dx
+
+
+def _around(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, r: int) -> tuple[np.ndarray, ...]:
+    """(dy, dx, size, angle) of the gradients within r pixels."""
+    high, wide = gradients[0].shape
+    ya, yz, xa, xz = max(y - r, 0), min(y + r + 1, high), max(x - r, 0), min(x + r + 1, wide)
+    part = (slice(ya - y + r, yz - y + r), slice(xa - x + r, xz - x + r))
+    return *(o[part].ravel() for o in _offsets(r)), *(g[ya:yz, xa:xz].ravel() for g in gradients)
 
 
-def _directions(image: np.ndarray, y: int, x: int, scale: float) -> list[float]:
+def _directions(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, scale: float) -> list[float]:
     """Angles of the peaks of the smoothed histogram of gradient directions around a keypoint."""
     spread = DIRECTION_BLUR * scale
-    dy, dx, size, angle = _around(image, y, x, round(3 * spread))
-    bins = np.round(angle * DIRECTION_BINS / (2 * math.pi)).astype(np.int64) % DIRECTION_BINS
-    h = np.bincount(bins, size * np.exp(-(dy * dy + dx * dx) / (2 * spread * spread)), DIRECTION_BINS)
+    dy, dx, size, angle = _around(gradients, y, x, round(3 * spread))
+    bins = np.round(angle * (DIRECTION_BINS / (2 * math.pi))).astype(np.int64) % DIRECTION_BINS
+    h = np.bincount(bins, size * np.exp((dy * dy + dx * dx) * (-0.5 / (spread * spread))), DIRECTION_BINS)
     h = (np.roll(h, 2) + np.roll(h, -2) + 4 * (np.roll(h, 1) + np.roll(h, -1)) + 6 * h) / 16
     before, after = np.roll(h, 1), np.roll(h, -1)
     peaks = np.flatnonzero((h > before) & (h > after) & (h >= DIRECTION_SHARE * h.max()))
@@ -145,24 +164,25 @@ def _directions(image: np.ndarray, y: int, x: int, scale: float) -> list[float]:
     return (tops % DIRECTION_BINS * 2 * math.pi / DIRECTION_BINS).tolist()
 
 
-def _descriptor(image: np.ndarray, y: int, x: int, scale: float, turn: float) -> np.ndarray | None:
+def _descriptor(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, scale: float, turn: float) -> np.ndarray | None:
     """4 x 4 histograms of 8 directions around a keypoint in its own frame, shared out linearly, at unit length."""
     cell = CELL_SIZE * scale
-    dy, dx, size, angle = _around(image, y, x, round(cell * math.sqrt(2) * (CELLS + 1) / 2))
+    dy, dx, size, angle = _around(gradients, y, x, round(cell * math.sqrt(2) * (CELLS + 1) / 2))
     c, s = math.cos(turn) / cell, math.sin(turn) / cell
     across, down = c * dx + s * dy, c * dy - s * dx
-    weight = size * np.exp(-(across**2 + down**2) / (CELLS * CELLS / 2))
-    row, column, bin_ = down + CELLS / 2 - 0.5, across + CELLS / 2 - 0.5, (angle - turn) % (2 * math.pi) * CELL_BINS / (2 * math.pi)
-    near = (row > -1) & (row < CELLS) & (column > -1) & (column < CELLS)
-    row, column, bin_, weight = row[near], column[near], bin_[near], weight[near]
-    h = np.zeros((CELLS + 2, CELLS + 2, CELL_BINS)).ravel()
-    low = [np.floor(v).astype(np.int64) for v in (row, column, bin_)]
-    part = [v - f for v, f in zip((row, column, bin_), low, strict=True)]
-    for i in (0, 1):
-        for j in (0, 1):
-            for k in (0, 1):
-                share = weight * (part[0] if i else 1 - part[0]) * (part[1] if j else 1 - part[1]) * (part[2] if k else 1 - part[2])
-                h += np.bincount(((low[0] + 1 + i) * (CELLS + 2) + low[1] + 1 + j) * CELL_BINS + (low[2] + k) % CELL_BINS, share, len(h))
+    near = np.flatnonzero((np.abs(across) < (CELLS + 1) / 2) & (np.abs(down) < (CELLS + 1) / 2))
+    across, down, angle = across[near], down[near], angle[near]
+    weight = size[near] * np.exp((across * across + down * down) * (-2.0 / (CELLS * CELLS)))
+    row, column, bin_ = down + (CELLS / 2 + 0.5), across + (CELLS / 2 + 0.5), ((angle - turn) * (CELL_BINS / (2 * math.pi))) % CELL_BINS
+    i, j, k = (v.astype(np.int64) for v in (row, column, bin_))
+    p, q, r = row - i, column - j, bin_ - k
+    k, after = k % CELL_BINS, (k + 1) % CELL_BINS
+    first = (i * (CELLS + 2) + j) * CELL_BINS
+    low, high = weight * (1 - p), weight * p
+    corners = [(first, low * (1 - q)), (first + CELL_BINS, low * q), (first + (CELLS + 2) * CELL_BINS, high * (1 - q)), (first + (CELLS + 3) * CELL_BINS, high * q)]
+    at = np.concatenate([v for place, _ in corners for v in (place + k, place + after)])
+    share = np.concatenate([v for _, w in corners for v in (w * (1 - r), w * r)])
+    h = np.bincount(at, share, (CELLS + 3) * (CELLS + 2) * CELL_BINS)[: (CELLS + 2) ** 2 * CELL_BINS]
     h = h.reshape(CELLS + 2, CELLS + 2, CELL_BINS)[1:-1, 1:-1].ravel()
     norm = np.linalg.norm(h)
     if not norm:
@@ -194,11 +214,16 @@ def octave(tile: Tile, detector: Detector) -> tuple[list[tuple], np.ndarray]:
                     low &= middle <= other
         at = np.argwhere(top | low) + [1, ya, xa]
         alive, place, gain = _refined(d, at, detector, tile)
+        if detector.most and alive.sum() > detector.most:
+            alive &= gain >= np.sort(gain[alive])[-detector.most]
+        gradients: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for (s, y, x), g in zip(place[alive], gain[alive], strict=True):
             scale = max(detector.sigma, 0.1) * 2 ** (s / detector.layers)
-            image, iy, ix = images[min(max(round(s), 0), len(images) - 1)], round(y), round(x)
-            for angle in _directions(image, iy, ix, scale):
-                own = _descriptor(image, iy, ix, scale, angle)
+            layer, iy, ix = min(max(round(s), 0), len(images) - 1), round(y), round(x)
+            if layer not in gradients:
+                gradients[layer] = _gradients(images[layer])
+            for angle in _directions(gradients[layer], iy, ix, scale):
+                own = _descriptor(gradients[layer], iy, ix, scale, angle)
                 if own is not None:
                     found.append((s, y + tile.y, x + tile.x, scale, g, angle, own))
     return found, images[detector.layers]
@@ -217,17 +242,17 @@ def _halved(tile: Tile, a: np.ndarray) -> tuple[np.ndarray, int, int]:
 def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octaves: int | None = None) -> DataFrame:
     """(keys, number, y, x, size, gain, angle, octave, descriptor) of planes (keys, y, x, v) with values of 0 to 255.
 
-    ``detectors`` are the rows (number, sigma, layers, contrast, edge) of a few detectors: each plane is searched by each, or, if
+    ``detectors`` are the rows (number, sigma, layers, contrast, edge, most) of a few detectors: each plane is searched by each, or, if
     some of the keys are among their columns too, by those of its key.
     Missing pixels are 0.  A plane of fewer than 12 pixels each way has no keypoints; octaves go on while the smallest side
     has 8 pixels, unless a number is given.
     """
-    few = [Detector(r["sigma"], r["layers"], r["contrast"], r["edge"]) for r in detectors.select("sigma", "layers", "contrast", "edge").distinct().collect()]
+    few = [Detector(*r) for r in detectors.select(*PARTS).distinct().collect()]
     reach = max((d.reach for d in few), default=0)
     own = [*keys, "number", "detector"]
     on = [k for k in keys if k in detectors.columns]
-    known = detectors.select(*on, "number", F.struct("sigma", "layers", "contrast", "edge").alias("detector"))
-    of = lambda table: Detector(**{k: table.column("detector")[0].as_py()[k] for k in ("sigma", "layers", "contrast", "edge")})
+    known = detectors.select(*on, "number", F.struct(*PARTS).alias("detector"))
+    of = lambda table: Detector(**table.column("detector")[0].as_py())
     first = checkpointed(to_blocks(planes, keys, "f4"))
     size = first.agg(F.min(F.least("height", "width"))).first()[0] or 0
     octaves = max(0, math.floor(math.log2(max(2 * size, 1))) - 2) if octaves is None else octaves

@@ -278,8 +278,8 @@ def write_planes(stacks: DataFrame, folder: str, bits: int = 16) -> DataFrame:
     """Each plane of stacks (idx, z, c, y, x, v) as ``<folder>/<idx>_<z>_<c>.ome.tif``; (idx, z, c, path, height, width) of those written.
 
     Rows of a plane come to one task in order and are written as they come, so that it holds one line and a batch.
-    Missing pixels are 0; a value outside 0 to 2^bits - 1 raises an error.  The files are written when the result is read, and
-    written again, the same, if a task is repeated.
+    Missing pixels are 0; a value outside 0 to 2^bits - 1 raises an error.  The files are written when the result is read, under a name of
+    the attempt until they are whole, and again, the same, if a task is repeated.
     """
     key = ["idx", "z", "c"]
     size = stacks.groupBy(*key).agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
@@ -288,9 +288,13 @@ def write_planes(stacks: DataFrame, folder: str, bits: int = 16) -> DataFrame:
     top = (1 << bits) - 1
 
     def write(frames: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         now, out, line, row = None, None, None, 0
+        mark = f".{uuid.uuid4().hex}.part"
+
+        def end() -> None:
+            flush(height)
+            out.close()
+            system.move(place + mark, place)
 
         def flush(upto: int) -> None:
             nonlocal line, row
@@ -304,13 +308,12 @@ def write_planes(stacks: DataFrame, folder: str, bits: int = 16) -> DataFrame:
             for name, part in frame.groupby(key, sort=False):
                 if name != now:
                     if out is not None:
-                        flush(height)
-                        out.close()
+                        end()
                     now, height, width = name, int(part["height"].iloc[0]), int(part["width"].iloc[0])
                     path = f"{folder}/{name[0]}_{name[1]}_{name[2]}.ome.tif"
-                    system, place = fs.FileSystem.from_uri(path)
+                    system, place = fs_of(path)
                     system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                    out, line, row = system.open_output_stream(place), np.zeros(width, f"<u{bits // 8}"), 0
+                    out, line, row = system.open_output_stream(place + mark), np.zeros(width, f"<u{bits // 8}"), 0
                     out.write(_header(height, width, bits))
                     done.append((*name, path, height, width))
                 y, x, v = (part[k].to_numpy() for k in "yxv")
@@ -322,8 +325,7 @@ def write_planes(stacks: DataFrame, folder: str, bits: int = 16) -> DataFrame:
                     line[x[a:b]] = v[a:b]
             yield pd.DataFrame(done, columns=[*key, "path", "height", "width"])
         if out is not None:
-            flush(height)
-            out.close()
+            end()
 
     ordered = cells.repartition(*key).sortWithinPartitions(*key, "y", "x")
     return ordered.mapInPandas(write, ", ".join(f"{k} {kinds[k]}" for k in key) + ", path string, height long, width long")

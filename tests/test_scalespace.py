@@ -97,7 +97,7 @@ def plain_points(a, detector):
 
 def found(spark, a, detector, side, monkeypatch):
     monkeypatch.setattr(til, "SIDE", side)
-    one = spark.createDataFrame([(0, detector.sigma, detector.layers, detector.contrast, detector.edge)], sca.DETECTORS)
+    one = spark.createDataFrame([(0, detector.sigma, detector.layers, detector.contrast, detector.edge, detector.most)], sca.DETECTORS)
     return sca.scale_space(planes(spark, a), ["idx", "z"], one).collect()
 
 
@@ -144,3 +144,11 @@ def test_planes_without_keypoints(spark):
     flat = planes(spark, np.full((40, 40), 7), np.zeros((3, 3), int))
     assert align.keypoints(flat).count() == 0
     assert align.keypoints(flat.limit(0)).count() == 0
+
+
+def test_the_strongest_are_those_of_all(spark, monkeypatch):
+    monkeypatch.setattr(til, "SIDE", 16)
+    df = planes(spark, blobs(60, seed=6))
+    key = lambda r: (r.kp, r.gain, r.y, r.x, r["size"], r.angle, tuple(r.descriptor))
+    every = sorted(map(key, align.keypoints(df, detector=Detector(1.6, 3, 0.01, 10.0)).collect()))
+    assert len(every) > 40 and sorted(map(key, align.keypoints(df, 12, Detector(1.6, 3, 0.01, 10.0)).collect())) == every[:12]
