@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .labels import checkpointed
+from .labels import checkpointed, shuffled
 from .matching import knn_ratio
 from .register import find_homographies
 from .scalespace import DETECTORS, Detector, scale_space
@@ -39,9 +39,9 @@ def match_to_reference(points: DataFrame, reference: DataFrame, ratio: float | C
     ref = points.join(reference.select("idx", "z"), ["idx", "z"], "left_semi").select("idx", F.col("kp").alias("id"), F.col("descriptor").alias("a"), F.col("x").alias("dx"), F.col("y").alias("dy"))
     rest = points.join(reference.select("idx", "z"), ["idx", "z"], "left_anti")
     rest = rest.select("idx", F.struct("idx", "z").alias("g"), F.col("kp").alias("near"), F.col("descriptor").alias("b"), F.col("x").alias("sx"), F.col("y").alias("sy"))
-    asked = rest.select("idx", "g").distinct().join(ref, "idx")
+    asked = rest.select("idx", "g").distinct().join(shuffled(ref), "idx")
     pairs = knn_ratio(asked.select("g", "id", "a"), rest.select("g", "near", "b"), ratio)
-    out = pairs.join(asked.select("g", "id", "dx", "dy"), ["g", "id"]).join(rest.select("g", "near", "sx", "sy"), ["g", "near"])
+    out = pairs.join(shuffled(asked.select("g", "id", "dx", "dy")), ["g", "id"]).join(shuffled(rest.select("g", "near", "sx", "sy")), ["g", "near"])
     return out.select("g.idx", "g.z", *(F.col(c).cast("double").alias(c) for c in ("sx", "sy", "dx", "dy")))
 
 
@@ -58,7 +58,7 @@ def warp_each(pixels: DataFrame, homographies: DataFrame, height: int, width: in
     corners = F.explode(F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in (0, 1) for q in (0, 1))))
     part = lambda s, t: 1 - F.abs(F.col(s) - F.floor(s) - F.col(t))
     taps = at.withColumn("t", corners).select("idx", "z", "ty", "tx", (F.floor("sy") + F.col("t.p")).alias("y"), (F.floor("sx") + F.col("t.q")).alias("x"), (part("sy", "t.p") * part("sx", "t.q")).alias("c"))
-    seen = pixels.join(taps.where("c > 0"), ["idx", "z", "y", "x"]).groupBy("idx", "z", "ty", "tx").agg(F.round(F.sum(F.col("v") * F.col("c")), 6).alias("v"))
+    seen = shuffled(pixels).join(taps.where("c > 0"), ["idx", "z", "y", "x"]).groupBy("idx", "z", "ty", "tx").agg(F.round(F.sum(F.col("v") * F.col("c")), 6).alias("v"))
     return seen.select("idx", "z", F.col("ty").cast("long").alias("y"), F.col("tx").cast("long").alias("x"), "v")
 
 
@@ -101,14 +101,14 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
     maps = checkpointed(of_trials(others).select("number", "idx", "z").join(found.select("number", "idx", "z", "h"), ["number", "idx", "z"], "left"))
 
     keyed = maps.where("h is not null").select(F.struct("number", "idx").alias("idx"), "z", "h")
-    planes = stack.join(maps.where("h is not null").select("number", "idx", "z"), ["idx", "z"]).select(F.struct("number", "idx").alias("idx"), "z", "y", "x", "v")
+    planes = shuffled(stack).join(maps.where("h is not null").select("number", "idx", "z"), ["idx", "z"]).select(F.struct("number", "idx").alias("idx"), "z", "y", "x", "v")
     moved = warp_each(planes, keyed, height, width).where(F.col("v") > cut).select("idx.number", "idx.idx", "z", "y", "x")
     above = stack.where(F.col("v") > cut).select("idx", "z", "y", "x")
     still = above.join(reference.select("idx", "z"), ["idx", "z"], "left_semi").select("idx", "y", "x", F.lit(1).alias("r"))
     area = still.groupBy("idx").agg(F.count("*").alias("a"))
 
     def dice(pixels: DataFrame, keys: list[str], of: DataFrame, name: str) -> DataFrame:
-        sums = pixels.join(still, ["idx", "y", "x"], "left").groupBy(*keys).agg(F.count("*").alias("b"), F.count("r").alias("both"))
+        sums = pixels.join(shuffled(still), ["idx", "y", "x"], "left").groupBy(*keys).agg(F.count("*").alias("b"), F.count("r").alias("both"))
         sums = of.join(sums, keys, "left").join(area, "idx", "left").na.fill(0, ["a", "b", "both"])
         return sums.select(*keys, F.try_divide(2.0 * F.col("both"), F.col("a") + F.col("b")).alias(name))
 

@@ -39,6 +39,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, shuffled where it is joined: Spark guesses pixels and keypoints from the compressed files they come from, and a broadcast would pass them whole through the driver."""
+    return df.hint("merge")
+
+
 def _components(edges: DataFrame) -> DataFrame | None:
     """(z, node, root) for edges (z, u, v), u > v: large-star and small-star rounds until nothing moves; None without edges.
 

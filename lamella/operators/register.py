@@ -87,7 +87,9 @@ def find_homographies(matches: DataFrame, keys: list[str], limit: float = 5.0, r
         return out
 
     types = {f.name: f.dataType.simpleString() for f in matches.schema}
-    return matches.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", h array<double>, inliers long, status string")
+    # Few bytes, much work: a number of partitions keeps them from being coalesced by their size.
+    dealt = matches.repartition(int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return dealt.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", h array<double>, inliers long, status string")
 
 
 def warp(pixels: DataFrame, h: list[float], height: int, width: int) -> DataFrame:

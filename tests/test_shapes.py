@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lamella.operators import align, labels as lab, matching as mat, refine, register as reg, shapes
 from lamella.operators.scalespace import Detector
@@ -273,3 +274,16 @@ def test_a_study_learns_for_each_tissue(spark):
     assert all([r.value for r in out if r.idx == i] == sorted((r.value for r in out if r.idx == i), reverse=True) for i in (1, 7))
     assert {r.value for r in out if r.number == 3} == {0.0} and out[0].params.sigma != out[14].params.sigma
     assert reg.study(spark.createDataFrame([], "idx long"), score).count() == 0
+
+
+def test_alignment_broadcasts_no_pixels_and_spreads_the_slices(spark):
+    pixels = spark.range(64).select(F.lit(0).alias("idx"), F.lit(1).alias("z"), (F.col("id") % 8).alias("y"), F.expr("id div 8").alias("x"), F.col("id").alias("v"))
+    maps = spark.createDataFrame([(0, 1, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])], "idx int, z int, h array<double>")
+    seen = align.warp_each(pixels, maps, 8, 8)
+    assert "Broadcast" not in seen._jdf.queryExecution().executedPlan().toString()
+    assert {(r.y, r.x): r.v for r in seen.collect()} == {(r.y, r.x): r.v for r in pixels.collect()}
+    square = [(0.0, 0.0), (9.0, 0.0), (0.0, 7.0), (8.0, 9.0), (4.0, 3.0)]
+    matches = spark.createDataFrame([(z, x, y, x + z, y - z) for z in range(40) for x, y in square], "z long, sx double, sy double, dx double, dy double")
+    found = reg.find_homographies(matches, ["z"])
+    parts = found.rdd.glom().map(len).collect()
+    assert sum(parts) == 40 and sum(n > 0 for n in parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
