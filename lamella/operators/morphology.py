@@ -7,13 +7,14 @@ Pixels outside the plane, and missing ones, never count.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .raster import median_filter
-from .tiles import Tile, as_pixels, block_schema, block_table, deal, to_blocks
+from .tiles import SIDE, Tile, as_pixels, block_schema, block_table, deal, to_blocks
 
 MISSING = 255
 
@@ -120,36 +121,38 @@ def _cubic_weight(d: float) -> float:
     return (1.25 * d - 2.25) * d * d + 1 if d <= 1 else ((-0.75 * d + 3.75) * d - 6) * d + 3 if d < 2 else 0.0
 
 
-def _cubic_sums(df: DataFrame, sy: int, sx: int) -> DataFrame:
-    """(z, y, x, s) of scaled-up planes; edges are repeated.
+def _cubic(df: DataFrame, sy: int, sx: int, finish: Callable[[np.ndarray], np.ndarray], dtype: str) -> DataFrame:
+    """(z, y, x, v) that ``finish`` makes of scaled-up planes, rounded to six decimals; missing pixels are 0, edges are repeated, results of 0 have no row.
 
-    Lines first, then columns: a pixel is spread to about 4 sx places of its line, added up, and these to 4 sy lines.
+    A tile gets two pixels around it and adds up lines first, then columns; it is smaller, the larger it comes out.
     """
-    size = df.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    side = max(SIDE // max(sy, sx), 16)
+    sums = df.groupBy("z", "y", "x").agg(F.coalesce(F.sum("v"), F.lit(0)).cast("double").alias("v"))
+    blocks = to_blocks(sums, ["z"], "f8", side=side)
+
+    def spread(a: np.ndarray, s: int, first: int, last: int, begin: int, size: int) -> np.ndarray:
+        """Lines first to last, scaled up, of a plane of ``size`` lines; ``a`` begins with its line ``begin``."""
+        lines, out = np.arange(first, last), np.zeros((last - first, s, a.shape[1]))
+        for t in range(s):
+            at = (t + 0.5) / s - 0.5
+            for k in range(math.floor(at) - 1, math.floor(at) + 3):
+                out[:, t] += _cubic_weight(at - k) * a[np.clip(lines + k, 0, size - 1) - begin]
+        return out.reshape(-1, a.shape[1])
 
-    def spread(df: DataFrame, c: str, n: str, s: int) -> DataFrame:
-        """Rows for the places t that the pixel c counts in, with its weight; the first and the last pixel stand for those beyond."""
-        taps = []
-        for o in range(-2 * s, 3 * s):  # weights depend on the place from s * c only
-            d = (o + 0.5) / s - 0.5
-            own, low, high = _cubic_weight(d), _cubic_weight(d + 1) + _cubic_weight(d + 2), _cubic_weight(d - 1) + _cubic_weight(d - 2)
-            taps.append(F.struct(F.lit(o).alias("o"), F.lit(own).alias("own"), F.lit(low).alias("low"), F.lit(high).alias("high")))
-        rows = df.withColumn("p", F.explode(F.array(*taps))).withColumn("t", F.col(c) * s + F.col("p.o"))
-        weight = F.col("p.own") + F.when(F.col(c) == 0, F.col("p.low")).otherwise(0.0) + F.when(F.col(c) == F.col(n) - 1, F.col("p.high")).otherwise(0.0)
-        return rows.where((F.col("t") >= 0) & (F.col("t") < F.col(n) * s)).withColumn("c", weight).where("c <> 0")
+    def work(tile: Tile, table):
+        a = spread(tile.a, sy, tile.top, tile.bottom, tile.y, tile.height)
+        a = spread(a.T, sx, tile.left, tile.right, tile.x, tile.width).T
+        a = finish(np.copysign(np.floor(np.abs(a) * 1e6 + 0.5) / 1e6, a)).astype(dtype)
+        return block_table(table, ["z"], a, tile.top * sy, tile.left * sx, tile.height * sy, tile.width * sx)
 
-    lines = spread(df.where("v <> 0").join(size, "z").select("z", "h", "w", "y", "x", "v"), "x", "w", sx)
-    lines = lines.groupBy("z", "h", "y", F.col("t").alias("x")).agg(F.sum(F.col("v") * F.col("c")).alias("v"))
-    planes = spread(lines, "y", "h", sy)
-    return planes.groupBy("z", F.col("t").alias("y"), "x").agg(F.round(F.sum(F.col("v") * F.col("c")), 6).alias("s"))
+    return as_pixels(deal(blocks, ["z"], "f8", 2, work, block_schema(blocks, ["z"]), side=side), ["z"], dtype, 0)
 
 
 def cubic_upsample(df: DataFrame, sy: int, sx: int) -> DataFrame:
     """Mask scaled up by cubic convolution (a = -0.75, edges repeated), positive after rounding: foreground rows (z, y, x)."""
-    return _cubic_sums(df.withColumn("v", (F.col("v") > 0).cast("long")), sy, sx).where("s > 0.5").select("z", "y", "x")
+    return _cubic(df.withColumn("v", (F.col("v") > 0).cast("long")), sy, sx, lambda s: s > 0.5, "u1").select("z", "y", "x")
 
 
 def cubic_upsample_grey(df: DataFrame, sy: int, sx: int, top: int = 255) -> DataFrame:
     """Grey planes scaled up likewise, rounded half to even and kept within 0 to ``top``; pixels that come out as 0 have no row."""
-    v = F.least(F.greatest(F.bround("s").cast("long"), F.lit(0)), F.lit(top)).cast("long")
-    return _cubic_sums(df, sy, sx).select("z", "y", "x", v.alias("v")).where("v <> 0")
+    return _cubic(df, sy, sx, lambda s: np.clip(np.rint(s), 0, top), "i8")

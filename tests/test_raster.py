@@ -265,3 +265,28 @@ def test_crops_do_not_depend_on_cells(spark, cell):
     out = obj.crop(spark.createDataFrame(pixels, "z long, y long, x long, v long"), spark.createDataFrame(boxes, "z long, idx long, x1 long, y1 long, x2 long, y2 long"), cell)
     want = sorted((z, i, y - y1, x - x1, v) for z, y, x, v in pixels for b, i, x1, y1, x2, y2 in boxes if b == z and x1 <= x < x2 and y1 <= y < y2)
     assert sorted(tuple(r) for r in out.select("z", "idx", "y", "x", "v").collect()) == want
+
+
+@pytest.mark.parametrize("sy, sx", [(3, 2), (1, 5)])
+def test_upsampling_over_tiles_spreads_no_rows(spark, monkeypatch, sy, sx):
+    """Tiles of 16 pixels, some without any, against whole planes; pixels aren't exploded to the places that they count in."""
+    monkeypatch.setattr(mor, "SIDE", 16)
+    a = np.random.default_rng(2).integers(0, 256, (37, 50))
+    a[:, 18:45] = a[18:] = 0
+    a[36, 49] = 9
+
+    def axis(size, s):
+        t = (np.arange(size * s) + 0.5) / s - 0.5
+        m = np.zeros((size * s, size))
+        for k in range(-2, size + 2):
+            m[:, min(max(k, 0), size - 1)] += [mor._cubic_weight(d) for d in t - k]
+        return m
+
+    whole = np.round(axis(37, sy) @ a @ axis(50, sx).T, 6)
+    df = pixels(spark, [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(a) if v])
+    grey, mask = mor.cubic_upsample_grey(df, sy, sx), mor.cubic_upsample(df, sy, sx)
+    assert all("explode" not in f._jdf.queryExecution().executedPlan().toString() for f in (grey, mask))
+    want = np.clip(np.rint(whole), 0, 255)
+    assert rows(grey) == [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(want) if v]
+    on = np.round(axis(37, sy) @ (a > 0) @ axis(50, sx).T, 6) > 0.5
+    assert rows(mask) == [(0, y, x) for y, x in zip(*np.nonzero(on), strict=True)]
