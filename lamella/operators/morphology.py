@@ -14,20 +14,33 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .raster import median_filter
-from .tiles import SIDE, Tile, as_pixels, block_schema, block_table, deal, to_blocks
+from .tiles import SIDE, Tile, as_pixels, block_schema, block_table, deal, to_blocks, trimmed
 
 MISSING = 255
 
 
-def _tiled(df: DataFrame, reach: int, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Planes of 0 and 1 after ``change`` of each tile with ``reach`` pixels around it."""
-    blocks = to_blocks(df, ["z"], "u1", MISSING, sized=False)
+def as_blocks(df: DataFrame) -> DataFrame:
+    """Blocks of planes of 0 and 1, for a chain of steps without pixels as rows between them."""
+    return to_blocks(df, ["z"], "u1", MISSING, sized=False)
+
+
+def from_blocks(blocks: DataFrame) -> DataFrame:
+    return as_pixels(blocks, ["z"], "u1", MISSING)
+
+
+def _changed(blocks: DataFrame, reach: int, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Blocks of 0 and 1 after ``change`` of each tile with ``reach`` pixels around it."""
 
     def work(tile: Tile, table):
         a = np.where(tile.a == MISSING, MISSING, change(tile.a))[tile.own].astype("u1")
-        return block_table(table, ["z"], a, tile.top, tile.left, tile.height, tile.width)
+        return trimmed(table, ["z"], a, tile.top, tile.left, tile.height, tile.width, MISSING)
 
-    return as_pixels(deal(blocks, ["z"], "u1", reach, work, block_schema(blocks, ["z"]), MISSING), ["z"], "u1", MISSING)
+    return deal(blocks, ["z"], "u1", reach, work, block_schema(blocks, ["z"]), MISSING)
+
+
+def _tiled(df: DataFrame, reach: int, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Planes of 0 and 1 after ``change`` of each tile with ``reach`` pixels around it."""
+    return from_blocks(_changed(as_blocks(df), reach, change))
 
 
 def _counts(on: np.ndarray, first: int, last: int, axis: int) -> np.ndarray:
@@ -48,6 +61,11 @@ def _rectangle(a: np.ndarray, k: int, erode: bool) -> np.ndarray:
 
 def steps(df: DataFrame, sizes: list[tuple[int, bool]]) -> DataFrame:
     """Erosions (True) and dilations with squares of the given sizes, one after the other; sizes below 1 stand for 3."""
+    return from_blocks(block_steps(as_blocks(df), sizes))
+
+
+def block_steps(blocks: DataFrame, sizes: list[tuple[int, bool]]) -> DataFrame:
+    """:func:`steps` from blocks to blocks."""
     sizes = [(k if k >= 1 else 3, erode) for k, erode in sizes]
 
     def change(a: np.ndarray) -> np.ndarray:
@@ -55,7 +73,7 @@ def steps(df: DataFrame, sizes: list[tuple[int, bool]]) -> DataFrame:
             a = _rectangle(a, k, erode)
         return a
 
-    return _tiled(df, sum(k // 2 for k, _ in sizes), change)
+    return _changed(blocks, sum(k // 2 for k, _ in sizes), change)
 
 
 def dilate(df: DataFrame, k: int, times: int = 1) -> DataFrame:

@@ -136,5 +136,13 @@ def block_table(table: pa.Table, keys: list[str], a: np.ndarray, y: int, x: int,
     return pa.table({**repeated(table, keys, 1), **{k: pa.array([n], pa.int64()) for k, n in numbers}, "data": pa.array([a.tobytes()], pa.binary())})
 
 
+def trimmed(block: pa.Table, keys: list[str], a: np.ndarray, y: int, x: int, height: int, width: int, missing: float) -> pa.Table:
+    """:func:`block_table` of the smallest rectangle that holds all but ``missing``, so that a block is no larger than its pixels' span; no row without pixels."""
+    ys, xs = (np.flatnonzero((a != missing).any(axis=i)) for i in (1, 0))
+    if not len(ys):
+        return block_table(block, keys, a[:1, :1], y, x, height, width).slice(0, 0)
+    return block_table(block, keys, a[ys[0] : ys[-1] + 1, xs[0] : xs[-1] + 1], y + int(ys[0]), x + int(xs[0]), height, width)
+
+
 def block_schema(df: DataFrame, keys: list[str]) -> T.StructType:
     return T.StructType([*fields(df, keys), *_BLOCK])

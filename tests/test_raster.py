@@ -290,3 +290,11 @@ def test_upsampling_over_tiles_spreads_no_rows(spark, monkeypatch, sy, sx):
     assert rows(grey) == [(0, y, x, int(v)) for (y, x), v in np.ndenumerate(want) if v]
     on = np.round(axis(37, sy) @ (a > 0) @ axis(50, sx).T, 6) > 0.5
     assert rows(mask) == [(0, y, x) for y, x in zip(*np.nonzero(on), strict=True)]
+
+
+def test_blocks_after_a_step_are_no_larger_than_their_planes(spark):
+    """A plane of 5 x 7 pixels isn't carried on as a whole tile."""
+    df = pixels(spark, [(z, y, x, int(y > 1)) for z in range(3) for y in range(5) for x in range(7)])
+    blocks = mor.block_steps(mor.as_blocks(df), [(3, True), (3, False)])
+    assert [(r.n_y, r.n_x, len(r.data)) for r in blocks.collect()] == [(5, 7, 35)] * 3
+    assert rows(mor.from_blocks(blocks)) == rows(mor.morphology(df, 3, "opening"))
