@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from . import tiles
-from .tiles import repeated, to_blocks
+from .tiles import MISSING, repeated, to_blocks
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -98,6 +98,14 @@ def _first_pixels(on: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarra
     return y, x, row[of], start[of]
 
 
+def _across(border: DataFrame, diagonal: bool) -> DataFrame | None:
+    """(z, node, root) of components (local) whose pixels (z, y, x, local) at tiles' borders touch; None if none do."""
+    ways = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * diagonal
+    to = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ways))).alias("d")
+    near = border.select("z", "y", "x", F.col("local").alias("other"), to).select("z", (F.col("y") + F.col("d.i")).alias("y"), (F.col("x") + F.col("d.j")).alias("x"), "other")
+    return _components(near.join(border, ["z", "y", "x"]).where("local <> other").select("z", F.greatest("local", "other").alias("u"), F.least("local", "other").alias("v")))
+
+
 def connected_components(mask: DataFrame, diagonal: bool = True, width: int = 1 << 20) -> DataFrame:
     """(z, y, x, label) of mask rows (z, y, x); a label is the least y * width + x of its component.
 
@@ -119,12 +127,7 @@ def connected_components(mask: DataFrame, diagonal: bool = True, width: int = 1
                 yield pa.RecordBatch.from_arrays([*repeated(batch.slice(i, 1), ["z"], len(y)).values(), *map(pa.array, (y, x, first, edge))], names=["z", "y", "x", "local", "at_edge"])
 
     found = checkpointed(blocks.mapInArrow(local, schema))
-    border = found.where("at_edge").select("z", "y", "x", "local")
-    ways = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * diagonal
-    to = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ways))).alias("d")
-    near = border.select("z", "y", "x", F.col("local").alias("other"), to).select("z", (F.col("y") + F.col("d.i")).alias("y"), (F.col("x") + F.col("d.j")).alias("x"), "other")
-    edges = near.join(border, ["z", "y", "x"]).where("local <> other").select("z", F.greatest("local", "other").alias("u"), F.least("local", "other").alias("v"))
-    roots = _components(edges)
+    roots = _across(found.where("at_edge").select("z", "y", "x", "local"), diagonal)
     if roots is None:
         return found.select("z", "y", "x", F.col("local").alias("label"))
     return found.join(roots.withColumnRenamed("node", "local"), ["z", "local"], "left").select("z", "y", "x", F.coalesce("root", "local").alias("label"))
@@ -142,11 +145,67 @@ def fill_holes(pixels: DataFrame, area: int | Column) -> DataFrame:
 
     ``area`` is a number or an expression of a plane's height ``h`` and width ``w``.
     """
-    holes = connected_components(pixels.where("v = 0"), diagonal=False)
-    size = pixels.groupBy("z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
-    few = holes.groupBy("z", "label").count().join(size, "z").where(F.col("count") < area)
-    small = holes.join(few, ["z", "label"], "left_semi").select("z", "y", "x", F.lit(1).alias("f"))
-    return pixels.join(small, ["z", "y", "x"], "left").select("z", "y", "x", F.greatest("v", F.coalesce("f", F.lit(0))).cast("long").alias("v"))
+    dense = pixels.select("z", "y", "x", F.col("v").cast("long").alias("v"))
+    return tiles.as_pixels(fill_blocks(to_blocks(dense, ["z"], "u1", MISSING, sized=False), area), ["z"], "u1", MISSING)
+
+
+def fill_blocks(blocks: DataFrame, area: int | Column, width: int = 1 << 20) -> DataFrame:
+    """:func:`fill_holes` from blocks, one for each tile, to blocks.
+
+    Background is labelled inside tiles, which give a row for each component and one for each pixel at their borders; what those are
+    joined to is known by rounds over tables, and the labels to fill come back to their block as one list.
+    """
+    blocks = checkpointed(blocks)
+    side, names = tiles.SIDE, blocks.columns
+    place = [T.StructField(c, T.LongType()) for c in ("at_y", "at_x")]
+    rest = [T.StructField(c, T.LongType()) for c in ("local", "n", "y", "x", "h", "w")]
+
+    def background(batch: pa.RecordBatch, i: int) -> tuple:
+        y0, x0, ny, nx = (batch.column(c)[i].as_py() for c in ("at_y", "at_x", "n_y", "n_x"))
+        a = np.frombuffer(batch.column("data")[i].as_buffer(), "u1").reshape(ny, nx)
+        y, x, fy, fx = _first_pixels(a == 0, False)
+        return a, y0, x0, y, x, (fy + y0) * width + fx + x0
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, y0, x0, y, x, local = background(batch, i)
+                labels, n = np.unique(local, return_counts=True)
+                y, x = y + y0, x + x0
+                edge = ((y % side == 0) & (y > 0)) | (y % side == side - 1) | ((x % side == 0) & (x > 0)) | (x % side == side - 1)
+                there = np.argwhere(a != MISSING).max(axis=0) + 1
+                # Components have a number of pixels, border pixels a place, and a row with neither has the ends of the block.
+                total = len(labels) + int(edge.sum()) + 1
+                pad = lambda v, at: pa.array([None] * at + v.tolist() + [None] * (total - at - len(v)), pa.int64())  # noqa: B023, E731
+                columns = [
+                    pa.array([y0] * total), pa.array([x0] * total), pad(np.concatenate([labels, local[edge]]), 0), pad(n, 0), pad(y[edge], len(labels)), pad(x[edge], len(labels)),
+                    pad(np.array([there[0] + y0]), total - 1), pad(np.array([there[1] + x0]), total - 1),
+                ]
+                yield pa.RecordBatch.from_arrays([*repeated(batch.slice(i, 1), ["z"], total).values(), *columns], names=["z", "at_y", "at_x", *(f.name for f in rest)])
+
+    found = checkpointed(blocks.mapInArrow(summary, T.StructType([blocks.schema["z"], *place, *rest])))
+    roots = _across(found.where("y is not null").select("z", "y", "x", "local"), diagonal=False)
+    parts = found.where("n is not null").select("z", "at_y", "at_x", "local", "n")
+    parts = parts.withColumn("label", F.col("local")) if roots is None else parts.join(roots.withColumnRenamed("node", "local"), ["z", "local"], "left").withColumn("label", F.coalesce("root", "local"))
+    size = found.groupBy("z").agg(F.max("h").alias("h"), F.max("w").alias("w"))
+    few = parts.groupBy("z", "label").agg(F.sum("n").alias("count")).join(size, "z").where(F.col("count") < area).select("z", "label")
+    holes = parts.join(few, ["z", "label"], "left_semi").groupBy("z", "at_y", "at_x").agg(F.collect_list("local").alias("holes"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = []
+            for i in range(batch.num_rows):
+                own = batch.column("holes")[i].as_py()
+                if own:
+                    a, _, _, y, x, local = background(batch, i)
+                    a, hit = a.copy(), np.isin(local, own)
+                    a[y[hit], x[hit]] = 1
+                    data.append(a.tobytes())
+                else:
+                    data.append(batch.column("data")[i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary()) if c == "data" else batch.column(c) for c in names], names=names)
+
+    return blocks.join(holes, ["z", "at_y", "at_x"], "left").select(*names, "holes").mapInArrow(fill, blocks.schema)
 
 
 def top_components(stats: DataFrame, n: int, plane: int | None = None) -> DataFrame:

@@ -14,9 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .raster import median_filter
-from .tiles import SIDE, Tile, as_pixels, block_schema, block_table, deal, to_blocks, trimmed
-
-MISSING = 255
+from .tiles import MISSING, SIDE, Tile, as_pixels, block_schema, block_table, deal, to_blocks, trimmed
 
 
 def as_blocks(df: DataFrame) -> DataFrame:
@@ -90,10 +88,20 @@ OPERATIONS = {"opening": (True, False), "closing": (False, True), "dilation": (F
 
 def sequence(df: DataFrame, operations: list[tuple[str, int]]) -> DataFrame:
     """Operations ('opening', 'closing', 'dilation', 'erosion') with their sizes, in one exchange; any other name changes nothing."""
-    sizes = [(k, erode) for name, k in operations for erode in OPERATIONS.get(name, ())]
+    sizes = _sizes(operations)
     return steps(df, sizes) if sizes else df
 
 
+def block_sequence(blocks: DataFrame, operations: list[tuple[str, int]]) -> DataFrame:
+    """:func:`sequence` from blocks to blocks."""
+    sizes = _sizes(operations)
+    return block_steps(blocks, sizes) if sizes else blocks
+
+
+def _sizes(operations: list[tuple[str, int]]) -> list[tuple[int, bool]]:
+    return [(k, erode) for name, k in operations for erode in OPERATIONS.get(name, ())]
+
+
 def morphology(df: DataFrame, k: int, operation: str) -> DataFrame:
     """'opening', 'closing', 'dilation' or 'erosion'; any other name, 'erode' too, leaves the planes as they are."""
     return sequence(df, [(operation, k)])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .labels import checkpointed, connected_components, fill_holes
-from .morphology import dilate, morphology, sequence
+from .labels import checkpointed, connected_components, fill_blocks, shuffled
+from .morphology import as_blocks, block_sequence, from_blocks
 
 
 def refine_mask(planes: DataFrame, under: DataFrame, threshold: int, k: int, last: int = 70) -> tuple[DataFrame, DataFrame]:
@@ -18,12 +18,11 @@ def refine_mask(planes: DataFrame, under: DataFrame, threshold: int, k: int, las
     """
     small = k // 5
     m = planes.select("z", "y", "x", (F.col("v") > threshold // 2).cast("long").alias("v"))
-    m = sequence(m, [(operation, small) for operation in ("closing", "erosion", "dilation", "opening", "closing")] + [("dilation", 4 * small)])
-    m = checkpointed(m)
-    m = checkpointed(dilate(fill_holes(m, F.expr("(h * w) div 10")), small))
-    labels = checkpointed(m.join(connected_components(m.where("v = 1")), ["z", "y", "x"], "left").select("z", "y", "x", F.when(F.col("v") == 1, F.col("label")).otherwise(-1).alias("label")))
-    chosen = under.join(labels, ["z", "y", "x"]).groupBy("z").agg(F.mode("label", True).alias("chosen"))
+    blocks = block_sequence(as_blocks(m), [(operation, small) for operation in ("closing", "erosion", "dilation", "opening", "closing")] + [("dilation", 4 * small)])
+    m = checkpointed(from_blocks(block_sequence(fill_blocks(blocks, F.expr("(h * w) div 10")), [("dilation", small)])))
+    labels = checkpointed(m.join(shuffled(connected_components(m.where("v = 1"))), ["z", "y", "x"], "left").select("z", "y", "x", F.when(F.col("v") == 1, F.col("label")).otherwise(-1).alias("label")))
+    chosen = shuffled(under).join(labels, ["z", "y", "x"]).groupBy("z").agg(F.mode("label", True).alias("chosen"))
     picked = labels.join(chosen, "z", "left").select("z", "y", "x", F.coalesce(F.col("label") == F.col("chosen"), F.lit(False)).cast("long").alias("v"))
-    mask = fill_holes(checkpointed(morphology(picked, last * small, "closing")), F.expr("(h * w) div 100"))
+    mask = from_blocks(fill_blocks(block_sequence(as_blocks(picked), [("closing", last * small)]), F.expr("(h * w) div 100")))
     status = planes.select("z").distinct().join(chosen, "z", "left").select("z", F.when(F.col("chosen").isNull(), "empty").when(F.col("chosen") == -1, "background").otherwise("found").alias("status"))
-    return mask.join(status.where("status <> 'empty'"), "z", "left_semi").unionByName(mask.join(status.where("status = 'empty'"), "z", "left_semi").withColumn("v", F.lit(0).cast("long"))), status
+    return shuffled(mask).join(status, "z").select("z", "y", "x", F.when(F.col("status") == "empty", 0).otherwise(F.col("v")).cast("long").alias("v")), status

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Pixels of a tile's side; the height and width of planes whose end isn't known.
 SIDE, ENDLESS = 512, 1 << 40
+#: What isn't there in blocks of 0 and 1.
+MISSING = 255
 
 PLACE = ["height", "width", "at_y", "at_x", "n_y", "n_x"]
 _BLOCK = [*(T.StructField(c, T.LongType()) for c in PLACE), T.StructField("data", T.BinaryType())]

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from lamella.operators import labels as lab, matching as mat, morphology as mor, objects as obj, raster as ras, register as reg
 from lamella.plans import registry
@@ -298,3 +299,17 @@ def test_blocks_after_a_step_are_no_larger_than_their_planes(spark):
     blocks = mor.block_steps(mor.as_blocks(df), [(3, True), (3, False)])
     assert [(r.n_y, r.n_x, len(r.data)) for r in blocks.collect()] == [(5, 7, 35)] * 3
     assert rows(mor.from_blocks(blocks)) == rows(mor.morphology(df, 3, "opening"))
+
+
+def test_holes_over_tiles_are_filled_without_pixels_as_rows(spark, monkeypatch):
+    """Holes across tiles of 8 pixels; the planes aren't joined pixel by pixel."""
+    monkeypatch.setattr(lab.tiles, "SIDE", 8)
+    m = np.ones((24, 30), int)
+    m[5:11, 6:10] = m[20, 3] = m[14:17, 12:28] = m[:4, 29] = 0
+    df = pixels(spark, [(z, y, x, int(v)) for z in range(2) for (y, x), v in np.ndenumerate(m)])
+    got = lab.fill_holes(df, F.expr("(h * w) div 25"))
+    joins = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x]
+    assert joins and not any(", y#" in x for x in joins)
+    want = m.copy()
+    want[5:11, 6:10] = want[20, 3] = want[:4, 29] = 1
+    assert rows(got) == [(z, y, x, int(v)) for z in range(2) for (y, x), v in np.ndenumerate(want)]
