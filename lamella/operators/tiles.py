@@ -111,7 +111,9 @@ def deal(blocks: DataFrame, keys: list[str], dtype: str, reach: int, work: Calla
             a[ya - y : ya - y + ny, xa - x : xa - x + nx] = np.frombuffer(table.column("data")[i].as_buffer(), dtype).reshape(ny, nx)
         return work(Tile(a, y, x, top, left, bottom, right, height, width), table)
 
-    return blocks.mapInArrow(_strips(keys, dtype, side, reach), dealt).groupBy(*keys, "ty", "tx").applyInArrow(assemble, schema)
+    # Few bytes, much work: a number of partitions keeps tiles from being coalesced by their size.
+    parts = blocks.mapInArrow(_strips(keys, dtype, side, reach), dealt).repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "ty", "tx")
+    return parts.groupBy(*keys, "ty", "tx").applyInArrow(assemble, schema)
 
 
 def as_pixels(blocks: DataFrame, keys: list[str], dtype: str, missing: float | None = None, kind: str = "long") -> DataFrame:
