@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable, Iterator
 
-from .labels import checkpointed, shuffled
-from .matching import knn_ratio
-from .register import find_homographies
-from .scalespace import DETECTORS, Detector, scale_space
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from . import tiles
+from .labels import checkpointed, shuffled, written
+from .matching import clear_matches, knn_ratio
+from .register import find_homographies, homography
+from .scalespace import DETECTORS, Detector, octaves_of, scale_space, small_plane, whole_plane
+from .tiles import PLACE, fields, repeated, to_blocks
 
 
 #: RANSAC draws of a trial's slice: many trials have no good model to find.
@@ -86,10 +92,126 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
     slices as they were.  A trial with a slice that can't be aligned has 0 in both.  Trials with a column ``idx`` are tried on
     that tissue only.
     """
+    return scorer(stack, reference, height, width, cut)(trials)
+
+
+def scorer(stack: DataFrame, reference: DataFrame, height: int, width: int, cut: float) -> Callable[[DataFrame], DataFrame]:
+    """:func:`trial_scores` of one stack's trials, for more than one round of them.
+
+    A slice and its reference slice that lie, doubled, in a tile each are tried in one task, so that keypoints, matches and warped
+    pixels, many times the size of the planes, aren't stored.  Tissues with larger slices exchange strips, keypoints and pixels.
+    """
+    sizes = checkpointed(stack.groupBy("idx", "z").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w")))
+    least, side = sizes.agg(F.min(F.least("h", "w")), F.max(F.greatest("h", "w"))).first()
+    octaves, limit = octaves_of(least), tiles.SIDE // 2
+    if (side or 0) <= limit:
+        pairs = _pairs(stack, reference)
+        return lambda trials: _scores_of_pairs(pairs, trials, height, width, cut, octaves)
+    large = checkpointed(sizes.groupBy("idx").agg(F.max(F.greatest("h", "w")).alias("side")).where(F.col("side") > limit).select("idx"))
+    pairs = _pairs(stack.join(large, "idx", "left_anti"), reference)
+    rest, of_rest = stack.join(large, "idx", "left_semi"), reference.join(large, "idx", "left_semi")
+    return lambda trials: _scores_of_pairs(pairs, trials, height, width, cut, octaves).unionByName(_scores_by_exchange(rest, of_rest, trials, height, width, cut, octaves))
+
+
+def _pairs(stack: DataFrame, reference: DataFrame) -> DataFrame:
+    """(idx, z, own, ref): each other slice's block and its reference slice's, missing pixels being NaN."""
+    block = F.struct(*PLACE, "data")
+    blocks = written(to_blocks(stack, ["idx", "z"], "f8", np.nan))
+    ref = blocks.join(F.broadcast(reference.select("idx", "z")), ["idx", "z"], "left_semi").select("idx", block.alias("ref"))
+    others = blocks.join(F.broadcast(reference.select("idx", "z")), ["idx", "z"], "left_anti").select("idx", "z", block.alias("own"))
+    return written(others.join(shuffled(ref), "idx", "left"))
+
+
+def _warped(plane: np.ndarray, h: list[float], height: int, width: int) -> np.ndarray:
+    """:func:`warp_each` of one plane; NaN where it has no row."""
+    a, b, c, d, e, f, g, h, i = h
+    m = (e * i - f * h, c * h - b * i, b * f - c * e, f * g - d * i, a * i - c * g, c * d - a * f, d * h - e * g, b * g - a * h, a * e - b * d)
+    ty, tx = np.mgrid[:height, :width]
+    with np.errstate(all="ignore"):
+        w = m[6] * tx + m[7] * ty + m[8]
+        sx, sy = (np.round((m[k] * tx + m[k + 1] * ty + m[k + 2]) / w, 9) for k in (0, 3))
+    inside = (sx > -1) & (sy > -1) & (sx < plane.shape[1]) & (sy < plane.shape[0])
+    sx, sy = sx[inside], sy[inside]
+    wide = np.pad(plane, 1, constant_values=np.nan)
+    y, x = np.floor(sy).astype(np.int64), np.floor(sx).astype(np.int64)
+    v, some = np.zeros(len(y)), np.zeros(len(y), bool)
+    for p in (0, 1):
+        for q in (0, 1):
+            share, pixel = (1 - np.abs(sy - y - p)) * (1 - np.abs(sx - x - q)), wide[y + p + 1, x + q + 1]
+            hit = (share > 0) & ~np.isnan(pixel)
+            v += np.where(hit, share * np.where(hit, pixel, 0), 0)
+            some |= hit
+    out = np.full((height, width), np.nan)
+    out[inside] = np.where(some, np.copysign(np.floor(np.abs(v) * 1e6 + 0.5) / 1e6, v), np.nan)
+    return out
+
+
+def _dice(above: np.ndarray, still: np.ndarray) -> float | None:
+    high, wide = (min(n) for n in zip(above.shape, still.shape, strict=True))
+    sizes = int(above.sum()) + int(still.sum())
+    return 2.0 * int((above[:high, :wide] & still[:high, :wide]).sum()) / sizes if sizes else None
+
+
+def _aligned(plane: np.ndarray, ref: np.ndarray, trial: dict, octaves: int) -> list[float] | None:
+    """The homography that a trial finds from a plane to its reference slice."""
+    most = int(trial["n_features"])
+    detector = Detector(trial["sigma"], int(trial["n_octave_layers"]), trial["contrast_threshold"], trial["edge_threshold"], most)
+    points = []
+    for a in (ref, plane):
+        found = sorted(small_plane(np.nan_to_num(a), detector, octaves), key=lambda p: (-p[3], *p[:3], p[4]))
+        found = found[:most] if most else found
+        if not found:
+            return None
+        points.append((np.array([(p[1], p[0]) for p in found]), np.array([p[6] for p in found])))
+    (to, a), (at, b) = points
+    who, near = clear_matches(a, b, trial["ratio_threshold"])
+    return homography(at[near], to[who], rounds=TRIAL_DRAWS)[0]
+
+
+def _scores_of_pairs(pairs: DataFrame, trials: DataFrame, height: int, width: int, cut: float, octaves: int) -> DataFrame:
+    """:func:`trial_scores` of slices that lie, doubled, in one tile: a task tries a list of trials on a slice and its reference slice."""
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lots = max(1, parts // max(1, pairs.count()))  # few pairs have their trials dealt out
+    own = F.struct("number", "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold")
+    on = [c for c in ("idx",) if c in trials.columns]
+    lists = trials.groupBy(*on, F.pmod("number", F.lit(lots)).alias("lot")).agg(F.collect_list(own).alias("trials"))
+    # Few bytes, much work: a number of partitions keeps pairs from being coalesced by their size.
+    dealt = (pairs.join(shuffled(lists), on) if on else pairs.crossJoin(F.broadcast(lists))).repartition(parts, "idx", "z", "lot")
+    schema = T.StructType([*fields(pairs, ["idx", "z"]), T.StructField("number", T.LongType()), T.StructField("found", T.BooleanType()), *(T.StructField(c, T.DoubleType()) for c in ("value", "unaligned"))])
+
+    def plane(row: pa.RecordBatch, name: str) -> np.ndarray | None:
+        block = row.column(name)[0].as_py()
+        return block and whole_plane(*(block[c] for c in PLACE), np.frombuffer(block["data"], "f8"), np.nan)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                moving, ref, asked = plane(row, "own"), plane(row, "ref"), row.column("trials")[0].as_py()
+                still = np.zeros((0, 0), bool) if ref is None else ref > cut
+                before, rows = _dice(moving > cut, still), []
+                for trial in asked:
+                    h = None if ref is None else _aligned(moving, ref, trial, octaves)
+                    rows.append((trial["number"], h is not None, None if h is None else _dice(_warped(moving, h, height, width) > cut, still), before))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.float64(), pa.float64()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*repeated(row, ["idx", "z"], len(rows)).values(), *columns], names=[f.name for f in schema])
+
+    return _means(dealt.mapInArrow(run, schema))
+
+
+def _means(each: DataFrame) -> DataFrame:
+    """(number, idx, value, unaligned) from a row for each slice, trial and tissue."""
+    whole = F.count_if("found") == F.count("*")
+    means = (F.round(F.when(whole, F.avg(c)).otherwise(0.0), 6).alias(c) for c in ("value", "unaligned"))
+    return each.groupBy("number", "idx").agg(*means)
+
+
+def _scores_by_exchange(stack: DataFrame, reference: DataFrame, trials: DataFrame, height: int, width: int, cut: float, octaves: int) -> DataFrame:
+    """:func:`trial_scores` of planes of any size."""
     by = [c for c in ("number", "idx") if c in trials.columns]
     trials = checkpointed(trials.select(*by, "n_features", "contrast_threshold", "edge_threshold", "sigma", "n_octave_layers", "ratio_threshold"))
     detectors = trials.select(*by, "sigma", F.col("n_octave_layers").cast("int").alias("layers"), F.col("contrast_threshold").alias("contrast"), F.col("edge_threshold").alias("edge"), F.col("n_features").cast("int").alias("most"))
-    points = _strongest(scale_space(stack, ["idx", "z"], detectors), ["number", "idx", "z"])
+    points = _strongest(scale_space(stack, ["idx", "z"], detectors, octaves), ["number", "idx", "z"])
     key = F.struct("number", "ratio_threshold", "idx").alias("idx")
     strong = (F.col("n_features") == 0) | (F.col("kp") <= F.col("n_features"))
     asked = F.broadcast(trials)
@@ -115,6 +237,4 @@ def trial_scores(stack: DataFrame, reference: DataFrame, trials: DataFrame, heig
     aligned = dice(moved, ["number", "idx", "z"], maps.where("h is not null").select("number", "idx", "z"), "value")
     before = dice(above.join(others, ["idx", "z"], "left_semi"), ["idx", "z"], others, "unaligned")
     each = maps.join(aligned, ["number", "idx", "z"], "left").join(before, ["idx", "z"])
-    whole = F.count("h") == F.count("*")
-    means = (F.round(F.when(whole, F.avg(c)).otherwise(0.0), 6).alias(c) for c in ("value", "unaligned"))
-    return each.groupBy("number", "idx").agg(*means)
+    return _means(each.withColumn("found", F.col("h").isNotNull()))

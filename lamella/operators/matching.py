@@ -73,6 +73,48 @@ def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
     return two.select("z", F.col("id").alias("src"), F.col("near").alias("dst"), F.col("d1").alias("d"))
 
 
+def two_nearest(a: np.ndarray, b: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(place in ``b``, distance) of the nearest row for each row of ``a``, and of the second nearest if there is one; ties to the earlier row."""
+    # Only pairs that may be among the two nearest are worked out: a matrix product, with room for its rounding, tells them.
+    with np.errstate(all="ignore"):
+        qa, qb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        rough = qa[:, None] + qb[None, :] - 2 * (a @ b.T)
+        rough[np.isnan(rough)] = -np.inf
+        limit = np.partition(rough, min(1, len(b) - 1), axis=1)[:, min(1, len(b) - 1)]
+        # Distances are rounded to six decimals, so what lies within that of the second one may tie with it.
+        edge = (np.sqrt(np.maximum(limit, 0)) + 2e-6) ** 2 + 1e-9 * (qa + qb.max() + 1)
+        row, column = np.nonzero(~(rough > edge[:, None]))
+        exact = np.zeros(len(row))
+        for k in range(a.shape[1]):
+            step = a[row, k] - b[column, k]
+            exact += step * step
+    d = np.full((len(a), len(b)), np.inf)
+    d[row, column] = np.where(np.isnan(exact), np.inf, np.floor(np.sqrt(exact) * 1e6 + 0.5) / 1e6)
+    rows, out = np.arange(len(a)), []
+    for _ in range(min(2, len(b))):
+        at = d.argmin(axis=1)
+        out.append((at, d[rows, at]))
+        d[rows, at] = np.inf
+    return out
+
+
+def clear_matches(a: np.ndarray, b: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` of :func:`knn_ratio`'s pairs, compared block by block."""
+    who, to = [], []
+    for i in range(0, len(a), BLOCK):
+        near = [(at + j, d) for j in range(0, len(b), BLOCK) for at, d in two_nearest(a[i : i + BLOCK], b[j : j + BLOCK])]
+        if len(near) < 2:
+            continue
+        at, d = (np.stack(c) for c in zip(*near, strict=True))
+        order = np.lexsort((at, d), axis=0)[:2]
+        (first, second), at = np.take_along_axis(d, order, 0), np.take_along_axis(at, order, 0)[0]
+        clear = np.flatnonzero(first < ratio * second)
+        who.append(clear + i)
+        to.append(at[clear])
+    empty = [np.zeros(0, np.int64)]
+    return np.concatenate(who or empty), np.concatenate(to or empty)
+
+
 def _best_two(key: str):
     """The two nearest rows of one block for each query of another, ties to the lower ``near``."""
 
@@ -82,28 +124,9 @@ def _best_two(key: str):
             return pa.table({key: queries.column(key).slice(0, 0), "id": pa.array([], pa.int64()), "near": pa.array([], pa.int64()), "d": pa.array([], pa.float64())})
         train = train.take(pa.compute.sort_indices(train, [("near", "ascending")]))
         a, b = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t, c in ((queries, "a"), (train, "b")))
-        # Only pairs that may be among the two nearest are worked out: a matrix product, with room for its rounding, tells them.
-        with np.errstate(all="ignore"):
-            qa, qb = (a * a).sum(axis=1), (b * b).sum(axis=1)
-            rough = qa[:, None] + qb[None, :] - 2 * (a @ b.T)
-            rough[np.isnan(rough)] = -np.inf
-            limit = np.partition(rough, min(1, len(b) - 1), axis=1)[:, min(1, len(b) - 1)]
-            # Distances are rounded to six decimals, so what lies within that of the second one may tie with it.
-            edge = (np.sqrt(np.maximum(limit, 0)) + 2e-6) ** 2 + 1e-9 * (qa + qb.max() + 1)
-            row, column = np.nonzero(~(rough > edge[:, None]))
-            exact = np.zeros(len(row))
-            for k in range(a.shape[1]):
-                step = a[row, k] - b[column, k]
-                exact += step * step
-        d = np.full((len(a), len(b)), np.inf)
-        d[row, column] = np.where(np.isnan(exact), np.inf, np.floor(np.sqrt(exact) * 1e6 + 0.5) / 1e6)
-        rows, out = np.arange(len(a)), []
-        for _ in range(min(2, len(b))):
-            at = d.argmin(axis=1)
-            out.append((at, d[rows, at]))
-            d[rows, at] = np.inf
+        out = two_nearest(a, b)
         at, d = (np.concatenate(c) for c in zip(*out, strict=True))
-        who = pa.array(np.tile(rows, len(out)))
+        who = pa.array(np.tile(np.arange(len(a)), len(out)))
         return pa.table([queries.column(key).take(who), queries.column("id").take(who), train.column("near").take(pa.array(at)), pa.array(d)], names=names)
 
     return run

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -70,6 +70,14 @@ def _consensus(src: np.ndarray, dst: np.ndarray, limit: float, rounds: int, conf
     return best
 
 
+def homography(src: np.ndarray, dst: np.ndarray, limit: float = 5.0, rounds: int = 100_000, confidence: float = 0.995) -> tuple[list[float] | None, int]:
+    """(h, inliers) of matched points in any order; h is None with fewer than four inliers."""
+    order = np.lexsort((dst[:, 1], dst[:, 0], src[:, 1], src[:, 0]))
+    src, dst = src[order], dst[order]
+    best = _consensus(src, dst, limit, rounds, confidence) if len(src) >= 4 else np.zeros(len(src), bool)
+    return _fit(src[best], dst[best]).ravel().tolist() if best.sum() >= 4 else None, int(best.sum())
+
+
 def find_homographies(matches: DataFrame, keys: list[str], limit: float = 5.0, rounds: int = 100_000, confidence: float = 0.995) -> DataFrame:
     """(keys, h, inliers, status) from matches (keys, sx, sy, dx, dy): seeded RANSAC for each group of keypoint matches.
 
@@ -78,12 +86,9 @@ def find_homographies(matches: DataFrame, keys: list[str], limit: float = 5.0, r
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["sx", "sy", "dx", "dy"])
-        src, dst = pdf[["sx", "sy"]].to_numpy(float), pdf[["dx", "dy"]].to_numpy(float)
-        best = _consensus(src, dst, limit, rounds, confidence) if len(src) >= 4 else np.zeros(len(src), bool)
+        h, inliers = homography(pdf[["sx", "sy"]].to_numpy(float), pdf[["dx", "dy"]].to_numpy(float), limit, rounds, confidence)
         out = pdf[keys].iloc[:1].copy()
-        good = best.sum() >= 4
-        out["h"], out["inliers"], out["status"] = [_fit(src[best], dst[best]).ravel().tolist() if good else None], int(best.sum()), "aligned" if good else "failed"
+        out["h"], out["inliers"], out["status"] = [h], inliers, "failed" if h is None else "aligned"
         return out
 
     types = {f.name: f.dataType.simpleString() for f in matches.schema}
@@ -184,27 +189,36 @@ def study(tissues: DataFrame, score: Callable[[DataFrame], DataFrame], trials: i
 
     ``score`` gives (number, idx, value, ...) of trials (idx, number, parameters).  The first ``startup`` trials are one round of
     random draws, the others come in rounds of ``batch`` from :func:`propose`, which reads what that tissue's trials have scored.
-    The driver holds a row for each trial and tissue.
+    A task proposes for one tissue after the other; trials and scores stay tables.
     """
-    spark = tissues.sparkSession
-    known: dict[int, list[tuple[dict, float]]] = {r["idx"]: [] for r in tissues.select("idx").distinct().orderBy("idx").collect()}
     names, kind = list(SPACE), tissues.schema["idx"].dataType.simpleString()
-    rows, scores, first = [], [], 0
-    while first < trials and known:
+    columns = f"idx {kind}, number long, {PARAMETERS}"
+    told = checkpointed(tissues.select("idx").distinct().withColumn("told", F.expr(f"cast(array() as array<struct<number: bigint, value: double, {', '.join(f'{k}: {t}' for k, t in (p.split() for p in PARAMETERS.split(', ')))}>>)")))
+    if told.isEmpty():
+        return tissues.sparkSession.createDataFrame([], columns).select("idx", "number", F.lit(0.0).alias("value"), F.struct(*names).alias("params"))
+    asked, scores, first = [], [], 0
+
+    def proposed(first: int, n: int) -> Callable:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                rows = []
+                for idx, own in zip(frame["idx"], frame["told"], strict=True):
+                    known = [({k: r[k] for k in names}, r["value"]) for r in sorted(own, key=lambda r: r["number"])]
+                    rows += [(idx, first + i, *p.values()) for i, p in enumerate(propose(known, n, seed, startup=startup))]
+                yield pd.DataFrame(rows, columns=["idx", "number", *names])
+
+        return run
+
+    parts = int(tissues.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while first < trials:
         n = min(startup if not first else batch, trials - first)
-        new = [(idx, first + i, *own.values()) for idx, told in known.items() for i, own in enumerate(propose(told, n, seed, startup=startup))]
-        asked = spark.createDataFrame(new, f"idx {kind}, number long, {PARAMETERS}")
-        got = checkpointed(score(asked))
-        value = {(r["idx"], r["number"]): r["value"] or 0.0 for r in got.select("idx", "number", "value").collect()}
-        for idx, number, *own in new:
-            known[idx].append((dict(zip(names, own, strict=True)), value.get((idx, number), 0.0)))
-        rows += new
-        scores.append(got)
+        asked.append(checkpointed(told.repartition(parts, "idx").mapInPandas(proposed(first, n), columns)))
+        scores.append(checkpointed(score(asked[-1])))
+        got = asked[-1].join(scores[-1].select("idx", "number", "value"), ["idx", "number"], "left").na.fill(0.0, ["value"])
+        more = got.groupBy("idx").agg(F.collect_list(F.struct("number", "value", *names)).alias("more"))
+        told = checkpointed(told.join(more, "idx").select("idx", F.concat("told", "more").alias("told")))
         first += n
-    table = spark.createDataFrame(rows, f"idx {kind}, number long, {PARAMETERS}")
-    if not scores:
-        return table.select("idx", "number", F.lit(0.0).alias("value"), F.struct(*names).alias("params"))
-    return search(table, reduce(DataFrame.unionByName, scores))
+    return search(reduce(DataFrame.unionByName, asked), reduce(DataFrame.unionByName, scores))
 
 
 def search(trials: DataFrame, scores: DataFrame) -> DataFrame:

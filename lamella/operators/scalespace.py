@@ -9,6 +9,7 @@ gradients around, descriptors from 4 x 4 such histograms turned by it.  An octav
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache
 
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from . import tiles
 from .labels import checkpointed
 from .tiles import PLACE, Tile, block_schema, block_table, deal, fields, repeated, to_blocks
 
@@ -140,93 +142,152 @@ def _gradients(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 @cache
 def _offsets(r: int) -> tuple[np.ndarray, np.ndarray]:
     dy, dx = np.mgrid[-r : r + 1, -r : r + 1]
-    return dy, dx
+    return dy.ravel(), dx.ravel()
 
 
-def _around(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, r: int) -> tuple[np.ndarray, ...]:
-    """(dy, dx, size, angle) of the gradients within r pixels."""
-    high, wide = gradients[0].shape
-    ya, yz, xa, xz = max(y - r, 0), min(y + r + 1, high), max(x - r, 0), min(x + r + 1, wide)
-    part = (slice(ya - y + r, yz - y + r), slice(xa - x + r, xz - x + r))
-    return *(o[part].ravel() for o in _offsets(r)), *(g[ya:yz, xa:xz].ravel() for g in gradients)
+#: Pixels around keypoints that are held at once.
+PORTION = 1 << 17
 
 
-def _directions(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, scale: float) -> list[float]:
-    """Angles of the peaks of the smoothed histogram of gradient directions around a keypoint."""
+def _portions(radius: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Keypoints of one radius, as many as ``PORTION`` allows."""
+    for r in np.unique(radius).tolist():
+        same = np.flatnonzero(radius == r)
+        n = max(1, PORTION // (2 * r + 1) ** 2)
+        for first in range(0, len(same), n):
+            yield r, same[first : first + n]
+
+
+def _directions(size: np.ndarray, bins: np.ndarray, at: np.ndarray, wide: int, scale: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which keypoint, angle) of the peaks of the smoothed histograms of gradient directions within r pixels of keypoints at places of flat arrays."""
     spread = DIRECTION_BLUR * scale
-    dy, dx, size, angle = _around(gradients, y, x, round(3 * spread))
-    bins = np.round(angle * (DIRECTION_BINS / (2 * math.pi))).astype(np.int64) % DIRECTION_BINS
-    h = np.bincount(bins, size * np.exp((dy * dy + dx * dx) * (-0.5 / (spread * spread))), DIRECTION_BINS)
-    h = (np.roll(h, 2) + np.roll(h, -2) + 4 * (np.roll(h, 1) + np.roll(h, -1)) + 6 * h) / 16
-    before, after = np.roll(h, 1), np.roll(h, -1)
-    peaks = np.flatnonzero((h > before) & (h > after) & (h >= DIRECTION_SHARE * h.max()))
-    tops = peaks + (before[peaks] - after[peaks]) / (2 * (before[peaks] - 2 * h[peaks] + after[peaks]))
-    return (tops % DIRECTION_BINS * 2 * math.pi / DIRECTION_BINS).tolist()
-
-
-def _descriptor(gradients: tuple[np.ndarray, np.ndarray], y: int, x: int, scale: float, turn: float) -> np.ndarray | None:
-    """4 x 4 histograms of 8 directions around a keypoint in its own frame, shared out linearly, at unit length."""
-    cell = CELL_SIZE * scale
-    dy, dx, size, angle = _around(gradients, y, x, round(cell * math.sqrt(2) * (CELLS + 1) / 2))
-    c, s = math.cos(turn) / cell, math.sin(turn) / cell
-    across, down = c * dx + s * dy, c * dy - s * dx
-    near = np.flatnonzero((np.abs(across) < (CELLS + 1) / 2) & (np.abs(down) < (CELLS + 1) / 2))
-    across, down, angle = across[near], down[near], angle[near]
+    dy, dx = _offsets(r)
+    around = at[:, None] + (dy * wide + dx)
+    weight = size[around] * np.exp((dy * dy + dx * dx) * (-0.5 / (spread * spread))[:, None])
+    own = bins[around] + DIRECTION_BINS * np.arange(len(at))[:, None]
+    h = np.bincount(own.ravel(), weight.ravel(), DIRECTION_BINS * len(at)).reshape(-1, DIRECTION_BINS)
+    roll = lambda k: np.roll(h, k, 1)
+    h = (roll(2) + roll(-2) + 4 * (roll(1) + roll(-1)) + 6 * h) / 16
+    before, after = roll(1), roll(-1)
+    peak = np.nonzero((h > before) & (h > after) & (h >= DIRECTION_SHARE * h.max(axis=1, keepdims=True)))
+    tops = peak[1] + (before[peak] - after[peak]) / (2 * (before[peak] - 2 * h[peak] + after[peak]))
+    return peak[0], tops % DIRECTION_BINS * 2 * math.pi / DIRECTION_BINS
+
+
+def _descriptors(size: np.ndarray, direction: np.ndarray, at: np.ndarray, wide: int, scale: np.ndarray, turn: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which keypoints have one, descriptors): 4 x 4 histograms of 8 directions in a keypoint's own frame, shared out linearly, at unit length."""
+    n, cell = len(at), CELL_SIZE * scale
+    dy, dx = _offsets(r)
+    c, s = (np.array([f(t) for t in turn]) / cell for f in (math.cos, math.sin))
+    across, down = c[:, None] * dx + s[:, None] * dy, c[:, None] * dy - s[:, None] * dx
+    who, place = np.nonzero((np.abs(across) < (CELLS + 1) / 2) & (np.abs(down) < (CELLS + 1) / 2))
+    across, down = across[who, place], down[who, place]
+    near = at[who] + (dy * wide + dx)[place]
     weight = size[near] * np.exp((across * across + down * down) * (-2.0 / (CELLS * CELLS)))
-    row, column, bin_ = down + (CELLS / 2 + 0.5), across + (CELLS / 2 + 0.5), ((angle - turn) * (CELL_BINS / (2 * math.pi))) % CELL_BINS
+    row, column, bin_ = down + (CELLS / 2 + 0.5), across + (CELLS / 2 + 0.5), ((direction[near] - turn[who]) * (CELL_BINS / (2 * math.pi))) % CELL_BINS
     i, j, k = (v.astype(np.int64) for v in (row, column, bin_))
-    p, q, r = row - i, column - j, bin_ - k
+    p, q, t = row - i, column - j, bin_ - k
     k, after = k % CELL_BINS, (k + 1) % CELL_BINS
-    first = (i * (CELLS + 2) + j) * CELL_BINS
+    whole = (CELLS + 3) * (CELLS + 2) * CELL_BINS
+    first = who * whole + (i * (CELLS + 2) + j) * CELL_BINS
     low, high = weight * (1 - p), weight * p
     corners = [(first, low * (1 - q)), (first + CELL_BINS, low * q), (first + (CELLS + 2) * CELL_BINS, high * (1 - q)), (first + (CELLS + 3) * CELL_BINS, high * q)]
-    at = np.concatenate([v for place, _ in corners for v in (place + k, place + after)])
-    share = np.concatenate([v for _, w in corners for v in (w * (1 - r), w * r)])
-    h = np.bincount(at, share, (CELLS + 3) * (CELLS + 2) * CELL_BINS)[: (CELLS + 2) ** 2 * CELL_BINS]
-    h = h.reshape(CELLS + 2, CELLS + 2, CELL_BINS)[1:-1, 1:-1].ravel()
-    norm = np.linalg.norm(h)
-    if not norm:
-        return None
-    h = np.minimum(h, MOST * norm)
-    return h / np.linalg.norm(h)
-
-
-def octave(tile: Tile, detector: Detector) -> tuple[list[tuple], np.ndarray]:
-    """(keypoints of the tile's own pixels, the image the next octave begins with) of one octave.
-
-    A keypoint is (layer, y, x, scale, gain, angle, descriptor), places and scales being pixels of this octave's plane.
-    """
+    to = np.concatenate([v for place, _ in corners for v in (place + k, place + after)])
+    share = np.concatenate([v for _, w in corners for v in (w * (1 - t), w * t)])
+    h = np.bincount(to, share, n * whole).reshape(n, whole)[:, : (CELLS + 2) ** 2 * CELL_BINS]
+    h = h.reshape(n, CELLS + 2, CELLS + 2, CELL_BINS)[:, 1:-1, 1:-1].reshape(n, -1)
+    norm = np.array([np.linalg.norm(v) for v in h])
+    some = np.flatnonzero(norm)
+    h = np.minimum(h[some], MOST * norm[some, None])
+    return some, h / np.array([np.linalg.norm(v) for v in h]).reshape(-1, 1)
+
+
+def _extrema(tile: Tile, detector: Detector) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(an octave's images, places of the keypoints among the tile's own pixels as layer, y and x, their contrast)."""
     images = [tile.a if not blur else gaussian(tile.a, blur) for blur in detector.blurs]
     d = np.stack([b - a for a, b in zip(images[:-1], images[1:], strict=True)])
     rows, columns = tile.own
     # Own pixels that aren't too near to the plane's edge, and all 26 neighbours.
     ya, yz = max(rows.start, EDGE - tile.y), min(rows.stop, tile.height - EDGE - tile.y)
     xa, xz = max(columns.start, EDGE - tile.x), min(columns.stop, tile.width - EDGE - tile.x)
+    if ya >= yz or xa >= xz:
+        return images, np.zeros((0, 3)), np.zeros(0)
+    middle = d[1:-1, ya:yz, xa:xz]
+    top, low = middle > 0.5 * detector.contrast / detector.layers * 255, middle < -0.5 * detector.contrast / detector.layers * 255
+    for i in (-1, 0, 1):
+        for j in (-1, 0, 1):
+            for k in (-1, 0, 1):
+                other = d[1 + i : d.shape[0] - 1 + i, ya + j : yz + j, xa + k : xz + k]
+                top &= middle >= other
+                low &= middle <= other
+    at = np.argwhere(top | low) + [1, ya, xa]
+    alive, place, gain = _refined(d, at, detector, tile)
+    if detector.most and alive.sum() > detector.most:
+        alive &= gain >= np.sort(gain[alive])[-detector.most]
+    return images, place[alive], gain[alive]
+
+
+def _described(images: list[np.ndarray], place: np.ndarray, gain: np.ndarray, detector: Detector, tile: Tile) -> list[tuple]:
+    """Keypoints of an octave with their directions and descriptors, those of one image and one radius together."""
     found = []
-    if ya < yz and xa < xz:
-        middle = d[1:-1, ya:yz, xa:xz]
-        top, low = middle > 0.5 * detector.contrast / detector.layers * 255, middle < -0.5 * detector.contrast / detector.layers * 255
-        for i in (-1, 0, 1):
-            for j in (-1, 0, 1):
-                for k in (-1, 0, 1):
-                    other = d[1 + i : d.shape[0] - 1 + i, ya + j : yz + j, xa + k : xz + k]
-                    top &= middle >= other
-                    low &= middle <= other
-        at = np.argwhere(top | low) + [1, ya, xa]
-        alive, place, gain = _refined(d, at, detector, tile)
-        if detector.most and alive.sum() > detector.most:
-            alive &= gain >= np.sort(gain[alive])[-detector.most]
-        gradients: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for (s, y, x), g in zip(place[alive], gain[alive], strict=True):
-            scale = max(detector.sigma, 0.1) * 2 ** (s / detector.layers)
-            layer, iy, ix = min(max(round(s), 0), len(images) - 1), round(y), round(x)
-            if layer not in gradients:
-                gradients[layer] = _gradients(images[layer])
-            for angle in _directions(gradients[layer], iy, ix, scale):
-                own = _descriptor(gradients[layer], iy, ix, scale, angle)
-                if own is not None:
-                    found.append((s, y + tile.y, x + tile.x, scale, g, angle, own))
-    return found, images[detector.layers]
+    scale = np.array([max(detector.sigma, 0.1) * 2 ** (s / detector.layers) for s in place[:, 0]])
+    layer = np.clip(np.round(place[:, 0]), 0, len(images) - 1).astype(np.int64)
+    y, x = np.round(place[:, 1:]).astype(np.int64).T
+    near, far = (np.round(v).astype(np.int64) for v in (3 * (DIRECTION_BLUR * scale), CELL_SIZE * scale * math.sqrt(2) * (CELLS + 1) / 2))
+    for own in np.unique(layer).tolist():
+        points = np.flatnonzero(layer == own)
+        edge = int(max(near[points].max(), far[points].max()))  # nothing beyond the array counts
+        size, direction = (np.pad(v, edge) for v in _gradients(images[own]))
+        wide = size.shape[1]
+        bins = (np.round(direction * (DIRECTION_BINS / (2 * math.pi))).astype(np.int64) % DIRECTION_BINS).ravel()
+        size, direction, at = size.ravel(), direction.ravel(), (y + edge) * wide + x + edge
+        turned = []
+        for r, part in _portions(near[points]):
+            part = points[part]
+            who, angle = _directions(size, bins, at[part], wide, scale[part], r)
+            turned.append((part[who], angle))
+        if not turned:
+            continue
+        who, angle = (np.concatenate(c) for c in zip(*turned, strict=True))
+        for r, part in _portions(far[who]):
+            some, h = _descriptors(size, direction, at[who[part]], wide, scale[who[part]], angle[part], r)
+            for n, v in zip(part[some], h, strict=True):
+                k = who[n]
+                found.append((place[k, 0], place[k, 1] + tile.y, place[k, 2] + tile.x, scale[k], gain[k], angle[n], v))
+    return found
+
+
+def octave(tile: Tile, detector: Detector) -> tuple[list[tuple], np.ndarray]:
+    """(keypoints of the tile's own pixels, the image the next octave begins with) of one octave.
+
+    A keypoint is (layer, y, x, scale, gain, angle, descriptor), places and scales being pixels of this octave's plane.
+    """
+    images, place, gain = _extrema(tile, detector)
+    return _described(images, place, gain, detector, tile), images[detector.layers]
+
+
+def small_plane(a: np.ndarray, detector: Detector, octaves: int) -> list[tuple]:
+    """Keypoints (y, x, size, gain, angle, octave, descriptor) of a plane that lies, doubled, in one tile: all octaves without an exchange.
+
+    Of the ``most`` strongest of the plane only, as long as these have enough directions.
+    """
+    whole = lambda v: Tile(v.astype("f8"), 0, 0, 0, 0, *v.shape, *v.shape)
+    a, parts = doubled(a.astype("f4").astype("f8")).astype("f4"), []
+    a = gaussian(a.astype("f8"), detector.first_blur).astype("f4")
+    for _ in range(octaves):
+        tile = whole(a)
+        images, place, gain = _extrema(tile, detector)
+        parts.append((tile, images, place, gain))
+        a = _halved(tile, images[detector.layers])[0].astype("f4")
+    gains = np.sort(np.concatenate([gain for *_, gain in parts] or [np.zeros(0)]))
+    found, above, n = [], np.inf, detector.most or len(gains)
+    while above > -np.inf and len(found) < (detector.most or 1):
+        least = gains[-n] if n < len(gains) else -np.inf
+        for k, (tile, images, place, gain) in enumerate(parts):
+            part, scale = (gain >= least) & (gain < above), 2.0 ** (k - 1)
+            found += [(y * scale, x * scale, s * scale, g, angle, k, v) for _, y, x, s, g, angle, v in _described(images, place[part], gain[part], detector, tile)]
+        above, n = least, 2 * n
+    return found
 
 
 _POINT = [*(T.StructField(c, T.DoubleType()) for c in ("y", "x", "size", "gain", "angle")), T.StructField("octave", T.LongType()), T.StructField("descriptor", T.ArrayType(T.DoubleType()))]
@@ -239,6 +300,18 @@ def _halved(tile: Tile, a: np.ndarray) -> tuple[np.ndarray, int, int]:
     return own, (tile.top + 1) // 2, (tile.left + 1) // 2
 
 
+def octaves_of(side: int | None) -> int:
+    """Octaves of planes whose smallest side has so many pixels."""
+    return max(0, math.floor(math.log2(max(2 * (side or 0), 1))) - 2)
+
+
+def whole_plane(height: int, width: int, y: int, x: int, ny: int, nx: int, data: np.ndarray, missing: float) -> np.ndarray:
+    """A plane from its only block."""
+    a = np.full((height, width), missing, data.dtype)
+    a[y : y + ny, x : x + nx] = data.reshape(ny, nx)
+    return a
+
+
 def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octaves: int | None = None) -> DataFrame:
     """(keys, number, y, x, size, gain, angle, octave, descriptor) of planes (keys, y, x, v) with values of 0 to 255.
 
@@ -254,8 +327,30 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
     known = detectors.select(*on, "number", F.struct(*PARTS).alias("detector"))
     of = lambda table: Detector(**table.column("detector")[0].as_py())
     first = checkpointed(to_blocks(planes, keys, "f4"))
-    size = first.agg(F.min(F.least("height", "width"))).first()[0] or 0
-    octaves = max(0, math.floor(math.log2(max(2 * size, 1))) - 2) if octaves is None else octaves
+    size = first.agg(F.min(F.least("height", "width")), F.max(F.greatest("height", "width"))).first()
+    octaves = octaves_of(size[0]) if octaves is None else octaves
+    with_own = lambda df: df.join(F.broadcast(known), on) if on else df.crossJoin(F.broadcast(known))
+    # A plane that lies in one tile, doubled, is searched whole; only larger ones exchange strips, octave by octave.
+    small = F.greatest("height", "width") <= tiles.SIDE // 2
+    names = [f.name for f in _POINT]
+
+    def points_of(table: pa.Table, columns: list[str], points: list[tuple]) -> pa.Table:
+        values = list(zip(*points, strict=True)) or [[]] * 7
+        kinds = [pa.float64()] * 5 + [pa.int64(), pa.list_(pa.float64())]
+        return pa.table({**repeated(table, columns, len(points)), **{n: pa.array(list(c), t) for n, c, t in zip(names, values, kinds, strict=True)}})
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                a = whole_plane(*(row.column(c)[0].as_py() for c in PLACE), np.frombuffer(row.column("data")[0].as_buffer(), "f4"), 0)
+                yield from points_of(row, [*keys, "number"], small_plane(a, of(row), octaves)).to_batches()
+
+    dealt = with_own(first.where(small)).repartition(int(planes.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "number")
+    out = dealt.mapInArrow(search, T.StructType([*fields(first, keys), known.schema["number"], *_POINT]))
+    if (size[1] or 0) <= tiles.SIDE // 2:
+        return out
+    first = first.where(~small)
 
     def begin(tile: Tile, table: pa.Table) -> pa.Table:
         a = doubled(tile.a.astype("f8"))
@@ -268,9 +363,8 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
         return block_table(table, own, a.astype("f4"), tile.top, tile.left, tile.height, tile.width)
 
     start = deal(first, keys, "f4", 1, begin, block_schema(first, keys))
-    start = start.join(F.broadcast(known), on) if on else start.crossJoin(F.broadcast(known))
+    start = with_own(start)
     blocks = deal(start, own, "f4", max((_radius(d.first_blur) for d in few), default=0), blurred, block_schema(start, own))
-    out = None
     for k in range(octaves):
         scale = 2.0 ** (k - 1)
 
@@ -279,17 +373,12 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
             points, last = octave(replace(tile, a=tile.a.astype("f8")), detector)
             half, y, x = _halved(tile, last)
             block = block_table(table, own, half.astype("f4"), y, x, (tile.height + 1) // 2, (tile.width + 1) // 2).slice(0, int(half.size > 0))
-            columns = list(zip(*((y * scale, x * scale, s * scale, g, angle, k, v) for _, y, x, s, g, angle, v in points), strict=True)) or [[]] * 7
-            kinds = [pa.float64()] * 5 + [pa.int64(), pa.list_(pa.float64())]
-            names = [f.name for f in _POINT]
-            rows = pa.table({**repeated(table, own, len(points)), **{n: pa.array(list(c), t) for n, c, t in zip(names, columns, kinds, strict=True)}})
+            rows = points_of(table, own, [(y * scale, x * scale, s * scale, g, angle, k, v) for _, y, x, s, g, angle, v in points])
             return pa.concat_tables([rows, block], promote_options="default").select([*own, *PLACE, "data", *names])
 
         schema = T.StructType([*fields(blocks, own), *block_schema(blocks, []).fields, *_POINT])
         made = checkpointed(deal(blocks, own, "f4", reach, work, schema))
         points = made.where("octave is not null").select(*keys, "number", *(f.name for f in _POINT))
-        out = points if out is None else out.unionByName(points)
+        out = out.unionByName(points)
         blocks = made.where("octave is null").select(*own, *PLACE, "data")
-    if out is None:
-        return planes.sparkSession.createDataFrame([], T.StructType([*fields(first, keys), known.schema["number"], *_POINT]))
     return out

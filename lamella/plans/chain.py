@@ -153,7 +153,7 @@ def run(pixels: DataFrame, sx: int, sy: int, height: int, width: int, settings:
     high, wide = (size[0] or 0) + 1, (size[1] or 0) + 1
     reference = best.select("idx", "z")
     if settings.optimize:
-        trials = reg.study(reference, lambda t: align.trial_scores(planes, reference, t, high, wide, 0))
+        trials = reg.study(reference, align.scorer(planes, reference, high, wide, 0))
         return Result(objects, boxes, masks, flat, None, None, trials=stage("trials", trials), labels=labels, stages=stage.done)
     _, status = align.align_stack(planes, reference, high, wide, settings.ratio, settings.keypoints)
     lost = status.where("status = 'failed'").select("idx").distinct()

@@ -287,7 +287,7 @@ def param_search(spark, folder):
     """25 trials for each tissue of ``align_stack``'s, proposed by what its earlier ones have scored: aligned with the trial's parameters, scored by Dice."""
     stack = _moved_stack(spark, folder)
     reference = stack.where("z = 0").select("idx", "z").distinct()
-    return reg.study(reference, lambda trials: align.trial_scores(stack, reference, trials, 64, 64, CUT))
+    return reg.study(reference, align.scorer(stack, reference, 64, 64, CUT))
 
 
 query("file_order", "f AS (SELECT s_name AS name FROM supplier) SELECT name, CAST(row_number() OVER (ORDER BY lower(substr(name, 1, 3)), name) - 1 AS BIGINT) AS slice_id FROM f")(lambda spark, folder: order_files(table(spark, folder, "supplier").select(F.col("s_name").alias("name"))))
@@ -338,7 +338,7 @@ def _moved_stack(spark, folder):
     """Each plane, stretched to 0 to 255, is a tissue's reference slice, 0; slice 1 is a moved copy."""
     still = ras.minmax_normalize(embedding_raster(spark, folder)).withColumnRenamed("z", "idx").withColumn("z", F.lit(0).cast("long"))
     moved = still.select("idx", F.lit(1).cast("long").alias("z"), ((F.col("y") + 3) % 64).alias("y"), ((F.col("x") + 5) % 64).alias("x"), "v")
-    return lab.checkpointed(still.select("idx", "z", "y", "x", "v").unionByName(moved))
+    return lab.written(still.select("idx", "z", "y", "x", "v").unionByName(moved))
 
 
 @query("align_stack")

@@ -2,6 +2,7 @@
 
 import struct
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -168,6 +169,33 @@ def test_trials_align_with_their_own_parameters(spark):
     assert [(r.value, r.unaligned) for r in out[1:]] == [(0, 0)] * 7
 
 
+def test_trials_of_small_planes_store_no_keypoints(spark, monkeypatch):
+    """Slices that lie in a tile are tried in a task each, with the scores that the exchange between tiles gives."""
+    from lamella.operators import tiles
+
+    folder = Path(lab.checkpoint_folder(spark).removeprefix("file:"))
+    kept = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    rng = np.random.default_rng(3)
+    cells = []
+    for idx, (high, wide) in enumerate([(44, 44), (64, 48), (40, 40)]):
+        base = np.kron(rng.integers(0, 256, (high // 4, wide // 4)), np.ones((4, 4), int))
+        for z, a in ((4, base), (2, np.roll(base, (3, 5), (0, 1))), (7, np.roll(base, (-2, 1), (0, 1)))):
+            cells += [(idx, z, y, x, int(a[y, x])) for y, x in np.ndindex(high, wide) if idx or y + x != 9]  # a few pixels are missing
+    stack = spark.createDataFrame(cells, "idx long, z long, y long, x long, v long")
+    reference = spark.createDataFrame([(0, 4), (1, 4)], "idx long, z long")  # the third tissue has none
+    trials = spark.createDataFrame(
+        [(0, 90, 0.01, 5.0, 1.6, 3, 0.8), (1, 0, 0.01, 9.0, 1.2, 4, 0.85), (2, 7, 0.9, 5.0, 1.6, 4, 0.75)],
+        "number long, n_features long, contrast_threshold double, edge_threshold double, sigma double, n_octave_layers long, ratio_threshold double",
+    )
+    before = kept()
+    one = sorted(align.trial_scores(stack, reference, trials, 64, 48, 128).collect())
+    assert kept() - before < 500_000  # 9 planes of about 2,000 pixels
+    monkeypatch.setattr(tiles, "SIDE", 88)  # planes of up to 44 pixels stay in one tile
+    assert one == sorted(align.trial_scores(stack, reference, trials, 64, 48, 128).collect())
+    assert [(r.number, r.idx) for r in one] == [(n, i) for n in range(3) for i in range(3)]
+    assert one[3].value > 0.8 > one[3].unaligned > 0 and one[8].value == 0
+
+
 def test_search_of_the_small_table(spark):
     from lamella.plans import registry
 
