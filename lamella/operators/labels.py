@@ -79,7 +79,7 @@ def _united(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
             root = r
 
 
-def _first_pixels(on: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def first_pixels(on: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(y, x) of the set pixels and of the first pixel, in reading order, of their component inside the array."""
     wide = np.pad(on, ((0, 0), (1, 1))).astype(np.int8)
     step = np.diff(wide, axis=1)
@@ -121,7 +121,7 @@ def connected_components(mask: DataFrame, diagonal: bool = True, width: int = 1
             for i in range(batch.num_rows):
                 y0, x0, ny, nx = (batch.column(c)[i].as_py() for c in ("at_y", "at_x", "n_y", "n_x"))
                 on = np.frombuffer(batch.column("data")[i].as_buffer(), "u1").reshape(ny, nx) == 1
-                y, x, fy, fx = _first_pixels(on, diagonal)
+                y, x, fy, fx = first_pixels(on, diagonal)
                 y, x, first = y + y0, x + x0, (fy + y0) * width + fx + x0
                 edge = ((y % side == 0) & (y > 0)) | (y % side == side - 1) | ((x % side == 0) & (x > 0)) | (x % side == side - 1)
                 yield pa.RecordBatch.from_arrays([*repeated(batch.slice(i, 1), ["z"], len(y)).values(), *map(pa.array, (y, x, first, edge))], names=["z", "y", "x", "local", "at_edge"])
@@ -163,7 +163,7 @@ def fill_blocks(blocks: DataFrame, area: int | Column, width: int = 1 << 20) ->
     def background(batch: pa.RecordBatch, i: int) -> tuple:
         y0, x0, ny, nx = (batch.column(c)[i].as_py() for c in ("at_y", "at_x", "n_y", "n_x"))
         a = np.frombuffer(batch.column("data")[i].as_buffer(), "u1").reshape(ny, nx)
-        y, x, fy, fx = _first_pixels(a == 0, False)
+        y, x, fy, fx = first_pixels(a == 0, False)
         return a, y0, x0, y, x, (fy + y0) * width + fx + x0
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,30 +9,75 @@ outline's length are sums over squares, which Spark aggregates before it shuffle
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .labels import checkpointed, connected_components
+from . import tiles
+from .labels import checkpointed, connected_components, first_pixels, shuffled
 from .matching import nearest, zscore
+from .tiles import fields
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Few bytes, much work: a number of partitions keeps objects from being coalesced by their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "z", "label")
 
 
 def filled(labels: DataFrame) -> DataFrame:
     """(z, label, y, x) of each object with its holes, that is what the outside of its box can't reach by 4 neighbours.
 
-    Takes (z, y, x, label); a pixel can lie in several objects if one is nested in another's hole.
+    Takes (z, y, x, label); a pixel can lie in several objects if one is nested in another's hole.  Objects whose box is no
+    larger than a tile are filled one after the other in a task, the others by components over tables.
     """
     own = labels.select("z", "label", "y", "x")
-    box = own.groupBy("z", "label").agg(F.min("y").alias("a"), F.max("y").alias("b"), F.min("x").alias("c"), F.max("x").alias("d"))
-    line = box.withColumn("y", F.explode(F.sequence(F.col("a") - 1, F.col("b") + 1)))
+    box = own.groupBy("z", "label").agg(F.min("y").alias("a"), F.max("y").alias("b"), F.min("x").alias("c"), F.max("x").alias("d"), F.count("*").alias("n"))
+    # A hole has four pixels around it at least.
+    box = checkpointed(box.where("n >= 4 and b - a >= 2 and d - c >= 2").drop("n"))
+    fits = F.greatest(F.col("b") - F.col("a"), F.col("d") - F.col("c")) < tiles.SIDE
+    few = _dealt(own).join(shuffled(box.where(fits)), ["z", "label"]).groupBy("z", "label").agg(F.collect_list(F.struct("y", "x")).alias("at"))
+    solid = own.unionByName(few.mapInArrow(_holes, own.schema))
+    large = box.where(~fits)
+    if large.isEmpty():
+        return solid
+    line = large.withColumn("y", F.explode(F.sequence(F.col("a") - 1, F.col("b") + 1)))
     cells = line.withColumn("x", F.explode(F.sequence(F.col("c") - 1, F.col("d") + 1)))
     free = cells.join(own, ["z", "label", "y", "x"], "left_anti")
     # Shifted by the box, so that coordinates begin at 0 and the outside's first pixel, the corner, gives it the label 0.
     keyed = free.select(F.struct("z", "label", "a", "c").alias("z"), (F.col("y") - F.col("a") + 1).alias("y"), (F.col("x") - F.col("c") + 1).alias("x"))
     holes = connected_components(keyed, diagonal=False).where("label <> 0")
     holes = holes.select("z.z", "z.label", (F.col("y") + F.col("z.a") - 1).alias("y"), (F.col("x") + F.col("z.c") - 1).alias("x"))
-    return own.unionByName(holes)
+    return solid.unionByName(holes)
+
+
+def _lists(batch: pa.RecordBatch, column: str, names: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
+    """A list of structs' fields as arrays, row by row."""
+    lists = batch.column(column)
+    ends, values = lists.offsets.to_numpy(), lists.values
+    parts = [values.field(n).to_numpy(zero_copy_only=False) for n in names]
+    for i in range(len(lists)):
+        yield tuple(v[ends[i] : ends[i + 1]] for v in parts)
+
+
+def _holes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pixels of objects' holes, from rows of an object's pixels."""
+    for batch in batches:
+        who, ys, xs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, (y, x) in enumerate(_lists(batch, "at", ["y", "x"])):
+            y0, x0 = int(y.min()) - 1, int(x.min()) - 1
+            free = np.ones((int(y.max()) - y0 + 2, int(x.max()) - x0 + 2), bool)
+            free[y - y0, x - x0] = False
+            y, x, first_y, first_x = first_pixels(free, False)
+            hole = (first_y > 0) | (first_x > 0)  # the outside's first pixel is the corner
+            if hole.any():
+                who.append(np.full(int(hole.sum()), i))
+                ys.append(y[hole] + y0)
+                xs.append(x[hole] + x0)
+        who = pa.array(np.concatenate(who))
+        yield pa.RecordBatch.from_arrays([batch.column("z").take(who), batch.column("label").take(who), pa.array(np.concatenate(ys)), pa.array(np.concatenate(xs))], names=["z", "label", "y", "x"])
 
 
 def _squares(pixels: DataFrame) -> DataFrame:
@@ -77,9 +122,9 @@ def _nodes() -> Column:
     return out
 
 
-def _hull_area(pdf: pd.DataFrame) -> pd.DataFrame:
+def _hull_area(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> float:
     """Area of the convex hull of an object's line ends, two points for each line."""
-    p = sorted({(float(x), float(y)) for y, a, b in zip(pdf["y"], pdf["a"], pdf["b"], strict=True) for x in (a, b)})
+    p = sorted({(float(x), float(y)) for y, *ends in zip(y.tolist(), a.tolist(), b.tolist(), strict=True) for x in ends})
 
     def chain(points):
         out: list = []
@@ -91,7 +136,13 @@ def _hull_area(pdf: pd.DataFrame) -> pd.DataFrame:
 
     h = np.array((chain(p) + chain(p[::-1])) or p)
     x, y = h[:, 0], h[:, 1]
-    return pdf[["z", "label"]].iloc[:1].assign(hull=abs(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2)
+    return float(abs(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2)
+
+
+def _hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        areas = [_hull_area(*line) for line in _lists(batch, "lines", ["y", "a", "b"])]
+        yield pa.RecordBatch.from_arrays([batch.column("z"), batch.column("label"), pa.array(areas, pa.float64())], names=["z", "label", "hull"])
 
 
 #: Powers (p, q) of x and y whose sums over the outline an ellipse is fitted to.
@@ -165,7 +216,7 @@ def fit_ellipses(solid: DataFrame) -> DataFrame:
                 rows.append((r["z"], r["label"], *((own[0] + r["x0"], own[1] + r["y0"], *own[2:]) if own else (None,) * 5)))
             yield pd.DataFrame(rows, columns=names)
 
-    return sums.mapInPandas(fit, f"z {kinds['z']}, label {kinds['label']}, " + ", ".join(f"{n} double" for n in names[2:]))
+    return _dealt(sums).mapInPandas(fit, f"z {kinds['z']}, label {kinds['label']}, " + ", ".join(f"{n} double" for n in names[2:]))
 
 
 def shape_features(labels: DataFrame) -> DataFrame:
@@ -186,8 +237,8 @@ def shape_features(labels: DataFrame) -> DataFrame:
     powers = [(2, 0), (1, 1), (0, 2), (3, 0), (2, 1), (1, 2), (0, 3)]
     central = points.groupBy("z", "label").agg(*(F.sum(w * dx**p * dy**q).alias(f"m{p}{q}") for p, q in powers))
     lines = solid.groupBy("z", "label", "y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    kinds = {f.name: f.dataType.simpleString() for f in labels.schema}
-    hulls = lines.groupBy("z", "label").applyInPandas(_hull_area, f"z {kinds['z']}, label {kinds['label']}, hull double")
+    listed = _dealt(lines).groupBy("z", "label").agg(F.collect_list(F.struct("y", "a", "b")).alias("lines"))
+    hulls = listed.mapInArrow(_hulls, T.StructType([*fields(lines, ["z", "label"]), T.StructField("hull", T.DoubleType())]))
     fitted = fit_ellipses(solid).select("z", "label", (1 - (F.col("minor") / F.col("major")) ** 2).alias("flat"))
     out = first.join(central, ["z", "label"], "left").join(hulls, ["z", "label"]).join(fitted, ["z", "label"], "left")
     n20, n11, n02, n30, n21, n12, n03 = (F.col(f"m{p}{q}") / F.col("area") ** (1 + (p + q) / 2) for p, q in powers)

@@ -44,6 +44,40 @@ def test_outline_of_a_rectangle_with_a_hole(spark):
     assert f[2].solidity is None and f[2].hu1 is None
 
 
+def plain_fill(cells):
+    """An object's pixels and those that a walk from its box's corner doesn't reach."""
+    ys, xs = zip(*cells, strict=True)
+    box = {(y, x) for y in range(min(ys) - 1, max(ys) + 2) for x in range(min(xs) - 1, max(xs) + 2)}
+    todo, seen = [(min(ys) - 1, min(xs) - 1)], set()
+    while todo:
+        y, x = at = todo.pop()
+        if at in box and at not in cells and at not in seen:
+            seen.add(at)
+            todo += [(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)]
+    return box - seen
+
+
+def test_small_objects_are_filled_in_bulk(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    want, rows = {}, []
+    for z in range(2):
+        for label in range(12):
+            cells = {(int(y) + 3 * label, int(x)) for y, x in np.argwhere(rng.random((6 + label, 9)) < 0.6)}
+            rows += [(z, y, x, label) for y, x in cells]
+            want |= {(z, label, y, x): 1 for y, x in plain_fill(cells)}
+    rows += [(5, y, x, 8) for y, x in ((0, 1), (1, 0), (1, 2), (2, 1))] + [(6, 4, x, 8) for x in range(9)]  # the smallest hole; a line has none
+    want |= {(5, 8, y, x): 1 for y, x in ((0, 1), (1, 0), (1, 2), (2, 1), (1, 1))} | {(6, 8, 4, x): 1 for x in range(9)}
+    df = spark.createDataFrame(rows, "z long, y long, x long, label long")
+    filled = lambda: sorted((r.z, r.label, r.y, r.x) for r in shapes.filled(df).collect())
+    tables = shapes.connected_components
+    monkeypatch.setattr(shapes, "connected_components", None)  # a group of its own for each object
+    assert filled() == sorted(want)
+    assert "FlatMapGroups" not in shapes.shape_features(df)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(shapes, "connected_components", tables)
+    monkeypatch.setattr(shapes.tiles, "SIDE", 9)  # larger boxes go by components over tables
+    assert filled() == sorted(want)
+
+
 def test_outline_with_slopes(spark):
     """A diamond: its outline cuts every corner, its four tips are corners of the polygon."""
     df = picture(spark, ["..#..", ".###.", "#####", ".###.", "..#.."])
