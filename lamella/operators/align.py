@@ -12,7 +12,7 @@ from . import tiles
 from .labels import checkpointed, shuffled, written
 from .matching import clear_matches, knn_ratio
 from .register import find_homographies, homography
-from .scalespace import DETECTORS, Detector, octaves_of, scale_space, small_plane, whole_plane
+from .scalespace import DETECTORS, Detector, octaves_of, scale_space, small_planes, whole_plane
 from .tiles import PLACE, fields, repeated, to_blocks
 
 
@@ -156,14 +156,14 @@ def _aligned(plane: np.ndarray, ref: np.ndarray, trial: dict, octaves: int) -> l
     """The homography that a trial finds from a plane to its reference slice."""
     most = int(trial["n_features"])
     detector = Detector(trial["sigma"], int(trial["n_octave_layers"]), trial["contrast_threshold"], trial["edge_threshold"], most)
-    points = []
-    for a in (ref, plane):
-        found = sorted(small_plane(np.nan_to_num(a), detector, octaves), key=lambda p: (-p[3], *p[:3], p[4]))
-        found = found[:most] if most else found
-        if not found:
-            return None
-        points.append((np.array([(p[1], p[0]) for p in found]), np.array([p[6] for p in found])))
-    (to, a), (at, b) = points
+    both = [np.nan_to_num(a) for a in (ref, plane)]
+    if ref.shape == plane.shape:
+        points = small_planes(np.stack(both), detector, octaves)
+    else:
+        points = [small_planes(a[None], detector, octaves)[0] for a in both]
+    if not all(len(rows) for rows, _ in points):
+        return None
+    (to, a), (at, b) = ((rows[:, 1::-1], v) for rows, v in points)
     who, near = clear_matches(a, b, trial["ratio_threshold"])
     return homography(at[near], to[who], rounds=TRIAL_DRAWS)[0]
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .labels import checkpointed
 
-#: Rows of a block of queries or of descriptors.
-BLOCK = 1024
+#: Rows of a block of queries or of descriptors, and distances of a block that are held at once.
+BLOCK, LOT = 1024, 1 << 17
 
 
 def next_slice(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -75,22 +75,38 @@ def nearest(features: DataFrame, columns: list[str]) -> DataFrame:
 
 def two_nearest(a: np.ndarray, b: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(place in ``b``, distance) of the nearest row for each row of ``a``, and of the second nearest if there is one; ties to the earlier row."""
+    lot = max(1, LOT // len(b))
+    with np.errstate(all="ignore"):
+        squares = (b * b).sum(axis=1)
+    parts = [_two_nearest(a[i : i + lot], b, squares) for i in range(0, len(a), lot)]
+    return [tuple(np.concatenate(c) for c in zip(*one, strict=True)) for one in zip(*parts, strict=True)]
+
+
+def _two_nearest(a: np.ndarray, b: np.ndarray, qb: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     # Only pairs that may be among the two nearest are worked out: a matrix product, with room for its rounding, tells them.
     with np.errstate(all="ignore"):
-        qa, qb = (a * a).sum(axis=1), (b * b).sum(axis=1)
-        rough = qa[:, None] + qb[None, :] - 2 * (a @ b.T)
-        rough[np.isnan(rough)] = -np.inf
-        limit = np.partition(rough, min(1, len(b) - 1), axis=1)[:, min(1, len(b) - 1)]
+        qa = (a * a).sum(axis=1)
+        kind, share = ("f4", 4e-7 * (a.shape[1] + 8)) if qa.max() + qb.max() < 1e30 else ("f8", 1e-9)
+        rough = a.astype(kind, copy=False) @ (-2 * b.astype(kind, copy=False)).T
+        rough += qb.astype(kind)
+        rough += qa.astype(kind)[:, None]
+        if not np.isfinite(rough.sum()):
+            rough[np.isnan(rough)] = -np.inf
+        rows, at = np.arange(len(a)), rough.argmin(axis=1)
+        limit = rough[rows, at]
+        if len(b) > 1:
+            rough[rows, at] = np.inf
+            limit, rough[rows, at] = rough.min(axis=1), limit
+        limit = limit.astype("f8")
         # Distances are rounded to six decimals, so what lies within that of the second one may tie with it.
-        edge = (np.sqrt(np.maximum(limit, 0)) + 2e-6) ** 2 + 1e-9 * (qa + qb.max() + 1)
-        row, column = np.nonzero(~(rough > edge[:, None]))
-        exact = np.zeros(len(row))
-        for k in range(a.shape[1]):
-            step = a[row, k] - b[column, k]
-            exact += step * step
+        edge = (np.sqrt(np.maximum(limit, 0)) + 2e-6) ** 2 + share * (qa + qb.max()) + 1e-9
+        row, column = np.divmod(np.flatnonzero(~(rough > edge.astype(kind)[:, None])), len(b))
+        step = np.ascontiguousarray((a[row] - b[column]).T)
+        step *= step
+        exact = step.sum(axis=0)  # line after line
     d = np.full((len(a), len(b)), np.inf)
     d[row, column] = np.where(np.isnan(exact), np.inf, np.floor(np.sqrt(exact) * 1e6 + 0.5) / 1e6)
-    rows, out = np.arange(len(a)), []
+    out = []
     for _ in range(min(2, len(b))):
         at = d.argmin(axis=1)
         out.append((at, d[rows, at]))

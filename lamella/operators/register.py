@@ -22,20 +22,26 @@ def _fit(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
 
     a, b = norm(src), norm(dst)
     p, q = (np.column_stack([v, np.ones(len(v))]) @ m.T for v, m in ((src, a), (dst, b)))
-    rows = []
-    for (x, y, _), (u, v, _) in zip(p, q, strict=True):
-        rows += [[-x, -y, -1, 0, 0, 0, u * x, u * y, u], [0, 0, 0, -x, -y, -1, v * x, v * y, v]]
+    rows = np.zeros((len(p), 2, 9))
+    for k in (0, 1):  # (-x, -y, -1, 0, 0, 0, ux, uy, u) and (0, 0, 0, -x, -y, -1, vx, vy, v)
+        rows[:, k, 3 * k : 3 * k + 3], rows[:, k, 6:] = -p, q[:, k, None] * p
     # The small triangle has the same right singular vectors as the tall matrix.
-    h = np.linalg.inv(b) @ np.linalg.svd(np.linalg.qr(np.array(rows), mode="r"))[2][-1].reshape(3, 3) @ a
+    h = np.linalg.inv(b) @ np.linalg.svd(np.linalg.qr(rows.reshape(-1, 9), mode="r"))[2][-1].reshape(3, 3) @ a
     return h / h[2, 2]
 
 
 def _basis(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maps from the projective frame to quadruples of points (draws, 4, 2), and which of them have no three points on a line."""
-    q = np.concatenate([p, np.ones((*p.shape[:2], 1))], axis=2)
-    area = lambda i, j, k: np.einsum("ni,ni->n", q[:, i], np.cross(q[:, j], q[:, k]))
+    x, y = p[:, :, 0], p[:, :, 1]
+    area = lambda i, j, k: (x[:, j] - x[:, i]) * (y[:, k] - y[:, i]) - (x[:, k] - x[:, i]) * (y[:, j] - y[:, i])
     c = np.stack([area(3, 1, 2), area(0, 3, 2), area(0, 1, 3)], axis=1)
-    return q[:, :3].transpose(0, 2, 1) * c[:, None, :], (np.abs(np.column_stack([c, area(0, 1, 2)])) > 1e-9).all(axis=1)
+    q = np.stack([x[:, :3], y[:, :3], np.ones_like(c)], axis=1)
+    return q * c[:, None, :], (np.abs(np.column_stack([c, area(0, 1, 2)])) > 1e-9).all(axis=1)
+
+
+def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    (a0, a1, a2), (b0, b1, b2) = a.T, b.T
+    return np.stack([a1 * b2 - a2 * b1, a2 * b0 - a0 * b2, a0 * b1 - a1 * b0], axis=1)
 
 
 def _consensus(src: np.ndarray, dst: np.ndarray, limit: float, rounds: int, confidence: float, seed: int = 0) -> np.ndarray:
@@ -57,12 +63,21 @@ def _consensus(src: np.ndarray, dst: np.ndarray, limit: float, rounds: int, conf
         a, b = a[whole & sound], b[whole & sound]
         if not len(a):
             continue
-        adjugate = np.stack([np.cross(a[:, :, 1], a[:, :, 2]), np.cross(a[:, :, 2], a[:, :, 0]), np.cross(a[:, :, 0], a[:, :, 1])], axis=1)
-        with np.errstate(all="ignore"):
-            at = p @ (b @ adjugate).transpose(0, 2, 1)
-            off = at[:, :, :2] / at[:, :, 2:] - q
-            own = (off**2).sum(axis=2) <= limit**2
-        top = own[np.argmax(own.sum(axis=1))]
+        adjugate = np.stack([_cross(a[:, :, i], a[:, :, j]) for i, j in ((1, 2), (2, 0), (0, 1))], axis=1)
+        top, models, lot = best, b @ adjugate, max(1, (1 << 14) // n)
+        for i in range(0, len(models), lot):
+            # Lines of the models' three sums for all points; a point's distance is compared times its third sum.
+            at = (models[i : i + lot].reshape(-1, 3) @ p.T).reshape(-1, 3, n)
+            with np.errstate(all="ignore"):
+                off = at[:, :2] - at[:, 2:] * q.T
+                off *= off
+                square = at[:, 2] ** 2
+                own = (off[:, 0] + off[:, 1] <= limit**2 * square) & (square > 0)
+            sizes = np.count_nonzero(own, axis=1)
+            if sizes.max() > top.sum():
+                top = own[np.argmax(sizes)]
+            if top.all():  # no later draw has more
+                break
         if top.sum() > best.sum():
             best = top
             share = min((best.sum() / n) ** 4, 1 - 1e-12)
@@ -129,48 +144,52 @@ def propose(told: list[tuple[dict, float]], n: int, seed: int, space: dict = SPA
     gaps between them, and of the whole range; of some draws from the first one the one of the largest ratio is
     taken.  Trials of one round don't know of each other; only their draws differ.
     """
+    rngs = [np.random.default_rng([seed, len(told) + i]) for i in range(n)]
+    if len(told) < startup:
+        return [_drawn(space, rng) for rng in rngs]
+    ranked = sorted(range(len(told)), key=lambda j: (-told[j][1], j))
+    cut = math.ceil(share * len(told))
+    parts = {}
+    for name, (low, high, whole) in space.items():
+        ends = (low - 0.5, high + 0.5) if whole else (low, high)
+        parts[name] = *ends, *(_kernels(np.array([told[j][0][name] for j in part], float), *ends) for part in (ranked[:cut], ranked[cut:]))
     out = []
-    for i in range(n):
-        rng = np.random.default_rng([seed, len(told) + i])
-        if len(told) < startup:
-            out.append(_drawn(space, rng))
-            continue
-        ranked = sorted(range(len(told)), key=lambda j: (-told[j][1], j))
-        cut = math.ceil(share * len(told))
+    for rng in rngs:
         own = {}
         for name, (low, high, whole) in space.items():
-            a, b = (low - 0.5, high + 0.5) if whole else (low, high)
-            good, bad = (np.array([told[j][0][name] for j in part], float) for part in (ranked[:cut], ranked[cut:]))
+            a, b, good, bad = parts[name]
             x = _mixture_draws(good, a, b, candidates, rng)
-            pick = x[np.argmax(_mixture_density(x, good, a, b) - _mixture_density(x, bad, a, b))]
+            pick = x[np.argmax(_mixture_density(x, good) - _mixture_density(x, bad))]
             own[name] = int(min(max(round(pick), low), high)) if whole else float(min(max(pick, low), high))
         out.append(own)
     return out
 
 
-def _kernels(points: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
-    """Middles and widths of the normal distributions: about each point, as wide as its larger gap, and about the middle of the range."""
+def _kernels(points: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Middles, widths and shares inside the range of the normal distributions: about each point, as wide as its larger gap, and about the middle of the range."""
     order = np.sort(np.append(points, (low + high) / 2))
     gaps = np.diff(np.concatenate([[low], order, [high]]))
     width = np.clip(np.maximum(gaps[:-1], gaps[1:]), (high - low) / min(100.0, 1.0 + len(order)), high - low)
     width[np.searchsorted(order, (low + high) / 2)] = high - low
-    return order, width
+    inside = np.array([(math.erf((high - m) / w / math.sqrt(2)) - math.erf((low - m) / w / math.sqrt(2))) / 2 for m, w in zip(order, width, strict=True)])
+    return order, width, inside
 
 
-def _mixture_draws(points: np.ndarray, low: float, high: float, n: int, rng: np.random.Generator) -> np.ndarray:
-    middle, width = _kernels(points, low, high)
+def _mixture_draws(kernels: tuple[np.ndarray, np.ndarray, np.ndarray], low: float, high: float, n: int, rng: np.random.Generator) -> np.ndarray:
+    middle, width, _ = kernels
     which = rng.integers(0, len(middle), n)
     x = rng.normal(middle[which], width[which])
     for _ in range(20):  # draws outside the range are drawn again
         bad = (x < low) | (x > high)
+        if not bad.any():
+            break
         x[bad] = rng.normal(middle[which[bad]], width[which[bad]])
     return np.clip(x, low, high)
 
 
-def _mixture_density(x: np.ndarray, points: np.ndarray, low: float, high: float) -> np.ndarray:
+def _mixture_density(x: np.ndarray, kernels: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """Logarithm of the mixture's density, each part cut off at the ends of the range."""
-    middle, width = _kernels(points, low, high)
-    inside = np.array([(math.erf((high - m) / w / math.sqrt(2)) - math.erf((low - m) / w / math.sqrt(2))) / 2 for m, w in zip(middle, width, strict=True)])
+    middle, width, inside = kernels
     part = np.exp(-0.5 * ((x[:, None] - middle) / width) ** 2) / (width * np.sqrt(2 * np.pi) * np.maximum(inside, 1e-12))
     return np.log(part.mean(axis=1) + 1e-300)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -67,22 +67,39 @@ def _radius(blur: float) -> int:
     return math.ceil(4 * blur)
 
 
+def gaussians(a: np.ndarray, blurs: list[float]) -> np.ndarray:
+    """Planes (plane, y, x) under Gaussians of 4 deviations to each side, as (plane, blur, y, x); they are mirrored at their edges, the edge pixel not repeated.
+
+    A pixel's sum takes its neighbours in pairs, wherever it lies, so that tiles and whole planes give the same.
+    """
+    reach = np.array([_radius(blur) for blur in blurs])
+    order = np.argsort(-reach, kind="stable")
+    reach, most = reach[order], int(reach.max())
+    width = np.array([blurs[i] or 1.0 for i in order])
+    at = np.arange(most + 1)
+    kernels = np.where(at <= reach[:, None], np.exp(-0.5 * (at / width[:, None]) ** 2), 0)
+    kernels = (kernels / (kernels[:, :1] + 2 * kernels[:, 1:].sum(axis=1, keepdims=True)))[:, :, None, None, None]
+    a, reaching = a.astype("f8", copy=False)[None], (reach[:, None] >= at[1:]).sum(axis=0).tolist()
+    for _ in range(2):  # lines, then, transposed, columns
+        n = a.shape[-2]
+        at = np.abs(np.arange(-most, n + most)) % max(2 * n - 2, 1)
+        wide = np.take(a, np.minimum(at, 2 * n - 2 - at) if n > 1 else at * 0, -2)
+        out = kernels[:, 0] * wide[:, :, most : most + n]
+        pairs, parts = np.empty((len(wide), *out.shape[1:])), np.empty_like(out)
+        for k, some in enumerate(reaching, 1):
+            pair, part, own = pairs[:some], parts[:some], out[:some]
+            np.add(wide[:some, :, most - k : most - k + n], wide[:some, :, most + k : most + k + n], out=pair)
+            np.multiply(kernels[:some, k], pair, out=part)
+            np.add(own, part, out=own)
+        a = out.swapaxes(-1, -2)
+    own = np.empty((a.shape[1], len(blurs), *a.shape[2:]))
+    own[:, order] = a.swapaxes(0, 1)
+    return own
+
+
 def gaussian(a: np.ndarray, blur: float) -> np.ndarray:
-    """``a`` under a Gaussian of 4 deviations to each side; planes are mirrored at their edges, the edge pixel not repeated."""
-    r = _radius(blur)
-    if not r:
-        return a
-    kernel = np.exp(-0.5 * (np.arange(-r, r + 1) / blur) ** 2)
-    kernel /= kernel.sum()
-    for axis in (0, 1):
-        n = a.shape[axis]
-        at = np.abs(np.arange(-r, n + r)) % max(2 * n - 2, 1)
-        wide = np.take(a, np.minimum(at, 2 * n - 2 - at) if n > 1 else at * 0, axis)
-        out = np.zeros_like(a)
-        for k, w in enumerate(kernel):
-            out += w * (wide[k : k + n] if axis == 0 else wide[:, k : k + n])
-        a = out
-    return a
+    """:func:`gaussians` of one plane."""
+    return gaussians(a[None], [blur])[0, 0]
 
 
 def doubled(a: np.ndarray) -> np.ndarray:
@@ -94,49 +111,120 @@ def doubled(a: np.ndarray) -> np.ndarray:
     return a
 
 
-def _refined(d: np.ndarray, at: np.ndarray, detector: Detector, tile: Tile) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(which of the extrema ``at`` stay, their places in ``d`` with fractions, their contrast); rows of ``at`` are layer, y, x."""
-    at, shift = at.copy(), np.zeros(at.shape)
-    alive, settled = np.ones(len(at), bool), np.zeros(len(at), bool)
-    slope, curve = np.zeros((len(at), 3)), np.zeros((len(at), 3, 3))
+@dataclass
+class Octave:
+    """Images (plane, blur, y, x) of planes of one size, and what part of their plane these are."""
+
+    images: np.ndarray
+    tile: Tile
+
+
+#: Pixels of planes that are blurred by several Gaussians at once.
+TOGETHER = 1 << 14
+
+
+def _blurred(a: np.ndarray, tile: Tile, detector: Detector) -> Octave:
+    """An octave of planes (plane, y, x)."""
+    if a.size <= TOGETHER:
+        return Octave(gaussians(a, detector.blurs), tile)
+    images = np.empty((len(a), detector.layers + 3, *a.shape[1:]))
+    for i, blur in enumerate(detector.blurs):
+        for k, plane in enumerate(a):
+            images[k, i] = gaussian(plane, blur) if blur else plane
+    return Octave(images, tile)
+
+
+#: Neighbours in layer, y and x: those that a paraboloid is fitted to, and all but those beside a pixel in its own layer.
+_FITTED = np.array([(0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1), *((i, j, 0) for i in (1, -1) for j in (1, -1)), *((i, 0, k) for i in (1, -1) for k in (1, -1)), *((0, j, k) for j in (1, -1) for k in (1, -1))])
+_FURTHER = np.array([*((i, 0, 0) for i in (1, -1)), *((0, j, k) for j in (1, -1) for k in (1, -1)), *((i, j, k) for i in (1, -1) for j in (0, 1, -1) for k in (0, 1, -1) if j or k)])
+
+
+def _extrema(d: np.ndarray, tile: Tile, detector: Detector) -> np.ndarray:
+    """Places (rows of plane, layer, y, x) of extrema of differences (plane, layer, y, x) among the tile's own pixels."""
+    rows, columns = tile.own
+    # Own pixels that aren't too near to the plane's edge, and all 26 neighbours.
+    ya, yz = max(rows.start, EDGE - tile.y), min(rows.stop, tile.height - EDGE - tile.y)
+    xa, xz = max(columns.start, EDGE - tile.x), min(columns.stop, tile.width - EDGE - tile.x)
+    if ya >= yz or xa >= xz:
+        return np.zeros((0, 4), np.int64)
+    layers, high, wide = d.shape[1:]
+    flat, least = d.ravel(), 0.5 * detector.contrast / detector.layers * 255
+    # What is as high as its four neighbours, or as low, in the flat array; then edges go, and what others of the 26 neighbours are beyond.
+    first, last = high * wide, len(flat) - high * wide
+    peaks, pits = np.zeros((2, *d.shape), bool)
+    keeps = [keep.ravel()[first:last] for keep in (peaks, pits)]
+    np.greater(flat[first:last], least, out=keeps[0])
+    np.less(flat[first:last], -least, out=keeps[1])
+    for step in (1, wide):
+        falls, rises = (beyond(flat[first - step : last], flat[first : last + step]) for beyond in (np.greater_equal, np.less_equal))
+        for keep, down, up in zip(keeps, (falls, rises), (rises, falls), strict=True):
+            keep &= down[step:]
+            keep &= up[:-step]
+    found, steps = [], np.split(_FURTHER @ [high * wide, wide, 1], (2, 6, 12))
+    for beyond, keep in ((np.greater_equal, peaks), (np.less_equal, pits)):
+        for edge in (keep[:, 0], keep[:, -1], keep[:, :, :ya], keep[:, :, yz:], keep[..., :xa], keep[..., xz:]):
+            edge[...] = False
+        centre = np.flatnonzero(keep)
+        for some in steps:
+            centre = centre[beyond(flat[centre], flat[centre + some[:, None]]).all(axis=0)]
+        found.append(np.stack(np.unravel_index(centre, d.shape), axis=1))
+    return np.concatenate(found)
+
+
+def _keypoints(octaves: list[Octave], detector: Detector) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(octave, plane, place, contrast) of the keypoints among the tiles' own pixels; places are layer, y and x in the images, with fractions.
+
+    Extrema of all octaves are moved to the top of a paraboloid together.
+    """
+    flat, found, strides, first = [], [], [], 0
+    for k, octave in enumerate(octaves):
+        d, tile = np.diff(octave.images, axis=1), octave.tile
+        own, (_, layers, high, wide) = _extrema(d, tile, detector), d.shape
+        ends = [max(EDGE - tile.y, 1), min(tile.height - EDGE - tile.y, high - 1), max(EDGE - tile.x, 1), min(tile.width - EDGE - tile.x, wide - 1)]
+        found.append(np.column_stack([np.full(len(own), k), own, np.tile(ends, (len(own), 1)), first + own[:, 0] * layers * high * wide]))
+        strides.append((high * wide, wide, 1))
+        flat.append(d.ravel())
+        first += d.size
+    flat, (octave, plane, s, y, x, top, bottom, left, right, first) = np.concatenate(flat), np.concatenate(found).T.copy()
+    at, strides = np.stack([s, y, x]), np.array(strides).T
+    steps = _FITTED @ strides
+    alive, settled = np.ones(len(s), bool), np.zeros(len(s), bool)
+    shift, contrast, bent = np.zeros((3, len(s))), np.zeros(len(s)), np.zeros((2, len(s)))
     for _ in range(STEPS):
         go = np.flatnonzero(alive & ~settled)
         if not len(go):
             break
-        s, y, x = at[go].T
-        v = lambda a, b, c: d[s + a, y + b, x + c]  # noqa: B023, E731
-        one = lambda k: tuple(int(i == k) for i in range(3))
-        for i in range(3):
-            up, down = one(i), tuple(-n for n in one(i))
-            slope[go, i] = (v(*up) - v(*down)) / 2
-            curve[go, i, i] = v(*up) + v(*down) - 2 * v(0, 0, 0)
-            for j in range(i):
-                p, q = (tuple(a + f * b for a, b in zip(one(i), one(j), strict=True)) for f in (1, -1))
-                curve[go, i, j] = curve[go, j, i] = (v(*p) + v(*(-n for n in p)) - v(*q) - v(*(-n for n in q))) / 4
-        flat = np.abs(np.linalg.det(curve[go])) < 1e-12
-        shift[go] = -np.linalg.solve(curve[go] + flat[:, None, None] * np.eye(3), slope[go][:, :, None])[:, :, 0]
-        settled[go] = (np.abs(shift[go]) < 0.5).all(axis=1) & ~flat
-        far = flat | (np.abs(shift[go]) > 1e6).any(axis=1)
-        move = np.where((settled[go] | far)[:, None], 0, np.round(np.where(far[:, None], 0, shift[go]))).astype(np.int64)
-        at[go] += move
-        y, x = at[go, 1] + tile.y, at[go, 2] + tile.x
-        inside = (at[go, 0] >= 1) & (at[go, 0] <= detector.layers) & (y >= EDGE) & (y < tile.height - EDGE) & (x >= EDGE) & (x < tile.width - EDGE)
-        near = (at[go, 1] >= 1) & (at[go, 1] < d.shape[1] - 1) & (at[go, 2] >= 1) & (at[go, 2] < d.shape[2] - 1)
-        alive[go] &= inside & near & ~far
-        at[go[~alive[go]]] = 1
-    alive &= settled
-    contrast = d[tuple(at.T)] + (slope * shift).sum(axis=1) / 2
-    trace, product = curve[:, 1, 1] + curve[:, 2, 2], curve[:, 1, 1] * curve[:, 2, 2] - curve[:, 1, 2] ** 2
-    alive &= (np.abs(contrast) * detector.layers >= detector.contrast * 255) & (product > 0) & (trace**2 * detector.edge < (detector.edge + 1) ** 2 * product)
-    return alive, at + shift, np.abs(contrast)
-
-
-def _gradients(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(size, angle) of the gradient at each pixel but those at the array's edge, where the size is 0."""
-    gy, gx = np.zeros_like(image), np.zeros_like(image)
-    gy[1:-1, 1:-1] = image[2:, 1:-1] - image[:-2, 1:-1]
-    gx[1:-1, 1:-1] = image[1:-1, 2:] - image[1:-1, :-2]
-    return np.hypot(gy, gx), np.arctan2(gy, gx)
+        kind = octave[go]
+        place = np.take(steps, kind, axis=1)
+        place += first[go] + at[0, go] * strides[0, kind] + at[1, go] * strides[1, kind] + at[2, go]
+        v = flat[place]
+        slope = (v[1:7:2] - v[2:7:2]) / 2
+        a, b, c = v[1:7:2] + v[2:7:2] - 2 * v[0]
+        e, f, g = (v[7::4] + v[10::4] - v[8::4] - v[9::4]) / 4  # layer and y, layer and x, y and x
+        p, q, r = b * c - g * g, f * g - e * c, e * g - f * b
+        product = a * p + e * q + f * r
+        flat_top = np.abs(product) < 1e-12
+        with np.errstate(all="ignore"):
+            inverse = (p, q, r, q, a * c - f * f, e * f - a * g, r, e * f - a * g, a * b - e * e)
+            own = -np.stack([sum(m * n for m, n in zip(inverse[3 * i : 3 * i + 3], slope, strict=True)) for i in range(3)]) / np.where(flat_top, 1.0, product)
+        shift[:, go], contrast[go] = own, v[0] + (slope * own).sum(axis=0) / 2
+        bent[:, go] = b + c, p
+        done = (np.abs(own) < 0.5).all(axis=0) & ~flat_top
+        far = flat_top | ~(np.abs(own) <= 1e6).all(axis=0)
+        settled[go] = done
+        at[:, go] += np.where(done | far, 0, np.round(np.where(far, 0, own))).astype(np.int64)
+        s, y, x = at[:, go]
+        inside = (s >= 1) & (s <= detector.layers) & (y >= top[go]) & (y < bottom[go]) & (x >= left[go]) & (x < right[go])
+        alive[go] = inside & ~far
+    trace, product = bent
+    contrast = np.abs(contrast)
+    alive &= settled & (contrast * detector.layers >= detector.contrast * 255) & (product > 0) & (trace**2 * detector.edge < (detector.edge + 1) ** 2 * product)
+    if detector.most:
+        group = octave * (plane.max(initial=0) + 1) + plane
+        for own in np.flatnonzero(np.bincount(group[alive]) > detector.most):
+            same = np.flatnonzero(alive & (group == own))
+            alive[same] = contrast[same] >= np.sort(contrast[same])[-detector.most]
+    return octave[alive], plane[alive], (at + shift).T[alive], contrast[alive]
 
 
 @cache
@@ -145,148 +233,254 @@ def _offsets(r: int) -> tuple[np.ndarray, np.ndarray]:
     return dy.ravel(), dx.ravel()
 
 
-#: Pixels around keypoints that are held at once.
-PORTION = 1 << 17
+@cache
+def _squares(r: int) -> np.ndarray:
+    dy, dx = _offsets(r)
+    return dy * dy + dx * dx
+
+
+#: Pixels around keypoints that are held at once, and those of the images that these lie in.
+PORTION, FIELD = 1 << 15, 1 << 18
 
 
 def _portions(radius: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Keypoints of one radius, as many as ``PORTION`` allows."""
-    for r in np.unique(radius).tolist():
-        same = np.flatnonzero(radius == r)
-        n = max(1, PORTION // (2 * r + 1) ** 2)
-        for first in range(0, len(same), n):
-            yield r, same[first : first + n]
+    """Keypoints of like radius and the largest one, as many as ``PORTION`` allows."""
+    order = np.argsort(radius, kind="stable")
+    pixels, first = (2 * radius[order] + 1) ** 2, 0
+    while first < len(order):
+        few = pixels[first : first + max(1, PORTION // int(pixels[first]))]
+        n = max(1, int((np.arange(1, len(few) + 1) * few <= PORTION).sum()))
+        part = order[first : first + n]
+        yield int(radius[part[-1]]), part
+        first += n
 
 
-def _directions(size: np.ndarray, bins: np.ndarray, at: np.ndarray, wide: int, scale: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-    """(which keypoint, angle) of the peaks of the smoothed histograms of gradient directions within r pixels of keypoints at places of flat arrays."""
-    spread = DIRECTION_BLUR * scale
-    dy, dx = _offsets(r)
-    around = at[:, None] + (dy * wide + dx)
-    weight = size[around] * np.exp((dy * dy + dx * dx) * (-0.5 / (spread * spread))[:, None])
-    own = bins[around] + DIRECTION_BINS * np.arange(len(at))[:, None]
-    h = np.bincount(own.ravel(), weight.ravel(), DIRECTION_BINS * len(at)).reshape(-1, DIRECTION_BINS)
-    roll = lambda k: np.roll(h, k, 1)
-    h = (roll(2) + roll(-2) + 4 * (roll(1) + roll(-1)) + 6 * h) / 16
-    before, after = roll(1), roll(-1)
-    peak = np.nonzero((h > before) & (h > after) & (h >= DIRECTION_SHARE * h.max(axis=1, keepdims=True)))
-    tops = peak[1] + (before[peak] - after[peak]) / (2 * (before[peak] - 2 * h[peak] + after[peak]))
-    return peak[0], tops % DIRECTION_BINS * 2 * math.pi / DIRECTION_BINS
-
-
-def _descriptors(size: np.ndarray, direction: np.ndarray, at: np.ndarray, wide: int, scale: np.ndarray, turn: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-    """(which keypoints have one, descriptors): 4 x 4 histograms of 8 directions in a keypoint's own frame, shared out linearly, at unit length."""
-    n, cell = len(at), CELL_SIZE * scale
-    dy, dx = _offsets(r)
-    c, s = (np.array([f(t) for t in turn]) / cell for f in (math.cos, math.sin))
-    across, down = c[:, None] * dx + s[:, None] * dy, c[:, None] * dy - s[:, None] * dx
-    who, place = np.nonzero((np.abs(across) < (CELLS + 1) / 2) & (np.abs(down) < (CELLS + 1) / 2))
-    across, down = across[who, place], down[who, place]
-    near = at[who] + (dy * wide + dx)[place]
-    weight = size[near] * np.exp((across * across + down * down) * (-2.0 / (CELLS * CELLS)))
-    row, column, bin_ = down + (CELLS / 2 + 0.5), across + (CELLS / 2 + 0.5), ((direction[near] - turn[who]) * (CELL_BINS / (2 * math.pi))) % CELL_BINS
-    i, j, k = (v.astype(np.int64) for v in (row, column, bin_))
-    p, q, t = row - i, column - j, bin_ - k
-    k, after = k % CELL_BINS, (k + 1) % CELL_BINS
-    whole = (CELLS + 3) * (CELLS + 2) * CELL_BINS
-    first = who * whole + (i * (CELLS + 2) + j) * CELL_BINS
-    low, high = weight * (1 - p), weight * p
-    corners = [(first, low * (1 - q)), (first + CELL_BINS, low * q), (first + (CELLS + 2) * CELL_BINS, high * (1 - q)), (first + (CELLS + 3) * CELL_BINS, high * q)]
-    to = np.concatenate([v for place, _ in corners for v in (place + k, place + after)])
-    share = np.concatenate([v for _, w in corners for v in (w * (1 - t), w * t)])
-    h = np.bincount(to, share, n * whole).reshape(n, whole)[:, : (CELLS + 2) ** 2 * CELL_BINS]
-    h = h.reshape(n, CELLS + 2, CELLS + 2, CELL_BINS)[:, 1:-1, 1:-1].reshape(n, -1)
-    norm = np.array([np.linalg.norm(v) for v in h])
-    some = np.flatnonzero(norm)
-    h = np.minimum(h[some], MOST * norm[some, None])
-    return some, h / np.array([np.linalg.norm(v) for v in h]).reshape(-1, 1)
-
-
-def _extrema(tile: Tile, detector: Detector) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(an octave's images, places of the keypoints among the tile's own pixels as layer, y and x, their contrast)."""
-    images = [tile.a if not blur else gaussian(tile.a, blur) for blur in detector.blurs]
-    d = np.stack([b - a for a, b in zip(images[:-1], images[1:], strict=True)])
-    rows, columns = tile.own
-    # Own pixels that aren't too near to the plane's edge, and all 26 neighbours.
-    ya, yz = max(rows.start, EDGE - tile.y), min(rows.stop, tile.height - EDGE - tile.y)
-    xa, xz = max(columns.start, EDGE - tile.x), min(columns.stop, tile.width - EDGE - tile.x)
-    if ya >= yz or xa >= xz:
-        return images, np.zeros((0, 3)), np.zeros(0)
-    middle = d[1:-1, ya:yz, xa:xz]
-    top, low = middle > 0.5 * detector.contrast / detector.layers * 255, middle < -0.5 * detector.contrast / detector.layers * 255
-    for i in (-1, 0, 1):
-        for j in (-1, 0, 1):
-            for k in (-1, 0, 1):
-                other = d[1 + i : d.shape[0] - 1 + i, ya + j : yz + j, xa + k : xz + k]
-                top &= middle >= other
-                low &= middle <= other
-    at = np.argwhere(top | low) + [1, ya, xa]
-    alive, place, gain = _refined(d, at, detector, tile)
-    if detector.most and alive.sum() > detector.most:
-        alive &= gain >= np.sort(gain[alive])[-detector.most]
-    return images, place[alive], gain[alive]
-
-
-def _described(images: list[np.ndarray], place: np.ndarray, gain: np.ndarray, detector: Detector, tile: Tile) -> list[tuple]:
-    """Keypoints of an octave with their directions and descriptors, those of one image and one radius together."""
-    found = []
-    scale = np.array([max(detector.sigma, 0.1) * 2 ** (s / detector.layers) for s in place[:, 0]])
-    layer = np.clip(np.round(place[:, 0]), 0, len(images) - 1).astype(np.int64)
-    y, x = np.round(place[:, 1:]).astype(np.int64).T
-    near, far = (np.round(v).astype(np.int64) for v in (3 * (DIRECTION_BLUR * scale), CELL_SIZE * scale * math.sqrt(2) * (CELLS + 1) / 2))
-    for own in np.unique(layer).tolist():
-        points = np.flatnonzero(layer == own)
-        edge = int(max(near[points].max(), far[points].max()))  # nothing beyond the array counts
-        size, direction = (np.pad(v, edge) for v in _gradients(images[own]))
-        wide = size.shape[1]
-        bins = (np.round(direction * (DIRECTION_BINS / (2 * math.pi))).astype(np.int64) % DIRECTION_BINS).ravel()
-        size, direction, at = size.ravel(), direction.ravel(), (y + edge) * wide + x + edge
-        turned = []
-        for r, part in _portions(near[points]):
-            part = points[part]
-            who, angle = _directions(size, bins, at[part], wide, scale[part], r)
-            turned.append((part[who], angle))
-        if not turned:
-            continue
-        who, angle = (np.concatenate(c) for c in zip(*turned, strict=True))
-        for r, part in _portions(far[who]):
-            some, h = _descriptors(size, direction, at[who[part]], wide, scale[who[part]], angle[part], r)
-            for n, v in zip(part[some], h, strict=True):
-                k = who[n]
-                found.append((place[k, 0], place[k, 1] + tile.y, place[k, 2] + tile.x, scale[k], gain[k], angle[n], v))
-    return found
+def _gradients(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(size, angle) of the gradient at each pixel but those at the array's edge, where the size is 0."""
+    gy, gx = np.zeros_like(image), np.zeros_like(image)
+    gy[..., 1:-1, 1:-1] = image[..., 2:, 1:-1] - image[..., :-2, 1:-1]
+    gx[..., 1:-1, 1:-1] = image[..., 1:-1, 2:] - image[..., 1:-1, :-2]
+    return np.sqrt(gy * gy + gx * gx), np.arctan2(gy, gx)
+
+
+@dataclass
+class Field:
+    """Gradients of some images under each other, as flat arrays with lines of one length; nothing but 0 is around an image."""
+
+    size: np.ndarray
+    direction: np.ndarray
+    bins: np.ndarray
+    wide: int
+
+
+def _fields(octaves: list[Octave], octave: np.ndarray, plane: np.ndarray, layer: np.ndarray, y: np.ndarray, x: np.ndarray, edge: int) -> Iterator[tuple[Field, np.ndarray, np.ndarray]]:
+    """(gradients of images, the points in these, their places there), in portions of ``FIELD`` pixels."""
+    sizes = len(octaves), *octaves[0].images.shape[:2]
+    images, which = np.unique(np.ravel_multi_index((octave, plane, layer), sizes), return_inverse=True)
+    images = np.stack(np.unravel_index(images, sizes))
+    wide = max(octaves[k].images.shape[3] for k in images[0]) + edge
+    high = np.array([octaves[k].images.shape[2] + edge for k in images[0]], np.int64)
+    lot = np.cumsum(high * wide) // FIELD
+    for own in np.unique(lot).tolist():
+        ones = np.flatnonzero(lot == own)
+        begin = edge + np.cumsum(high[ones]) - high[ones]
+        size, direction = np.zeros((2, edge + int(high[ones].sum()), wide))
+        for k in np.unique(images[0, ones]).tolist():
+            same = np.flatnonzero(images[0, ones] == k)
+            for at, *both in zip(begin[same], *_gradients(octaves[k].images[images[1, ones[same]], images[2, ones[same]]]), strict=True):
+                h, w = both[0].shape
+                size[at : at + h, :w], direction[at : at + h, :w] = both
+        bins = np.round(direction * (DIRECTION_BINS / (2 * math.pi))).astype(np.int64)
+        bins += DIRECTION_BINS * (bins < 0)
+        points = np.flatnonzero(lot[which] == own)
+        yield Field(size.ravel(), direction.ravel(), bins.ravel(), wide), points, (begin[which[points] - ones[0]] + y[points]) * wide + x[points]
+
+
+def _directions(field: Field, at: np.ndarray, scale: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which keypoint, angle) of the peaks of the smoothed histograms of gradient directions around keypoints."""
+    peaks = []
+    for r, part in _portions(radius):
+        dy, dx = _offsets(r)
+        around = at[part, None] + (dy * field.wide + dx)
+        weight = np.exp(np.outer(-0.5 / (DIRECTION_BLUR * scale[part]) ** 2, _squares(r)))
+        weight *= field.size[around]
+        if radius[part[0]] < r:
+            weight *= np.maximum(np.abs(dy), np.abs(dx)) <= radius[part, None]
+        own = field.bins[around] + DIRECTION_BINS * np.arange(len(part))[:, None]
+        h = np.bincount(own.ravel(), weight.ravel(), DIRECTION_BINS * len(part)).reshape(-1, DIRECTION_BINS)
+        around = np.take(h, np.arange(-2, DIRECTION_BINS + 2) % DIRECTION_BINS, 1)
+        h = (around[:, :-4] + around[:, 4:] + 4 * (around[:, 1:-3] + around[:, 3:-1]) + 6 * h) / 16
+        around = np.take(h, np.arange(-1, DIRECTION_BINS + 1) % DIRECTION_BINS, 1)
+        before, after = around[:, :-2], around[:, 2:]
+        peak = np.divmod(np.flatnonzero((h > before) & (h > after) & (h >= DIRECTION_SHARE * h.max(axis=1, keepdims=True))), DIRECTION_BINS)
+        tops = peak[1] + (before[peak] - after[peak]) / (2 * (before[peak] - 2 * h[peak] + after[peak]))
+        peaks.append((part[peak[0]], tops % DIRECTION_BINS * 2 * math.pi / DIRECTION_BINS))
+    return tuple(np.concatenate(c) for c in zip(*peaks, strict=True)) if peaks else (np.zeros(0, np.int64), np.zeros(0))
+
+
+def _descriptors(field: Field, at: np.ndarray, scale: np.ndarray, turn: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """4 x 4 histograms of 8 directions in a keypoint's own frame, shared out linearly, at unit length; 0 where there is no gradient."""
+    out, whole = np.empty((len(at), CELLS * CELLS * CELL_BINS)), (CELLS + 3) * (CELLS + 2) * CELL_BINS
+    c, s, bins = (np.cos(turn) / (CELL_SIZE * scale)).astype("f4"), (np.sin(turn) / (CELL_SIZE * scale)).astype("f4"), np.float32(CELL_BINS / (2 * math.pi))
+    turn, size, direction = (v.astype("f4") for v in (turn, field.size, field.direction))  # shares of pixels; their sums are double
+    for r, part in _portions(radius):
+        n, (dy, dx) = len(part), _offsets(r)
+        disc = np.flatnonzero(_squares(r) <= (CELLS + 1) ** 2 / 2 * (CELL_SIZE * scale[part].max()) ** 2)
+        dy, dx = dy[disc], dx[disc]
+        cx, sx, cy, sy = (np.outer(own[part], v) for v in (dx.astype("f4"), dy.astype("f4")) for own in (c, s))
+        across, down, limit = np.add(cx, sy, out=cx), np.subtract(cy, sx, out=cy), (CELLS + 1) / 2
+        inside = (np.abs(across) < limit) & (np.abs(down) < limit)
+        inside = np.flatnonzero(inside)
+        pixels = np.diff(np.searchsorted(inside, np.arange(n + 1) * len(dy)))
+        across, down, near = across.ravel()[inside], down.ravel()[inside], (at[part, None] + (dy * field.wide + dx)).ravel()[inside]
+        weight = across * across
+        weight += down * down
+        weight *= -2.0 / (CELLS * CELLS)
+        np.exp(weight, out=weight)
+        weight *= size[near]
+        across += CELLS / 2 + 0.5
+        down += CELLS / 2 + 0.5
+        bin_ = direction[near]
+        bin_ -= np.repeat(turn[part], pixels)
+        bin_ *= bins
+        turned = np.floor(bin_)
+        row, column = np.floor(down), np.floor(across)
+        p, q, t = np.subtract(down, row, out=down), np.subtract(across, column, out=across), np.subtract(bin_, turned, out=bin_)
+        row *= CELLS + 2
+        row += column
+        first = row.astype(np.int64)
+        first *= CELL_BINS
+        first += np.repeat(np.arange(n) * whole, pixels)
+        k = turned.astype(np.int64)
+        to, share = np.empty((8, len(near)), np.int64), np.empty((8, len(near)), "f4")
+        np.add(first, k & (CELL_BINS - 1), out=to[0])
+        k += 1
+        k &= CELL_BINS - 1
+        np.add(first, k, out=to[4])
+        for m in (0, 4):
+            for l, step in ((1, 1), (2, CELLS + 2), (3, CELLS + 3)):
+                np.add(to[m], step * CELL_BINS, out=to[m + l])
+        np.multiply(weight, p, out=share[6])
+        np.subtract(weight, share[6], out=share[4])
+        for m in (4, 6):
+            np.multiply(share[m], q, out=share[m + 1])
+            share[m] -= share[m + 1]
+        for m in range(4):
+            share_t = share[m + 4] * t
+            np.subtract(share[m + 4], share_t, out=share[m])
+            share[m + 4] = share_t
+        h = np.bincount(to.ravel(), share.ravel(), n * whole).reshape(n, whole)[:, : (CELLS + 2) ** 2 * CELL_BINS]
+        out[part] = h.reshape(n, CELLS + 2, CELLS + 2, CELL_BINS)[:, 1:-1, 1:-1].reshape(n, -1)
+    np.minimum(out, MOST * np.sqrt(np.einsum("ij,ij->i", out, out))[:, None], out=out)
+    norm = np.sqrt(np.einsum("ij,ij->i", out, out))
+    out /= np.where(norm > 0, norm, 1)[:, None]
+    return out
 
 
-def octave(tile: Tile, detector: Detector) -> tuple[list[tuple], np.ndarray]:
-    """(keypoints of the tile's own pixels, the image the next octave begins with) of one octave.
+@dataclass
+class _Points:
+    """Keypoints of some octaves: which octave and plane, their place in the images and their contrast, the blur at their place and the image next to it."""
 
-    A keypoint is (layer, y, x, scale, gain, angle, descriptor), places and scales being pixels of this octave's plane.
-    """
-    images, place, gain = _extrema(tile, detector)
-    return _described(images, place, gain, detector, tile), images[detector.layers]
+    octave: np.ndarray
+    plane: np.ndarray
+    place: np.ndarray
+    gain: np.ndarray
+    scale: np.ndarray
+    layer: np.ndarray
 
+    @classmethod
+    def of(cls, octaves: list[Octave], detector: Detector) -> _Points:
+        octave, plane, place, gain = _keypoints(octaves, detector)
+        layer = np.clip(np.round(place[:, 0]), 0, detector.layers + 2).astype(np.int64)
+        return cls(octave, plane, place, gain, max(detector.sigma, 0.1) * 2.0 ** (place[:, 0] / detector.layers), layer)
 
-def small_plane(a: np.ndarray, detector: Detector, octaves: int) -> list[tuple]:
-    """Keypoints (y, x, size, gain, angle, octave, descriptor) of a plane that lies, doubled, in one tile: all octaves without an exchange.
+    def near(self, which: np.ndarray) -> np.ndarray:
+        """Pixels each way that the direction depends on."""
+        return np.round(3 * (DIRECTION_BLUR * self.scale[which])).astype(np.int64)
 
-    Of the ``most`` strongest of the plane only, as long as these have enough directions.
+    def far(self, which: np.ndarray) -> np.ndarray:
+        """Pixels each way that the descriptor depends on."""
+        return np.round(CELL_SIZE * self.scale[which] * math.sqrt(2) * (CELLS + 1) / 2).astype(np.int64)
+
+    def fields(self, octaves: list[Octave], which: np.ndarray) -> Iterator[tuple[Field, np.ndarray, np.ndarray]]:
+        """(gradients, which of the keypoints lie there, their places)."""
+        if len(which):
+            y, x = np.round(self.place[which, 1:]).astype(np.int64).T
+            edge = int(max(self.near(which).max(), self.far(which).max()))
+            for field, own, at in _fields(octaves, self.octave[which], self.plane[which], self.layer[which], y, x, edge):
+                yield field, which[own], at
+
+    def table(self, octaves: list[Octave], which: np.ndarray, angle: np.ndarray) -> np.ndarray:
+        """Rows of y, x, size, contrast and angle, in pixels of the octave's plane."""
+        first = np.array([(o.tile.y, o.tile.x) for o in octaves])[self.octave[which]]
+        return np.column_stack([self.place[which, 1:] + first, self.scale[which], self.gain[which], angle])
+
+
+def octave(tile: Tile, detector: Detector) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keypoints of the tile's own pixels, their descriptors, the image the next octave begins with) of one octave.
+
+    A keypoint is a row of y, x, size, contrast and angle, in pixels of this octave's plane.
+    """
+    octaves = [_blurred(tile.a[None], tile, detector)]
+    points, rows, descriptors = _Points.of(octaves, detector), [np.zeros((0, 5))], [np.zeros((0, CELLS * CELLS * CELL_BINS))]
+    for field, own, at in points.fields(octaves, np.arange(len(points.gain))):
+        who, angle = _directions(field, at, points.scale[own], points.near(own))
+        at, own = at[who], own[who]
+        v = _descriptors(field, at, points.scale[own], angle, points.far(own))
+        some = v.any(axis=1)
+        rows.append(points.table(octaves, own[some], angle[some]))
+        descriptors.append(v[some])
+    return np.concatenate(rows), np.concatenate(descriptors), octaves[0].images[0, detector.layers]
+
+
+def small_planes(planes: np.ndarray, detector: Detector, octaves: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each plane (plane, y, x) of one size: its keypoints, rows of y, x, size, contrast, angle and octave, and their descriptors.
+
+    The planes lie, doubled, in one tile: all octaves come without an exchange.  Keypoints are in order from the strongest, ties in reading order;
+    only the ``most`` strongest are described.
     """
-    whole = lambda v: Tile(v.astype("f8"), 0, 0, 0, 0, *v.shape, *v.shape)
-    a, parts = doubled(a.astype("f4").astype("f8")).astype("f4"), []
-    a = gaussian(a.astype("f8"), detector.first_blur).astype("f4")
+    a, parts = gaussians(np.stack([doubled(v.astype("f4").astype("f8")).astype("f4") for v in planes]), [detector.first_blur])[:, 0].astype("f4"), []
     for _ in range(octaves):
-        tile = whole(a)
-        images, place, gain = _extrema(tile, detector)
-        parts.append((tile, images, place, gain))
-        a = _halved(tile, images[detector.layers])[0].astype("f4")
-    gains = np.sort(np.concatenate([gain for *_, gain in parts] or [np.zeros(0)]))
-    found, above, n = [], np.inf, detector.most or len(gains)
-    while above > -np.inf and len(found) < (detector.most or 1):
-        least = gains[-n] if n < len(gains) else -np.inf
-        for k, (tile, images, place, gain) in enumerate(parts):
-            part, scale = (gain >= least) & (gain < above), 2.0 ** (k - 1)
-            found += [(y * scale, x * scale, s * scale, g, angle, k, v) for _, y, x, s, g, angle, v in _described(images, place[part], gain[part], detector, tile)]
-        above, n = least, 2 * n
+        if min(a.shape[1:]) <= 2 * EDGE:
+            break  # all is too near to the edge, here and in what follows
+        parts.append(_blurred(a, Tile(a, 0, 0, 0, 0, *a.shape[1:], *a.shape[1:]), detector))
+        a = parts[-1].images[:, detector.layers, ::2, ::2].astype("f4")
+    found = [(np.zeros((0, 6)), np.zeros((0, CELLS * CELLS * CELL_BINS)))] * len(planes)
+    if not parts:
+        return found
+    points = _Points.of(parts, detector)
+    left = [np.flatnonzero(points.plane == k) for k in range(len(planes))]
+    lacking = lambda k: detector.most - len(found[k][0]) if detector.most else len(left[k])
+    while any(len(own) and lacking(k) for k, own in enumerate(left)):
+        taken = [np.zeros(0, np.int64)]
+        for k, own in enumerate(left):
+            # As many as are missing, and those as strong as the last one; most have a direction, some more than one.
+            n = lacking(k)
+            strong = points.gain[own] >= (np.sort(points.gain[own])[-n] if 0 < n < len(own) else -np.inf) if n else np.zeros(len(own), bool)
+            taken.append(own[strong])
+            left[k] = own[~strong]
+        fields = list(points.fields(parts, np.concatenate(taken)))
+        turned = [(np.full(len(who), k), own[who], at[who], angle) for k, (field, own, at) in enumerate(fields) for who, angle in [_directions(field, at, points.scale[own], points.near(own))]]
+        in_field, who, at, angle = (np.concatenate(c) for c in zip(*turned, strict=True))
+        rows = points.table(parts, who, angle)
+        rows[:, :3] *= 2.0 ** (points.octave[who, None] - 1)
+        rows = np.column_stack([rows, points.octave[who]])
+        order = np.lexsort((angle, *rows[:, 2::-1].T, -rows[:, 3]))
+        while len(order):
+            # Only those that have no gradient around, and so no descriptor, make room for weaker ones.
+            plane = points.plane[who[order]]
+            first = np.concatenate([np.flatnonzero(plane == k)[: lacking(k) if detector.most else None] for k in range(len(planes))])
+            own, order = order[first], np.delete(order, first)
+            if not len(own):
+                break
+            v = np.empty((len(own), CELLS * CELLS * CELL_BINS))
+            for k, (field, *_) in enumerate(fields):
+                here = np.flatnonzero(in_field[own] == k)
+                v[here] = _descriptors(field, at[own[here]], points.scale[who[own[here]]], angle[own[here]], points.far(who[own[here]]))
+            some = v.any(axis=1)
+            for k in range(len(planes)):
+                mine = some & (points.plane[who[own]] == k)
+                found[k] = tuple(np.concatenate([old, more]) for old, more in zip(found[k], (rows[own[mine]], v[mine]), strict=True))
     return found
 
 
@@ -334,17 +528,17 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
     small = F.greatest("height", "width") <= tiles.SIDE // 2
     names = [f.name for f in _POINT]
 
-    def points_of(table: pa.Table, columns: list[str], points: list[tuple]) -> pa.Table:
-        values = list(zip(*points, strict=True)) or [[]] * 7
-        kinds = [pa.float64()] * 5 + [pa.int64(), pa.list_(pa.float64())]
-        return pa.table({**repeated(table, columns, len(points)), **{n: pa.array(list(c), t) for n, c, t in zip(names, values, kinds, strict=True)}})
+    def points_of(table: pa.Table, columns: list[str], points: np.ndarray, descriptors: np.ndarray) -> pa.Table:
+        values = [*(pa.array(np.ascontiguousarray(c)) for c in points[:, :5].T), pa.array(points[:, 5].astype(np.int64))]
+        ends = pa.array(np.arange(len(points) + 1, dtype=np.int32) * descriptors.shape[1])
+        return pa.table({**repeated(table, columns, len(points)), **dict(zip(names, [*values, pa.ListArray.from_arrays(ends, descriptors.ravel())], strict=True))})
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 a = whole_plane(*(row.column(c)[0].as_py() for c in PLACE), np.frombuffer(row.column("data")[0].as_buffer(), "f4"), 0)
-                yield from points_of(row, [*keys, "number"], small_plane(a, of(row), octaves)).to_batches()
+                yield from points_of(row, [*keys, "number"], *small_planes(a[None], of(row), octaves)[0]).to_batches()
 
     dealt = with_own(first.where(small)).repartition(int(planes.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "number")
     out = dealt.mapInArrow(search, T.StructType([*fields(first, keys), known.schema["number"], *_POINT]))
@@ -359,7 +553,7 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
         return block_table(table, keys, a.astype("f4"), 2 * tile.top, 2 * tile.left, 2 * tile.height, 2 * tile.width)
 
     def blurred(tile: Tile, table: pa.Table) -> pa.Table:
-        a = gaussian(tile.a.astype("f8"), of(table).first_blur)[tile.own]
+        a = gaussian(tile.a, of(table).first_blur)[tile.own]
         return block_table(table, own, a.astype("f4"), tile.top, tile.left, tile.height, tile.width)
 
     start = deal(first, keys, "f4", 1, begin, block_schema(first, keys))
@@ -370,10 +564,11 @@ def scale_space(planes: DataFrame, keys: list[str], detectors: DataFrame, octave
 
         def work(tile: Tile, table: pa.Table, k: int = k, scale: float = scale) -> pa.Table:
             detector = of(table)
-            points, last = octave(replace(tile, a=tile.a.astype("f8")), detector)
+            points, descriptors, last = octave(tile, detector)
             half, y, x = _halved(tile, last)
             block = block_table(table, own, half.astype("f4"), y, x, (tile.height + 1) // 2, (tile.width + 1) // 2).slice(0, int(half.size > 0))
-            rows = points_of(table, own, [(y * scale, x * scale, s * scale, g, angle, k, v) for _, y, x, s, g, angle, v in points])
+            points[:, :3] *= scale
+            rows = points_of(table, own, np.column_stack([points, np.full(len(points), k)]), descriptors)
             return pa.concat_tables([rows, block], promote_options="default").select([*own, *PLACE, "data", *names])
 
         schema = T.StructType([*fields(blocks, own), *block_schema(blocks, []).fields, *_POINT])

@@ -230,6 +230,23 @@ def test_trials_of_small_planes_store_no_keypoints(spark, monkeypatch):
     assert one[3].value > 0.8 > one[3].unaligned > 0 and one[8].value == 0
 
 
+def test_trials_describe_no_more_than_they_use(monkeypatch):
+    from lamella.operators import scalespace as sca
+
+    described, f = [], sca._descriptors
+    monkeypatch.setattr(sca, "_descriptors", lambda field, at, *more: described.append(len(at)) or f(field, at, *more))
+    a = np.kron(np.random.default_rng(5).integers(0, 256, (16, 16)), np.ones((4, 4), int))
+    planes, detector = np.stack([a, a[::-1]]), Detector(1.6, 3, 0.01, 10.0)
+    every = sca.small_planes(planes, detector, 4)
+    assert sum(described) == sum(len(rows) for rows, _ in every) and all(len(rows) > 60 for rows, _ in every)
+    described.clear()
+    some = sca.small_planes(planes, Detector(1.6, 3, 0.01, 10.0, 40), 4)
+    assert sum(described) == 80  # many places have more than one direction; those beyond the limit aren't described
+    for (rows, v), (few, own) in zip(every, some, strict=True):
+        assert (rows[:40] == few).all() and (v[:40] == own).all()
+    assert all((x == y).all() for k in (0, 1) for x, y in zip(every[k], sca.small_planes(planes[k : k + 1], detector, 4)[0], strict=True))
+
+
 def test_search_of_the_small_table(spark):
     from lamella.plans import registry
 
