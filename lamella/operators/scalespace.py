@@ -325,7 +325,7 @@ def _descriptors(field: Field, at: np.ndarray, scale: np.ndarray, turn: np.ndarr
     turn, size, direction = (v.astype("f4") for v in (turn, field.size, field.direction))  # shares of pixels; their sums are double
     for r, part in _portions(radius):
         n, (dy, dx) = len(part), _offsets(r)
-        disc = np.flatnonzero(_squares(r) <= (CELLS + 1) ** 2 / 2 * (CELL_SIZE * scale[part].max()) ** 2)
+        disc = np.flatnonzero(_squares(r) <= 1.0001 * (CELLS + 1) ** 2 / 2 * (CELL_SIZE * scale[part].max()) ** 2)  # with room for rounding
         dy, dx = dy[disc], dx[disc]
         cx, sx, cy, sy = (np.outer(own[part], v) for v in (dx.astype("f4"), dy.astype("f4")) for own in (c, s))
         across, down, limit = np.add(cx, sy, out=cx), np.subtract(cy, sx, out=cy), (CELLS + 1) / 2
@@ -358,8 +358,8 @@ def _descriptors(field: Field, at: np.ndarray, scale: np.ndarray, turn: np.ndarr
         k &= CELL_BINS - 1
         np.add(first, k, out=to[4])
         for m in (0, 4):
-            for l, step in ((1, 1), (2, CELLS + 2), (3, CELLS + 3)):
-                np.add(to[m], step * CELL_BINS, out=to[m + l])
+            for corner, step in ((1, 1), (2, CELLS + 2), (3, CELLS + 3)):
+                np.add(to[m], step * CELL_BINS, out=to[m + corner])
         np.multiply(weight, p, out=share[6])
         np.subtract(weight, share[6], out=share[4])
         for m in (4, 6):
