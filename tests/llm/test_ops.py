@@ -127,6 +127,47 @@ def test_levels_merge_within_the_query(spark, monkeypatch):
     assert seen == [[1], [2], [2, 1], [4]]
 
 
+def test_levels_are_scanned_and_merged_where_they_lie(spark):
+    """Joins of levels and of their reaches shuffle nothing, and a merged level has each run once, with the number of its places."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    index, same_text, shared = suf.SuffixLevels(), text(400), text(260)
+    batches = [[same_text, text(100) + shared], [same_text, same_text, shared + text(100)]]
+    tables = []
+    for texts in batches:
+        runs = index._level(index._run(suffix_rows(spark, texts)))
+        tables.append((runs, suf.bucketed(index._reaches(runs), "level-keys", ["key"], ["key"])))
+    (a, x), (b, y) = tables
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = index._merged_runs(a, b), index._merged_reaches(x, y), index._met(x, y)
+        for df in joins:
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        every = suffix_rows(spark, sum(batches, []))
+        same(joins[0].select("head", "ext", "n"), [tuple(r) for r in every.groupBy("head", "ext").count().collect()], "head", "ext", "n")
+        same(joins[1].select("key"), [tuple(r) for r in index._keys(every).select("key").distinct().collect()], "key")
+        assert joins[2].count() > 0  # of the passage that both batches share
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    paths = [t.stored_at for t in (a, x, b, y)]
+    suf.drop(a, x, b, y)
+    assert not any(spark.catalog.tableExists(t.stored_as) or Path(p.removeprefix("file:")).exists() for t, p in zip((a, x, b, y), paths, strict=True))
+
+
+def test_repeats_of_odd_rows_in_any_number_of_batches(spark):
+    """Null ids and texts, repeated rows and ids, short and empty texts, one text in many rows; levels of other sizes than powers of two."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    hot, rows = text(450), [(None, None), (1, None), (2, ""), (3, text(199)), (3, text(300))]
+    rows += [(i, hot) for i in range(10, 30)] + [(None, hot[:250]), (40, text(260)), (40, text(260))] + [(i, text(150) + hot[100:350] + text(90)) for i in range(50, 70)]
+    rows += [rows[-1], rows[6], (None, None)]
+    n = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    for batches in (1, 3):
+        out = suf.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), batches=batches)
+        same(out.select("doc_id", n.alias("a"), (n - F.octet_length("kept")).alias("b"), F.size("spans").alias("s"), F.sha2("kept", 256).alias("h")), brute.without_repeats(rows), "doc_id", "a", "b", "s", "h")
+
+
 @pytest.mark.parametrize("hot", [1024, 2])
 def test_repeats_of_edges(spark, monkeypatch, hot):
     """A common passage in unique text: its edges are stretches that agree in part; with few allowed in a task, as rows."""
