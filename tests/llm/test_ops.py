@@ -412,6 +412,43 @@ def test_tree_prunes():
         assert (tree["x"][a:z].min(axis=0) == tree["low"][n]).all() and (tree["x"][a:z].max(axis=0) == tree["high"][n]).all()
 
 
+def test_search_compares_a_leaf_with_many_queries_at_once(monkeypatch):
+    """Equal to all products, with floors, ties, own ids, repeated ids, few rows and numbers beyond exact floating point; leaves meet queries in blocks."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    met, plain = [], top._improve
+    monkeypatch.setattr(top, "_improve", lambda *a: (met.append(len(a[3])), plain(*a))[1])
+    for rows, most, k, big in ((3000, 40, 20, 1), (900, 2, 20, 1), (10, 9, 20, 1), (700, 9, 5, 2**27), (1200, 0, 3, 1)):
+        x, ids = rng.integers(-most, most + 1, (rows, 5)) * big, rng.permutation(rows)
+        ids[: rows // 50] = ids[-1]
+        q, own = np.concatenate([x[:300], rng.integers(-most, most + 1, (100, 5)) * big]), np.concatenate([ids[:300], np.full(100, 10**9)])
+        score = q.astype(object) @ x.T.astype(object)
+        floor = np.array([-(2**62) if i % 3 else sorted(r)[len(r) // 2] for i, r in enumerate(score)])
+        met.clear()
+        found = top.search(top.build_tree(ids, x, 32), q, own, floor, k)
+        for i, (s, n) in enumerate(found):
+            best = sorted((-v, int(j)) for v, j in zip(score[i], ids, strict=True) if j != own[i] and v >= floor[i])[:k]
+            assert [(-int(a), int(b)) for a, b in zip(s, n, strict=True)] == best
+        if rows == 3000:
+            assert max(met) > 20 and len(met) < len(q) * 10  # 400 queries, 128 leaves: not a product for each query and leaf
+    assert [len(s) for s, _ in top.search(top.build_tree(ids, x, 32), q[:0], own[:0], floor[:0], 3)] == []
+
+
+def test_top_k_makes_the_vectors_once(spark):
+    """Counts, the sample and the placing read a table; the vectors as they come in are worked out once for it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(i % 90, [i % 7, i % 5, -i]) for i in range(100)] + [(None, [1, 1, 1]), (5, None), (6, [1, None, 2]), (7, [])], "vec_id long, embedding array<int>")
+    out = top.top_k(rows.mapInArrow(count, rows.schema), rows.where("vec_id = 3"), 4)
+    assert out.count() == 4 and made.value == 104
+
+
 def test_urls(spark):
     pages = [(1, "https://a.net/x", '<link rel="canonical" href="https://b.net/y">'), (2, "HTTP://B.net/y#f", ""), (3, "https://c.net/z", "<meta http-equiv='refresh' content='0; url=http://www.example.org/es/1'>"), (4, None, None),
              (5, "no scheme", ""), (6, "http://x.org/en/1", ""), (7, "https://c.net/w", '<link href="/z" rel=canonical>'), (8, "http://ok.org/q", "<link rel=canonical href=http://sub.example.org/en/12>"), (9, "http://ok.org/q", "")]
