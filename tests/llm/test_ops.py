@@ -317,6 +317,50 @@ def test_shuffle_is_uniform(spark):
     assert max(first.values()) <= 32 and len(first) == 8
 
 
+def test_texts_and_token_ids_are_joined_late(spark, monkeypatch):
+    """Tables of nodes carry neither texts nor ids; odd blanks, null ids, turns, roles and texts included."""
+    rng = random.Random(21)
+    words = ["the", "don't", "é中", "a\u00a0\u00a0b", "x\u180e", "\x1c ", "  two", "\n\n", "tab\t", "1٣²", "<|end|>\n", "[INST]", "\\", "😀", "\u200b", "\u3000 "]
+    text = lambda: " ".join(rng.choice(words) for _ in range(40))
+    shared = text()
+    rows = [(i if i else None, j, rng.choice(("user", "assistant", None)), shared if j < 2 else rng.choice((text(), None, ""))) for i in range(12) for j in range(4)]
+    rows += [(3, None, "user", text()), (4, 1, "user", shared), (4, 1, "user", shared)]
+    kept, plain = {}, chat.stored
+    monkeypatch.setattr(chat, "stored", lambda df, name: (kept.__setitem__(name, df.columns), plain(df, name))[1])
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    path = entry.tokenizer_path("byte_bpe_50k.json")
+    nodes, paths, members = chat.format_conversations(df, path)
+    same(chat.read_back(nodes, paths, members, path), brute.conversations(rows), "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
+    assert [n for n, c in kept.items() if "text" in c] == ["turns"] and [n for n, c in kept.items() if "ids" in c] == ["tokens"]
+
+
+def test_heads_are_encoded_once_for_each_role():
+    import pyarrow as pa
+
+    path, seen = entry.tokenizer_path("byte_bpe_50k.json"), []
+    plain = chat._ids
+    columns = {"owner": [0] * 2500, "depth": [1] * 2500, "node": ["n"] * 2500, "head": [f"{chat.TURN}{i % 2}{chat.BODY}" for i in range(2500)], "body": [f"é {i}" for i in range(2499)] + [""], "is_loss": [i % 3 == 0 for i in range(2500)]}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(chat, "_ids", lambda path, texts: (seen.extend(texts), plain(path, texts))[1])
+        (out,) = chat._encode(path)(iter([pa.RecordBatch.from_pydict(columns)]))
+    assert sorted(seen) == sorted([chat.END, *set(columns["head"]), *columns["body"]])
+    one = lambda x: chat._tokenizer(path).encode(x, add_special_tokens=False).ids
+    for h, b, own, r in zip(columns["head"], columns["body"], columns["is_loss"], out.to_pylist(), strict=True):
+        assert r["ids"] == one(h) + one(b) + one(chat.END) and r["n_tokens"] == len(r["ids"])
+        assert (r["loss_start"], r["loss_end"]) == ((len(one(h)), len(one(h) + one(b))) if own else (0, 0))
+
+
+def test_tokens_are_decoded_as_by_the_tokenizer():
+    """Any ids, also those that cut a character."""
+    from tokenizers import decoders
+
+    path, rng = entry.tokenizer_path("byte_bpe_50k.json"), random.Random(22)
+    names, spoken = {i: t for t, i in chat._tokenizer(path).get_vocab().items()}, chat._spoken(path).to_pylist()
+    for _ in range(20_000):
+        ids = [rng.choice((rng.randrange(256), rng.randrange(len(spoken)))) for _ in range(rng.randint(0, 6))]
+        assert b"".join(spoken[i] for i in ids).decode("utf-8", "replace") == decoders.ByteLevel().decode([names[i] for i in ids])
+
+
 def test_hypergeometric_inversion_agrees_with_numpy():
     import numpy as np
 
